@@ -1 +1,159 @@
-"""Placeholder."""
+"""Message decode, reject routing and revision queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from gridlake.operators.revisions import changed_rows, latest_revision, revision_merge
+from gridlake.plans import sql as S
+from gridlake.plans import state
+from gridlake.plans.registry import query
+from gridlake.schemas import KEYS
+from gridlake.sources import fixtures as X
+from gridlake.sources import messages as MSG
+
+_ISO_D = "strftime(date_trunc('hour', ts), '%Y-%m-%dT%H:%M:%S') || '+00:00'"
+_ISO_F = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00'"
+_PRICE = f"CAST(CAST(round(value * 100) AS BIGINT) - {X.PRICE_OFFSET_CENTS} AS DOUBLE) / 100.0"
+_KIND = (
+    "CASE "
+    + " ".join(f"WHEN event_id % {m} = 0 THEN '{k}'" for m, k in X.MESSAGE_RULES)
+    + " END"
+)
+_MSG_CTE = (
+    "msg",
+    f"""SELECT event_id, ts, event_type AS region, {_PRICE} AS price,
+       event_type || '|' || {_ISO_D} AS key, {_ISO_D} AS d_iso, {_ISO_F} AS f_iso, {_KIND} AS kind
+    FROM events""",
+)
+_VALUE = """CASE kind
+    WHEN 'not_json' THEN 'not json #' || CAST(event_id AS VARCHAR)
+    WHEN 'null_price' THEN json_object('region', region, 'delivery_ts', d_iso, 'source', 'events', 'fetched_at', f_iso)::VARCHAR
+    WHEN 'bad_delivery_ts' THEN json_object('region', region, 'delivery_ts', 'bad', 'price_eur_mwh', price, 'source', 'events', 'fetched_at', f_iso)::VARCHAR
+    WHEN 'bad_fetched_at' THEN json_object('region', region, 'delivery_ts', d_iso, 'price_eur_mwh', price, 'source', 'events', 'fetched_at', 'bad')::VARCHAR
+    ELSE json_object('region', region, 'delivery_ts', d_iso, 'price_eur_mwh', price, 'source', 'events', 'fetched_at', f_iso)::VARCHAR
+  END"""
+_REASON = f"""CASE kind WHEN 'not_json' THEN '{MSG.MALFORMED}' WHEN 'null_price' THEN '{MSG.MISSING.format("price_eur_mwh")}'
+    WHEN 'bad_delivery_ts' THEN '{MSG.BAD_DELIVERY_TS}' WHEN 'bad_fetched_at' THEN '{MSG.BAD_FETCHED_AT}' END"""
+
+
+def _classified(spark, sf_dir):
+    return MSG.classify(MSG.decode(MSG.fixture_messages(X.events_for_messages(spark, sf_dir))))
+
+
+@query(
+    "decoded_messages",
+    S.with_(_MSG_CTE)
+    + """SELECT key,
+       CASE WHEN kind = 'not_json' THEN NULL ELSE region END AS region,
+       CASE WHEN kind = 'not_json' THEN NULL WHEN kind = 'bad_delivery_ts' THEN 'bad' ELSE d_iso END AS delivery_ts,
+       CASE WHEN kind IN ('not_json', 'null_price') THEN NULL ELSE price END AS price_eur_mwh,
+       CASE WHEN kind = 'not_json' THEN NULL ELSE 'events' END AS source,
+       CASE WHEN kind = 'not_json' THEN NULL WHEN kind = 'bad_fetched_at' THEN 'bad' ELSE f_iso END AS fetched_at,
+       ts AS kafka_ts
+FROM msg""",
+)
+def decoded_messages(spark, sf_dir):
+    """JSON value decoded with the declared schema and flattened."""
+    decoded = MSG.decode(MSG.fixture_messages(X.events_for_messages(spark, sf_dir)))
+    return decoded.select("key", *MSG.MESSAGE_FIELDS, "kafka_ts")
+
+
+@query(
+    "valid_messages",
+    S.with_(_MSG_CTE)
+    + """SELECT region, date_trunc('hour', ts) AS delivery_ts, price AS price_eur_mwh, 'events' AS source, ts AS fetched_at
+FROM msg WHERE kind IS NULL""",
+)
+def valid_messages(spark, sf_dir):
+    """Complete messages with parseable instants, bronze-shaped."""
+    return MSG.valid_rows(_classified(spark, sf_dir))
+
+
+@query(
+    "dead_letters",
+    S.with_(_MSG_CTE) + f"SELECT key, {_VALUE} AS value, {_REASON} AS reason, ts AS kafka_ts FROM msg WHERE kind IS NOT NULL",
+)
+def dead_letters(spark, sf_dir):
+    """P5/K1: every other message, raw text kept, with its reason."""
+    return MSG.rejected_rows(_classified(spark, sf_dir))
+
+
+@query(
+    "message_split_counts",
+    S.with_(_MSG_CTE)
+    + f"""SELECT coalesce({_REASON}, 'valid') AS outcome, count(*) AS messages FROM msg GROUP BY 1""",
+)
+def message_split_counts(spark, sf_dir):
+    """Valid and rejected counts by reason (valid + rejected = input)."""
+    return (
+        _classified(spark, sf_dir)
+        .groupBy(F.coalesce(F.col("reason"), F.lit("valid")).alias("outcome"))
+        .agg(F.count(F.lit(1)).alias("messages"))
+    )
+
+
+@query(
+    "message_envelope",
+    S.with_(("obs", S.obs()), ("latest", S.latest()))
+    + f"""SELECT region || '|' || strftime(delivery_ts, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS key,
+       json_object('region', region, 'delivery_ts', strftime(delivery_ts, '%Y-%m-%dT%H:%M:%S') || '+00:00',
+                   'price_eur_mwh', price_eur_mwh, 'source', 'events',
+                   'fetched_at', strftime({S.AS_OF_SQL}, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00')::VARCHAR AS value
+FROM latest""",
+)
+def message_envelope(spark, sf_dir):
+    """Newest points as keyed messages published at ``as_of``."""
+    points = latest_revision(state.bronze(spark, sf_dir), KEYS)
+    return MSG.envelope(points, state.as_of())
+
+
+_BRONZE_OUT = "region, delivery_ts, price_eur_mwh, source, fetched_at"
+
+
+@query(
+    "latest_revision",
+    S.with_(("obs", S.obs()), ("latest", S.latest())) + f"SELECT {_BRONZE_OUT} FROM latest",
+)
+def latest_revision_q(spark, sf_dir):
+    """Newest revision per (region, delivery hour)."""
+    return latest_revision(state.bronze(spark, sf_dir), KEYS)
+
+
+@query(
+    "bronze_merge",
+    S.with_(("obs", S.obs()), ("latest", S.latest())) + f"SELECT {_BRONZE_OUT} FROM latest",
+)
+def bronze_merge(spark, sf_dir):
+    """Fold the odd batch, the even batch, then the odd batch again into
+    bronze with the revision-aware MERGE; converges to the newest revisions."""
+    odd = X.observations(spark, sf_dir, batch=1)
+    even = X.observations(spark, sf_dir, batch=0)
+    stored = latest_revision(odd, KEYS)
+    stored = revision_merge(stored, even, KEYS)
+    return revision_merge(stored, odd, KEYS)
+
+
+@query(
+    "changed_prices",
+    """WITH obs AS (
+    SELECT event_type AS region, date_trunc('hour', ts) AS delivery_ts, CAST(floor(value / 50) AS DOUBLE) AS price,
+           ts AS fetched_at FROM events),
+lagged AS (
+    SELECT *, lag(price) OVER (PARTITION BY region, delivery_ts ORDER BY fetched_at) AS prev,
+           row_number() OVER (PARTITION BY region, delivery_ts ORDER BY fetched_at) AS rn
+    FROM obs)
+SELECT region, delivery_ts, price, fetched_at FROM lagged WHERE rn = 1 OR price IS DISTINCT FROM prev""",
+)
+def changed_prices(spark, sf_dir):
+    """Emit an hour only when it is new or its price changed (price bucket
+    ``floor(value / 50)`` so that repeats occur)."""
+    events = X.read_table(spark, sf_dir, "events")
+    fetched = F.col("ts").cast("timestamp")
+    obs = events.select(
+        F.col("event_type").alias("region"),
+        F.date_trunc("hour", fetched).alias("delivery_ts"),
+        F.floor(F.col("value") / 50).cast("double").alias("price"),
+        fetched.alias("fetched_at"),
+    )
+    return changed_rows(obs, KEYS, "price", "fetched_at")
