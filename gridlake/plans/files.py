@@ -1 +1,114 @@
-"""Placeholder."""
+"""Landed API files: week chunks, latest weeks, sample file and replay."""
+
+from __future__ import annotations
+
+from gridlake.operators.revisions import latest_revision
+from gridlake.plans import sql as S
+from gridlake.plans import state
+from gridlake.plans.registry import query
+from gridlake.schemas import KEYS
+from gridlake.sources import landed as L
+
+LATEST_WEEKS = 2
+_NULL_EVERY = 11
+_MALFORMED = '["bad","row"]'
+
+
+def _points(spark, sf_dir):
+    return latest_revision(state.bronze(spark, sf_dir), KEYS).select("region", "delivery_ts", "price_eur_mwh")
+
+
+def _chunks(spark, sf_dir):
+    return L.week_chunk_documents(_points(spark, sf_dir), _NULL_EVERY, _MALFORMED)
+
+
+_WEEK = S.to_utc(f"date_trunc('week', {S.local('delivery_ts')})")
+_CHUNK_CTES = S.with_(
+    ("obs", S.obs()),
+    ("latest", S.latest()),
+    ("pts", f"SELECT region, delivery_ts, price_eur_mwh, epoch_ms(delivery_ts) AS ms, epoch_ms({_WEEK}) AS week_start_ms FROM latest"),
+)
+
+
+@query(
+    "week_chunks",
+    _CHUNK_CTES
+    + f"""SELECT region, week_start_ms,
+       '{{"meta_data":' || json_object('region', region, 'resolution', 'hour')::VARCHAR || ',"series":[' ||
+       string_agg('[' || CAST(ms AS VARCHAR) || ',' ||
+                  coalesce(CAST(CASE WHEN hour(delivery_ts) % {_NULL_EVERY} <> 0 THEN price_eur_mwh END AS VARCHAR), 'null') || ']',
+                  ',' ORDER BY ms) || ',{_MALFORMED}]}}' AS text
+FROM pts GROUP BY region, week_start_ms""",
+)
+def week_chunks(spark, sf_dir):
+    """K-side of S4: one API-shaped JSON document per (region, local week)."""
+    return _chunks(spark, sf_dir)
+
+
+@query(
+    "week_chunk_points",
+    _CHUNK_CTES + f"SELECT region, delivery_ts, price_eur_mwh FROM pts WHERE hour(delivery_ts) % {_NULL_EVERY} <> 0",
+)
+def week_chunk_points(spark, sf_dir):
+    """Chunk documents parsed back to points; unpublished and
+    malformed rows skipped."""
+    return L.parse_week_chunks(_chunks(spark, sf_dir))
+
+
+@query(
+    "latest_weeks",
+    _CHUNK_CTES
+    + f""", idx AS (SELECT DISTINCT region, week_start_ms FROM pts),
+newest AS (SELECT region, week_start_ms FROM idx
+           QUALIFY row_number() OVER (PARTITION BY region ORDER BY week_start_ms DESC) <= {LATEST_WEEKS})
+SELECT region, delivery_ts, price_eur_mwh FROM pts JOIN newest USING (region, week_start_ms)
+WHERE hour(delivery_ts) % {_NULL_EVERY} <> 0""",
+)
+def latest_weeks(spark, sf_dir):
+    """Points of the newest two week chunks of each region."""
+    return L.parse_week_chunks(L.latest_chunks(_chunks(spark, sf_dir), LATEST_WEEKS))
+
+
+_SAMPLE_CTES = S.with_(
+    ("obs", S.obs()),
+    ("latest", S.latest()),
+    (
+        "last",
+        f"""SELECT region, delivery_ts, price_eur_mwh, epoch_ms(delivery_ts) AS ms FROM latest
+        WHERE delivery_ts <= {S.AS_OF_SQL}
+        QUALIFY row_number() OVER (PARTITION BY region ORDER BY delivery_ts DESC) <= {L.SAMPLE_HOURS}""",
+    ),
+)
+
+
+@query(
+    "sample_document",
+    _SAMPLE_CTES
+    + f"""SELECT region, count(*) AS hours,
+       '{{"meta":' || json_object('source', 'events', 'region', region, 'resolution', 'hour',
+                                  'generated_at', strftime({S.AS_OF_SQL}, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00',
+                                  'hours', count(*))::VARCHAR ||
+       ',"series":[' || string_agg('[' || CAST(ms AS VARCHAR) || ',' || CAST(price_eur_mwh AS VARCHAR) || ']', ',' ORDER BY ms)
+       || ']}}' AS text
+FROM last GROUP BY region""",
+)
+def sample_document(spark, sf_dir):
+    """K6: the last 168 published hours of each region as a sample file."""
+    return L.sample_documents(_points(spark, sf_dir), state.as_of())
+
+
+@query(
+    "replay_order",
+    _SAMPLE_CTES
+    + f"""SELECT region, delivery_ts, price_eur_mwh,
+       region || '|' || strftime(delivery_ts, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS key,
+       json_object('region', region, 'delivery_ts', strftime(delivery_ts, '%Y-%m-%dT%H:%M:%S') || '+00:00',
+                   'price_eur_mwh', price_eur_mwh, 'source', 'events',
+                   'fetched_at', strftime({S.AS_OF_SQL}, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00')::VARCHAR AS value
+FROM last""",
+)
+def replay_order(spark, sf_dir):
+    """Sample documents read strictly and replayed in (time, region)
+    order as keyed messages."""
+    samples = L.sample_documents(_points(spark, sf_dir), state.as_of())
+    return L.replay_lines(L.parse_sample(samples), state.as_of())
