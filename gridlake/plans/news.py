@@ -1 +1,160 @@
-"""Placeholder."""
+"""News enrichment queries.
+
+Queries that output cleaned titles have no SQL oracle: HTML entity decoding
+is not expressible in SQL. They are checked in ``tests/test_news.py`` against
+a plain-Python implementation over the whole fixture. Counts and joins that
+do not depend on title text have oracles.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from gridlake.functions.text import clean_text, url_host
+from gridlake.operators import news as N
+from gridlake.plans import sql as S
+from gridlake.plans import state
+from gridlake.plans.registry import query
+from gridlake.sources import feeds as FD
+from gridlake.sources import fixtures as X
+
+_OUT = ["source", "link", "title", "published_ts", "category", "confidence", "model", "fetched_at"]
+
+
+def headlines(spark, sf_dir):
+    return FD.parse_feeds(X.feed_documents(spark, sf_dir))
+
+
+def run_one(spark, sf_dir):
+    """First ingest run: every labelled headline answered."""
+    return N.classify(headlines(spark, sf_dir), X.classifier_answers(spark, sf_dir), state.previous_run())
+
+
+def run_two(spark, sf_dir):
+    """Second ingest run: the classifier gives no answer for some headlines."""
+    return N.classify(headlines(spark, sf_dir), X.classifier_answers(spark, sf_dir, outage=True), state.as_of())
+
+
+def merged(spark, sf_dir, keep_label=False):
+    return N.merge_news(run_one(spark, sf_dir), run_two(spark, sf_dir), keep_label=keep_label)
+
+
+@query("feed_items")
+def feed_items(spark, sf_dir):
+    """RSS and Atom items -> cleaned headlines with instants."""
+    return headlines(spark, sf_dir).select("source", "link", "title", "published_ts")
+
+
+@query(
+    "feed_rejects",
+    f"""SELECT DISTINCT '{X.BROKEN_FEED_HOST}' AS source,
+       'https://{X.BROKEN_FEED_HOST}/feed/' || CAST(doc_id // {X.FEED_BLOCK} AS VARCHAR) AS url,
+       '{FD.INVALID_XML}' AS reason
+FROM documents""",
+)
+def feed_rejects(spark, sf_dir):
+    """Feeds that are not well-formed XML, one row each; others continue."""
+    return FD.feed_rejects(X.feed_documents(spark, sf_dir))
+
+
+@query("classified_headlines")
+def classified_headlines(spark, sf_dir):
+    """Headlines with topic, confidence and model of the second run."""
+    return run_two(spark, sf_dir).select(*_OUT)
+
+
+@query("news_latest")
+def news_latest(spark, sf_dir):
+    """Newest row per (source, link) over both runs."""
+    return N.latest_news(run_one(spark, sf_dir).unionByName(run_two(spark, sf_dir)))
+
+
+@query("news_merge")
+def news_merge(spark, sf_dir):
+    """Second run merged into the first (an outage erases labels)."""
+    return merged(spark, sf_dir)
+
+
+@query("news_merge_keep_label")
+def news_merge_keep_label(spark, sf_dir):
+    """J2 with ``keep_label``: an outage row keeps the stored label."""
+    return merged(spark, sf_dir, keep_label=True)
+
+
+# Oracle view of the merged news: one headline per document whose title is
+# not blank; the second run's answers win (none for doc_id % 3 = 0).
+_BLANK = r"[\s\pZ\x{85}\x{1c}-\x{1f}]"
+_NEWS_CTE = (
+    "news",
+    f"""SELECT d.doc_id, d.source,
+           TIMESTAMP '{X.NEWS_EPOCH}' + to_hours(CAST(d.doc_id % {X.NEWS_HOURS} AS BIGINT)) AS published_ts,
+           CASE WHEN d.doc_id % {X.OUTAGE_MODULUS} = 0 OR l.doc_id IS NULL OR l.toxic = 1 THEN NULL
+                WHEN l.quality = 1 THEN '{X.LABEL_QUALITY}' ELSE '{X.LABEL_OTHER}' END AS category
+    FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id
+    WHERE regexp_replace(regexp_replace(substr(d.text, 1, {X.TITLE_CHARS}), '<[^>]+>', '', 'g'), '{_BLANK}', '', 'g') <> ''""",
+)
+
+
+@query(
+    "topic_counts",
+    S.with_(_NEWS_CTE) + "SELECT category, count(*) AS headlines FROM news WHERE category IS NOT NULL GROUP BY category",
+)
+def topic_counts(spark, sf_dir):
+    """Headlines per topic, most first."""
+    return N.topic_counts(merged(spark, sf_dir))
+
+
+@query(
+    "ingest_counts",
+    S.with_(_NEWS_CTE)
+    + "SELECT count(*) AS total, count(category) AS classified, count(*) - count(category) AS other FROM news",
+)
+def ingest_counts(spark, sf_dir):
+    """Total, classified and other headlines."""
+    return N.ingest_counts(merged(spark, sf_dir))
+
+
+@query(
+    "news_by_day",
+    S.with_(_NEWS_CTE)
+    + """SELECT date_trunc('day', published_ts) AS day, category, count(*) AS headlines
+FROM news WHERE category IS NOT NULL GROUP BY 1, 2""",
+)
+def news_by_day(spark, sf_dir):
+    """Classified headlines per day and topic."""
+    return N.news_by_day(merged(spark, sf_dir))
+
+
+@query(
+    "news_price_days",
+    S.with_(*S.SERVING_CTES[:3], ("gold", S.gold()), _NEWS_CTE)
+    + """, per_day AS (SELECT CAST(published_ts AS DATE) AS local_day, count(*) AS headlines
+                 FROM news WHERE category IS NOT NULL GROUP BY 1)
+SELECT g.region, g.local_day, g.avg_price, g.negative_hours, coalesce(p.headlines, 0) AS headlines
+FROM gold g LEFT JOIN per_day p ON p.local_day = g.local_day""",
+)
+def news_price_days(spark, sf_dir):
+    """Daily prices next to the day's classified headline count."""
+    return N.price_days(state.gold(spark, sf_dir), merged(spark, sf_dir))
+
+
+def page_titles(spark, sf_dir):
+    pages = X.pages(spark, sf_dir)
+    raw = F.regexp_extract(F.col("html"), r"(?is)<title[^>]*>(.*?)</title>", 1)
+    return pages.select("page_id", url_host(F.col("url")).alias("host"), clean_text(raw).alias("title"))
+
+
+@query("page_headlines")
+def page_headlines(spark, sf_dir):
+    """Headline cleaning and host extraction on raw web pages."""
+    return page_titles(spark, sf_dir)
+
+
+@query(
+    "page_hosts",
+    """SELECT CASE WHEN h = '' THEN url ELSE h END AS host, count(*) AS pages
+FROM (SELECT url, regexp_extract(url, '^[^:/?#]+://([^/?#]*)', 1) AS h FROM pages) p GROUP BY 1""",
+)
+def page_hosts(spark, sf_dir):
+    """Pages per host (URL network location)."""
+    return X.pages(spark, sf_dir).groupBy(url_host(F.col("url")).alias("host")).agg(F.count(F.lit(1)).alias("pages"))

@@ -72,3 +72,78 @@ def labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "pages")
+
+
+# --- News fixture (FIXTURES.md, "news <- documents, labels, pages") -----------
+# Publication time: 2024-01-01 plus (doc_id % 720) hours.
+NEWS_EPOCH = "2024-01-01 00:00:00"
+NEWS_HOURS = 720
+# Classifier answers from labels: toxic -> "none of these", quality -> a topic.
+LABEL_TOXIC = "none of these"
+LABEL_QUALITY = "renewables"
+LABEL_OTHER = "gas"
+CONFIDENCE_QUALITY = 0.9
+CONFIDENCE_OTHER = 0.6
+MODEL = "labels-v1"
+# In the second run the classifier gives no answer for doc_id % 3 = 0.
+OUTAGE_MODULUS = 3
+BROKEN_FEED_HOST = "broken.example"
+# -----------------------------------------------------------------------------
+
+
+def doc_link(source: Column, doc_id: Column) -> Column:
+    return F.concat(F.lit("https://"), source, F.lit("/"), doc_id.cast("string"))
+
+
+def published_ts(doc_id: Column) -> Column:
+    return F.to_timestamp(F.lit(NEWS_EPOCH)) + F.make_dt_interval(F.lit(0), (doc_id % NEWS_HOURS).cast("int"))
+
+
+def feed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feeds built from documents (titles are the first 80 characters), plus
+    one truncated copy per feed block that no XML parser accepts."""
+    from gridlake.sources.feeds import render_feeds
+
+    docs = documents(spark, sf_dir)
+    ts = published_ts(F.col("doc_id"))
+    items = docs.select(
+        "source",
+        F.col("doc_id").alias("item_id"),
+        F.substring("text", 1, TITLE_CHARS).alias("title"),
+        doc_link(F.col("source"), F.col("doc_id")).alias("link"),
+        F.date_format(ts, "EEE, dd MMM yyyy HH:mm:ss Z").alias("rss_date"),
+        F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("atom_date"),
+    )
+    feeds = render_feeds(items, FEED_BLOCK)
+    first = feeds.groupBy("block").agg(F.min(F.struct("url", "xml")).alias("f"))
+    broken = first.select(
+        F.concat(F.lit(f"https://{BROKEN_FEED_HOST}/feed/"), F.col("block").cast("string")).alias("url"),
+        "block",
+        F.expr("substring(f.xml, 1, length(f.xml) div 2)").alias("xml"),
+    )
+    return feeds.unionByName(broken).select("url", "xml")
+
+
+def classifier_answers(spark: SparkSession, sf_dir: str, outage: bool = False) -> DataFrame:
+    """Classifier answers keyed by (source, link), from ``labels``.
+
+    ``outage``: the second run's classifier gives no answer for some ids.
+    """
+    docs = documents(spark, sf_dir).select("doc_id", "source")
+    lab = labels(spark, sf_dir)
+    joined = docs.join(lab, on="doc_id")
+    if outage:
+        joined = joined.where(F.col("doc_id") % OUTAGE_MODULUS != 0)
+    label = (
+        F.when(F.col("toxic") == 1, F.lit(LABEL_TOXIC))
+        .when(F.col("quality") == 1, F.lit(LABEL_QUALITY))
+        .otherwise(F.lit(LABEL_OTHER))
+    )
+    confidence = F.when(F.col("quality") == 1, F.lit(CONFIDENCE_QUALITY)).otherwise(F.lit(CONFIDENCE_OTHER))
+    return joined.select(
+        "source",
+        doc_link(F.col("source"), F.col("doc_id")).alias("link"),
+        label.alias("label"),
+        confidence.alias("confidence"),
+        F.lit(MODEL).alias("model"),
+    )
