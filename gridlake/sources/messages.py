@@ -121,9 +121,10 @@ def decode(messages: DataFrame) -> DataFrame:
 
 def reject_reason(decoded: DataFrame) -> Column:
     """First failing check, or NULL for a valid message."""
-    reason = F.when(
-        F.col(CORRUPT).isNotNull() | F.col("value").isNull(), F.lit(MALFORMED)
-    )
+    # Malformed: nothing could be read. A wrong-typed field leaves the others
+    # parsed (and sets ``_corrupt_record``); it is reported as that field missing.
+    nothing_parsed = F.coalesce(*[F.col(f).cast("string") for f in MESSAGE_FIELDS]).isNull()
+    reason = F.when(F.col("value").isNull() | (F.col(CORRUPT).isNotNull() & nothing_parsed), F.lit(MALFORMED))
     for field in REQUIRED:
         reason = reason.when(F.col(field).isNull(), F.lit(MISSING.format(field)))
     return (
