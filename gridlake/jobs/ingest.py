@@ -65,12 +65,14 @@ def ingest_news(
     batch = N.classify(heads, answers, ts_literal(fetched_at))
     batch = L.with_published_date(batch)
     batch_id = batch_id or f"news-{str(fetched_at).replace(' ', 'T').replace(':', '')}"
-    path = lake.path(L.NEWS)
-    if keep_label and TB.has_data(spark, path):
-        stored = TB.touched_target(spark, path, batch, L.NEWS.partition_cols, L.NEWS.keys)
-        merged = L.with_published_date(N.merge_news(stored, batch, keep_label=True))
-        TB.write_partitions(spark, merged, path, batch_id, L.NEWS.partition_cols)
-    else:
-        TB.merge_into(spark, path, NEWS, batch, L.NEWS.keys, L.NEWS.partition_cols, batch_id, partition_moves=True)
+    merge_fn = None
+    if keep_label:
+        def merge_fn(target, rows):
+            return L.with_published_date(N.merge_news(target, rows, keep_label=True))
+
+    TB.merge_into(
+        spark, lake.path(L.NEWS), NEWS, batch, L.NEWS.keys, L.NEWS.partition_cols, batch_id,
+        partition_moves=True, merge_fn=merge_fn,
+    )
     counts = N.ingest_counts(batch).first()
     return {"total": counts["total"], "classified": counts["classified"], "other": counts["other"]}

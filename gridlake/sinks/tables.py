@@ -11,7 +11,7 @@ copy.
   the table's own (shared) storage, never on a machine-local disk.
 * Publishing is idempotent: re-running it rewrites the same partitions with
   the same rows. A crash between staging and publishing is repaired by
-  ``recover`` (staged with ``_SUCCESS`` but no ``_PUBLISHED`` marker).
+  ``recover`` (staged with ``_STAGED`` but no ``_PUBLISHED`` marker).
 * Staging sits next to the table (not inside it), so even a full overwrite
   of an unpartitioned table never deletes the copy it is reading.
 
@@ -31,7 +31,7 @@ from gridlake.operators.revisions import revision_merge, upsert
 
 STAGING = "_staging"
 PUBLISHED = "_PUBLISHED"
-SUCCESS = "_SUCCESS"
+STAGED = "_STAGED"
 
 
 # -- file system helpers (driver-side metadata calls only) --------------------
@@ -79,8 +79,10 @@ def staging_dir(table_path: str) -> str:
 
 
 def stage(df: DataFrame, table_path: str, batch_id: str, partition_cols: Sequence[str]) -> str:
+    """Write the staged copy, then mark it complete."""
     path = f"{staging_dir(table_path)}/{batch_id}"
     df.write.mode("overwrite").partitionBy(*partition_cols).parquet(path)
+    _touch(df.sparkSession, f"{path}/{STAGED}")
     return path
 
 
@@ -102,7 +104,7 @@ def recover(spark: SparkSession, table_path: str, partition_cols: Sequence[str])
     done = []
     for child in sorted(_children(spark, staging_dir(table_path))):
         batch_id = child.rstrip("/").split("/")[-1]
-        if exists(spark, f"{child}/{SUCCESS}") and not exists(spark, f"{child}/{PUBLISHED}"):
+        if exists(spark, f"{child}/{STAGED}") and not exists(spark, f"{child}/{PUBLISHED}"):
             publish(spark, table_path, batch_id, partition_cols)
             done.append(batch_id)
     return done
@@ -116,32 +118,57 @@ def write_partitions(
     publish(spark, table_path, batch_id, partition_cols)
 
 
-def touched_target(
+def touched_partitions(
     spark: SparkSession,
     table_path: str,
     batch: DataFrame,
     partition_cols: Sequence[str],
     keys: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Target rows in the partitions the batch writes to.
+    """Distinct partition values the merge of ``batch`` rewrites.
 
-    The distinct partition values of the batch drive a semi-join on the
-    partition columns, which Spark turns into dynamic partition pruning of
-    the target scan. With ``keys`` (for tables whose partition is not a
-    function of the key, e.g. news by publication day), partitions holding a
-    stored row of a batch key are added, so a row that moves partition is
-    removed from its old one.
+    With ``keys`` (tables whose partition is not a function of the key, e.g.
+    news by publication day), partitions holding a stored row of a batch key
+    are added, so a row that moves partition is removed from its old one.
     """
-    target = read_table(spark, table_path, batch)
-    if not partition_cols:
-        return target
     parts = batch.select(*partition_cols).distinct()
-    if keys:
+    if keys and has_data(spark, table_path):
+        target = read_table(spark, table_path, batch)
         moved = target.join(batch.select(*keys).distinct(), on=list(keys), how="left_semi").select(*partition_cols)
         parts = parts.unionByName(moved).distinct()
+    return parts
+
+
+def touched_target(
+    spark: SparkSession,
+    table_path: str,
+    batch: DataFrame,
+    partition_cols: Sequence[str],
+    keys: Sequence[str] | None = None,
+) -> DataFrame:
+    """Target rows in the partitions the batch writes to: a semi-join on the
+    partition columns, which Spark turns into dynamic partition pruning of
+    the target scan."""
+    target = read_table(spark, table_path, batch)
+    if not partition_cols:
+        return target
+    parts = touched_partitions(spark, table_path, batch, partition_cols, keys)
     return target.join(parts, on=list(partition_cols), how="left_semi")
 
 
+def _drop_emptied(spark: SparkSession, table_path: str, touched: list, staged: str, partition_cols: Sequence[str]) -> None:
+    """Delete touched partitions that the merge emptied (their rows moved).
+    Dynamic overwrite only replaces partitions present in the output."""
+    written = {tuple(r) for r in spark.read.parquet(staged).select(*partition_cols).distinct().collect()}
+    for values in touched:
+        if tuple(values) in written:
+            continue
+        folder = "/".join(f"{c}={v}" for c, v in zip(partition_cols, values))
+        fs, p = _fs(spark, f"{table_path.rstrip('/')}/{folder}")
+        if fs.exists(p):
+            fs.delete(p, True)
+
+
 def merge_into(
     spark: SparkSession,
     table_path: str,
@@ -152,14 +179,43 @@ def merge_into(
     batch_id: str,
     version: str | None = "fetched_at",
     partition_moves: bool = False,
+    merge_fn=None,
 ) -> None:
     """Revision-aware (``version``) or unconditional (``version=None``) MERGE
-    of ``batch`` into the table at ``table_path``."""
+    of ``batch`` into the table at ``table_path``; ``merge_fn(target, batch)``
+    replaces the merge rule when given.
+
+    ``partition_moves``: the partition is not a function of the key, so a
+    row may leave its partition. The touched partition values (bounded by the
+    days a batch touches, not by rows) are then read once on the driver,
+    used as a static partition filter, and partitions left empty are removed.
+    """
     cols = [f.name for f in schema.fields] + [c for c in partition_cols if c not in schema.fieldNames()]
     batch = batch.select(*cols)
-    target = touched_target(spark, table_path, batch, partition_cols, keys if partition_moves else None)
-    merged = revision_merge(target, batch, keys, version) if version else upsert(target, batch, keys)
-    write_partitions(spark, merged, table_path, batch_id, partition_cols)
+    if partition_moves and partition_cols:
+        touched = [tuple(r) for r in touched_partitions(spark, table_path, batch, partition_cols, keys).collect()]
+        target = read_table(spark, table_path, batch)
+        if touched:
+            cond = F.lit(False)
+            for values in touched:
+                match = F.lit(True)
+                for c, v in zip(partition_cols, values):
+                    match = match & F.col(c).eqNullSafe(F.lit(v))
+                cond = cond | match
+            target = target.where(cond)
+    else:
+        touched = None
+        target = touched_target(spark, table_path, batch, partition_cols)
+    if merge_fn is not None:
+        merged = merge_fn(target, batch).select(*cols)
+    elif version:
+        merged = revision_merge(target, batch, keys, version)
+    else:
+        merged = upsert(target, batch, keys)
+    staged = stage(merged, table_path, batch_id, partition_cols)
+    publish(spark, table_path, batch_id, partition_cols)
+    if touched:
+        _drop_emptied(spark, table_path, touched, staged, partition_cols)
 
 
 # -- upkeep ----------------------------------------------------------------------
