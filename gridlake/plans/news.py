@@ -25,18 +25,23 @@ def headlines(spark, sf_dir):
     return FD.parse_feeds(X.feed_documents(spark, sf_dir))
 
 
-def run_one(spark, sf_dir):
-    """First ingest run: every labelled headline answered."""
-    return N.classify(headlines(spark, sf_dir), X.classifier_answers(spark, sf_dir), state.previous_run())
+def runs(spark, sf_dir):
+    """Both ingest runs over one headline frame (its shuffle is reused):
+    the first with every labelled headline answered, the second with the
+    classifier silent for some headlines."""
+    heads = headlines(spark, sf_dir)
+    first = N.classify(heads, X.classifier_answers(spark, sf_dir), state.previous_run())
+    second = N.classify(heads, X.classifier_answers(spark, sf_dir, outage=True), state.as_of())
+    return first, second
 
 
 def run_two(spark, sf_dir):
-    """Second ingest run: the classifier gives no answer for some headlines."""
     return N.classify(headlines(spark, sf_dir), X.classifier_answers(spark, sf_dir, outage=True), state.as_of())
 
 
 def merged(spark, sf_dir, keep_label=False):
-    return N.merge_news(run_one(spark, sf_dir), run_two(spark, sf_dir), keep_label=keep_label)
+    first, second = runs(spark, sf_dir)
+    return N.merge_news(first, second, keep_label=keep_label)
 
 
 @query("feed_items")
@@ -66,7 +71,8 @@ def classified_headlines(spark, sf_dir):
 @query("news_latest")
 def news_latest(spark, sf_dir):
     """Newest row per (source, link) over both runs."""
-    return N.latest_news(run_one(spark, sf_dir).unionByName(run_two(spark, sf_dir)))
+    first, second = runs(spark, sf_dir)
+    return N.latest_news(first.unionByName(second))
 
 
 @query("news_merge")

@@ -111,10 +111,13 @@ def decode(messages: DataFrame) -> DataFrame:
     parsed = F.from_json(
         F.col("value").cast("string"), DECODE_SCHEMA, {"columnNameOfCorruptRecord": CORRUPT, "mode": "PERMISSIVE"}
     )
+    # ``explode`` of a one-element array is a Generate node: later filters on
+    # the parsed fields cannot be pushed below it, so each message is parsed
+    # once instead of once per referenced field.
     return messages.select(
         F.col("key").cast("string").alias("key"),
         F.col("value").cast("string").alias("value"),
-        parsed.alias("d"),
+        F.explode(F.array(parsed)).alias("d"),
         F.col("timestamp").alias("kafka_ts"),
     ).select("key", "value", "d.*", "kafka_ts")
 
