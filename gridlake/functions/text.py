@@ -35,9 +35,7 @@ def _unescape_fn():
     return unescape
 
 
-# Marked non-deterministic only so that the optimizer never copies the call
-# into a pushed-down filter (which would run the Python batch twice).
-html_unescape = F.pandas_udf(_unescape_fn(), StringType()).asNondeterministic()
+html_unescape = F.pandas_udf(_unescape_fn(), StringType())
 
 
 def clean_text(text: Column | str) -> Column:

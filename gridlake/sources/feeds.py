@@ -29,6 +29,14 @@ ATOM_NS = "http://www.w3.org/2005/Atom"
 # -------------------------------------------------------------------------------
 
 
+def _parsed(feeds: DataFrame) -> DataFrame:
+    """``(url, d)`` with ``d`` the parsed document. The one-element
+    ``explode`` is a Generate node, so filters and field references above it
+    cannot copy the parse: each document is parsed once."""
+    doc = F.from_xml(F.col("xml"), FEED_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    return feeds.select("url", F.explode(F.array(doc)).alias("d"))
+
+
 def _nonempty(c):
     return F.when(F.trim(c) != "", c)
 
@@ -40,8 +48,7 @@ def parse_feeds(feeds: DataFrame) -> DataFrame:
     (tags, entities, whitespace); Atom links are the first ``link/@href``.
     Items without title or link are skipped, as are repeated links.
     """
-    doc = F.from_xml(F.col("xml"), FEED_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    parsed = feeds.select("url", doc.alias("d"))
+    parsed = _parsed(feeds)
     rss_items = F.coalesce(F.col("d.channel.item"), F.col("d.item"))
     rss = F.transform(
         rss_items,
@@ -66,14 +73,21 @@ def parse_feeds(feeds: DataFrame) -> DataFrame:
         "url", F.posexplode(items).alias("pos", "it")
     )
     link = F.coalesce(_nonempty(F.trim(F.col("it.href"))), clean_text(F.col("it.link_text")))
-    rows = exploded.select(
+    cleaned = F.struct(
         url_host(F.col("url")).alias("source"),
-        "url",
-        "pos",
+        F.col("url"),
+        F.col("pos"),
         clean_text(F.col("it.title")).alias("title"),
         link.alias("link"),
         parse_feed_date(F.col("it.date")).alias("published_ts"),
-    ).where((F.col("title") != "") & (F.col("link") != ""))
+    )
+    # Generate barrier again: the filter on the cleaned title must not be
+    # pushed below the (Python) cleaning, which would run it twice.
+    rows = (
+        exploded.select(F.explode(F.array(cleaned)).alias("h"))
+        .select("h.*")
+        .where((F.col("title") != "") & (F.col("link") != ""))
+    )
     first = Window.partitionBy("url", "link").orderBy("pos")
     return (
         rows.withColumn("__r", F.row_number().over(first))
@@ -84,9 +98,8 @@ def parse_feeds(feeds: DataFrame) -> DataFrame:
 
 def feed_rejects(feeds: DataFrame) -> DataFrame:
     """One row per feed that is not well-formed XML: (source, url, reason)."""
-    doc = F.from_xml(F.col("xml"), FEED_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     return (
-        feeds.select("url", doc.alias("d"))
+        _parsed(feeds)
         .where(F.col(f"d.{CORRUPT}").isNotNull())
         .select(url_host(F.col("url")).alias("source"), "url", F.lit(INVALID_XML).alias("reason"))
     )
