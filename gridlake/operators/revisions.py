@@ -63,11 +63,13 @@ def revision_merge(
     valid = F.lit(True)
     for c in [*keys, version]:
         valid = valid & F.col(c).isNotNull()
-    incoming = latest_revision(batch.select(*columns).where(valid), keys, version, tie_break)
+    # One ranking over stored + incoming rows: the greatest version wins, the
+    # stored row first among equal versions (an update needs a strictly newer
+    # one), incoming rows of equal version by the tie-break. That equals
+    # "newest incoming row per key, then MERGE", with one shuffle.
     both = target.select(*columns, F.lit(0).alias(_ORIGIN)).unionByName(
-        incoming.select(*columns, F.lit(1).alias(_ORIGIN))
+        batch.select(*columns).where(valid).select(*columns, F.lit(1).alias(_ORIGIN))
     )
-    # Stored row first among equal versions: an update needs a strictly newer one.
     window = Window.partitionBy(*keys).orderBy(
         F.col(version).desc_nulls_last(), F.col(_ORIGIN).asc(), *[F.col(c).asc_nulls_first() for c in tie_break]
     )
