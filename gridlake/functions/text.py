@@ -55,3 +55,8 @@ def xml_escape(text: Column | str) -> Column:
     return F.regexp_replace(
         F.regexp_replace(F.regexp_replace(col(text), "&", "&amp;"), "<", "&lt;"), ">", "&gt;"
     )
+
+
+def split_list(text: Column | str, sep: str = ",") -> Column:
+    """``"a, b,,c"`` -> ``["a", "b", "c"]``: split, trim, drop empties."""
+    return F.filter(F.transform(F.split(col(text), sep), lambda x: F.trim(x)), lambda x: x != "")

@@ -110,6 +110,20 @@ def parse_instant(text: Column | str) -> Column:
     return F.try_to_timestamp(col(text))
 
 
+# --- Fixed values: RFC 2822 obsolete zone names and their offsets -------------
+RFC2822_ZONES = {
+    "EST": "-0500",
+    "EDT": "-0400",
+    "CST": "-0600",
+    "CDT": "-0500",
+    "MST": "-0700",
+    "MDT": "-0600",
+    "PST": "-0800",
+    "PDT": "-0700",
+}
+# -----------------------------------------------------------------------------
+
+
 def parse_feed_date(text: Column | str) -> Column:
     """RFC-2822 (``Tue, 10 Sep 2026 08:00:00 +0200``, ``GMT``), then ISO-8601.
 
@@ -118,8 +132,10 @@ def parse_feed_date(text: Column | str) -> Column:
     """
     raw = F.trim(col(text))
     no_day = F.regexp_replace(raw, r"^[A-Za-z]{3},\s*", "")
-    # Named zones and numeric offsets; ``GMT``/``UT``/``Z`` mean UTC.
+    # Named zones become numeric offsets; ``GMT``/``UT``/``Z`` mean UTC.
     named = F.regexp_replace(no_day, r"\s+(GMT|UT|UTC|Z)$", " +0000")
+    for zone, offset in RFC2822_ZONES.items():
+        named = F.regexp_replace(named, rf"\s+{zone}$", f" {offset}")
     single_digit_day = F.regexp_replace(named, r"^(\d)\s", "0$1 ")
     rfc = F.coalesce(
         F.try_to_timestamp(single_digit_day, F.lit("dd MMM yyyy HH:mm:ss Z")),
