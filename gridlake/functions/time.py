@@ -100,11 +100,6 @@ def week_start(utc: Column | str, tz: str = LOCAL_TZ) -> Column:
     return to_utc(F.date_trunc("week", local_ts(utc, tz)), tz)
 
 
-def as_wall_clock(c: Column | str) -> Column:
-    """Instant to ``timestamp_ntz`` holding the UTC wall clock (for output)."""
-    return col(c).cast("timestamp_ntz")
-
-
 def parse_instant(text: Column | str) -> Column:
     """Lenient ISO-8601 parse; NULL instead of an error on bad input."""
     return F.try_to_timestamp(col(text))

@@ -44,7 +44,7 @@ def run_transform(
     bronze = spark.read.parquet(lake.path(L.BRONZE)).where(_window_filter(now, since_hours, align_days))
     incoming = L.with_delivery_date(M.silver(bronze.drop("delivery_date"), now))
     TB.merge_into(
-        spark, lake.path(L.SILVER), _schema_of(incoming), incoming, L.SILVER.keys, L.SILVER.partition_cols,
+        spark, lake.path(L.SILVER), incoming.schema, incoming, L.SILVER.keys, L.SILVER.partition_cols,
         f"{run_id}-silver", version=None,
     )
 
@@ -53,26 +53,22 @@ def run_transform(
     try:
         gold = M.gold_daily(silver, now)
         TB.merge_into(
-            spark, lake.path(L.GOLD_DAILY), _schema_of(gold), gold, L.GOLD_DAILY.keys, L.GOLD_DAILY.partition_cols,
+            spark, lake.path(L.GOLD_DAILY), gold.schema, gold, L.GOLD_DAILY.keys, L.GOLD_DAILY.partition_cols,
             f"{run_id}-gold", version=None,
         )
         hourly = L.with_delivery_date(M.serving_hourly(silver))
         TB.merge_into(
-            spark, lake.path(L.SERVING_HOURLY), _schema_of(hourly), hourly, L.SERVING_HOURLY.keys,
+            spark, lake.path(L.SERVING_HOURLY), hourly.schema, hourly, L.SERVING_HOURLY.keys,
             L.SERVING_HOURLY.partition_cols, f"{run_id}-serving-hourly", version=None,
         )
         start = window_start(now, since_hours, align_days)
         refreshed = spark.read.parquet(lake.path(L.GOLD_DAILY)).where(F.col("local_day") >= F.to_date(start) - 1)
         daily = M.serving_daily(refreshed, refreshed_since=start)
         TB.merge_into(
-            spark, lake.path(L.SERVING_DAILY), _schema_of(daily), daily, L.SERVING_DAILY.keys,
+            spark, lake.path(L.SERVING_DAILY), daily.schema, daily, L.SERVING_DAILY.keys,
             L.SERVING_DAILY.partition_cols, f"{run_id}-serving-daily", version=None,
         )
         hours = silver.count()
     finally:
         silver.unpersist()
     return {"hourly_rows": hours}
-
-
-def _schema_of(df):
-    return df.schema

@@ -24,7 +24,6 @@ FEED_SCHEMA = (
 )
 # --- Fixed values ---------------------------------------------------------------
 INVALID_XML = "invalid_xml"
-NO_ITEMS = "no_items"
 ATOM_NS = "http://www.w3.org/2005/Atom"
 # -------------------------------------------------------------------------------
 

@@ -65,3 +65,33 @@ def test_replay_order_is_time_then_region(spark):
     lines = L.replay_lines(pts, L.F.lit(dt.datetime(2026, 1, 2)).cast("timestamp")).collect()
     assert [r.region for r in lines] == ["C", "A", "B"]
     assert len({r.key for r in lines}) == 3
+
+
+def test_written_replay_files_are_in_order(spark, scratch):
+    import glob
+    import json
+
+    from gridlake.sinks.files import write_replay
+
+    pts = spark.createDataFrame(
+        [(r, dt.datetime(2026, 1, 1) + dt.timedelta(hours=h), float(h)) for h in range(50) for r in ("B", "A")],
+        "region string, delivery_ts timestamp, price_eur_mwh double",
+    ).repartition(5)
+    write_replay(pts, f"{scratch}/replay", L.F.lit(dt.datetime(2026, 1, 3)).cast("timestamp"))
+    lines = []
+    for part in sorted(glob.glob(f"{scratch}/replay/part-*")):
+        lines += [json.loads(x) for x in open(part, encoding="utf-8").read().splitlines()]
+    order = [(m["delivery_ts"], m["region"]) for m in lines]
+    assert order == sorted(order) and len(order) == 100
+
+
+def test_headline_lines_keep_nulls(spark):
+    from gridlake.sinks.files import headline_lines
+
+    news = spark.createDataFrame(
+        [("s", "https://x/1", "T", None, None, None, "m")],
+        "source string, link string, title string, published_ts timestamp, category string, confidence double, model string",
+    )
+    assert headline_lines(news).first().value == (
+        '{"source":"s","link":"https://x/1","title":"T","published_ts":null,"category":null,"confidence":null,"model":"m"}'
+    )

@@ -13,7 +13,6 @@ from urllib.parse import urlparse
 
 import duckdb
 import pytest
-from pyspark.sql import functions as F
 
 from gridlake.functions.time import ts_literal
 from gridlake.operators import news as N

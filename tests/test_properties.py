@@ -9,7 +9,6 @@ import re
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from gridlake.functions.text import clean_text, split_list, url_host
 from gridlake.functions.time import parse_feed_date

@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 import random
 
-from pyspark.sql import functions as F
 
 from gridlake.operators.revisions import changed_rows, latest_revision, revision_merge, upsert
 from gridlake.schemas import BRONZE, KEYS
