@@ -1,7 +1,8 @@
 """BI statements over the serving tables (one query each).
 
-They read every region, as the reference's BI SQL does; each function takes an
-optional ``region`` for the single-zone variant. Averages are rounded to cents
+They read every region, as the reference's BI SQL does. Each statement is a
+function of the serving (or daily) DataFrame; ``for_region`` gives the
+single-zone variant. Averages are rounded to cents
 and percentages to one decimal, half away from zero, from integer sums.
 """
 
@@ -27,7 +28,8 @@ _WITH = S.with_(*S.SERVING_CTES)
 _DAILY = S.with_(*S.DAILY_CTES)
 
 
-def _only(df: DataFrame, region: str | None) -> DataFrame:
+def for_region(df: DataFrame, region: str | None) -> DataFrame:
+    """The single-zone variant of any statement: filter serving rows first."""
     return df if region is None else df.where(F.col("region") == region)
 
 
@@ -43,10 +45,9 @@ def _rounded_avg(cond: Column | None = None) -> Column:
     return avg_price(s, n)
 
 
-def hour_profile(serving: DataFrame, region: str | None = None) -> DataFrame:
+def hour_profile(serving: DataFrame) -> DataFrame:
     return (
-        _only(serving, region)
-        .groupBy("local_hour")
+        serving.groupBy("local_hour")
         .agg(_rounded_avg().alias("avg_price"), F.count(F.lit(1)).alias("n"))
     )
 
@@ -76,7 +77,11 @@ def _sql_avg_filtered(cond: str) -> str:
 )
 def bi_peak_trough(spark, sf_dir):
     """B) Evening peak vs midday trough, one row."""
-    return state.serving(spark, sf_dir).agg(
+    return peak_trough(state.serving(spark, sf_dir))
+
+
+def peak_trough(serving: DataFrame) -> DataFrame:
+    return serving.agg(
         _rounded_avg(hour_between("local_hour", EVENING)).alias("evening_peak"),
         _rounded_avg(hour_between("local_hour", MIDDAY)).alias("midday_trough"),
     )
@@ -93,9 +98,13 @@ FROM serving""",
 )
 def bi_negative_totals(spark, sf_dir):
     """C) Negative-price totals; empty input gives NULL ratios, not an error."""
+    return negative_totals(state.serving(spark, sf_dir))
+
+
+def negative_totals(serving: DataFrame) -> DataFrame:
     neg = F.count_if(F.col("is_negative"))
     total = F.count(F.lit(1))
-    return state.serving(spark, sf_dir).agg(
+    return serving.agg(
         neg.alias("neg_hours"),
         total.alias("total_hours"),
         pct1(neg, total).alias("pct_negative"),
@@ -114,11 +123,14 @@ FROM serving GROUP BY is_weekend""",
 )
 def bi_negative_by_daytype(spark, sf_dir):
     """D) Negative-price share, weekend vs weekday."""
+    return negative_by_daytype(state.serving(spark, sf_dir))
+
+
+def negative_by_daytype(serving: DataFrame) -> DataFrame:
     neg = F.count_if(F.col("is_negative"))
     total = F.count(F.lit(1))
     return (
-        state.serving(spark, sf_dir)
-        .groupBy("is_weekend")
+        serving.groupBy("is_weekend")
         .agg(neg.alias("neg_hours"), total.alias("total"), pct1(neg, total).alias("pct"))
         .orderBy("is_weekend")
     )
@@ -134,9 +146,12 @@ FROM serving GROUP BY 1""",
 )
 def bi_monthly(spark, sf_dir):
     """E) Monthly trend on the local calendar."""
+    return monthly(state.serving(spark, sf_dir))
+
+
+def monthly(serving: DataFrame) -> DataFrame:
     return (
-        state.serving(spark, sf_dir)
-        .groupBy(F.date_format(F.from_utc_timestamp("delivery_ts", "Europe/Berlin"), "yyyy-MM").alias("month"))
+        serving.groupBy(F.date_format(F.from_utc_timestamp("delivery_ts", "Europe/Berlin"), "yyyy-MM").alias("month"))
         .agg(
             F.count_if(F.col("is_negative")).alias("neg_hours"),
             F.count(F.lit(1)).alias("hours"),
@@ -153,9 +168,12 @@ def bi_monthly(spark, sf_dir):
 )
 def bi_avg_by_daytype(spark, sf_dir):
     """F) Weekend vs weekday average price."""
+    return avg_by_daytype(state.serving(spark, sf_dir))
+
+
+def avg_by_daytype(serving: DataFrame) -> DataFrame:
     return (
-        state.serving(spark, sf_dir)
-        .groupBy("is_weekend")
+        serving.groupBy("is_weekend")
         .agg(_rounded_avg().alias("avg_price"), F.count(F.lit(1)).alias("n"))
         .orderBy("is_weekend")
     )
@@ -169,10 +187,13 @@ FROM serving WHERE ({_MID}) OR ({_EVE}) GROUP BY 1, 2""",
 )
 def bi_band_by_daytype(spark, sf_dir):
     """G) Average by (weekend, midday?) within the midday and evening bands."""
+    return band_by_daytype(state.serving(spark, sf_dir))
+
+
+def band_by_daytype(serving: DataFrame) -> DataFrame:
     mid = hour_between("local_hour", MIDDAY)
     return (
-        state.serving(spark, sf_dir)
-        .where(mid | hour_between("local_hour", EVENING))
+        serving.where(mid | hour_between("local_hour", EVENING))
         .groupBy("is_weekend", mid.alias("midday"))
         .agg(_rounded_avg().alias("avg_price"), F.count(F.lit(1)).alias("n"))
         .orderBy("is_weekend", "midday")
@@ -188,9 +209,12 @@ def bi_band_by_daytype(spark, sf_dir):
 )
 def bi_daily_spread(spark, sf_dir):
     """H) Mean over local days of (max - min): two aggregation levels."""
+    return daily_spread(state.serving(spark, sf_dir))
+
+
+def daily_spread(serving: DataFrame) -> DataFrame:
     per_day = (
-        state.serving(spark, sf_dir)
-        .groupBy(F.date_format(F.from_utc_timestamp("delivery_ts", "Europe/Berlin"), "yyyy-MM-dd").alias("d"))
+        serving.groupBy(F.date_format(F.from_utc_timestamp("delivery_ts", "Europe/Berlin"), "yyyy-MM-dd").alias("d"))
         .agg((F.max(_c()) - F.min(_c())).alias("spread"))
     )
     return per_day.agg(avg_price(F.sum("spread"), F.count("spread")).alias("avg_daily_spread"))
@@ -204,7 +228,11 @@ def bi_daily_spread(spark, sf_dir):
 )
 def bi_negative_days(spark, sf_dir):
     """I-1) Days with negative hours and the most negative hours in one day."""
-    return state.daily(spark, sf_dir).agg(
+    return negative_days(state.daily(spark, sf_dir))
+
+
+def negative_days(daily: DataFrame) -> DataFrame:
+    return daily.agg(
         F.count_if(F.col("negative_hours") > 0).alias("days_with_neg"),
         F.max("negative_hours").alias("max_neg_hours_in_day"),
     )
@@ -219,10 +247,13 @@ ORDER BY negative_hours DESC NULLS FIRST, local_day, region LIMIT 3""",
 def bi_worst_days(spark, sf_dir):
     """I-2) Three days with the most negative hours (top-k; NULLs first as in
     the reference's database, ties by day then region)."""
+    return worst_days(state.daily(spark, sf_dir))
+
+
+def worst_days(daily: DataFrame, n: int = 3) -> DataFrame:
     return (
-        state.daily(spark, sf_dir)
-        .orderBy(F.col("negative_hours").desc_nulls_first(), "local_day", "region")
-        .limit(3)
+        daily.orderBy(F.col("negative_hours").desc_nulls_first(), "local_day", "region")
+        .limit(n)
         .select("local_day", "avg_price", "min_price", "max_price", "negative_hours")
     )
 
@@ -235,9 +266,12 @@ FROM serving WHERE is_weekend AND {_MID} GROUP BY 1""",
 )
 def bi_weekend_midday(spark, sf_dir):
     """J) Weekend-midday average per weekend day, highest first."""
+    return weekend_midday(state.serving(spark, sf_dir))
+
+
+def weekend_midday(serving: DataFrame) -> DataFrame:
     return (
-        state.serving(spark, sf_dir)
-        .where(F.col("is_weekend") & hour_between("local_hour", MIDDAY))
+        serving.where(F.col("is_weekend") & hour_between("local_hour", MIDDAY))
         .groupBy(F.date_format(F.from_utc_timestamp("delivery_ts", "Europe/Berlin"), "yyyy-MM-dd").alias("local_day"))
         .agg(_rounded_avg().alias("midday_avg"))
         .orderBy(F.col("midday_avg").desc_nulls_first())
