@@ -16,15 +16,26 @@ TABLES = (L.BRONZE, L.SILVER, L.GOLD_DAILY, L.NEWS, L.SERVING_HOURLY, L.SERVING_
 
 
 def maintain(
-    spark: SparkSession, lake: L.Lake, run_id: str, min_input_files: int = 5, tables=TABLES
+    spark: SparkSession,
+    lake: L.Lake,
+    run_id: str,
+    min_input_files: int = 5,
+    tables=TABLES,
+    older_than: dt.datetime | None = None,
+    retain_last: int = 10,
 ) -> dict[str, dict[str, int]]:
-    """Compact small files of every table that has data."""
+    """Compact small files of every table that has data, then expire staged
+    copies older than ``older_than`` (timezone-aware; keeps ``retain_last``)."""
+    if older_than is not None and older_than.tzinfo is None:
+        raise ValueError("older_than must be timezone-aware")
     out = {}
     for table in tables:
         path = lake.path(table)
         if TB.has_data(spark, path):
             TB.recover(spark, path, table.partition_cols)
             out[table.name] = TB.compact(spark, path, table.partition_cols, f"{run_id}-compact", min_input_files)
+            if older_than is not None:
+                out[table.name]["expired_copies"] = TB.expire_staged(spark, path, older_than, retain_last)
     return out
 
 

@@ -21,6 +21,7 @@ When an Iceberg or Delta catalog is configured, use its ``MERGE`` instead.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -219,6 +220,36 @@ def merge_into(
 
 
 # -- upkeep ----------------------------------------------------------------------
+def expire_staged(spark: SparkSession, table_path: str, older_than: dt.datetime, retain_last: int) -> int:
+    """Delete published staged copies older than ``older_than``, always
+    keeping the newest ``retain_last`` (the staged copies are this layout's
+    snapshots). Unpublished copies are kept for ``recover``. ``older_than``
+    must be timezone-aware. Returns the number of copies deleted."""
+    if older_than.tzinfo is None:
+        raise ValueError("older_than must be timezone-aware")
+    cutoff_ms = int(older_than.timestamp() * 1000)
+    fs, root = _fs(spark, staging_dir(table_path))
+    if not fs.exists(root):
+        return 0
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    published = sorted(
+        (
+            (st.getModificationTime(), st.getPath())
+            for st in fs.listStatus(root)
+            if st.isDirectory() and fs.exists(jpath(st.getPath(), PUBLISHED))
+        ),
+        key=lambda pair: pair[0],
+        reverse=True,
+    )
+    deleted = 0
+    for mtime, path in published[retain_last:]:
+        if mtime < cutoff_ms:
+            fs.delete(path, True)
+            deleted += 1
+    return deleted
+
+
+
 def table_files(spark: SparkSession, table_path: str, partition_cols: Sequence[str] = ()) -> DataFrame:
     """Files, bytes and rows per partition (from the scan's file metadata)."""
     df = spark.read.parquet(table_path)

@@ -122,3 +122,27 @@ def test_backfill_from_chunks(spark, scratch):
         pass
     else:
         raise AssertionError("empty backfill must fail")
+
+
+def test_expiry_keeps_the_newest_copies_and_rejects_naive_cutoffs(spark, scratch):
+    import time as _time
+
+    path = L.Lake(scratch).path(L.BRONZE)
+    for i in range(4):
+        rows = bronze_rows(spark, [("DE-LU", T0 + dt.timedelta(days=i), 1.0, "a", T0)])
+        TB.write_partitions(spark, rows, path, f"b{i}", L.BRONZE.partition_cols)
+        _time.sleep(0.05)
+    TB.stage(bronze_rows(spark, [("DE-LU", T0, 2.0, "a", T0)]), path, "unpublished", L.BRONZE.partition_cols)
+    try:
+        TB.expire_staged(spark, path, dt.datetime(2100, 1, 1), 1)
+    except ValueError:
+        pass
+    else:
+        raise AssertionError("naive cutoff must be rejected")
+    future = dt.datetime(2100, 1, 1, tzinfo=dt.timezone.utc)
+    assert TB.expire_staged(spark, path, future, retain_last=2) == 2
+    left = sorted(c.rstrip("/").split("/")[-1] for c in TB._children(spark, TB.staging_dir(path)))
+    assert left == ["b2", "b3", "unpublished"]
+    assert spark.read.parquet(path).count() == 4
+    past = dt.datetime(2000, 1, 1, tzinfo=dt.timezone.utc)
+    assert TB.expire_staged(spark, path, past, retain_last=0) == 0
