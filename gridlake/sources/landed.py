@@ -25,6 +25,10 @@ SAMPLE_SCHEMA = (
     "generated_at: string, hours: bigint>, series array<array<string>>"
 )
 # --- Fixed values -------------------------------------------------------------
+# Landed chunk files keep the API's name: <filter>_<region>_hour_<week_start_ms>.json
+CHUNK_FILE_PATTERN = r"([^/_]+)_([^/]+)_hour_(\d+)\.json$"
+INDEX_SCHEMA = "timestamps array<bigint>"
+EMPTY_INDEX = "chunk index is empty"
 DEFAULT_REGION = "DE-LU"
 NO_SERIES = "chunk payload has no 'series'"
 BAD_SAMPLE_ROW = "malformed sample row"
@@ -61,19 +65,57 @@ def week_chunk_documents(points: DataFrame, null_every: int = 11, malformed: str
     )
 
 
+def read_documents(spark, path: str) -> DataFrame:
+    """Landed JSON documents, one row per file (pretty-printed files are
+    fine): ``(file, text)``."""
+    return spark.read.text(path, wholetext=True).select(
+        F.col("_metadata.file_path").alias("file"), F.col("value").alias("text")
+    )
+
+
+def read_week_chunks(spark, path: str) -> DataFrame:
+    """Landed chunk files -> ``(region, week_start_ms, text)``; region and
+    week come from the file name, as in the API's URL."""
+    docs = read_documents(spark, path)
+    return docs.select(
+        F.regexp_extract("file", CHUNK_FILE_PATTERN, 2).alias("region"),
+        F.regexp_extract("file", CHUNK_FILE_PATTERN, 3).cast("bigint").alias("week_start_ms"),
+        "text",
+    )
+
+
+def read_chunk_index(spark, path: str) -> DataFrame:
+    """Index documents ``{"timestamps": [...]}`` -> one row per week start,
+    sorted. An index without weeks raises (the reference fails the same way)."""
+    doc = F.from_json(F.col("text"), INDEX_SCHEMA)
+    weeks = F.col("d.timestamps")
+    checked = F.when(F.coalesce(F.size(weeks), F.lit(0)) <= 0, F.raise_error(F.lit(EMPTY_INDEX))).otherwise(weeks)
+    return (
+        read_documents(spark, path)
+        .select(doc.alias("d"))
+        .select(F.explode(checked).alias("week_start_ms"))
+        .orderBy("week_start_ms")
+    )
+
+
 def parse_week_chunks(chunks: DataFrame, region: str | None = None, strict_series: bool = True) -> DataFrame:
     """Chunk documents -> (region, delivery_ts, price_eur_mwh).
 
-    Region: ``region`` if given, else the document's ``meta_data.region``,
-    else ``DE-LU``. A document without ``series`` raises (as the reference
+    Region: ``region`` if given, else the chunk row's ``region`` (the file
+    name), else the document's ``meta_data.region``, else ``DE-LU``. A document without ``series`` raises (as the reference
     does) unless ``strict_series`` is off, then it yields nothing.
     """
     doc = F.from_json(F.col("text"), CHUNK_SCHEMA)
-    parsed = chunks.select(doc.alias("d"))
+    own = F.col("region") if "region" in chunks.columns else F.lit(None).cast("string")
+    parsed = chunks.select(own.alias("file_region"), doc.alias("d"))
     series = F.col("d.series")
     if strict_series:
         series = F.when(series.isNull(), F.raise_error(F.lit(NO_SERIES))).otherwise(series)
-    reg = F.lit(region) if region else F.coalesce(F.col("d.meta_data")["region"], F.lit(DEFAULT_REGION))
+    reg = (
+        F.lit(region)
+        if region
+        else F.coalesce(F.col("file_region"), F.col("d.meta_data")["region"], F.lit(DEFAULT_REGION))
+    )
     rows = parsed.select(reg.alias("region"), F.explode(series).alias("row"))
     ms = F.try_element_at(F.col("row"), F.lit(1)).try_cast("bigint")
     price = F.try_element_at(F.col("row"), F.lit(2)).try_cast("double")

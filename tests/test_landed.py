@@ -95,3 +95,32 @@ def test_headline_lines_keep_nulls(spark):
     assert headline_lines(news).first().value == (
         '{"source":"s","link":"https://x/1","title":"T","published_ts":null,"category":null,"confidence":null,"model":"m"}'
     )
+
+
+def test_landed_files_are_read_whole_with_names(spark, scratch):
+    import json
+    import os
+
+    from pyspark.errors import PySparkException as _PSE
+
+    os.makedirs(f"{scratch}/chunks")
+    for week, region in ((1788451200000, "DE-LU"), (1789056000000, "DE-LU"), (1789056000000, "AT")):
+        payload = {"meta_data": {}, "series": [[week, 10.0], [week + 3600000, None]]}
+        with open(f"{scratch}/chunks/4169_{region}_hour_{week}.json", "w", encoding="utf-8") as fh:
+            json.dump(payload, fh, indent=1)
+    chunks = L.read_week_chunks(spark, f"{scratch}/chunks")
+    assert sorted((r.region, r.week_start_ms) for r in chunks.select("region", "week_start_ms").collect()) == [
+        ("AT", 1789056000000), ("DE-LU", 1788451200000), ("DE-LU", 1789056000000)]
+    newest = L.parse_week_chunks(L.latest_chunks(chunks, 1)).collect()
+    assert sorted((p.region, p.price_eur_mwh) for p in newest) == [("AT", 10.0), ("DE-LU", 10.0)]
+
+    os.makedirs(f"{scratch}/index")
+    with open(f"{scratch}/index/index_hour.json", "w", encoding="utf-8") as fh:
+        json.dump({"timestamps": [1789056000000, 1788451200000]}, fh, indent=1)
+    assert [r.week_start_ms for r in L.read_chunk_index(spark, f"{scratch}/index").collect()] == [
+        1788451200000, 1789056000000]
+    os.makedirs(f"{scratch}/empty")
+    with open(f"{scratch}/empty/index_hour.json", "w", encoding="utf-8") as fh:
+        json.dump({"timestamps": []}, fh)
+    with pytest.raises((_PSE, Py4JJavaError)):
+        L.read_chunk_index(spark, f"{scratch}/empty").collect()
