@@ -117,7 +117,7 @@ def parse_week_chunks(chunks: DataFrame, region: str | None = None, strict_serie
         else F.coalesce(F.col("file_region"), F.col("d.meta_data")["region"], F.lit(DEFAULT_REGION))
     )
     rows = parsed.select(reg.alias("region"), F.explode(series).alias("row"))
-    ms = F.try_element_at(F.col("row"), F.lit(1)).try_cast("bigint")
+    ms = _epoch_ms(F.try_element_at(F.col("row"), F.lit(1)))
     price = F.try_element_at(F.col("row"), F.lit(2)).try_cast("double")
     ok = (F.size("row") == 2) & ms.isNotNull() & price.isNotNull()
     return rows.where(ok).select(
@@ -125,6 +125,12 @@ def parse_week_chunks(chunks: DataFrame, region: str | None = None, strict_serie
     )
 
 
+def _epoch_ms(text: Column) -> Column:
+    """Epoch milliseconds from JSON number text; a float such as
+    ``1788451200000.0`` is truncated to an integer, as ``int()`` does."""
+    return F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
+
+
 def chunk_index(chunks: DataFrame) -> DataFrame:
     """``{"timestamps": [...]}`` as rows: distinct week starts per region."""
     return chunks.select("region", "week_start_ms").distinct()

@@ -10,7 +10,7 @@ from py4j.protocol import Py4JJavaError
 
 from gridlake.sources import landed as L
 
-CHUNK = '{"meta_data":{"region":"DE-LU"},"series":[[1788451200000,155.15],[1788454800000,null],[1788458400000,-3.5],["x",1.0],[1788462000000,"abc"],[1788465600000],[1788469200000,"12.5"]]}'
+CHUNK = '{"meta_data":{"region":"DE-LU"},"series":[[1788451200000,155.15],[1788454800000,null],[1788458400000,-3.5],["x",1.0],[1788462000000,"abc"],[1788465600000],[1788469200000,"12.5"],[1788472800000.0,7.0]]}'
 
 
 def docs(spark, texts, weeks=None):
@@ -24,6 +24,7 @@ def test_null_and_malformed_rows_are_skipped(spark):
         (dt.datetime(2026, 9, 3, 16, 0), 155.15),
         (dt.datetime(2026, 9, 3, 18, 0), -3.5),
         (dt.datetime(2026, 9, 3, 21, 0), 12.5),
+        (dt.datetime(2026, 9, 3, 22, 0), 7.0),
     ]
     assert {p.region for p in pts} == {"DE-LU"}
 
