@@ -276,3 +276,18 @@ def weekend_midday(serving: DataFrame) -> DataFrame:
         .agg(_rounded_avg().alias("midday_avg"))
         .orderBy(F.col("midday_avg").desc_nulls_first())
     )
+
+
+@query(
+    "bi_weekend_midday_below_zero",
+    _WITH
+    + f"""SELECT count(*) AS days, count(*) FILTER (WHERE midday_avg < 0) AS days_below_zero FROM (
+    SELECT strftime({S.local('delivery_ts')}, '%Y-%m-%d') AS local_day, {S.avg2()} AS midday_avg
+    FROM serving WHERE is_weekend AND {_MID} GROUP BY 1) d""",
+)
+def bi_weekend_midday_below_zero(spark, sf_dir):
+    """J, prose) Weekend days, and those whose midday average is below zero."""
+    per_day = weekend_midday(state.serving(spark, sf_dir))
+    return per_day.agg(
+        F.count(F.lit(1)).alias("days"), F.count_if(F.col("midday_avg") < 0).alias("days_below_zero")
+    )
