@@ -134,29 +134,33 @@ def bronze_merge(spark, sf_dir):
     return revision_merge(stored, odd, KEYS)
 
 
-@query(
-    "changed_prices",
-    """WITH obs AS (
+_CHANGED_SQL = """WITH obs AS (
     SELECT event_type AS region, date_trunc('hour', ts) AS delivery_ts, CAST(floor(value / 50) AS DOUBLE) AS price,
            ts AS fetched_at FROM events),
 lagged AS (
     SELECT *, lag(price) OVER (PARTITION BY region, delivery_ts ORDER BY fetched_at) AS prev,
            row_number() OVER (PARTITION BY region, delivery_ts ORDER BY fetched_at) AS rn
     FROM obs)
-SELECT region, delivery_ts, price, fetched_at FROM lagged WHERE rn = 1 OR price IS DISTINCT FROM prev""",
-)
-def changed_prices(spark, sf_dir):
-    """Emit an hour only when it is new or its price changed (price bucket
-    ``floor(value / 50)`` so that repeats occur)."""
+SELECT region, delivery_ts, price, fetched_at FROM lagged WHERE rn = 1 OR price IS DISTINCT FROM prev"""
+
+
+def _price_points(spark, sf_dir):
+    """Observations with the price bucket ``floor(value / 50)``, which repeats."""
     events = X.read_table(spark, sf_dir, "events")
     fetched = F.col("ts").cast("timestamp")
-    obs = events.select(
+    return events.select(
         F.col("event_type").alias("region"),
         F.date_trunc("hour", fetched).alias("delivery_ts"),
         F.floor(F.col("value") / 50).cast("double").alias("price"),
         fetched.alias("fetched_at"),
     )
-    return changed_rows(obs, KEYS, "price", "fetched_at")
+
+
+@query("changed_prices", _CHANGED_SQL)
+def changed_prices(spark, sf_dir):
+    """Emit an hour only when it is new or its price changed (price bucket
+    ``floor(value / 50)`` so that repeats occur)."""
+    return changed_rows(_price_points(spark, sf_dir), KEYS, "price", "fetched_at")
 
 
 @query(
@@ -190,3 +194,43 @@ def stream_bronze(spark, sf_dir):
     if q.exception() is not None:
         raise RuntimeError(f"ingest stream failed: {q.exception()}")
     return spark.read.parquet(lake.path(L.BRONZE)).select(*[c for c in ("region", "delivery_ts", "price_eur_mwh", "source", "fetched_at")])
+
+
+# Split instant of the two landings of stream_changed_prices: mid-hour, so the
+# revisions of some (region, hour) keys arrive in both runs.
+STREAM_SPLIT = "2024-01-16 00:30:00"
+
+
+@query("stream_changed_prices", _CHANGED_SQL)
+def stream_changed_prices(spark, sf_dir):
+    """Change-only emission with keyed state across a restart. The
+    first half of the points lands, the stream runs to completion, the second
+    half lands and the stream restarts on the same checkpoint; the appended
+    output equals the batch answer."""
+    import uuid
+
+    from gridlake.functions.time import ts_literal
+    from gridlake.session import ensure_checkpoint_dir
+    from gridlake.streaming.changes import OUTPUT, changed_points
+
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/gridlake-changes-{uuid.uuid4().hex}"
+    points = _price_points(spark, sf_dir).withColumnRenamed("price", "price_eur_mwh")
+    split = ts_literal(STREAM_SPLIT)
+    for part, cond in ((1, F.col("fetched_at") < split), (2, F.col("fetched_at") >= split)):
+        points.where(cond).write.parquet(f"{root}/inbox/part={part}")
+        stream = spark.readStream.schema(OUTPUT).parquet(f"{root}/inbox/part=*")
+        q = (
+            changed_points(stream)
+            .writeStream.format("parquet")
+            .option("path", f"{root}/out")
+            .option("checkpointLocation", f"{root}/checkpoint")
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start()
+        )
+        q.awaitTermination()
+        if q.exception() is not None:
+            raise RuntimeError(f"change stream failed: {q.exception()}")
+    return spark.read.parquet(f"{root}/out").select(
+        "region", "delivery_ts", F.col("price_eur_mwh").alias("price"), "fetched_at"
+    )
