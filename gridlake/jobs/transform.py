@@ -24,7 +24,9 @@ from gridlake.sinks import tables as TB
 WINDOW_HOURS = 168
 
 
-def _window_filter(as_of, since_hours: int, align_days: bool):
+def _window_filter(as_of, since_hours: int | None, align_days: bool):
+    if since_hours is None:
+        return F.lit(True)
     start = window_start(as_of, since_hours, align_days)
     # The partition predicate is implied by the row predicate; stating it
     # lets Parquet partition pruning skip whole days.
@@ -35,10 +37,11 @@ def run_transform(
     spark: SparkSession,
     lake: L.Lake,
     as_of: str | dt.datetime,
-    since_hours: int = WINDOW_HOURS,
+    since_hours: int | None = WINDOW_HOURS,
     align_days: bool = True,
     run_id: str | None = None,
 ) -> dict[str, int]:
+    """Recompute the trailing ``since_hours`` (``None``: the whole history)."""
     run_id = run_id or f"transform-{str(as_of).replace(' ', 'T').replace(':', '')}"
     now = ts_literal(as_of)
     bronze = spark.read.parquet(lake.path(L.BRONZE)).where(_window_filter(now, since_hours, align_days))
@@ -61,8 +64,11 @@ def run_transform(
             spark, lake.path(L.SERVING_HOURLY), hourly.schema, hourly, L.SERVING_HOURLY.keys,
             L.SERVING_HOURLY.partition_cols, f"{run_id}-serving-hourly", version=None,
         )
-        start = window_start(now, since_hours, align_days)
-        refreshed = spark.read.parquet(lake.path(L.GOLD_DAILY)).where(F.col("local_day") >= F.to_date(start) - 1)
+        refreshed = spark.read.parquet(lake.path(L.GOLD_DAILY))
+        start = None
+        if since_hours is not None:
+            start = window_start(now, since_hours, align_days)
+            refreshed = refreshed.where(F.col("local_day") >= F.to_date(start) - 1)
         daily = M.serving_daily(refreshed, refreshed_since=start)
         TB.merge_into(
             spark, lake.path(L.SERVING_DAILY), daily.schema, daily, L.SERVING_DAILY.keys,

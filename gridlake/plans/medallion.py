@@ -169,3 +169,28 @@ def serving_state(spark, sf_dir):
 def serving_daily_state(spark, sf_dir):
     return state.daily(spark, sf_dir)
 
+
+
+@query(
+    "lake_gold",
+    S.with_(*S.SERVING_CTES[:3]) + f"SELECT {_GOLD_OUT} FROM ({S.gold()}) g",
+)
+def lake_gold(spark, sf_dir):
+    """The write path end to end: bronze loaded in two batches through the
+    revision-aware table merge, the transform job over the whole history,
+    gold read back from its table (a fresh lake under the session's
+    checkpoint folder)."""
+    import uuid
+
+    from gridlake import lake as L
+    from gridlake.jobs.transform import run_transform
+    from gridlake.schemas import BRONZE
+    from gridlake.session import ensure_checkpoint_dir
+    from gridlake.sinks import tables as TB
+
+    lake = L.Lake(f"{ensure_checkpoint_dir(spark).rstrip('/')}/gridlake-lake-{uuid.uuid4().hex}")
+    for batch in (1, 0):
+        rows = L.with_delivery_date(X.observations(spark, sf_dir, batch=batch))
+        TB.merge_into(spark, lake.path(L.BRONZE), BRONZE, rows, L.BRONZE.keys, L.BRONZE.partition_cols, f"load-{batch}")
+    run_transform(spark, lake, X.AS_OF, since_hours=None, run_id="full")
+    return spark.read.parquet(lake.path(L.GOLD_DAILY)).select(*[c.strip() for c in _GOLD_OUT.split(",")])
