@@ -282,10 +282,14 @@ def compact(
     summary = chosen.agg(F.sum("files").alias("files"), F.sum("outputs").alias("outputs")).first()
     if not summary or not summary["files"]:
         return {"rewritten_files": 0, "added_files": 0}
-    rows = df.join(chosen.select(*partition_cols, "outputs"), on=list(partition_cols), how="inner")
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col("outputs"))
     n_tasks = max(1, min(int(summary["outputs"]), 10_000))
-    rewritten = rows.repartition(n_tasks, *[F.col(c) for c in partition_cols], salt).drop("outputs")
+    if partition_cols:
+        rows = df.join(chosen.select(*partition_cols, "outputs"), on=list(partition_cols), how="inner")
+        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col("outputs"))
+        rewritten = rows.repartition(n_tasks, *[F.col(c) for c in partition_cols], salt).drop("outputs")
+    else:
+        # One table-wide group: the output count is a driver-side scalar.
+        rewritten = df.repartition(n_tasks)
     staged = stage(rewritten, table_path, batch_id, partition_cols)
     added = spark.read.parquet(staged).select("_metadata.file_path").distinct().count()
     publish(spark, table_path, batch_id, partition_cols)

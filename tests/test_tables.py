@@ -146,3 +146,11 @@ def test_expiry_keeps_the_newest_copies_and_rejects_naive_cutoffs(spark, scratch
     assert spark.read.parquet(path).count() == 4
     past = dt.datetime(2000, 1, 1, tzinfo=dt.timezone.utc)
     assert TB.expire_staged(spark, path, past, retain_last=0) == 0
+
+
+def test_compaction_of_an_unpartitioned_table(spark, scratch):
+    path = f"{scratch}/flat"
+    for i in range(3):
+        spark.createDataFrame([(i, "x")], "i int, s string").write.mode("append").parquet(path)
+    assert TB.compact(spark, path, [], "c1", min_input_files=3) == {"rewritten_files": 3, "added_files": 1}
+    assert sorted(r.i for r in spark.read.parquet(path).collect()) == [0, 1, 2]
