@@ -68,7 +68,11 @@ def run_transform(
         start = None
         if since_hours is not None:
             start = window_start(now, since_hours, align_days)
-            refreshed = refreshed.where(F.col("local_day") >= F.to_date(start) - 1)
+            # Gold rows stamped since ``start`` were written by runs whose own
+            # window reached back at most ``since_hours`` before ``start``:
+            # that bounds the partitions to read.
+            earliest = window_start(start, since_hours, align_days)
+            refreshed = refreshed.where(F.col("local_day") >= F.to_date(earliest) - 1)
         daily = M.serving_daily(refreshed, refreshed_since=start)
         TB.merge_into(
             spark, lake.path(L.SERVING_DAILY), daily.schema, daily, L.SERVING_DAILY.keys,
