@@ -22,6 +22,9 @@ DEFAULTS = {
     "spark.sql.session.timeZone": UTC,
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Size post-shuffle partitions by bytes (advisoryPartitionSizeInBytes), not
+    # by keeping the default parallelism: fewer tiny tasks on a busy cluster.
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.ansi.enabled": "true",

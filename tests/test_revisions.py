@@ -6,6 +6,8 @@ import datetime as dt
 import random
 
 
+from pyspark.sql import functions as F
+
 from gridlake.operators.revisions import changed_rows, latest_revision, revision_merge, upsert
 from gridlake.schemas import BRONZE, KEYS
 
@@ -100,11 +102,23 @@ def test_changed_rows_matches_brute_force_with_a_hot_key(spark):
     data += [("cold", T0 + dt.timedelta(hours=h), float(rng.choice([1, 2])), T0 + dt.timedelta(seconds=i)) for h in range(5) for i in range(20)]
     df = spark.createDataFrame(data, "region string, delivery_ts timestamp, price double, fetched_at timestamp")
     got = changed_rows(df.repartition(7), KEYS, "price", "fetched_at")
+    # 16 range partitions, not coalesced: the hot key must span several tasks
+    # so that the partition-boundary path is exercised.
     spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         got_rows = sorted(tuple(r) for r in got.collect())
+        spread = (
+            df.repartitionByRange("region", "delivery_ts", "fetched_at")
+            .where(F.col("region") == "hot")
+            .select(F.spark_partition_id().alias("p"))
+            .distinct()
+            .count()
+        )
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert spread > 4
     assert got_rows == _changed_brute(data)
 
 
