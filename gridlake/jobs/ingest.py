@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,16 +33,21 @@ def backfill(
 ) -> None:
     """Newest ``weeks`` chunks per region -> bronze (revision-aware)."""
     points = landed.parse_week_chunks(landed.latest_chunks(chunks, weeks))
-    rows = points.select(
-        "region", "delivery_ts", "price_eur_mwh", F.lit(source).alias("source"), ts_literal(fetched_at).alias("fetched_at")
-    )
-    if rows.isEmpty():
-        raise NothingToLoad("no published points in the landed chunks")
-    rows = L.with_delivery_date(rows)
-    TB.merge_into(
-        spark, lake.path(L.BRONZE), BRONZE, rows, L.BRONZE.keys, L.BRONZE.partition_cols,
-        batch_id or f"backfill-{str(fetched_at).replace(' ', 'T').replace(':', '')}",
-    )
+    rows = L.with_delivery_date(
+        points.select(
+            "region", "delivery_ts", "price_eur_mwh", F.lit(source).alias("source"),
+            ts_literal(fetched_at).alias("fetched_at"),
+        )
+    ).persist(StorageLevel.MEMORY_AND_DISK)  # parsed once for the check and the merge
+    try:
+        if rows.isEmpty():
+            raise NothingToLoad("no published points in the landed chunks")
+        TB.merge_into(
+            spark, lake.path(L.BRONZE), BRONZE, rows, L.BRONZE.keys, L.BRONZE.partition_cols,
+            batch_id or f"backfill-{str(fetched_at).replace(' ', 'T').replace(':', '')}",
+        )
+    finally:
+        rows.unpersist()
 
 
 def ingest_news(
@@ -60,19 +66,23 @@ def ingest_news(
     partitions of the stored rows of the batch's keys as well.
     """
     heads = N.head(FD.parse_feeds(feeds), limit)
-    if heads.isEmpty():
-        raise NothingToLoad("no headlines fetched; nothing to ingest")
-    batch = N.classify(heads, answers, ts_literal(fetched_at))
-    batch = L.with_published_date(batch)
-    batch_id = batch_id or f"news-{str(fetched_at).replace(' ', 'T').replace(':', '')}"
-    merge_fn = None
-    if keep_label:
-        def merge_fn(target, rows):
-            return L.with_published_date(N.merge_news(target, rows, keep_label=True))
+    batch = L.with_published_date(N.classify(heads, answers, ts_literal(fetched_at)))
+    # Parsed and classified once, for the check, the merge and the counts.
+    batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if batch.isEmpty():
+            raise NothingToLoad("no headlines fetched; nothing to ingest")
+        batch_id = batch_id or f"news-{str(fetched_at).replace(' ', 'T').replace(':', '')}"
+        merge_fn = None
+        if keep_label:
+            def merge_fn(target, rows):
+                return L.with_published_date(N.merge_news(target, rows, keep_label=True))
 
-    TB.merge_into(
-        spark, lake.path(L.NEWS), NEWS, batch, L.NEWS.keys, L.NEWS.partition_cols, batch_id,
-        partition_moves=True, merge_fn=merge_fn,
-    )
-    counts = N.ingest_counts(batch).first()
+        TB.merge_into(
+            spark, lake.path(L.NEWS), NEWS, batch, L.NEWS.keys, L.NEWS.partition_cols, batch_id,
+            partition_moves=True, merge_fn=merge_fn,
+        )
+        counts = N.ingest_counts(batch).first()
+    finally:
+        batch.unpersist()
     return {"total": counts["total"], "classified": counts["classified"], "other": counts["other"]}
