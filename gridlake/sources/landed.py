@@ -50,7 +50,11 @@ def week_chunk_documents(points: DataFrame, null_every: int = 11, malformed: str
     """One JSON document per (region, local week) from price points, as the
     API serves them: hours with ``hour % null_every = 0`` are unpublished
     (NULL) and one malformed row is appended. Columns: region, week_start_ms,
-    text."""
+    text.
+
+    ``points`` must hold one row per (region, delivery_ts), as
+    ``latest_revision`` returns; that bounds each collected array by the hours
+    of one week (at most 169)."""
     ms = F.unix_millis("delivery_ts")
     price = F.when(F.hour("delivery_ts") % null_every != 0, F.col("price_eur_mwh"))
     grouped = points.groupBy("region", week_start("delivery_ts").alias("week_start")).agg(
