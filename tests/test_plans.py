@@ -24,3 +24,25 @@ def test_scans_read_only_needed_columns(spark, name):
     for scan in scans:
         columns = {c.split("#")[0] for c in scan[0].split(",")}
         assert not (columns & UNUSED.get(scan[1], set())), (name, scan[1], columns)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_merges_and_dedupes_limit_before_the_shuffle(spark):
+    import datetime as dt
+
+    from gridlake.operators.revisions import revision_merge
+    from gridlake.schemas import BRONZE, KEYS
+    from gridlake.sources import feeds as FD
+
+    rows = spark.createDataFrame([("A", dt.datetime(2026, 1, 1), 1.0, "s", dt.datetime(2026, 1, 1))], BRONZE)
+    merge_plan = _plan(revision_merge(rows, rows, KEYS))
+    feeds = spark.createDataFrame([("https://e/feed", "<rss><channel></channel></rss>")], "url string, xml string")
+    feed_plan = _plan(FD.parse_feeds(feeds))
+    for plan in (merge_plan, feed_plan):
+        partial = plan.find("row_number(), 1, Partial")
+        exchange = plan.rfind("Exchange hashpartitioning")
+        # The partial limit sits below (after, in the printed tree) the exchange.
+        assert partial > exchange > -1, plan
