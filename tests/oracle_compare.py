@@ -4,7 +4,7 @@ Comparison is exact and order-insensitive: columns sorted by name, every
 value turned into canonical text, rows sorted. Types are compared after
 mapping Spark names onto DuckDB's.
 
-    python tests/oracle_compare.py [sf_dir] [name ...]
+    python tests/oracle_compare.py [--json report.json] [sf_dir] [name ...]
 """
 
 from __future__ import annotations
@@ -115,14 +115,20 @@ def compare(spark, con, name, fn, sql, sf_dir):
 
 
 def main(argv):
+    import json
+
     from gridlake.plans.registry import all_queries
     from gridlake.session import build_session
 
+    report_path = None
+    if argv[:1] == ["--json"]:
+        report_path, argv = argv[1], argv[2:]
     sf_dir = argv[0] if argv else "/root/testdata/sf0.01"
     wanted = set(argv[1:])
     spark = build_session("oracle-check", master="local[8]", shuffle_partitions=8)
     con = duck_connection(sf_dir)
     bad = 0
+    report = []
     for name, q in sorted(all_queries().items()):
         if wanted and name not in wanted:
             continue
@@ -131,8 +137,12 @@ def main(argv):
         except Exception as exc:  # report and continue
             r = {"name": name, "status": "ERROR", "problems": [f"{type(exc).__name__}: {str(exc)[:600]}"]}
         bad += r["status"] not in ("ok", "no-oracle")
+        report.append(r)
         print(r, flush=True)
     print(f"{bad} problems")
+    if report_path:
+        with open(report_path, "w", encoding="utf-8") as fh:
+            json.dump({"sf_dir": sf_dir, "problems": bad, "queries": report}, fh, indent=1)
     return 1 if bad else 0
 
 
