@@ -11,10 +11,30 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake.llm import common as C
-from gridlake.llm import decontaminate, substring_dedup
+from gridlake.llm import decontaminate, langid, mixing, simhash, substring_dedup
 from gridlake.session import ensure_utc
 
-COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+#: A document whose language is predicted with less confidence is rejected.
+MIN_LANGUAGE_SCORE = 0.5
+#: How often the mixture may pass its most repeated source.
+MAX_REPEATS = 2.0
+
+
+def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop documents without a letter or without a confident language; a null lang
+    becomes the predicted one."""
+    model = langid.fit(docs.where(C.crc_mod(F.col("doc_id"), 4) != 2))
+    found = langid.predict(docs, model).where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE))
+    found = found.select(F.col("doc_id").alias("id"), "lang_pred").distinct()
+    kept = docs.join(found, docs["doc_id"].eqNullSafe(found["id"]))
+    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+
+
+def dedupe_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep of every group of near duplicates the document with the smallest id, once."""
+    found = simhash.near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    first = found.select(F.col("doc_id").alias("id")).distinct()
+    return docs.join(first, docs["doc_id"].eqNullSafe(first["id"]), "left_semi").dropDuplicates(["doc_id", "text"])
 
 
 def dedupe_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,9 +57,25 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return docs.join(bad, docs["doc_id"].eqNullSafe(bad["id"]), "left_anti")
 
 
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The training mixture: documents in block order, sources passed up to
+    ``MAX_REPEATS`` times. Adds the columns mix_pass, mix_block, mix_position."""
+    plan = mixing.mix(docs, max_repeats=MAX_REPEATS).dropDuplicates(["doc_id", "pass"])
+    plan = plan.select(
+        F.col("doc_id").alias("id"),
+        F.col("pass").alias("mix_pass"),
+        F.col("block").alias("mix_block"),
+        F.col("position").alias("mix_position"),
+    )
+    return docs.join(plan, docs["doc_id"].eqNullSafe(plan["id"])).drop("id")
+
+
 STAGES = [
+    ("language_id", keep_known_languages),
+    ("simhash_near_dedup", dedupe_documents),
     ("substring_dedup", dedupe_passages),
     ("decontaminate", drop_contaminated),
+    ("mix_sources", mix_sources),
 ]
 
 #: Hash orders and a trained model have no SQL form; tests/llm checks run().

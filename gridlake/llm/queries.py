@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake.llm import common as C
-from gridlake.llm import decontaminate, substring_dedup
+from gridlake.llm import decontaminate, langid, mixing, simhash, substring_dedup
 from gridlake.llm.sql import ORACLE
 from gridlake.session import ensure_utc
 
@@ -19,11 +19,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_temperature_mix(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"), max_repeats=2.0)
+
+
 def op4_decontaminate(spark, sf_dir):
     found = decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontaminate.decisions(found)
 
 
+def op7_simhash_near_dedup(spark, sf_dir):
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op8_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = C.crc_mod(F.col("doc_id"), 4) == 2
+    model = langid.fit(docs.where(~held_out))
+    return langid.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op10_substring_dedup(spark, sf_dir):
     found = substring_dedup.factors(table(spark, sf_dir, "documents"))
     kept = F.array_join(C.words(F.col("kept_text")), " ")
