@@ -51,6 +51,13 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def storage(uri: str):
+    """(file system, path) of a URI or absolute path, for byte access inside tasks."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1) if uri.startswith("s3a://") else uri)
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(text, UPPER, LOWER)

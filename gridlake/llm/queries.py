@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake.llm import common as C
-from gridlake.llm import decontaminate, langid, mixing, simhash, substring_dedup
+from gridlake.llm import decontaminate, langid, mixing, simhash, substring_dedup, token_scan, warc
 from gridlake.llm.sql import ORACLE
 from gridlake.session import ensure_utc
 
@@ -23,11 +23,29 @@ def op1_temperature_mix(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"), max_repeats=2.0)
 
 
+def op3_token_counts(spark, sf_dir):
+    written = token_scan.write(table(spark, sf_dir, "documents"))
+    counted = token_scan.scan(written.select("path"))
+    return written.join(counted, ["path", "ordinal"]).select("doc_id", "n_tokens", "ended")
+
+
 def op4_decontaminate(spark, sf_dir):
     found = decontaminate.hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return decontaminate.decisions(found)
 
 
+def op5_warc_chunks(spark, sf_dir):
+    archives = warc.write(table(spark, sf_dir, "pages"), revisit_min_bytes=0)
+    read = warc.records(warc.chunks(spark, archives))
+    return read.select(
+        F.col("record_id").cast("long").alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
+
+
 def op7_simhash_near_dedup(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")

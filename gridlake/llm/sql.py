@@ -41,4 +41,15 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n_kep
        sha256(coalesce(t, '')) AS kept_sha256
 FROM d LEFT JOIN kept USING (doc_id)"""
 
-ORACLE = {"op4_decontaminate": OP4, "op10_substring_dedup": OP10}
+OP5 = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS hex FROM pages),
+f AS (SELECT hex, min(page_id) AS first FROM p GROUP BY hex)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes,
+  array_to_string(list_transform(generate_series(0, 31), lambda k:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+      1 + CAST((CAST('0x' || substr(hex, 1 + 5 * (k // 4), 5) AS BIGINT) >> (15 - 5 * (k % 4))) & 31 AS INTEGER), 1)), '') AS payload_digest,
+  CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id > first THEN first END AS refers_to
+FROM p JOIN f USING (hex)"""
+
+ORACLE = {"op5_warc_chunks": OP5, "op4_decontaminate": OP4, "op10_substring_dedup": OP10}
