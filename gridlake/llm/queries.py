@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake.llm import common as C
-from gridlake.llm import decontaminate, langid, mixing, simhash, substring_dedup, token_scan, warc
+from gridlake.llm import decontaminate, langid, mixing, ppm, simhash, substring_dedup, token_scan, warc
 from gridlake.llm.sql import ORACLE
 from gridlake.session import ensure_utc
 
@@ -23,6 +23,12 @@ def op1_temperature_mix(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"), max_repeats=2.0)
 
 
+def op2_ppm_score(spark, sf_dir):
+    held_out = C.crc_mod(F.col("doc_id"), 7) == 2
+    found = ppm.scores(table(spark, sf_dir, "documents"), ~held_out)
+    return found.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op3_token_counts(spark, sf_dir):
     written = token_scan.write(table(spark, sf_dir, "documents"))
     counted = token_scan.scan(written.select("path"))
