@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake.llm import common as C
-from gridlake.llm import decontaminate, langid, mixing, ppm, simhash, substring_dedup, token_scan, warc
+from gridlake.llm import decontaminate, html_text, langid, mixing, ppm, simhash, substring_dedup, token_scan, warc
 from gridlake.llm.sql import ORACLE
 from gridlake.session import ensure_utc
 
@@ -64,6 +64,11 @@ def op8_language_id(spark, sf_dir):
     return langid.predict(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op9_html_main_text(spark, sf_dir):
+    found = html_text.extract(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op10_substring_dedup(spark, sf_dir):
     found = substring_dedup.factors(table(spark, sf_dir, "documents"))
     kept = F.array_join(C.words(F.col("kept_text")), " ")
