@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake.llm import common as C
-from gridlake.llm import decontaminate, html_text, langid, mixing, ppm, simhash, substring_dedup, token_scan, warc
+from gridlake.llm import decontaminate, html_text, iblt, langid, mixing, ppm, simhash, substring_dedup, token_scan, warc
 from gridlake.llm.sql import ORACLE
 from gridlake.session import ensure_utc
 
@@ -52,6 +52,10 @@ def op5_warc_chunks(spark, sf_dir):
     )
 
 
+def op6_iblt_fingerprint(spark, sf_dir):
+    return iblt.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op7_simhash_near_dedup(spark, sf_dir):
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
