@@ -20,32 +20,39 @@ MIN_LANGUAGE_SCORE = 0.5
 MAX_REPEATS = 2.0
 
 
+def _told(docs: DataFrame, found: DataFrame, how: str = "inner", **columns) -> DataFrame:
+    """Documents joined by id with columns of an operator's result, under names that no
+    column of the documents can clash with (``__`` and the keyword)."""
+    picked = found.select(F.col("doc_id").alias("__id"), *[F.col(c).alias(f"__{k}") for k, c in columns.items()])
+    return docs.join(picked, docs["doc_id"].eqNullSafe(picked["__id"]), how)
+
+
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a letter or without a confident language; a null lang
     becomes the predicted one."""
     model = langid.fit(docs.where(C.crc_mod(F.col("doc_id"), 4) != 2))
     found = langid.predict(docs, model).where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE))
-    found = found.select(F.col("doc_id").alias("id"), "lang_pred").distinct()
-    kept = docs.join(found, docs["doc_id"].eqNullSafe(found["id"]))
-    return kept.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    kept = _told(docs, found.dropDuplicates(["doc_id"]), lang="lang_pred")
+    return kept.withColumn("lang", F.coalesce("lang", "__lang")).select(*docs.columns)
 
 
 def dedupe_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep of every group of near duplicates the document with the smallest id, once."""
-    found = simhash.near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    first = found.select(F.col("doc_id").alias("id")).distinct()
-    return docs.join(first, docs["doc_id"].eqNullSafe(first["id"]), "left_semi").dropDuplicates(["doc_id", "text"])
+    found = simhash.near_duplicates(docs, shingle=simhash.SHINGLE, max_bits=simhash.MAX_BITS)
+    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
+    return _told(docs, first, "left_semi").dropDuplicates(["doc_id", "text"])
 
 
 def dedupe_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut every passage of 20 words or more that an earlier document (or place)
-    has; a document of which nothing is left goes."""
-    found = substring_dedup.factors(docs).select(F.col("doc_id").alias("id"), "kept_text", F.size("starts").alias("cuts"))
-    kept = docs.join(found, docs["doc_id"].eqNullSafe(found["id"]))
-    text = F.when(F.col("cuts") > 0, F.col("kept_text")).otherwise(F.col("text"))
+    """Cut every passage of 20 words or more that an earlier document (or place) has;
+    a document of which nothing is left goes."""
+    found = substring_dedup.factors(docs).withColumn("cuts", F.size("starts"))
+    kept = _told(docs, found.dropDuplicates(["doc_id"]), text="kept_text", cuts="cuts")
+    cut = F.col("__cuts") > 0
     return (
-        kept.withColumns({"text": text, "n_chars": F.when(F.col("cuts") > 0, F.length("kept_text")).otherwise(F.col("n_chars"))})
-        .where("cuts = 0 OR text <> ''")
+        kept.withColumn("text", F.when(cut, F.col("__text")).otherwise(F.col("text")))
+        .withColumn("n_chars", F.when(cut, F.length("text")).otherwise(F.col("n_chars")))
+        .where("__cuts = 0 OR text <> ''")
         .select(*docs.columns)
     )
 
@@ -53,21 +60,18 @@ def dedupe_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that hold benchmark passages."""
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    bad = decontaminate.decisions(decontaminate.hits(docs, benchmark)).where("contaminated").select(F.col("doc_id").alias("id"))
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["id"]), "left_anti")
+    found = decontaminate.decisions(decontaminate.hits(docs, benchmark))
+    return _told(docs, found.where("contaminated"), "left_anti")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The training mixture: documents in block order, sources passed up to
-    ``MAX_REPEATS`` times. Adds the columns mix_pass, mix_block, mix_position."""
+    ``MAX_REPEATS`` times. Adds (or replaces) mix_pass, mix_block, mix_position."""
     plan = mixing.mix(docs, max_repeats=MAX_REPEATS).dropDuplicates(["doc_id", "pass"])
-    plan = plan.select(
-        F.col("doc_id").alias("id"),
-        F.col("pass").alias("mix_pass"),
-        F.col("block").alias("mix_block"),
-        F.col("position").alias("mix_position"),
-    )
-    return docs.join(plan, docs["doc_id"].eqNullSafe(plan["id"])).drop("id")
+    laid = _told(docs, plan, **{"pass": "pass", "block": "block", "position": "position"})
+    added = ("pass", "block", "position")
+    kept = [c for c in docs.columns if c not in {f"mix_{k}" for k in added}]
+    return laid.select(*kept, *[F.col(f"__{k}").alias(f"mix_{k}") for k in added])
 
 
 STAGES = [

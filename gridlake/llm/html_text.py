@@ -63,7 +63,7 @@ NAMED_FREELY = frozenset(("html", "body", "main", "article"))
 
 _TAG = re.compile(
     r"<!--(?:.*?-->|.*)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>?"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?>[^\"'>]|\"[^\"<>]*\"|'[^'<>]*')*+|[^>]*)>",
+    r"|<(/?)([a-zA-Z][^\s/>]*)((?>[^\"'>]|\"[^\"<]*\"|'[^'<]*')*+|[^>]*)>",
     re.S,
 )
 _NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
@@ -146,8 +146,7 @@ def blocks(page: str | None):
         stack.append(here)
         yield here[1], None, here[2], here[3]
     if at < len(page):
-        rest = page[at:]
-        pieces.append(rest if not re.match(r"</?[a-zA-Z!]", rest) else "")
+        pieces.append(re.sub(r"</?[a-zA-Z!][^<>]*\Z", "", page[at:]))  # a tag cut off at the end
     yield from flush()
 
 

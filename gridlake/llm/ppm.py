@@ -254,7 +254,7 @@ def scores(
         _above(rows, F.col("gram") == _WORD)
         .groupBy("gram", "word")
         .agg(F.max("c").alias("c"), F.max("block").alias("block"))
-        .agg(F.sum("c").cast("double").alias("value"), F.count(F.when(F.col("c") > 0, F.col("block"))).alias("n"))
+        .agg(F.coalesce(F.sum("c"), F.lit(0)).cast("double").alias("value"), F.count(F.when(F.col("c") > 0, F.col("block"))).alias("n"))
         .select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(_TOTAL).cast("long").alias("gram"), F.lit(None).cast("binary").alias("word"), "value", "n")
     )
     trie = (

@@ -105,15 +105,15 @@ def links(fps: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         F.transform(near, lambda c: F.struct(c.alias("at"), F.lit(False).alias("same"))),
     )
     left = points.select(F.col("fp").alias("a"), F.col("t").alias("ta"), "g", F.explode(looks).alias("x")).select(
-        "a", "ta", "g", F.col("x.at").alias("cell"), F.col("x.same").alias("same")
+        "a", "ta", F.col("g").alias("ga"), F.col("x.at").alias("at"), F.col("x.same").alias("same")
     )
-    right = points.select(F.col("fp").alias("b"), F.col("t").alias("tb"), "g", "cell")
+    right = points.select(F.col("fp").alias("b"), F.col("t").alias("tb"), F.col("g").alias("gb"), F.col("cell").alias("cb"))
     close = (
         (F.bit_count(F.col("ta").bitwiseXOR(F.col("tb"))) <= max_bits)
         & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits)
         & (~F.col("same") | (F.col("a") < F.col("b")))
     )
-    met = left.join(right.hint("merge"), (left["g"] == right["g"]) & (left["cell"] == right["cell"]) & close)
+    met = left.join(right.hint("merge"), (F.col("ga") == F.col("gb")) & (F.col("at") == F.col("cb")) & close)
     return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
