@@ -14,6 +14,36 @@ from pyspark.sql import functions as F
 from gridlake.functions.time import col
 
 
+# --- Fixed value: numeric(10,2) holds less than this ---------------------------
+PRICE_LIMIT = 99_999_999.995
+# -----------------------------------------------------------------------------
+
+
+def price_in_range(price: Column) -> Column:
+    """Finite and representable as ``numeric(10,2)``."""
+    return ~F.isnan(price) & (F.abs(price) < PRICE_LIMIT)
+
+
+def exact(price: Column | str) -> Column:
+    """A raw price as an exact decimal, for sums that don't depend on the order."""
+    return col(price).cast("decimal(17,8)")
+
+
+def avg_exact_price(total: Column, n: Column) -> Column:
+    """Average of exact decimals (sum and count), rounded once to cents, half away
+    from zero; NULL without a row."""
+    num = (total * 100_000_000).cast("decimal(38,0)")
+    den = (n * 1_000_000).cast("decimal(38,0)")
+    magnitude = int_div(F.abs(num) * 2 + den, den * 2)
+    signed = F.when(num < 0, -magnitude).otherwise(magnitude)
+    return F.when(n > 0, signed.cast("double") / 100.0)
+
+
+def to_cents(price: Column) -> Column:
+    """An exact price rounded to cents (half away from zero), as a double."""
+    return F.round(price, 2).cast("double")
+
+
 def cents(price: Column | str) -> Column:
     """Price (double or decimal) to integer cents."""
     return F.round(col(price) * 100).cast("bigint")

@@ -60,13 +60,9 @@ def ingest_news(
     limit: int = 0,
     batch_id: str | None = None,
 ) -> dict[str, int]:
-    """Feeds -> headlines -> classification -> news table.
-
-    A row whose publication day changes moves partition: the merge reads the
-    partitions of the stored rows of the batch's keys as well.
-    """
+    """Feeds -> headlines -> classification -> news table."""
     heads = N.head(FD.parse_feeds(feeds), limit)
-    batch = L.with_published_date(N.classify(heads, answers, ts_literal(fetched_at)))
+    batch = L.with_key_bucket(N.classify(heads, answers, ts_literal(fetched_at)))
     # Parsed and classified once, for the check, the merge and the counts.
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -76,11 +72,11 @@ def ingest_news(
         merge_fn = None
         if keep_label:
             def merge_fn(target, rows):
-                return L.with_published_date(N.merge_news(target, rows, keep_label=True))
+                return L.with_key_bucket(N.merge_news(target, rows, keep_label=True))
 
         TB.merge_into(
             spark, lake.path(L.NEWS), NEWS, batch, L.NEWS.keys, L.NEWS.partition_cols, batch_id,
-            partition_moves=True, merge_fn=merge_fn,
+            merge_fn=merge_fn,
         )
         counts = N.ingest_counts(batch).first()
     finally:

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from gridlake import lake as L
 from gridlake.functions.time import ts_literal, window_start
 from gridlake.operators import medallion as M
+from gridlake.schemas import BRONZE, GOLD_DAILY, SERVING_DAILY, SERVING_HOURLY, SILVER
 from gridlake.sinks import tables as TB
 
 WINDOW_HOURS = 168
@@ -44,27 +45,27 @@ def run_transform(
     """Recompute the trailing ``since_hours`` (``None``: the whole history)."""
     run_id = run_id or f"transform-{str(as_of).replace(' ', 'T').replace(':', '')}"
     now = ts_literal(as_of)
-    bronze = spark.read.parquet(lake.path(L.BRONZE)).where(_window_filter(now, since_hours, align_days))
+    bronze = TB.read_table(spark, lake.path(L.BRONZE), L.stored(BRONZE, L.BRONZE)).where(_window_filter(now, since_hours, align_days))
     incoming = L.with_delivery_date(M.silver(bronze.drop("delivery_date"), now))
     TB.merge_into(
-        spark, lake.path(L.SILVER), incoming.schema, incoming, L.SILVER.keys, L.SILVER.partition_cols,
+        spark, lake.path(L.SILVER), SILVER, incoming, L.SILVER.keys, L.SILVER.partition_cols,
         f"{run_id}-silver", version=None,
     )
 
-    silver = spark.read.parquet(lake.path(L.SILVER)).where(_window_filter(now, since_hours, align_days))
+    silver = TB.read_table(spark, lake.path(L.SILVER), L.stored(SILVER, L.SILVER)).where(_window_filter(now, since_hours, align_days))
     silver = silver.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         gold = M.gold_daily(silver, now)
         TB.merge_into(
-            spark, lake.path(L.GOLD_DAILY), gold.schema, gold, L.GOLD_DAILY.keys, L.GOLD_DAILY.partition_cols,
+            spark, lake.path(L.GOLD_DAILY), GOLD_DAILY, gold, L.GOLD_DAILY.keys, L.GOLD_DAILY.partition_cols,
             f"{run_id}-gold", version=None,
         )
         hourly = L.with_delivery_date(M.serving_hourly(silver))
         TB.merge_into(
-            spark, lake.path(L.SERVING_HOURLY), hourly.schema, hourly, L.SERVING_HOURLY.keys,
+            spark, lake.path(L.SERVING_HOURLY), SERVING_HOURLY, hourly, L.SERVING_HOURLY.keys,
             L.SERVING_HOURLY.partition_cols, f"{run_id}-serving-hourly", version=None,
         )
-        refreshed = spark.read.parquet(lake.path(L.GOLD_DAILY))
+        refreshed = TB.read_table(spark, lake.path(L.GOLD_DAILY), GOLD_DAILY)
         start = None
         if since_hours is not None:
             start = window_start(now, since_hours, align_days)
@@ -75,7 +76,7 @@ def run_transform(
             refreshed = refreshed.where(F.col("local_day") >= F.to_date(earliest) - 1)
         daily = M.serving_daily(refreshed, refreshed_since=start)
         TB.merge_into(
-            spark, lake.path(L.SERVING_DAILY), daily.schema, daily, L.SERVING_DAILY.keys,
+            spark, lake.path(L.SERVING_DAILY), SERVING_DAILY, daily, L.SERVING_DAILY.keys,
             L.SERVING_DAILY.partition_cols, f"{run_id}-serving-daily", version=None,
         )
         hours = silver.count()

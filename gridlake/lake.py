@@ -1,7 +1,8 @@
 """Table layout of a lake folder (shared storage: HDFS, S3, ABFS, or local in tests).
 
-Every table is Parquet, partitioned by a day column so that the recompute
-window and the merge batches prune whole folders.
+Every table is Parquet. Price tables are partitioned by a day column, so that the
+recompute window and the merge batches prune whole folders; news by a hash bucket of its
+key, so that a headline whose publication day changes stays in its partition.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, IntegerType, StructField, StructType
 
 from gridlake.functions.time import local_ts
 
@@ -24,11 +26,12 @@ class Table:
 BRONZE = Table("bronze_prices", ("delivery_date",), ("region", "delivery_ts"))
 SILVER = Table("silver_prices", ("delivery_date",), ("region", "delivery_ts"))
 GOLD_DAILY = Table("gold_daily", ("local_day",), ("region", "local_day"))
-NEWS = Table("news_events", ("published_date",), ("source", "link"))
+NEWS = Table("news_events", ("key_bucket",), ("source", "link"))
+NEWS_BUCKETS = 16
 SERVING_HOURLY = Table("serving_price_hourly", ("delivery_date",), ("region", "delivery_ts"))
 SERVING_DAILY = Table("serving_daily_stats", ("local_day",), ("region", "local_day"))
 PIPELINE_HEALTH = Table("serving_pipeline_health", (), ("check_name",))
-REJECTS = Table("rejected_messages", ("batch_id",), ())
+REJECTS = Table("rejected_messages", ("run_id", "batch_id"), ())
 
 
 def delivery_date(ts: Column | str = "delivery_ts") -> Column:
@@ -41,8 +44,15 @@ def with_delivery_date(df: DataFrame) -> DataFrame:
     return df.withColumn("delivery_date", delivery_date())
 
 
-def with_published_date(df: DataFrame) -> DataFrame:
-    return df.withColumn("published_date", F.to_date("published_ts"))
+def with_key_bucket(df: DataFrame) -> DataFrame:
+    return df.withColumn("key_bucket", F.pmod(F.xxhash64(*NEWS.keys), F.lit(NEWS_BUCKETS)).cast("int"))
+
+
+def stored(schema: StructType, table: Table) -> StructType:
+    """A table's declared schema with its partition columns."""
+    types = {"delivery_date": DateType(), "key_bucket": IntegerType()}
+    added = [StructField(c, types[c]) for c in table.partition_cols if c not in schema.fieldNames()]
+    return StructType([*schema.fields, *added])
 
 
 def local_day(ts: Column | str = "delivery_ts") -> Column:

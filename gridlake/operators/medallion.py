@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.functions import time as T
-from gridlake.functions.money import avg_price, cents, cents_to_price, money
+from gridlake.functions.money import avg_exact_price, exact, money, to_cents
 from gridlake.operators.revisions import latest_revision
 from gridlake.schemas import KEYS, LOCAL_TZ
 
@@ -68,25 +68,25 @@ def silver(
 
 
 def gold_daily(silver_rows: DataFrame, as_of: Column) -> DataFrame:
-    """Per (region, local day): average, min and max rounded to cents, and the
-    number of negative hours. Aggregates run on integer cents (partial +
-    final hash aggregation)."""
-    c = cents("price_eur_mwh")
+    """Per (region, local day): average, min and max of the raw prices, each rounded
+    once to cents, and the number of negative hours. Aggregates run on exact decimals
+    (partial + final hash aggregation)."""
+    c = exact("price_eur_mwh")
     return (
         silver_rows.groupBy("region", F.to_date("local_ts").alias("local_day"))
         .agg(
-            F.sum(c).alias("sum_cents"),
+            F.sum(c).alias("total"),
             F.count(c).alias("n"),
-            F.min(c).alias("min_cents"),
-            F.max(c).alias("max_cents"),
+            F.min(c).alias("low"),
+            F.max(c).alias("high"),
             F.count_if(F.col("is_negative")).cast("int").alias("negative_hours"),
         )
         .select(
             "region",
             "local_day",
-            avg_price(F.col("sum_cents"), F.col("n")).alias("avg_price"),
-            cents_to_price(F.col("min_cents")).alias("min_price"),
-            cents_to_price(F.col("max_cents")).alias("max_price"),
+            avg_exact_price(F.col("total"), F.col("n")).alias("avg_price"),
+            to_cents(F.col("low")).alias("min_price"),
+            to_cents(F.col("high")).alias("max_price"),
             "negative_hours",
             as_of.alias("updated_at"),
         )

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gridlake.functions.time import local_ts
 from gridlake.operators.revisions import latest_revision, revision_merge
 from gridlake.schemas import NEWS_KEYS, NONE_LABEL
 
@@ -119,13 +120,14 @@ def news_by_day(news: DataFrame) -> DataFrame:
 
 
 def price_days(gold: DataFrame, news: DataFrame) -> DataFrame:
-    """Daily prices with the number of classified headlines published that
-    day (left join: days without news count 0)."""
+    """Daily prices with the classified headlines published on that local day, one row
+    per topic (a day without news has one row: no topic, 0 headlines). Both sides count
+    days on the market's local calendar."""
     per_day = (
         news.where(F.col("category").isNotNull())
-        .groupBy(F.to_date("published_ts").alias("local_day"))
+        .groupBy(F.to_date(local_ts("published_ts")).alias("local_day"), "category")
         .agg(F.count(F.lit(1)).alias("headlines"))
     )
     return gold.join(per_day, on="local_day", how="left").select(
-        "region", "local_day", "avg_price", "negative_hours", F.coalesce(F.col("headlines"), F.lit(0)).alias("headlines")
+        "region", "local_day", "avg_price", "negative_hours", "category", F.coalesce(F.col("headlines"), F.lit(0)).alias("headlines")
     )

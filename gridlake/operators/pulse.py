@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gridlake.functions.money import avg_price, cents, cents_to_price, pct1
+from gridlake.functions.money import avg_exact_price, exact, pct1, to_cents
 from gridlake.functions.time import local_ts
 from gridlake.schemas import PULSE_WINDOWS
 
@@ -46,21 +46,21 @@ def windows(points: DataFrame, as_of: Column, window_days=PULSE_WINDOWS) -> Data
             F.filter(days, lambda d: F.col("delivery_ts") > F.col("latest") - F.make_dt_interval(d))
         ).alias("window_days"),
     )
-    c = cents("price_eur_mwh")
+    c = exact("price_eur_mwh")
     neg = F.count_if(F.col("price_eur_mwh") < 0)
     return exploded.groupBy("region", "window_days").agg(
         F.count(c).alias("hours"),
-        avg_price(F.sum(c), F.count(c)).alias("avg_price"),
-        cents_to_price(F.min(c)).alias("min_price"),
-        cents_to_price(F.max(c)).alias("max_price"),
+        avg_exact_price(F.sum(c), F.count(c)).alias("avg_price"),
+        to_cents(F.min(c)).alias("min_price"),
+        to_cents(F.max(c)).alias("max_price"),
         neg.alias("negative_hours"),
         pct1(neg, F.count(c)).alias("negative_share"),
     )
 
 
 def extremes(points: DataFrame, as_of: Column, days: int = max(PULSE_WINDOWS)) -> DataFrame:
-    """Cheapest and priciest hour of the window; ties go to the earliest hour."""
-    c = cents("price_eur_mwh")
+    """Cheapest and priciest hour of the window by raw price; ties go to the earliest hour."""
+    c = exact("price_eur_mwh")
     low = F.min(F.struct(c.alias("c"), F.col("delivery_ts").alias("ts")))
     high = F.min(F.struct((-c).alias("c"), F.col("delivery_ts").alias("ts")))
     agg = recent(points, as_of, days).groupBy("region").agg(low.alias("low"), high.alias("high"))
@@ -68,17 +68,17 @@ def extremes(points: DataFrame, as_of: Column, days: int = max(PULSE_WINDOWS)) -
         "region",
         F.col("low.ts").alias("cheapest_ts"),
         F.date_format(local_ts(F.col("low.ts")), LOCAL_PATTERN).alias("cheapest_local"),
-        cents_to_price(F.col("low.c")).alias("cheapest_price"),
+        to_cents(F.col("low.c")).alias("cheapest_price"),
         F.col("high.ts").alias("priciest_ts"),
         F.date_format(local_ts(F.col("high.ts")), LOCAL_PATTERN).alias("priciest_local"),
-        cents_to_price(-F.col("high.c")).alias("priciest_price"),
+        to_cents(-F.col("high.c")).alias("priciest_price"),
     )
 
 
 def split(points: DataFrame, as_of: Column, days: int = max(PULSE_WINDOWS)) -> DataFrame:
     """Weekday and weekend mean and count over the window; both rows are
     always present (mean NULL when there is no hour)."""
-    c = cents("price_eur_mwh")
+    c = exact("price_eur_mwh")
     weekend = F.dayofweek(local_ts("delivery_ts")).isin(1, 7)
     agg = recent(points, as_of, days).groupBy("region").agg(
         F.sum(F.when(~weekend, c)).alias("wd_sum"),
@@ -91,5 +91,5 @@ def split(points: DataFrame, as_of: Column, days: int = max(PULSE_WINDOWS)) -> D
         F.struct(F.lit("weekend").alias("daytype"), F.col("we_sum").alias("s"), F.col("we_n").alias("n")),
     )
     return agg.select("region", F.inline(both)).select(
-        "region", "daytype", avg_price(F.coalesce(F.col("s"), F.lit(0)), F.col("n")).alias("avg_price"), F.col("n").alias("hours")
+        "region", "daytype", avg_exact_price(F.col("s"), F.col("n")).alias("avg_price"), F.col("n").alias("hours")
     )

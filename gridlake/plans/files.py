@@ -10,16 +10,23 @@ from gridlake.schemas import KEYS
 from gridlake.sources import landed as L
 
 LATEST_WEEKS = 2
-_NULL_EVERY = 11
-_MALFORMED = '["bad","row"]'
+# Rows that no reader may take for a point: (JSON, as text array, reason).
+_BAD_ROWS = (
+    ('["bad","row"]', '["bad","row"]', L.BAD_TIME),
+    ("[1]", '["1"]', L.NOT_A_PAIR),
+    ('[0,"NaN"]', '["0","NaN"]', L.BAD_PRICE),
+    ('[0,"Infinity"]', '["0","Infinity"]', L.BAD_PRICE),
+    ("[0,123456789012]", '["0","123456789012"]', L.BAD_PRICE),
+)
+_APPENDED = ",".join(j for j, *_ in _BAD_ROWS)
 
 
-def _points(spark, sf_dir):
-    return latest_revision(state.bronze(spark, sf_dir), KEYS).select("region", "delivery_ts", "price_eur_mwh")
+def _points(spark, sf_dir, through=None):
+    return latest_revision(state.bronze(spark, sf_dir, through=through), KEYS).select("region", "delivery_ts", "price_eur_mwh")
 
 
 def _chunks(spark, sf_dir):
-    return L.week_chunk_documents(_points(spark, sf_dir), _NULL_EVERY, _MALFORMED)
+    return L.week_chunk_documents(_points(spark, sf_dir), _APPENDED)
 
 
 _WEEK = S.to_utc(f"date_trunc('week', {S.local('delivery_ts')})")
@@ -35,9 +42,8 @@ _CHUNK_CTES = S.with_(
     _CHUNK_CTES
     + f"""SELECT region, week_start_ms,
        '{{"meta_data":' || json_object('region', region, 'resolution', 'hour')::VARCHAR || ',"series":[' ||
-       string_agg('[' || CAST(ms AS VARCHAR) || ',' ||
-                  coalesce(CAST(CASE WHEN hour(delivery_ts) % {_NULL_EVERY} <> 0 THEN price_eur_mwh END AS VARCHAR), 'null') || ']',
-                  ',' ORDER BY ms) || ',{_MALFORMED}]}}' AS text
+       string_agg('[' || CAST(ms AS VARCHAR) || ',' || CAST(price_eur_mwh AS VARCHAR) || ']', ',' ORDER BY ms)
+       || ',[' || CAST(max(ms) + {L.HOUR_MS} AS VARCHAR) || ',null],{_APPENDED}]}}' AS text
 FROM pts GROUP BY region, week_start_ms""",
 )
 def week_chunks(spark, sf_dir):
@@ -47,7 +53,7 @@ def week_chunks(spark, sf_dir):
 
 @query(
     "week_chunk_points",
-    _CHUNK_CTES + f"SELECT region, delivery_ts, price_eur_mwh FROM pts WHERE hour(delivery_ts) % {_NULL_EVERY} <> 0",
+    _CHUNK_CTES + "SELECT region, delivery_ts, price_eur_mwh FROM pts",
 )
 def week_chunk_points(spark, sf_dir):
     """Chunk documents parsed back to points; unpublished and
@@ -55,14 +61,25 @@ def week_chunk_points(spark, sf_dir):
     return L.parse_week_chunks(_chunks(spark, sf_dir))
 
 
+@query(
+    "chunk_rejects",
+    _CHUNK_CTES
+    + "SELECT region, b.row, b.reason FROM (SELECT DISTINCT region, week_start_ms FROM pts) w, (VALUES "
+    + ", ".join(f"('{t}', '{r}')" for _, t, r in _BAD_ROWS)
+    + ") b(row, reason)",
+)
+def chunk_rejects(spark, sf_dir):
+    """Chunk rows that are no points, with the reason."""
+    return L.chunk_rejects(_chunks(spark, sf_dir))
+
+
 @query(
     "latest_weeks",
     _CHUNK_CTES
     + f""", idx AS (SELECT DISTINCT region, week_start_ms FROM pts),
 newest AS (SELECT region, week_start_ms FROM idx
            QUALIFY row_number() OVER (PARTITION BY region ORDER BY week_start_ms DESC) <= {LATEST_WEEKS})
-SELECT region, delivery_ts, price_eur_mwh FROM pts JOIN newest USING (region, week_start_ms)
-WHERE hour(delivery_ts) % {_NULL_EVERY} <> 0""",
+SELECT region, delivery_ts, price_eur_mwh FROM pts JOIN newest USING (region, week_start_ms)""",
 )
 def latest_weeks(spark, sf_dir):
     """Points of the newest two week chunks of each region."""
@@ -94,21 +111,28 @@ FROM last GROUP BY region""",
 )
 def sample_document(spark, sf_dir):
     """K6: the last 168 published hours of each region as a sample file."""
-    return L.sample_documents(_points(spark, sf_dir), state.as_of())
+    return L.sample_documents(_points(spark, sf_dir, state.as_of()), state.as_of())
 
 
 @query(
     "replay_order",
-    _SAMPLE_CTES
+    _CHUNK_CTES
     + f"""SELECT region, delivery_ts, price_eur_mwh,
        region || '|' || strftime(delivery_ts, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS key,
        json_object('region', region, 'delivery_ts', strftime(delivery_ts, '%Y-%m-%dT%H:%M:%S') || '+00:00',
                    'price_eur_mwh', price_eur_mwh, 'source', 'events',
                    'fetched_at', strftime({S.AS_OF_SQL}, '%Y-%m-%dT%H:%M:%S.%f') || '+00:00')::VARCHAR AS value
-FROM last""",
+FROM pts""",
 )
 def replay_order(spark, sf_dir):
-    """Sample documents read strictly and replayed in (time, region)
-    order as keyed messages."""
-    samples = L.sample_documents(_points(spark, sf_dir), state.as_of())
-    return L.replay_lines(L.parse_sample(samples), state.as_of())
+    """K5: all landed points replayed in (time, region) order as keyed messages."""
+    return L.replay_lines(L.parse_week_chunks(_chunks(spark, sf_dir)), state.as_of())
+
+
+@query(
+    "sample_points",
+    _SAMPLE_CTES + "SELECT region, delivery_ts, price_eur_mwh FROM last",
+)
+def sample_points(spark, sf_dir):
+    """Sample documents read strictly."""
+    return L.parse_sample(L.sample_documents(_points(spark, sf_dir, state.as_of()), state.as_of()))

@@ -17,13 +17,15 @@ _SILVER_OUT = "region, delivery_ts, price_eur_mwh, local_ts, local_hour, is_week
 _GOLD_OUT = "region, local_day, avg_price, min_price, max_price, negative_hours, updated_at"
 
 
-def _silver_window(spark, sf_dir):
-    return M.silver(state.bronze(spark, sf_dir), state.as_of(), WINDOW_HOURS)
+def _silver_window(spark, sf_dir, align_days=True):
+    as_of = state.as_of()
+    since = window_start(as_of, WINDOW_HOURS, align_days)
+    return M.silver(state.bronze(spark, sf_dir, since=since), as_of, WINDOW_HOURS, align_days)
 
 
 def _silver_previous(spark, sf_dir):
-    """Silver as stored by an earlier run that had only the odd batch."""
-    return M.silver(X.observations(spark, sf_dir, batch=1), state.previous_run())
+    """Silver as the earlier run stored it: the whole history that it had seen."""
+    return M.silver(X.observations(spark, sf_dir, fetched_through=state.previous_run()), state.previous_run())
 
 
 @query(
@@ -35,6 +37,31 @@ def gold_daily(spark, sf_dir):
     return state.gold(spark, sf_dir)
 
 
+def _gold_mills(src: str) -> str:
+    """Gold rows from prices in tenths of a cent (column mills)."""
+    low, high = S.round_ratio("min(mills)", "10", 2), S.round_ratio("max(mills)", "10", 2)
+    return f"""SELECT region, CAST(local_ts AS DATE) AS local_day, {S.round_ratio('sum(mills)', 'count(*) * 10', 2)} AS avg_price,
+       {low} AS min_price, {high} AS max_price, CAST(count(*) FILTER (WHERE mills < 0) AS INTEGER) AS negative_hours,
+       {S.AS_OF_SQL} AS updated_at
+FROM (SELECT *, {S.local('delivery_ts')} AS local_ts FROM {src}) s GROUP BY 1, 2"""
+
+
+@query(
+    "gold_subcent",
+    S.with_(
+        ("obs", f"""SELECT event_type AS region, date_trunc('hour', ts) AS delivery_ts, ts AS fetched_at,
+                 CAST(round(value * 100) AS BIGINT) - {X.PRICE_OFFSET_CENTS} AS mills FROM events"""),
+        ("latest", S.latest()),
+    )
+    + _gold_mills("latest"),
+)
+def gold_subcent(spark, sf_dir):
+    """Gold of prices with a tenth of a cent: averages are taken on the raw prices and
+    rounded once."""
+    bronze = X.observations(spark, sf_dir, price_scale=1000)
+    return M.gold_daily(M.silver(bronze, state.as_of()), state.as_of())
+
+
 @query("silver_enriched", S.with_(*S.SERVING_CTES[:3]) + f"SELECT {_SILVER_OUT} FROM silver")
 def silver_enriched(spark, sf_dir):
     return state.silver(spark, sf_dir)
@@ -66,11 +93,11 @@ def window_recompute(spark, sf_dir):
 )
 def window_recompute_unaligned(spark, sf_dir):
     """The reference's plain ``as_of - 168 h`` window start."""
-    return M.silver(state.bronze(spark, sf_dir), state.as_of(), WINDOW_HOURS, align_days=False)
+    return _silver_window(spark, sf_dir, align_days=False)
 
 
 _PREV_CTES = (
-    ("obs1", S.obs("event_id % 2 = 1")),
+    ("obs1", S.obs(f"ts <= {S.PREVIOUS_SQL}")),
     ("latest1", S.latest("obs1")),
     ("target", S.silver("latest1", S.PREVIOUS_SQL)),
 )
@@ -87,7 +114,7 @@ WHERE NOT EXISTS (SELECT 1 FROM silver s WHERE s.region = t.region AND s.deliver
 UNION ALL SELECT {_SILVER_OUT} FROM silver""",
 )
 def silver_merge(spark, sf_dir):
-    """Stored silver (odd batch, earlier run) upserted with the window recompute."""
+    """Stored silver (earlier run) upserted with the window recompute."""
     return upsert(_silver_previous(spark, sf_dir), _silver_window(spark, sf_dir), KEYS)
 
 

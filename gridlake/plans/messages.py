@@ -8,7 +8,7 @@ from gridlake.operators.revisions import changed_rows, latest_revision, revision
 from gridlake.plans import sql as S
 from gridlake.plans import state
 from gridlake.plans.registry import query
-from gridlake.schemas import KEYS
+from gridlake.schemas import BRONZE, KEYS
 from gridlake.sources import fixtures as X
 from gridlake.sources import messages as MSG
 
@@ -23,18 +23,23 @@ _KIND = (
 _MSG_CTE = (
     "msg",
     f"""SELECT event_id, ts, event_type AS region, {_PRICE} AS price,
-       event_type || '|' || {_ISO_D} AS key, {_ISO_D} AS d_iso, {_ISO_F} AS f_iso, {_KIND} AS kind
-    FROM events""",
+       event_type || '|' || {_ISO_D} AS key, {_ISO_D} AS d_iso, {_ISO_F} AS f_iso, kind
+    FROM (SELECT *, NULL AS kind FROM events
+          UNION ALL SELECT * FROM (SELECT *, {_KIND} AS kind FROM events) k WHERE kind IS NOT NULL) e""",
 )
 _VALUE = """CASE kind
     WHEN 'not_json' THEN 'not json #' || CAST(event_id AS VARCHAR)
     WHEN 'null_price' THEN json_object('region', region, 'delivery_ts', d_iso, 'source', 'events', 'fetched_at', f_iso)::VARCHAR
     WHEN 'bad_delivery_ts' THEN json_object('region', region, 'delivery_ts', 'bad', 'price_eur_mwh', price, 'source', 'events', 'fetched_at', f_iso)::VARCHAR
     WHEN 'bad_fetched_at' THEN json_object('region', region, 'delivery_ts', d_iso, 'price_eur_mwh', price, 'source', 'events', 'fetched_at', 'bad')::VARCHAR
+    WHEN 'huge_price' THEN '{"region":"' || region || '","delivery_ts":"' || d_iso || '","price_eur_mwh":' || HUGE ||
+         ',"source":"events","fetched_at":"' || f_iso || '"}'
     ELSE json_object('region', region, 'delivery_ts', d_iso, 'price_eur_mwh', price, 'source', 'events', 'fetched_at', f_iso)::VARCHAR
   END"""
 _REASON = f"""CASE kind WHEN 'not_json' THEN '{MSG.MALFORMED}' WHEN 'null_price' THEN '{MSG.MISSING.format("price_eur_mwh")}'
-    WHEN 'bad_delivery_ts' THEN '{MSG.BAD_DELIVERY_TS}' WHEN 'bad_fetched_at' THEN '{MSG.BAD_FETCHED_AT}' END"""
+    WHEN 'bad_delivery_ts' THEN '{MSG.BAD_DELIVERY_TS}' WHEN 'bad_fetched_at' THEN '{MSG.BAD_FETCHED_AT}'
+    WHEN 'huge_price' THEN '{MSG.PRICE_OUT_OF_RANGE}' END"""
+_VALUE = _VALUE.replace("HUGE", f"'{X.HUGE_PRICE}'")
 
 
 def _classified(spark, sf_dir):
@@ -47,7 +52,8 @@ def _classified(spark, sf_dir):
     + """SELECT key,
        CASE WHEN kind = 'not_json' THEN NULL ELSE region END AS region,
        CASE WHEN kind = 'not_json' THEN NULL WHEN kind = 'bad_delivery_ts' THEN 'bad' ELSE d_iso END AS delivery_ts,
-       CASE WHEN kind IN ('not_json', 'null_price') THEN NULL ELSE price END AS price_eur_mwh,
+       CASE WHEN kind IN ('not_json', 'null_price') THEN NULL WHEN kind = 'huge_price' THEN """
+    + f"""CAST({X.HUGE_PRICE} AS DOUBLE) ELSE price END AS price_eur_mwh,
        CASE WHEN kind = 'not_json' THEN NULL ELSE 'events' END AS source,
        CASE WHEN kind = 'not_json' THEN NULL WHEN kind = 'bad_fetched_at' THEN 'bad' ELSE f_iso END AS fetched_at,
        ts AS kafka_ts
@@ -134,33 +140,40 @@ def bronze_merge(spark, sf_dir):
     return revision_merge(stored, odd, KEYS)
 
 
-_CHANGED_SQL = """WITH obs AS (
-    SELECT event_type AS region, date_trunc('hour', ts) AS delivery_ts, CAST(floor(value / 50) AS DOUBLE) AS price,
-           ts AS fetched_at FROM events),
+# A point is polled again this long after it was first seen, at the same price.
+_POLLED_AGAIN = "10 minutes"
+# Hours of this region on the first day reach the stream last, weeks late; this other
+# region's hours of that day are polled once more then, unchanged.
+_LATE_REGION, _OLD_REGION, _FIRST_DAY, _LAST_POLL = "purchase", "click", "2024-01-02 00:00:00", "2024-02-01 00:00:00"
+_POINTS_SQL = f"""obs AS (
+    SELECT event_type AS region, date_trunc('hour', ts) AS delivery_ts, {_PRICE} AS price, ts AS fetched_at FROM events),
+polled AS (SELECT * FROM obs UNION ALL SELECT region, delivery_ts, price, fetched_at + INTERVAL {_POLLED_AGAIN} FROM obs)"""
+_CHANGED_TAIL = """,
 lagged AS (
-    SELECT *, lag(price) OVER (PARTITION BY region, delivery_ts ORDER BY fetched_at) AS prev,
-           row_number() OVER (PARTITION BY region, delivery_ts ORDER BY fetched_at) AS rn
-    FROM obs)
+    SELECT *, lag(price) OVER (PARTITION BY region, delivery_ts ORDER BY fetched_at, price) AS prev,
+           row_number() OVER (PARTITION BY region, delivery_ts ORDER BY fetched_at, price) AS rn
+    FROM polled)
 SELECT region, delivery_ts, price, fetched_at FROM lagged WHERE rn = 1 OR price IS DISTINCT FROM prev"""
+_CHANGED_SQL = f"WITH {_POINTS_SQL}{_CHANGED_TAIL}"
 
 
 def _price_points(spark, sf_dir):
-    """Observations with the price bucket ``floor(value / 50)``, which repeats."""
+    """Observations, each polled a second time at the same price."""
     events = X.read_table(spark, sf_dir, "events")
     fetched = F.col("ts").cast("timestamp")
+    polls = F.array(fetched, fetched + F.expr(f"INTERVAL {_POLLED_AGAIN}"))
     return events.select(
         F.col("event_type").alias("region"),
         F.date_trunc("hour", fetched).alias("delivery_ts"),
-        F.floor(F.col("value") / 50).cast("double").alias("price"),
-        fetched.alias("fetched_at"),
+        (X.price_cents(F.col("value")).cast("double") / 100.0).alias("price"),
+        F.explode(polls).alias("fetched_at"),
     )
 
 
 @query("changed_prices", _CHANGED_SQL)
 def changed_prices(spark, sf_dir):
-    """Emit an hour only when it is new or its price changed (price bucket
-    ``floor(value / 50)`` so that repeats occur)."""
-    return changed_rows(_price_points(spark, sf_dir), KEYS, "price", "fetched_at")
+    """Emit an hour only when it is new or its price changed."""
+    return changed_rows(_price_points(spark, sf_dir), KEYS, "price", "fetched_at", ["price"])
 
 
 @query(
@@ -193,7 +206,7 @@ def stream_bronze(spark, sf_dir):
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"ingest stream failed: {q.exception()}")
-    return spark.read.parquet(lake.path(L.BRONZE)).select(*[c for c in ("region", "delivery_ts", "price_eur_mwh", "source", "fetched_at")])
+    return spark.read.parquet(lake.path(L.BRONZE)).select(*BRONZE.fieldNames())
 
 
 # Split instant of the two landings of stream_changed_prices: mid-hour, so the
@@ -203,10 +216,11 @@ STREAM_SPLIT = "2024-01-16 00:30:00"
 
 @query("stream_changed_prices", _CHANGED_SQL)
 def stream_changed_prices(spark, sf_dir):
-    """Change-only emission with keyed state across a restart. The
-    first half of the points lands, the stream runs to completion, the second
-    half lands and the stream restarts on the same checkpoint; the appended
-    output equals the batch answer."""
+    """Change-only emission with keyed state across restarts. The first half of
+    the points lands, then the second half, then the hours held back (new keys, weeks
+    late) with one more poll of other old hours at the price last seen; each time the
+    stream restarts on the same checkpoint. The appended output equals the batch answer:
+    the late keys are emitted, the unchanged poll is not."""
     import uuid
 
     from gridlake.functions.time import ts_literal
@@ -216,8 +230,18 @@ def stream_changed_prices(spark, sf_dir):
     root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/gridlake-changes-{uuid.uuid4().hex}"
     points = _price_points(spark, sf_dir).withColumnRenamed("price", "price_eur_mwh")
     split = ts_literal(STREAM_SPLIT)
-    for part, cond in ((1, F.col("fetched_at") < split), (2, F.col("fetched_at") >= split)):
-        points.where(cond).write.parquet(f"{root}/inbox/part={part}")
+    old = F.col("delivery_ts") < ts_literal(_FIRST_DAY)
+    late = old & (F.col("region") == _LATE_REGION)
+    newest = points.where(old & (F.col("region") == _OLD_REGION)).groupBy("region", "delivery_ts")
+    newest = newest.agg(F.max_by("price_eur_mwh", F.struct("fetched_at", "price_eur_mwh")).alias("price_eur_mwh"))
+    again = newest.withColumn("fetched_at", ts_literal(_LAST_POLL))
+    landings = (
+        points.where(~late & (F.col("fetched_at") < split)),
+        points.where(~late & (F.col("fetched_at") >= split)),
+        points.where(late).unionByName(again),
+    )
+    for part, rows in enumerate(landings, 1):
+        rows.write.parquet(f"{root}/inbox/part={part}")
         stream = spark.readStream.schema(OUTPUT).parquet(f"{root}/inbox/part=*")
         q = (
             changed_points(stream)

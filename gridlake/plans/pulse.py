@@ -25,7 +25,8 @@ _PULSE_CTES = S.with_(
 
 
 def _points(spark, sf_dir):
-    return latest_revision(state.bronze(spark, sf_dir), KEYS).select("region", "delivery_ts", "price_eur_mwh")
+    bronze = state.bronze(spark, sf_dir, through=state.as_of())
+    return latest_revision(bronze, KEYS).select("region", "delivery_ts", "price_eur_mwh")
 
 
 _NEG = "count(*) FILTER (WHERE price_eur_mwh < 0)"

@@ -22,8 +22,8 @@ def previous_run() -> Column:
     return ts_literal(X.PREVIOUS_RUN)
 
 
-def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return X.observations(spark, sf_dir)
+def bronze(spark: SparkSession, sf_dir: str, since: Column | None = None, through: Column | None = None) -> DataFrame:
+    return X.observations(spark, sf_dir, since=since, through=through)
 
 
 def silver(spark: SparkSession, sf_dir: str, since_hours: int | None = None) -> DataFrame:
@@ -34,8 +34,10 @@ def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.gold_daily(silver(spark, sf_dir), as_of())
 
 
-def serving(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return M.serving_hourly(silver(spark, sf_dir))
+def serving(spark: SparkSession, sf_dir: str, since: Column | None = None, through: Column | None = None) -> DataFrame:
+    """The hourly serving table; ``since`` and ``through`` are bounds on the delivery hour
+    that the reader applies as well (they reach the scan)."""
+    return M.serving_hourly(M.silver(bronze(spark, sf_dir, since, through), as_of()))
 
 
 def daily(spark: SparkSession, sf_dir: str) -> DataFrame:

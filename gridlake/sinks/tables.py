@@ -1,22 +1,24 @@
 """Partitioned Parquet tables with staged, idempotent partition publishing.
 
 Without a table format, a MERGE is: read the target *only in the partitions
-the batch touches*, compute the merged rows there (``revision_merge`` /
-``upsert``), write them to ``<lake>/_staging/<table>/<batch_id>`` and then
-replace exactly those partitions with a dynamic-overwrite write of the staged
-copy.
+the batch touches* (a literal partition filter), compute the merged rows there
+(``revision_merge`` / ``upsert``), write them to
+``<lake>/_staging/<table>/<batch_id>`` and then replace exactly those partitions by
+renaming the staged folders.
 
 * The staged copy cuts the lineage between the read of the target and its
-  overwrite (Spark refuses to overwrite a path it is reading), and it lives in
-  the table's own (shared) storage, never on a machine-local disk.
-* Publishing is idempotent: re-running it rewrites the same partitions with
-  the same rows. A crash between staging and publishing is repaired by
-  ``recover`` (staged with ``_STAGED`` but no ``_PUBLISHED`` marker).
-* Staging sits next to the table (not inside it), so even a full overwrite
-  of an unpartitioned table never deletes the copy it is reading.
-
-Limits: one writer per table; readers may see a partition being replaced.
-When an Iceberg or Delta catalog is configured, use its ``MERGE`` instead.
+  replacement, and it lives in the table's own (shared) storage.
+* Publishing is idempotent: a partition is replaced when its staged folder is still
+  there, and left alone when it was moved before. A crash between staging and publishing is
+  repaired by ``recover``, which every merge runs first, so a later merge always starts
+  from the recovered rows.
+* One writer at a time: a merge holds the table's lock. A lock whose copy is complete is
+  recovered and taken over; one whose writer may still be writing raises ``TableBusy``.
+* Rows are dealt to files by partition before they are staged, so a partition gets as many
+  files as its size asks for, not one per task.
+
+Limits: readers may see a partition being replaced. When an Iceberg or Delta catalog is
+configured, use its ``MERGE`` instead.
 """
 
 from __future__ import annotations
@@ -24,7 +26,8 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -33,6 +36,13 @@ from gridlake.operators.revisions import revision_merge, upsert
 STAGING = "_staging"
 PUBLISHED = "_PUBLISHED"
 STAGED = "_STAGED"
+LOCK = "_LOCK"
+NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
+TARGET_FILE_BYTES = 256 * 1024 * 1024
+
+
+class TableBusy(RuntimeError):
+    """Another writer holds the table."""
 
 
 # -- file system helpers (driver-side metadata calls only) --------------------
@@ -47,9 +57,34 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
-def _touch(spark: SparkSession, path: str) -> None:
+def _write_text(spark: SparkSession, path: str, text: str, overwrite: bool = True) -> None:
+    fs, p = _fs(spark, path)
+    out = fs.create(p, overwrite)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
+def _read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def _delete(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
-    fs.create(p, True).close()
+    if fs.exists(p):
+        fs.delete(p, True)
+
+
+def _rename(spark: SparkSession, source: str, target: str) -> None:
+    fs, s = _fs(spark, source)
+    _, t = _fs(spark, target)
+    fs.mkdirs(t.getParent())
+    if not fs.rename(s, t):
+        raise RuntimeError(f"could not move {source} to {target}")
 
 
 def _children(spark: SparkSession, path: str) -> list[str]:
@@ -59,18 +94,83 @@ def _children(spark: SparkSession, path: str) -> list[str]:
     return [s.getPath().toString() for s in fs.listStatus(p)]
 
 
+def _name(path: str) -> str:
+    return path.rstrip("/").split("/")[-1]
+
+
+def _is_data(path: str) -> bool:
+    return not _name(path).startswith(("_", "."))
+
+
 def has_data(spark: SparkSession, path: str) -> bool:
     """True when the table folder holds data files or partitions."""
-    return any(not c.rstrip("/").split("/")[-1].startswith(("_", ".")) for c in _children(spark, path))
+    return any(_is_data(c) for c in _children(spark, path))
+
+
+def _leaves(spark: SparkSession, path: str, depth: int) -> list[str]:
+    """Partition folders (relative to ``path``), ``depth`` levels down."""
+    found = [""]
+    for _ in range(depth):
+        found = [f"{x}/{_name(c)}".lstrip("/") for x in found for c in _children(spark, f"{path}/{x}") if _is_data(c)]
+    return found
+
+
+def file_sizes(spark: SparkSession, path: str, partition_cols: Sequence[str] = ()) -> dict[str, list[int]]:
+    """Bytes of each data file by partition folder, from the file listing."""
+    out: dict[str, list[int]] = {}
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return out
+    if fs.getFileStatus(p).isFile():
+        return {"": [fs.getFileStatus(p).getLen()]}
+    for leaf in _leaves(spark, path, len(partition_cols)):
+        _, folder = _fs(spark, f"{path}/{leaf}")
+        out[leaf] = [
+            s.getLen() for s in fs.listStatus(folder) if s.isFile() and _is_data(s.getPath().getName())
+        ]
+    return out
 
 
 # -- reads ---------------------------------------------------------------------
-def read_table(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
-    """The table, or an empty frame shaped like ``like`` before the first
-    publish (partition columns come back from the folder names)."""
+def read_table(spark: SparkSession, path: str, like: DataFrame | StructType) -> DataFrame:
+    """The table with the declared columns and types (partition columns too), or an empty
+    frame of that shape before the first publish."""
+    schema = like if isinstance(like, StructType) else like.schema
     if has_data(spark, path):
-        return spark.read.parquet(path).select(*like.columns)
-    return like.where(F.lit(False))
+        return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
+    return spark.createDataFrame([], schema)
+
+
+# -- one writer ------------------------------------------------------------------
+def _lock_path(table_path: str) -> str:
+    return f"{staging_dir(table_path)}/{LOCK}"
+
+
+def acquire(spark: SparkSession, table_path: str, batch_id: str, partition_cols: Sequence[str]) -> None:
+    """Take the table's lock for ``batch_id`` (a replay of the same batch keeps it)."""
+    lock = _lock_path(table_path)
+    if exists(spark, lock):
+        holder = _read_text(spark, lock)
+        if holder == batch_id:
+            return
+        copy = f"{staging_dir(table_path)}/{holder}"
+        if not exists(spark, f"{copy}/{STAGED}"):
+            raise TableBusy(f"{table_path}: batch {holder} is being written (break_lock() if its writer is gone)")
+        recover(spark, table_path, partition_cols)
+        _delete(spark, lock)
+    try:
+        _write_text(spark, lock, batch_id, overwrite=False)
+    except Exception as exc:  # created by another writer just now
+        raise TableBusy(f"{table_path}: taken by another writer") from exc
+
+
+def release(spark: SparkSession, table_path: str) -> None:
+    _delete(spark, _lock_path(table_path))
+
+
+def break_lock(spark: SparkSession, table_path: str) -> None:
+    """Drop the lock of a writer known to be gone; its incomplete copy is never published."""
+    release(spark, table_path)
 
 
 # -- publishing ----------------------------------------------------------------
@@ -79,95 +179,93 @@ def staging_dir(table_path: str) -> str:
     return f"{parent}/{STAGING}/{name}"
 
 
+def deal(df: DataFrame, table_path: str, partition_cols: Sequence[str], leaves: Sequence[str] | None = None) -> DataFrame:
+    """Rows dealt by partition, a large partition over several files: as many as the
+    largest of the stored partitions concerned would fill."""
+    sizes = file_sizes(df.sparkSession, table_path, partition_cols)
+    largest = max((sum(v) for k, v in sizes.items() if leaves is None or k in leaves), default=0)
+    files = max(1, -(-largest // TARGET_FILE_BYTES))
+    if not partition_cols:
+        return df.repartition(files)
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(files))
+    return df.repartition(*[F.col(c) for c in partition_cols], salt)
+
+
 def stage(df: DataFrame, table_path: str, batch_id: str, partition_cols: Sequence[str]) -> str:
-    """Write the staged copy, then mark it complete."""
+    """Write the staged copy, then mark it complete (the mark lists what it holds)."""
+    spark = df.sparkSession
     path = f"{staging_dir(table_path)}/{batch_id}"
     df.write.mode("overwrite").partitionBy(*partition_cols).parquet(path)
-    _touch(df.sparkSession, f"{path}/{STAGED}")
+    held = _leaves(spark, path, len(partition_cols)) if partition_cols else [_name(c) for c in _children(spark, path) if _is_data(c)]
+    _write_text(spark, f"{path}/{STAGED}", "\n".join(held))
     return path
 
 
 def publish(spark: SparkSession, table_path: str, batch_id: str, partition_cols: Sequence[str]) -> None:
-    """Replace the table partitions present in the staged copy."""
+    """Replace the table's partitions that the staged copy holds, by renaming."""
     staged = f"{staging_dir(table_path)}/{batch_id}"
-    rows = spark.read.parquet(staged)
-    (
-        rows.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partition_cols)
-        .parquet(table_path)
-    )
-    _touch(spark, f"{staged}/{PUBLISHED}")
+    held = [x for x in _read_text(spark, f"{staged}/{STAGED}").split("\n") if x]
+    table = table_path.rstrip("/")
+    for item in held:
+        if exists(spark, f"{staged}/{item}"):  # else it was moved before a crash
+            _delete(spark, f"{table}/{item}")
+            _rename(spark, f"{staged}/{item}", f"{table}/{item}")
+    if not partition_cols:
+        for old in _children(spark, table):
+            if _is_data(old) and _name(old) not in held:
+                _delete(spark, old)
+    _write_text(spark, f"{staged}/{PUBLISHED}", "")
 
 
 def recover(spark: SparkSession, table_path: str, partition_cols: Sequence[str]) -> list[str]:
-    """Publish every complete staged batch that was never published."""
-    done = []
-    for child in sorted(_children(spark, staging_dir(table_path))):
-        batch_id = child.rstrip("/").split("/")[-1]
+    """Publish every complete staged batch that was never published, oldest first."""
+    waiting = []
+    for child in _children(spark, staging_dir(table_path)):
         if exists(spark, f"{child}/{STAGED}") and not exists(spark, f"{child}/{PUBLISHED}"):
-            publish(spark, table_path, batch_id, partition_cols)
-            done.append(batch_id)
-    return done
+            fs, mark = _fs(spark, f"{child}/{STAGED}")
+            waiting.append((fs.getFileStatus(mark).getModificationTime(), _name(child)))
+    for _, batch_id in sorted(waiting):
+        publish(spark, table_path, batch_id, partition_cols)
+    return [batch_id for _, batch_id in sorted(waiting)]
 
 
 def write_partitions(
     spark: SparkSession, df: DataFrame, table_path: str, batch_id: str, partition_cols: Sequence[str]
 ) -> None:
     """Stage then publish ``df``'s partitions (idempotent per batch id)."""
-    stage(df, table_path, batch_id, partition_cols)
-    publish(spark, table_path, batch_id, partition_cols)
-
-
-def touched_partitions(
-    spark: SparkSession,
-    table_path: str,
-    batch: DataFrame,
-    partition_cols: Sequence[str],
-    keys: Sequence[str] | None = None,
-) -> DataFrame:
-    """Distinct partition values the merge of ``batch`` rewrites.
-
-    With ``keys`` (tables whose partition is not a function of the key, e.g.
-    news by publication day), partitions holding a stored row of a batch key
-    are added, so a row that moves partition is removed from its old one.
-    """
-    parts = batch.select(*partition_cols).distinct()
-    if keys and has_data(spark, table_path):
-        target = read_table(spark, table_path, batch)
-        moved = target.join(batch.select(*keys).distinct(), on=list(keys), how="left_semi").select(*partition_cols)
-        parts = parts.unionByName(moved).distinct()
-    return parts
-
-
-def touched_target(
-    spark: SparkSession,
-    table_path: str,
-    batch: DataFrame,
-    partition_cols: Sequence[str],
-    keys: Sequence[str] | None = None,
-) -> DataFrame:
-    """Target rows in the partitions the batch writes to: a semi-join on the
-    partition columns, which Spark turns into dynamic partition pruning of
-    the target scan."""
+    acquire(spark, table_path, batch_id, partition_cols)
+    try:
+        recover(spark, table_path, partition_cols)
+        stage(deal(df, table_path, partition_cols), table_path, batch_id, partition_cols)
+        publish(spark, table_path, batch_id, partition_cols)
+    finally:
+        release(spark, table_path)
+
+
+def in_partitions(partition_cols: Sequence[str], values: Sequence[tuple]) -> Column:
+    """Literal filter on partition values (None included): prunes the scan's folders."""
+    if len(partition_cols) == 1:
+        c, known = F.col(partition_cols[0]), [v for (v,) in values if v is not None]
+        found = c.isin(known) if known else F.lit(False)
+        return found | c.isNull() if any(v is None for (v,) in values) else found
+    cond = F.lit(False)
+    for row in values:
+        match = F.lit(True)
+        for c, v in zip(partition_cols, row):
+            match = match & F.col(c).eqNullSafe(F.lit(v))
+        cond = cond | match
+    return cond
+
+
+def touched_target(spark: SparkSession, table_path: str, batch: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
+    """Target rows in the partitions the batch writes to. The touched partition values
+    (bounded by the days or buckets of a batch, not by its rows) are read on the driver
+    and become a literal filter, so the scan lists those folders only."""
     target = read_table(spark, table_path, batch)
-    if not partition_cols:
+    if not partition_cols or not has_data(spark, table_path):
         return target
-    parts = touched_partitions(spark, table_path, batch, partition_cols, keys)
-    return target.join(parts, on=list(partition_cols), how="left_semi")
-
-
-def _drop_emptied(spark: SparkSession, table_path: str, touched: list, staged: str, partition_cols: Sequence[str]) -> None:
-    """Delete touched partitions that the merge emptied (their rows moved).
-    Dynamic overwrite only replaces partitions present in the output."""
-    written = {tuple(r) for r in spark.read.parquet(staged).select(*partition_cols).distinct().collect()}
-    for values in touched:
-        if tuple(values) in written:
-            continue
-        folder = "/".join(f"{c}={v}" for c, v in zip(partition_cols, values))
-        fs, p = _fs(spark, f"{table_path.rstrip('/')}/{folder}")
-        if fs.exists(p):
-            fs.delete(p, True)
+    values = [tuple(r) for r in batch.select(*partition_cols).distinct().collect()]
+    return target.where(in_partitions(partition_cols, values))
 
 
 def merge_into(
@@ -179,52 +277,38 @@ def merge_into(
     partition_cols: Sequence[str],
     batch_id: str,
     version: str | None = "fetched_at",
-    partition_moves: bool = False,
     merge_fn=None,
 ) -> None:
     """Revision-aware (``version``) or unconditional (``version=None``) MERGE
     of ``batch`` into the table at ``table_path``; ``merge_fn(target, batch)``
-    replaces the merge rule when given.
+    replaces the merge rule when given. The partition must be a function of the key.
 
-    ``partition_moves``: the partition is not a function of the key, so a
-    row may leave its partition. The touched partition values (bounded by the
-    days a batch touches, not by rows) are then read once on the driver,
-    used as a static partition filter, and partitions left empty are removed.
+    The batch is evaluated once (kept for the merge), whatever its plan.
     """
     cols = [f.name for f in schema.fields] + [c for c in partition_cols if c not in schema.fieldNames()]
-    batch = batch.select(*cols)
-    if partition_moves and partition_cols:
-        touched = [tuple(r) for r in touched_partitions(spark, table_path, batch, partition_cols, keys).collect()]
-        target = read_table(spark, table_path, batch)
-        if touched:
-            cond = F.lit(False)
-            for values in touched:
-                match = F.lit(True)
-                for c, v in zip(partition_cols, values):
-                    match = match & F.col(c).eqNullSafe(F.lit(v))
-                cond = cond | match
-            target = target.where(cond)
-    else:
-        touched = None
+    acquire(spark, table_path, batch_id, partition_cols)
+    batch = batch.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        recover(spark, table_path, partition_cols)
         target = touched_target(spark, table_path, batch, partition_cols)
-    if merge_fn is not None:
-        merged = merge_fn(target, batch).select(*cols)
-    elif version:
-        merged = revision_merge(target, batch, keys, version)
-    else:
-        merged = upsert(target, batch, keys)
-    staged = stage(merged, table_path, batch_id, partition_cols)
-    publish(spark, table_path, batch_id, partition_cols)
-    if touched:
-        _drop_emptied(spark, table_path, touched, staged, partition_cols)
+        if merge_fn is not None:
+            merged = merge_fn(target, batch).select(*cols)
+        elif version:
+            merged = revision_merge(target, batch, keys, version)
+        else:
+            merged = upsert(target, batch, keys)
+        stage(deal(merged, table_path, partition_cols), table_path, batch_id, partition_cols)
+        publish(spark, table_path, batch_id, partition_cols)
+    finally:
+        batch.unpersist()
+        release(spark, table_path)
 
 
 # -- upkeep ----------------------------------------------------------------------
 def expire_staged(spark: SparkSession, table_path: str, older_than: dt.datetime, retain_last: int) -> int:
-    """Delete published staged copies older than ``older_than``, always
-    keeping the newest ``retain_last`` (the staged copies are this layout's
-    snapshots). Unpublished copies are kept for ``recover``. ``older_than``
-    must be timezone-aware. Returns the number of copies deleted."""
+    """Delete the folders of published batches older than ``older_than``, always
+    keeping the newest ``retain_last``. Unpublished copies are kept for ``recover``.
+    ``older_than`` must be timezone-aware. Returns the number of folders deleted."""
     if older_than.tzinfo is None:
         raise ValueError("older_than must be timezone-aware")
     cutoff_ms = int(older_than.timestamp() * 1000)
@@ -234,7 +318,7 @@ def expire_staged(spark: SparkSession, table_path: str, older_than: dt.datetime,
     jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     published = sorted(
         (
-            (st.getModificationTime(), st.getPath())
+            (fs.getFileStatus(jpath(st.getPath(), PUBLISHED)).getModificationTime(), st.getPath())
             for st in fs.listStatus(root)
             if st.isDirectory() and fs.exists(jpath(st.getPath(), PUBLISHED))
         ),
@@ -249,14 +333,20 @@ def expire_staged(spark: SparkSession, table_path: str, older_than: dt.datetime,
     return deleted
 
 
+def _folder(partition_cols: Sequence[str]) -> Column:
+    """A row's partition folder, as the listing names it."""
+    parts = [F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(NULL_FOLDER))) for c in partition_cols]
+    return F.concat_ws("/", *parts) if parts else F.lit("")
+
 
 def table_files(spark: SparkSession, table_path: str, partition_cols: Sequence[str] = ()) -> DataFrame:
-    """Files, bytes and rows per partition (from the scan's file metadata)."""
-    df = spark.read.parquet(table_path)
-    return df.groupBy(*partition_cols).agg(
-        F.count_distinct("_metadata.file_path").alias("files"),
-        F.count(F.lit(1)).alias("rows"),
-    )
+    """Files and rows per partition: files from the listing, rows from a scan without
+    columns (Parquet footers)."""
+    listed = [(k, len(v)) for k, v in file_sizes(spark, table_path, partition_cols).items()]
+    files = spark.createDataFrame(listed, "folder string, files long")
+    rows = spark.read.parquet(table_path).groupBy(*partition_cols).agg(F.count(F.lit(1)).alias("rows"))
+    joined = rows.withColumn("folder", _folder(partition_cols)).join(files, "folder")
+    return joined.select(*partition_cols, "files", "rows")
 
 
 def compact(
@@ -265,32 +355,30 @@ def compact(
     partition_cols: Sequence[str],
     batch_id: str,
     min_input_files: int = 5,
-    target_file_bytes: int = 256 * 1024 * 1024,
+    target_file_bytes: int = TARGET_FILE_BYTES,
 ) -> dict[str, int]:
     """Rewrite partitions holding at least ``min_input_files`` files into
     files of about ``target_file_bytes``; rows are unchanged and a second
     run finds nothing to do. Returns rewritten and added file counts."""
-    df = spark.read.parquet(table_path)
-    files = df.select(*partition_cols, "_metadata.file_path", "_metadata.file_size").distinct()
-    per_part = files.groupBy(*partition_cols).agg(
-        F.count(F.lit(1)).alias("files"), F.sum("file_size").alias("bytes")
-    )
-    chosen = per_part.where(F.col("files") >= min_input_files).withColumn(
-        "outputs", F.greatest(F.lit(1), F.ceil(F.col("bytes") / F.lit(target_file_bytes))).cast("int")
-    )
-    # One row per chosen partition: a small summary the driver may read.
-    summary = chosen.agg(F.sum("files").alias("files"), F.sum("outputs").alias("outputs")).first()
-    if not summary or not summary["files"]:
-        return {"rewritten_files": 0, "added_files": 0}
-    n_tasks = max(1, min(int(summary["outputs"]), 10_000))
-    if partition_cols:
-        rows = df.join(chosen.select(*partition_cols, "outputs"), on=list(partition_cols), how="inner")
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.col("outputs"))
-        rewritten = rows.repartition(n_tasks, *[F.col(c) for c in partition_cols], salt).drop("outputs")
-    else:
-        # One table-wide group: the output count is a driver-side scalar.
-        rewritten = df.repartition(n_tasks)
-    staged = stage(rewritten, table_path, batch_id, partition_cols)
-    added = spark.read.parquet(staged).select("_metadata.file_path").distinct().count()
-    publish(spark, table_path, batch_id, partition_cols)
-    return {"rewritten_files": int(summary["files"]), "added_files": int(added)}
+    acquire(spark, table_path, batch_id, partition_cols)
+    try:
+        recover(spark, table_path, partition_cols)
+        sizes = file_sizes(spark, table_path, partition_cols)
+        chosen = {k: max(1, -(-sum(v) // target_file_bytes)) for k, v in sizes.items() if len(v) >= min_input_files}
+        if not chosen:
+            return {"rewritten_files": 0, "added_files": 0}
+        df = spark.read.parquet(table_path)
+        if partition_cols:
+            outputs = spark.createDataFrame(list(chosen.items()), "__folder string, __outputs int")
+            rows = df.withColumn("__folder", _folder(partition_cols)).where(F.col("__folder").isin(list(chosen)))
+            salt = F.pmod(F.xxhash64(*df.columns), F.col("__outputs"))
+            rows = rows.join(outputs, "__folder").repartition(sum(chosen.values()), "__folder", salt)
+            rewritten = rows.select(*df.columns)
+        else:
+            rewritten = df.repartition(chosen[""])
+        staged = stage(rewritten, table_path, batch_id, partition_cols)
+        added = sum(len(v) for v in file_sizes(spark, staged, partition_cols).values())
+        publish(spark, table_path, batch_id, partition_cols)
+        return {"rewritten_files": sum(len(sizes[k]) for k in chosen), "added_files": added}
+    finally:
+        release(spark, table_path)

@@ -21,11 +21,14 @@ PREVIOUS_RUN = "2024-01-30 00:00:00"
 # Price offset in cents so that some prices are negative.
 PRICE_OFFSET_CENTS = 2000
 OBSERVATION_SOURCE = "events"
-# Message corruption rules, first match wins: (modulus, kind).
-MESSAGE_RULES = ((19, "not_json"), (17, "null_price"), (23, "bad_delivery_ts"), (29, "bad_fetched_at"))
-# Feeds: documents are grouped into feeds of one source and one id block.
-FEED_BLOCK = 500
-TITLE_CHARS = 80
+# Broken messages sent besides the good ones, first match wins: (modulus, kind).
+MESSAGE_RULES = (
+    (19, "not_json"), (17, "null_price"), (23, "bad_delivery_ts"), (29, "bad_fetched_at"), (31, "huge_price"),
+)
+HUGE_PRICE = "1e300"
+# Feeds: documents are grouped into feeds of one source and one id block. A feed is one
+# cell, so the block bounds it: at most this many whole texts.
+FEED_BLOCK = 100
 # Region used where the reference dashboard filters one bidding zone.
 DASHBOARD_REGION = "click"
 # -----------------------------------------------------------------------------
@@ -40,19 +43,47 @@ def price_cents(value: Column) -> Column:
     return F.round(value * 100).cast("bigint") - PRICE_OFFSET_CENTS
 
 
-def observations(spark: SparkSession, sf_dir: str, batch: int | None = None) -> DataFrame:
+def _in_raw_range(events: DataFrame, since: Column | None, through: Column | None) -> DataFrame:
+    """Bounds on the raw event time that bounds on the delivery hour imply: the hour is
+    the event time truncated, so hour >= since needs ts >= since truncated up to an hour
+    at most, and hour <= through needs ts < the hour after it. Literals, so the Parquet
+    scan skips row groups by them."""
+    if since is not None:
+        events = events.where(F.col("ts") >= F.date_trunc("hour", since).cast("timestamp_ntz"))
+    if through is not None:
+        after = F.date_trunc("hour", through) + F.make_dt_interval(F.lit(0), F.lit(1))
+        events = events.where(F.col("ts") < after.cast("timestamp_ntz"))
+    return events
+
+
+def observations(
+    spark: SparkSession,
+    sf_dir: str,
+    batch: int | None = None,
+    since: Column | None = None,
+    through: Column | None = None,
+    fetched_through: Column | None = None,
+    price_scale: int = 100,
+) -> DataFrame:
     """Price observations (bronze shape): one row per revision.
 
-    ``batch`` 1 or 0 selects ``event_id % 2``, to replay the data as two loads.
+    ``batch`` 1 or 0 selects ``event_id % 2``, to replay the data as two loads. ``since``
+    and ``through`` are bounds on the delivery hour that the caller applies as well;
+    ``fetched_through`` keeps what an earlier run had seen. ``price_scale`` 1000 gives
+    prices of a tenth of a cent.
     """
-    events = read_table(spark, sf_dir, "events")
+    events = _in_raw_range(read_table(spark, sf_dir, "events"), since, through)
+    if fetched_through is not None:
+        events = events.where(F.col("ts") <= fetched_through.cast("timestamp_ntz"))
     if batch is not None:
         events = events.where(F.col("event_id") % 2 == batch)
     fetched = F.col("ts").cast("timestamp")
+    cents = price_cents(F.col("value"))
+    price = cents_to_price(cents) if price_scale == 100 else cents.cast("double") / float(price_scale)
     return events.select(
         F.col("event_type").alias("region"),
         F.date_trunc("hour", fetched).alias("delivery_ts"),
-        cents_to_price(price_cents(F.col("value"))).alias("price_eur_mwh"),
+        price.alias("price_eur_mwh"),
         F.lit(OBSERVATION_SOURCE).alias("source"),
         fetched.alias("fetched_at"),
     )
@@ -100,8 +131,8 @@ def published_ts(doc_id: Column) -> Column:
 
 
 def feed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feeds built from documents (titles are the first 80 characters), plus
-    one truncated copy per feed block that no XML parser accepts."""
+    """Feeds built from documents (a title is the whole text), plus one truncated
+    copy per feed block that no XML parser accepts."""
     from gridlake.sources.feeds import render_feeds
 
     docs = documents(spark, sf_dir)
@@ -109,7 +140,7 @@ def feed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = docs.select(
         "source",
         F.col("doc_id").alias("item_id"),
-        F.substring("text", 1, TITLE_CHARS).alias("title"),
+        F.col("text").alias("title"),
         doc_link(F.col("source"), F.col("doc_id")).alias("link"),
         F.date_format(ts, "EEE, dd MMM yyyy HH:mm:ss Z").alias("rss_date"),
         F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("atom_date"),

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridlake.functions.money import price_in_range
 from gridlake.functions.time import iso_utc, week_start
 from gridlake.sources.messages import message_body, message_key
 
@@ -34,6 +35,11 @@ NO_SERIES = "chunk payload has no 'series'"
 BAD_SAMPLE_ROW = "malformed sample row"
 SAMPLE_HOURS = 168
 RESOLUTION = "hour"
+HOUR_MS = 3_600_000
+# Reasons why a chunk row is not a point; a NULL price (unpublished) is no fault.
+NOT_A_PAIR = "not_a_pair"
+BAD_TIME = "bad_time"
+BAD_PRICE = "bad_price"
 # -----------------------------------------------------------------------------
 
 
@@ -46,21 +52,22 @@ def _series_text(pairs: Column) -> Column:
     return F.concat(F.lit("["), F.array_join(F.transform(F.array_sort(pairs), lambda p: _pair_text(p["ms"], p["price"])), ","), F.lit("]"))
 
 
-def week_chunk_documents(points: DataFrame, null_every: int = 11, malformed: str = '["bad","row"]') -> DataFrame:
+def week_chunk_documents(points: DataFrame, appended: str = "") -> DataFrame:
     """One JSON document per (region, local week) from price points, as the
-    API serves them: hours with ``hour % null_every = 0`` are unpublished
-    (NULL) and one malformed row is appended. Columns: region, week_start_ms,
-    text.
+    API serves them: after the published hours comes one unpublished hour (NULL),
+    then the rows of ``appended`` as they are. Columns: region, week_start_ms, text.
 
     ``points`` must hold one row per (region, delivery_ts), as
     ``latest_revision`` returns; that bounds each collected array by the hours
     of one week (at most 169)."""
     ms = F.unix_millis("delivery_ts")
-    price = F.when(F.hour("delivery_ts") % null_every != 0, F.col("price_eur_mwh"))
     grouped = points.groupBy("region", week_start("delivery_ts").alias("week_start")).agg(
-        F.collect_list(F.struct(ms.alias("ms"), price.alias("price"))).alias("pairs")
+        F.collect_list(F.struct(ms.alias("ms"), F.col("price_eur_mwh").alias("price"))).alias("pairs"),
+        (F.max(ms) + HOUR_MS).alias("next_ms"),
     )
-    series = F.regexp_replace(_series_text(F.col("pairs")), r"\]$", "," + malformed + "]")
+    after = F.concat(F.lit(",["), F.col("next_ms").cast("string"), F.lit(",null]" + ("," + appended if appended else "") + "]"))
+    pairs = _series_text(F.col("pairs"))
+    series = F.concat(F.substring(pairs, F.lit(1), F.length(pairs) - 1), after)
     meta = F.to_json(F.create_map(F.lit("region"), F.col("region"), F.lit("resolution"), F.lit(RESOLUTION)))
     return grouped.select(
         "region",
@@ -109,6 +116,19 @@ def parse_week_chunks(chunks: DataFrame, region: str | None = None, strict_serie
     name), else the document's ``meta_data.region``, else ``DE-LU``. A document without ``series`` raises (as the reference
     does) unless ``strict_series`` is off, then it yields nothing.
     """
+    return _chunk_rows(chunks, region, strict_series).where("reason IS NULL AND price_eur_mwh IS NOT NULL").select(
+        "region", "delivery_ts", "price_eur_mwh"
+    )
+
+
+def chunk_rejects(chunks: DataFrame, region: str | None = None) -> DataFrame:
+    """Rows of chunk documents that are no points: region, row (as JSON), reason."""
+    return _chunk_rows(chunks, region, True).where("reason IS NOT NULL").select(
+        "region", F.to_json("row").alias("row"), "reason"
+    )
+
+
+def _chunk_rows(chunks: DataFrame, region: str | None, strict_series: bool) -> DataFrame:
     doc = F.from_json(F.col("text"), CHUNK_SCHEMA)
     own = F.col("region") if "region" in chunks.columns else F.lit(None).cast("string")
     parsed = chunks.select(own.alias("file_region"), doc.alias("d"))
@@ -122,10 +142,15 @@ def parse_week_chunks(chunks: DataFrame, region: str | None = None, strict_serie
     )
     rows = parsed.select(reg.alias("region"), F.explode(series).alias("row"))
     ms = _epoch_ms(F.try_element_at(F.col("row"), F.lit(1)))
-    price = F.try_element_at(F.col("row"), F.lit(2)).try_cast("double")
-    ok = (F.size("row") == 2) & ms.isNotNull() & price.isNotNull()
-    return rows.where(ok).select(
-        "region", F.timestamp_millis(ms).alias("delivery_ts"), price.alias("price_eur_mwh")
+    given = F.try_element_at(F.col("row"), F.lit(2))
+    price = given.try_cast("double")
+    reason = (
+        F.when(F.coalesce(F.size("row"), F.lit(0)) != 2, NOT_A_PAIR)
+        .when(ms.isNull(), BAD_TIME)
+        .when(given.isNotNull() & ~F.coalesce(price_in_range(price), F.lit(False)), BAD_PRICE)
+    )
+    return rows.select(
+        "region", "row", F.timestamp_millis(ms).alias("delivery_ts"), price.alias("price_eur_mwh"), reason.alias("reason")
     )
 
 

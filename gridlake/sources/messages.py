@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from gridlake.functions.money import price_in_range
 from gridlake.functions.time import iso_utc, parse_instant
 from gridlake.schemas import MESSAGE
 from gridlake.sources import fixtures as X
@@ -26,6 +27,7 @@ MESSAGE_FIELDS = [f.name for f in MESSAGE.fields]
 MALFORMED = "malformed_json"
 MISSING = "missing_{}"  # one per required field: region, delivery_ts, price_eur_mwh, fetched_at
 NAN_PRICE = "nan_price"
+PRICE_OUT_OF_RANGE = "price_out_of_range"  # infinite, or too large for numeric(10,2)
 BAD_DELIVERY_TS = "bad_delivery_ts"
 BAD_FETCHED_AT = "bad_fetched_at"
 REQUIRED = ("region", "delivery_ts", "price_eur_mwh", "fetched_at")
@@ -62,7 +64,8 @@ def envelope(points: DataFrame, fetched_at: Column, source: str = X.OBSERVATION_
 
 
 def fixture_messages(events: DataFrame) -> DataFrame:
-    """Messages from driver events, some deliberately broken (FIXTURES.md)."""
+    """A good message per driver event, and a broken one besides for the events that
+    ``MESSAGE_RULES`` picks (FIXTURES.md)."""
     fetched = F.col("ts").cast("timestamp")
     delivery = F.date_trunc("hour", fetched)
     price = X.price_cents(F.col("value")).cast("double") / 100.0
@@ -90,16 +93,21 @@ def fixture_messages(events: DataFrame) -> DataFrame:
             F.lit("bad").alias("fetched_at"),
         )
     )
+    huge_price = F.concat(
+        F.lit('{"region":"'), region, F.lit('","delivery_ts":"'), iso_utc(delivery),
+        F.lit(f'","price_eur_mwh":{X.HUGE_PRICE},"source":"{X.OBSERVATION_SOURCE}","fetched_at":"'),
+        iso_utc(fetched, micros=True), F.lit('"}'),
+    )
     value = (
         F.when(kind == "not_json", F.concat(F.lit("not json #"), F.col("event_id").cast("string")))
         .when(kind == "null_price", null_price)
         .when(kind == "bad_delivery_ts", bad_delivery)
         .when(kind == "bad_fetched_at", bad_fetched)
-        .otherwise(good)
+        .when(kind == "huge_price", huge_price)
     )
     return events.select(
         message_key(region, delivery).alias("key"),
-        value.alias("value"),
+        F.explode(F.array_compact(F.array(good, value))).alias("value"),
         F.col("ts").cast("timestamp").alias("timestamp"),
     )
 
@@ -132,6 +140,7 @@ def reject_reason(decoded: DataFrame) -> Column:
         reason = reason.when(F.col(field).isNull(), F.lit(MISSING.format(field)))
     return (
         reason.when(F.isnan(F.col("price_eur_mwh")), F.lit(NAN_PRICE))
+        .when(~price_in_range(F.col("price_eur_mwh")), F.lit(PRICE_OUT_OF_RANGE))
         .when(parse_instant("delivery_ts").isNull(), F.lit(BAD_DELIVERY_TS))
         .when(parse_instant("fetched_at").isNull(), F.lit(BAD_FETCHED_AT))
     )

@@ -1,10 +1,10 @@
 """Change-only emission of price points as a stateful stream.
 
-State is the last emitted price per natural key, kept by Structured
-Streaming (checkpointed, so a restart does not re-emit everything, unlike a
-process-local dictionary). Keys expire once the watermark passes their
-delivery hour plus ``retention``, so state stays bounded by the hours still
-open for revision.
+State is the last seen price per natural key, kept by Structured Streaming
+(checkpointed, so a restart does not re-emit everything). Points may be any time late:
+there is no watermark, and a key's state stays until it is asked to expire. State grows by
+one small row per region and hour ever seen; where that is too much, ``expire_days`` drops
+a key that many days after it was last polled, and a later poll of it counts as new.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ OUTPUT = "region string, delivery_ts timestamp, price_eur_mwh double, fetched_at
 STATE = "last_price double"
 
 
-def _emit_changes_fn(retention_ms: int):
+def _emit_changes_fn(expire_ms: int | None):
     # Nested so that the function travels to the Python workers by value.
     def emit(key, batches, state):
         import pandas as pd
@@ -37,29 +37,24 @@ def _emit_changes_fn(retention_ms: int):
             first_ever.iloc[0] = True
         # NULL-safe "differs from the previous revision".
         same = (prices == previous) | (prices.isna() & previous.isna())
-        changed = rows[first_ever | ~same]
+        changed = rows[first_ever.to_numpy() | ~same.to_numpy()]
         last = prices.iloc[-1]
         state.update((None if pd.isna(last) else float(last),))
-        delivery_ms = int(pd.Timestamp(rows["delivery_ts"].iloc[0]).value // 1_000_000)
-        # The timeout must lie after the current watermark.
-        state.setTimeoutTimestamp(max(delivery_ms + retention_ms, state.getCurrentWatermarkMs() + 1))
+        if expire_ms is not None:
+            state.setTimeoutDuration(expire_ms)
         if len(changed):
             yield changed[["region", "delivery_ts", "price_eur_mwh", "fetched_at"]]
 
     return emit
 
 
-def changed_points(points: DataFrame, watermark: str = "1 hour", retention_hours: int = 14 * 24) -> DataFrame:
+def changed_points(points: DataFrame, expire_days: float | None = None) -> DataFrame:
     """Streaming points ``(region, delivery_ts, price_eur_mwh, fetched_at)``
-    -> only new or changed prices per (region, delivery_ts)."""
-    return (
-        points.withWatermark("fetched_at", watermark)
-        .groupBy("region", "delivery_ts")
-        .applyInPandasWithState(
-            _emit_changes_fn(retention_hours * 3600 * 1000),
-            OUTPUT,
-            STATE,
-            "append",
-            GroupStateTimeout.EventTimeTimeout,
-        )
+    -> only new or changed prices per (region, delivery_ts), in order of arrival."""
+    return points.groupBy("region", "delivery_ts").applyInPandasWithState(
+        _emit_changes_fn(None if expire_days is None else int(expire_days * 86_400_000)),
+        OUTPUT,
+        STATE,
+        "append",
+        GroupStateTimeout.NoTimeout if expire_days is None else GroupStateTimeout.ProcessingTimeTimeout,
     )

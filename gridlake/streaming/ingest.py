@@ -2,7 +2,8 @@
 
 One streaming query reads the topic once. Each micro-batch is decoded and
 classified once (persisted for the batch), rejects are written to
-``rejected_messages/batch_id=<id>`` (overwritten on replay) and valid rows
+``rejected_messages/run_id=<checkpoint>/batch_id=<id>`` (overwritten on replay; another
+checkpoint counts its batches in a folder of its own) and valid rows
 are merged into bronze with the revision-aware merge, staged under the same
 batch id. A batch replayed after a crash therefore converges to the same
 tables: at-least-once delivery with idempotent effects. Late and out-of-order
@@ -11,6 +12,8 @@ revisions need no watermark: the merge orders them by ``fetched_at``.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,8 +56,8 @@ def kafka_messages(
     )
 
 
-def process_batch(lake: L.Lake):
-    """The ``foreachBatch`` callback for ``lake``."""
+def process_batch(lake: L.Lake, run_id: str):
+    """The ``foreachBatch`` callback for ``lake``; ``run_id`` names the checkpoint."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -63,17 +66,17 @@ def process_batch(lake: L.Lake):
         try:
             if classified.isEmpty():
                 return
-            rejects = MSG.rejected_rows(classified).withColumn("batch_id", F.lit(int(batch_id)))
+            rejects = MSG.rejected_rows(classified).withColumns({"run_id": F.lit(run_id), "batch_id": F.lit(int(batch_id))})
             (
                 rejects.write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("batch_id")
+                .partitionBy(*L.REJECTS.partition_cols)
                 .parquet(lake.path(L.REJECTS))
             )
             valid = L.with_delivery_date(MSG.valid_rows(classified))
             TB.merge_into(
                 spark, lake.path(L.BRONZE), BRONZE, valid, L.BRONZE.keys, L.BRONZE.partition_cols,
-                f"stream-{int(batch_id):012d}",
+                f"stream-{run_id}-{int(batch_id):012d}",
             )
         finally:
             classified.unpersist()
@@ -92,8 +95,8 @@ def start_ingest(
     keyword set, e.g. ``{"processingTime": "30 seconds"}`` or
     ``{"availableNow": True}``."""
     spark = messages.sparkSession
-    TB.recover(spark, lake.path(L.BRONZE), L.BRONZE.partition_cols)
-    writer = messages.writeStream.foreachBatch(process_batch(lake)).option("checkpointLocation", checkpoint)
+    run_id = "run-" + hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+    writer = messages.writeStream.foreachBatch(process_batch(lake, run_id)).option("checkpointLocation", checkpoint)
     if name:
         writer = writer.queryName(name)
     writer = writer.trigger(**(trigger or {"processingTime": DEFAULT_TRIGGER}))
