@@ -247,16 +247,19 @@ def factors(
         .applyInArrow(_candidates(window, gram), _CANDIDATES)
         .repartition("anchor")
     )
-    earlier = Window.partitionBy("anchor", "w").orderBy("ord", "at")
-    looked_up = (
-        rows.where("n = 0")
-        .select("anchor", "block", "ord", "pos", F.posexplode("windows").alias("j", "w"))
-        .select("anchor", "w", "block", "ord", F.expr("pos + j").alias("at"))
+    # Both kinds of rows go through one ranking: a second reader would run the step above again.
+    to_find = F.transform(
+        "windows", lambda w, j: F.struct(w.alias("w"), (F.col("pos") + j).alias("at"), F.lit(1).alias("m"), F.lit(False).alias("known"))
+    )
+    known = F.array(F.struct(F.lit(0).alias("w"), F.col("pos").alias("at"), F.col("n").alias("m"), F.lit(True).alias("known")))
+    earlier = Window.partitionBy("anchor", "w", "known").orderBy("ord", "at")
+    repeats = (
+        rows.select("anchor", "block", "ord", F.explode(F.when(F.col("n") == 0, to_find).otherwise(known)).alias("x"))
+        .select("anchor", "block", "ord", "x.*")
         .withColumn("place", F.rank().over(earlier))
-        .where("place > 1")
-        .select("block", "ord", F.col("at").alias("pos"), F.lit(1).alias("n"))
+        .where("place > 1 OR known")
+        .select("block", "ord", F.col("at").alias("pos"), F.col("m").alias("n"))
     )
-    repeats = rows.where("n > 0").select("block", "ord", "pos", "n").unionByName(looked_up)
     return (
         placed.groupBy("block")
         .cogroup(repeats.groupBy("block"))
