@@ -92,7 +92,10 @@ def main(argv: list[str] | None = None) -> int:
         from gridlake.jobs.ingest import ingest_news
         from gridlake.sources.landed import read_documents
 
-        feeds = read_documents(spark, args.feeds).select(F.col("file").alias("url"), F.col("text").alias("xml"))
+        # A landed feed is named by its percent-encoded URL (the file path encodes it once more).
+        name = F.regexp_extract("file", r"([^/]+?)(?:\.xml)?$", 1)
+        url = F.url_decode(F.url_decode(name))
+        feeds = read_documents(spark, args.feeds).select(url.alias("url"), F.col("text").alias("xml"))
         answers = spark.read.parquet(args.answers) if args.answers else None
         result = ingest_news(spark, lake, feeds, answers, args.fetched_at or _now(), args.keep_label, args.limit)
     elif args.command == "maintain":

@@ -21,6 +21,7 @@ TAG_PATTERN = r"<[^>]+>"
 # ``(?U)`` makes ``\s`` Unicode-aware (NBSP and friends); Python also counts the
 # information separators U+001C..U+001F as whitespace.
 SPACE_PATTERN = r"(?U)[\s\x1c-\x1f]+"
+XML_ILLEGAL = r"[\x00-\x08\x0B\x0C\x0E-\x1F\uFFFE\uFFFF]"
 HOST_PATTERN = r"^[^:/?#]+://([^/?#]*)"
 # -----------------------------------------------------------------------------
 
@@ -52,9 +53,9 @@ def url_host(url: Column | str) -> Column:
 
 
 def xml_escape(text: Column | str) -> Column:
-    return F.regexp_replace(
-        F.regexp_replace(F.regexp_replace(col(text), "&", "&amp;"), "<", "&lt;"), ">", "&gt;"
-    )
+    """Text as XML content: markup escaped, characters that XML 1.0 forbids dropped."""
+    legal = F.regexp_replace(col(text), XML_ILLEGAL, "")
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(legal, "&", "&amp;"), "<", "&lt;"), ">", "&gt;")
 
 
 def split_list(text: Column | str, sep: str = ",") -> Column:

@@ -57,7 +57,7 @@ def hour_profile(serving: DataFrame) -> DataFrame:
     _WITH + f"SELECT local_hour, {S.avg2()} AS avg_price, count(*) AS n FROM serving GROUP BY local_hour",
 )
 def bi_hour_profile(spark, sf_dir):
-    """A) Average price and count by local hour (the duck curve)."""
+    """Mean price and number of hours for each local hour."""
     return hour_profile(state.serving(spark, sf_dir)).orderBy("local_hour")
 
 
@@ -76,7 +76,7 @@ def _sql_avg_filtered(cond: str) -> str:
     _WITH + f"SELECT {_sql_avg_filtered(_EVE)} AS evening_peak, {_sql_avg_filtered(_MID)} AS midday_trough FROM serving",
 )
 def bi_peak_trough(spark, sf_dir):
-    """B) Evening peak vs midday trough, one row."""
+    """One row: mean of the evening band, of the midday band, and their distance."""
     return peak_trough(state.serving(spark, sf_dir))
 
 
@@ -97,7 +97,7 @@ def peak_trough(serving: DataFrame) -> DataFrame:
 FROM serving""",
 )
 def bi_negative_totals(spark, sf_dir):
-    """C) Negative-price totals; empty input gives NULL ratios, not an error."""
+    """Hours below zero in total; without rows the ratios are NULL."""
     return negative_totals(state.serving(spark, sf_dir))
 
 
@@ -122,7 +122,7 @@ def negative_totals(serving: DataFrame) -> DataFrame:
 FROM serving GROUP BY is_weekend""",
 )
 def bi_negative_by_daytype(spark, sf_dir):
-    """D) Negative-price share, weekend vs weekday."""
+    """Share of hours below zero by kind of day."""
     return negative_by_daytype(state.serving(spark, sf_dir))
 
 
@@ -145,7 +145,7 @@ def negative_by_daytype(serving: DataFrame) -> DataFrame:
 FROM serving GROUP BY 1""",
 )
 def bi_monthly(spark, sf_dir):
-    """E) Monthly trend on the local calendar."""
+    """Mean, lowest and highest price of each local month."""
     return monthly(state.serving(spark, sf_dir))
 
 
@@ -167,7 +167,7 @@ def monthly(serving: DataFrame) -> DataFrame:
     _WITH + f"SELECT is_weekend, {S.avg2()} AS avg_price, count(*) AS n FROM serving GROUP BY is_weekend",
 )
 def bi_avg_by_daytype(spark, sf_dir):
-    """F) Weekend vs weekday average price."""
+    """Mean price by kind of day."""
     return avg_by_daytype(state.serving(spark, sf_dir))
 
 
@@ -186,7 +186,7 @@ def avg_by_daytype(serving: DataFrame) -> DataFrame:
 FROM serving WHERE ({_MID}) OR ({_EVE}) GROUP BY 1, 2""",
 )
 def bi_band_by_daytype(spark, sf_dir):
-    """G) Average by (weekend, midday?) within the midday and evening bands."""
+    """Mean price by kind of day and band (midday or evening hours only)."""
     return band_by_daytype(state.serving(spark, sf_dir))
 
 
@@ -205,10 +205,10 @@ def band_by_daytype(serving: DataFrame) -> DataFrame:
     _WITH
     + f"""SELECT {S.avg2('sum(spread)', 'count(spread)')} AS avg_daily_spread FROM (
     SELECT strftime({S.local('delivery_ts')}, '%Y-%m-%d') AS d, max(price_cents) - min(price_cents) AS spread
-    FROM serving GROUP BY 1) x""",
+    FROM serving GROUP BY 1) daily""",
 )
 def bi_daily_spread(spark, sf_dir):
-    """H) Mean over local days of (max - min): two aggregation levels."""
+    """Mean distance between a local day's dearest and cheapest hour."""
     return daily_spread(state.serving(spark, sf_dir))
 
 
@@ -227,7 +227,7 @@ def daily_spread(serving: DataFrame) -> DataFrame:
        max(negative_hours) AS max_neg_hours_in_day FROM daily""",
 )
 def bi_negative_days(spark, sf_dir):
-    """I-1) Days with negative hours and the most negative hours in one day."""
+    """How many days had hours below zero, and the most such hours in a day."""
     return negative_days(state.daily(spark, sf_dir))
 
 
@@ -245,7 +245,7 @@ def negative_days(daily: DataFrame) -> DataFrame:
 ORDER BY negative_hours DESC NULLS FIRST, local_day, region LIMIT 3""",
 )
 def bi_worst_days(spark, sf_dir):
-    """I-2) Three days with the most negative hours (top-k; NULLs first as in
+    """The three days with the most negative hours (top-k; NULLs first as in
     the reference's database, ties by day then region)."""
     return worst_days(state.daily(spark, sf_dir))
 
@@ -265,7 +265,7 @@ def worst_days(daily: DataFrame, n: int = 3) -> DataFrame:
 FROM serving WHERE is_weekend AND {_MID} GROUP BY 1""",
 )
 def bi_weekend_midday(spark, sf_dir):
-    """J) Weekend-midday average per weekend day, highest first."""
+    """Midday mean of every weekend day, dearest first."""
     return weekend_midday(state.serving(spark, sf_dir))
 
 
@@ -283,10 +283,10 @@ def weekend_midday(serving: DataFrame) -> DataFrame:
     _WITH
     + f"""SELECT count(*) AS days, count(*) FILTER (WHERE midday_avg < 0) AS days_below_zero FROM (
     SELECT strftime({S.local('delivery_ts')}, '%Y-%m-%d') AS local_day, {S.avg2()} AS midday_avg
-    FROM serving WHERE is_weekend AND {_MID} GROUP BY 1) d""",
+    FROM serving WHERE is_weekend AND {_MID} GROUP BY 1) daily""",
 )
 def bi_weekend_midday_below_zero(spark, sf_dir):
-    """J, prose) Weekend days, and those whose midday average is below zero."""
+    """Weekend days, and how many of them have a midday mean below zero."""
     per_day = weekend_midday(state.serving(spark, sf_dir))
     return per_day.agg(
         F.count(F.lit(1)).alias("days"), F.count_if(F.col("midday_avg") < 0).alias("days_below_zero")

@@ -42,8 +42,12 @@ def time_range(as_of: Column, back_days: int = RANGE_BACK_DAYS, ahead_days: int
 
 
 def _panel(spark, sf_dir, region: str = DASHBOARD_REGION, ranged: bool = True) -> DataFrame:
-    df = state.serving(spark, sf_dir).where(F.col("region") == region)
-    return df.where(time_range(state.as_of())) if ranged else df
+    if not ranged:
+        return state.serving(spark, sf_dir).where(F.col("region") == region)
+    as_of = state.as_of()
+    since, through = as_of - F.make_dt_interval(F.lit(RANGE_BACK_DAYS)), as_of + F.make_dt_interval(F.lit(RANGE_AHEAD_DAYS))
+    served = state.serving(spark, sf_dir, since=since, through=through)
+    return served.where((F.col("region") == region) & time_range(as_of))
 
 
 def _exact_avg(cond: Column | None = None) -> Column:
@@ -100,7 +104,7 @@ def dash_price_series(spark, sf_dir):
     "dash_last_days",
     _DAILY
     + f"""SELECT strftime(local_day, '%a %d') AS day, negative_hours AS hours_below_zero FROM (
-    SELECT local_day, negative_hours FROM daily WHERE {_R} ORDER BY local_day DESC LIMIT 14) last_14""",
+    SELECT local_day, negative_hours FROM daily WHERE {_R} ORDER BY local_day DESC LIMIT 14) newest""",
 )
 def dash_last_days(spark, sf_dir):
     """Hours below zero per day for the latest 14 days, labelled ``Dy DD``."""

@@ -185,10 +185,17 @@ SELECT * FROM valid
 QUALIFY row_number() OVER (PARTITION BY region, delivery_ts ORDER BY fetched_at DESC) = 1""",
 )
 def stream_bronze(spark, sf_dir):
-    """S1/T1-T5 end to end: the fixture messages land as two files (odd, then
-    even events) in a fresh folder under the session's checkpoint folder; the
-    ingest stream runs to completion (one file per micro-batch, rejects
-    routed, revision-aware merge) and bronze is read back."""
+    """S1/T1-T5 end to end: the bronze table that the ingest stream leaves."""
+    from gridlake import lake as L
+
+    lake = stream_lake(spark, sf_dir)
+    return spark.read.parquet(lake.path(L.BRONZE)).select(*BRONZE.fieldNames())
+
+
+def stream_lake(spark, sf_dir):
+    """The fixture messages land as files (odd, then even events) in a fresh folder under
+    the session's checkpoint folder; the ingest stream runs to completion (rejects routed,
+    revision-aware merge). Returns its lake."""
     import uuid
 
     from gridlake import lake as L
@@ -206,7 +213,7 @@ def stream_bronze(spark, sf_dir):
     q.awaitTermination()
     if q.exception() is not None:
         raise RuntimeError(f"ingest stream failed: {q.exception()}")
-    return spark.read.parquet(lake.path(L.BRONZE)).select(*BRONZE.fieldNames())
+    return lake
 
 
 # Split instant of the two landings of stream_changed_prices: mid-hour, so the

@@ -287,7 +287,10 @@ def merge_into(
     """
     cols = [f.name for f in schema.fields] + [c for c in partition_cols if c not in schema.fieldNames()]
     acquire(spark, table_path, batch_id, partition_cols)
-    batch = batch.select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+    batch = batch.select(*cols)
+    kept = batch.storageLevel != StorageLevel.NONE  # by the caller
+    if not kept:
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         recover(spark, table_path, partition_cols)
         target = touched_target(spark, table_path, batch, partition_cols)
@@ -300,7 +303,8 @@ def merge_into(
         stage(deal(merged, table_path, partition_cols), table_path, batch_id, partition_cols)
         publish(spark, table_path, batch_id, partition_cols)
     finally:
-        batch.unpersist()
+        if not kept:
+            batch.unpersist()
         release(spark, table_path)
 
 

@@ -1,10 +1,12 @@
 """RSS 2.0 / RSS 1.0 / Atom feed documents -> headlines.
 
-A feed is one row ``(url, xml)``; ``from_xml`` decodes it on the executors
-(entities, CDATA, attributes as ``_href``). RSS items are used when the
-document has any, else Atom entries. A document that is not well-formed XML
-yields no items and one reject row, so a broken feed never stops the others.
-Items keep their document position: the first item per link wins.
+A feed is one row ``(url, xml)``. ``from_xml`` tells on the executors whether it is
+well-formed; namespace prefixes of element names are dropped, and the items are cut out
+at whatever depth they stand and decoded one by one (entities, CDATA, attributes as
+``_href``). RSS items are used when the document has any, else Atom entries. A document
+that is not well-formed, or has neither, yields no items and one reject row, so a broken
+feed never stops the others. Items keep their document position: the first item per link
+wins.
 """
 
 from __future__ import annotations
@@ -16,24 +18,31 @@ from gridlake.functions.text import clean_text, url_host, xml_escape
 from gridlake.functions.time import parse_feed_date
 
 CORRUPT = "_corrupt_record"
-_RSS_ITEM = "struct<title: string, link: string, pubDate: string>"
-FEED_SCHEMA = (
-    f"channel struct<item: array<{_RSS_ITEM}>>, item array<{_RSS_ITEM}>, "
-    "entry array<struct<title: string, link: array<struct<_href: string>>, updated: string, published: string>>, "
-    f"{CORRUPT} string"
+DOCUMENT_SCHEMA = f"_root string, {CORRUPT} string"
+ITEM_SCHEMA = (
+    "title string, link array<struct<_VALUE: string, _href: string>>, pubDate string, updated string, published string"
 )
 # --- Fixed values ---------------------------------------------------------------
 INVALID_XML = "invalid_xml"
+NO_ITEMS = "no_items"
 ATOM_NS = "http://www.w3.org/2005/Atom"
+PREFIX = r"(</?)[A-Za-z_][\w.\-]*:(?=[A-Za-z_])"
+ITEM = r"(?s)<item(?:\s[^>]*)?>.*?</item\s*>"
+ENTRY = r"(?s)<entry(?:\s[^>]*)?>.*?</entry\s*>"
 # -------------------------------------------------------------------------------
 
 
 def _parsed(feeds: DataFrame) -> DataFrame:
-    """``(url, d)`` with ``d`` the parsed document. The one-element
-    ``explode`` is a Generate node, so filters and field references above it
-    cannot copy the parse: each document is parsed once."""
-    doc = F.from_xml(F.col("xml"), FEED_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
-    return feeds.select("url", F.explode(F.array(doc)).alias("d"))
+    """``(url, valid, items)``: items as XML texts. The one-element ``explode`` is
+    a Generate node, so filters above it cannot copy the work: each document is read
+    once."""
+    doc = F.from_xml(F.col("xml"), DOCUMENT_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    local = F.regexp_replace("xml", PREFIX, "$1")
+    rss, atom = (F.regexp_extract_all(F.col("x"), F.lit(p), F.lit(0)) for p in (ITEM, ENTRY))
+    seen = feeds.select("url", doc[CORRUPT].isNull().alias("valid"), local.alias("x"))
+    items = F.when(F.size(rss) > 0, rss).otherwise(atom)
+    whole = F.struct("url", "valid", F.when(F.col("valid"), items).otherwise(F.array().cast("array<string>")).alias("items"))
+    return seen.select(F.explode(F.array(whole)).alias("f")).select("f.*")
 
 
 def _nonempty(c):
@@ -44,46 +53,29 @@ def parse_feeds(feeds: DataFrame) -> DataFrame:
     """``(url, xml)`` -> ``(source, link, title, published_ts, pos, url)``.
 
     ``source`` is the feed URL's host. Titles and RSS links are cleaned
-    (tags, entities, whitespace); Atom links are the first ``link/@href``.
-    Items without title or link are skipped, as are repeated links.
+    (tags, entities, whitespace). A link with an ``href`` (Atom, also inside an RSS
+    item) is preferred to a link text. Items without title or link are skipped, as are
+    repeated links.
     """
-    parsed = _parsed(feeds)
-    rss_items = F.coalesce(F.col("d.channel.item"), F.col("d.item"))
-    rss = F.transform(
-        rss_items,
-        lambda x: F.struct(
-            x["title"].alias("title"),
-            x["link"].alias("link_text"),
-            F.lit(None).cast("string").alias("href"),
-            x["pubDate"].alias("date"),
-        ),
-    )
-    atom = F.transform(
-        F.col("d.entry"),
-        lambda x: F.struct(
-            x["title"].alias("title"),
-            F.lit(None).cast("string").alias("link_text"),
-            F.try_element_at(x["link"], F.lit(1))["_href"].alias("href"),
-            F.coalesce(_nonempty(x["updated"]), _nonempty(x["published"])).alias("date"),
-        ),
-    )
-    items = F.when(F.size(F.coalesce(rss_items, F.array())) > 0, rss).otherwise(atom)
-    exploded = parsed.where(F.col(f"d.{CORRUPT}").isNull()).select(
-        "url", F.posexplode(items).alias("pos", "it")
-    )
-    link = F.coalesce(_nonempty(F.trim(F.col("it.href"))), clean_text(F.col("it.link_text")))
+    exploded = _parsed(feeds).select("url", F.posexplode("items").alias("pos", "text"))
+    item = F.from_xml(F.col("text"), ITEM_SCHEMA, {"mode": "PERMISSIVE"})
+    decoded = exploded.select("url", "pos", F.explode(F.array(item)).alias("it"))
+    hrefs = F.filter(F.transform("it.link", lambda x: F.trim(x["_href"])), lambda h: h != "")
+    texts = F.filter(F.transform("it.link", lambda x: x["_VALUE"]), lambda t: F.trim(t) != "")
+    link = F.coalesce(F.try_element_at(hrefs, F.lit(1)), clean_text(F.try_element_at(texts, F.lit(1))))
+    date = F.coalesce(_nonempty(F.col("it.pubDate")), _nonempty(F.col("it.updated")), _nonempty(F.col("it.published")))
     cleaned = F.struct(
         url_host(F.col("url")).alias("source"),
         F.col("url"),
         F.col("pos"),
         clean_text(F.col("it.title")).alias("title"),
         link.alias("link"),
-        parse_feed_date(F.col("it.date")).alias("published_ts"),
+        parse_feed_date(date).alias("published_ts"),
     )
     # Generate barrier again: the filter on the cleaned title must not be
     # pushed below the (Python) cleaning, which would run it twice.
     rows = (
-        exploded.select(F.explode(F.array(cleaned)).alias("h"))
+        decoded.select(F.explode(F.array(cleaned)).alias("h"))
         .select("h.*")
         .where((F.col("title") != "") & (F.col("link") != ""))
     )
@@ -96,11 +88,14 @@ def parse_feeds(feeds: DataFrame) -> DataFrame:
 
 
 def feed_rejects(feeds: DataFrame) -> DataFrame:
-    """One row per feed that is not well-formed XML: (source, url, reason)."""
+    """One row per feed that is not well-formed XML or has no item at all:
+    (source, url, reason)."""
     return (
         _parsed(feeds)
-        .where(F.col(f"d.{CORRUPT}").isNotNull())
-        .select(url_host(F.col("url")).alias("source"), "url", F.lit(INVALID_XML).alias("reason"))
+        .where(~F.col("valid") | (F.size("items") == 0))
+        .select(
+            url_host(F.col("url")).alias("source"), "url", F.when(F.col("valid"), NO_ITEMS).otherwise(INVALID_XML).alias("reason")
+        )
     )
 
 

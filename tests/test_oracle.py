@@ -28,9 +28,7 @@ def test_query_matches_oracle(spark, duck, name):
 
 @pytest.mark.parametrize("name", sorted(n for n, q in _QUERIES.items() if not q.sql))
 def test_query_without_oracle_runs(spark, name):
-    df = _QUERIES[name].fn(spark, SF_SMALL)
-    assert df.count() >= 0
-    assert df.columns == _QUERIES[name].fn(spark, SF_SMALL).columns
+    assert _QUERIES[name].fn(spark, SF_SMALL).count() > 0
 
 
 def test_entry_smoke(spark):

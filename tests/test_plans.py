@@ -12,7 +12,22 @@ from tests.conftest import SF_SMALL
 # Columns no query needs: a scan that reads them is not pruned.
 UNUSED = {"events": {"user_id", "props"}, "documents": {"lang", "n_chars"}}
 # Queries that run a job when called (their plans read the lake, not the inputs).
-JOBS = {"stream_bronze", "stream_changed_prices", "lake_gold", "lake_news"}
+JOBS = {
+    "stream_bronze", "stream_changed_prices", "stream_rejects", "lake_gold", "lake_news", "lake_serving_hourly",
+    "lake_serving_daily", "lake_health", "lake_compacted", "headline_lines",
+}
+# Queries over a stretch of time: a bound on the raw event time reaches the scan.
+BOUNDED = (
+    "window_recompute", "window_recompute_unaligned", "sample_document", "dash_range_stats", "dash_price_series",
+    "dash_hour_profile", "pulse_windows", "pulse_extremes", "pulse_split",
+)
+
+
+@pytest.mark.parametrize("name", BOUNDED)
+def test_time_filters_reach_the_scan(spark, name):
+    plan = all_queries()[name].fn(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    pushed = re.findall(r"PushedFilters: \[([^\n]*)", plan)  # the plan text may cut the list short
+    assert pushed and all(re.search(r"(GreaterThanOrEqual|LessThan)\(ts,", p) for p in pushed), pushed
 
 
 @pytest.mark.parametrize("name", sorted(n for n in all_queries() if n not in JOBS))

@@ -65,6 +65,13 @@ def test_stream_converges_to_the_batch_answer_and_survives_restart(spark, scratc
     assert _bronze(spark, lake) == _expected_bronze(spark)
     assert spark.read.parquet(lake.path(L.REJECTS)).select("batch_id").distinct().count() == 3
 
+    # Another checkpoint counts its batches from 0 again: nothing of the first is lost.
+    before = spark.read.parquet(lake.path(L.REJECTS)).count()
+    q = start_ingest(file_messages(spark, inbox, max_files_per_trigger=3), lake, f"{ckpt}-2", {"availableNow": True})
+    q.awaitTermination(600)
+    assert q.exception() is None
+    assert spark.read.parquet(lake.path(L.REJECTS)).count() == 2 * before
+
 
 def test_changed_points_stream(spark, scratch):
     inbox = f"{scratch}/points"
@@ -88,3 +95,27 @@ def test_changed_points_stream(spark, scratch):
     q.awaitTermination(600)
     got = sorted((r.delivery_ts, r.price_eur_mwh) for r in spark.table("changed_test").collect())
     assert got == [(t0, 10.0), (t0, 11.0), (t0, 12.0), (t0 + dt.timedelta(hours=1), 5.0)]
+
+
+def _run(spark, inbox, scratch, schema, name, **options):
+    stream = spark.readStream.schema(schema).json(inbox)
+    q = changed_points(stream, **options).writeStream.format("parquet").option("path", f"{scratch}/{name}")
+    q = q.option("checkpointLocation", f"{scratch}/{name}-ckpt").outputMode("append").trigger(availableNow=True).start()
+    q.awaitTermination(600)
+    assert q.exception() is None
+    return sorted((r.delivery_ts.day, r.price_eur_mwh) for r in spark.read.schema(schema).parquet(f"{scratch}/{name}").collect())
+
+
+def test_late_keys_are_emitted_and_old_unchanged_hours_are_not(spark, scratch):
+    inbox, schema = f"{scratch}/inbox", "region string, delivery_ts timestamp, price_eur_mwh double, fetched_at timestamp"
+    day = lambda d, h=0: dt.datetime(2025, 4, d, h)
+    polls = [
+        [("R", day(1), 10.0, day(1))],
+        [("R", day(28), 5.0, day(28))],
+        [("R", day(1), 10.0, day(29)), ("R", day(2), 7.0, day(2))],  # old hour unchanged; a key 27 days late
+        [("R", day(1), 10.0, day(30)), ("R", day(1), 11.0, day(30, 1))],
+    ]
+    want = [[(1, 10.0)], [(1, 10.0), (28, 5.0)], [(1, 10.0), (2, 7.0), (28, 5.0)], [(1, 10.0), (1, 11.0), (2, 7.0), (28, 5.0)]]
+    for k, rows in enumerate(polls):
+        _land(spark.createDataFrame(rows, schema), inbox, str(k))
+        assert _run(spark, inbox, scratch, schema, "out") == want[k]

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from gridlake import lake as L
@@ -34,16 +36,102 @@ def test_merge_into_converges_and_replays_are_idempotent(spark, scratch):
     assert rows == [(T0, 120.0, "b"), (T0 + dt.timedelta(days=1), 7.0, "b")]
 
 
-def test_merge_reads_only_touched_partitions(spark, scratch):
-    lake = L.Lake(scratch)
-    path = lake.path(L.BRONZE)
+def _merge(spark, path, rows, batch_id):
+    TB.merge_into(spark, path, BRONZE, rows, L.BRONZE.keys, L.BRONZE.partition_cols, batch_id)
+
+
+def test_merge_scans_the_touched_folders_only(spark, scratch):
+    path = L.Lake(scratch).path(L.BRONZE)
     days = bronze_rows(spark, [("DE-LU", T0 + dt.timedelta(days=d), 1.0, "a", T0) for d in range(5)])
     TB.write_partitions(spark, days, path, "init", L.BRONZE.partition_cols)
-    batch = bronze_rows(spark, [("DE-LU", T0, 2.0, "b", T0 + dt.timedelta(hours=1))])
+    batch = bronze_rows(spark, [("DE-LU", T0 + dt.timedelta(days=d), 2.0, "b", T0 + dt.timedelta(hours=1)) for d in (0, 3)])
     target = TB.touched_target(spark, path, batch, L.BRONZE.partition_cols)
     plan = target._jdf.queryExecution().executedPlan().toString()
-    assert "dynamicpruning" in plan.lower() or "PartitionFilters" in plan
-    assert target.count() == 1
+    (filters,) = re.findall(r"PartitionFilters: \[([^\n]*?)\], PushedFilters", plan)
+    assert "2026-01-06" in plan and "2026-01-09" in plan and "delivery_date" in filters
+    assert target.count() == 2
+
+
+def test_silver_merge_evaluates_its_batch_once(spark, scratch):
+    from pyspark import StorageLevel
+
+    path = L.Lake(scratch).path(L.BRONZE)
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = bronze_rows(spark, [("DE-LU", T0 + dt.timedelta(hours=h), 1.0, "a", T0) for h in range(30)])
+    counted = rows.mapInArrow(count, rows.schema)
+    for version in ("fetched_at", None):
+        before = seen.value
+        TB.merge_into(spark, path, BRONZE, counted, L.BRONZE.keys, L.BRONZE.partition_cols, f"once-{version}", version=version)
+        assert seen.value - before == 30
+    assert counted.select(*counted.columns).storageLevel == StorageLevel.NONE
+
+
+def test_a_partition_gets_one_file_until_it_is_large(spark, scratch, monkeypatch):
+    path = L.Lake(scratch).path(L.BRONZE)
+    rows = bronze_rows(spark, [("DE-LU", T0 + dt.timedelta(minutes=m), 1.0, "a", T0) for m in range(600)]).repartition(8)
+    _merge(spark, path, rows, "m1")
+    assert [r.files for r in TB.table_files(spark, path, ["delivery_date"]).collect()] == [1]
+    monkeypatch.setattr(TB, "TARGET_FILE_BYTES", 1000)
+    dealt = TB.deal(rows, path, L.BRONZE.partition_cols)  # a day over several files from here on
+    assert dealt._jdf.queryExecution().logical().toString().count("pmod(") == 1
+    large = sum(TB.file_sizes(spark, path, L.BRONZE.partition_cols)["delivery_date=2026-01-06"])
+    assert f", {-(-large // 1000)})" in dealt._jdf.queryExecution().logical().toString()
+
+
+def test_recovery_never_takes_newer_rows_back(spark, scratch):
+    path = L.Lake(scratch).path(L.BRONZE)
+    hour = dt.timedelta(hours=1)
+    TB.stage(bronze_rows(spark, [("A", T0, 1.0, "a", T0)]), path, "a1", L.BRONZE.partition_cols)  # then a crash
+    _merge(spark, path, bronze_rows(spark, [("A", T0, 2.0, "b", T0 + hour), ("B", T0, 3.0, "b", T0 + hour)]), "a2")
+    TB.recover(spark, path, L.BRONZE.partition_cols)
+    got = sorted((r.region, r.price_eur_mwh) for r in spark.read.parquet(path).collect())
+    assert got == [("A", 2.0), ("B", 3.0)]
+
+
+def test_a_crash_while_publishing_is_finished(spark, scratch):
+    path = L.Lake(scratch).path(L.BRONZE)
+    rows = bronze_rows(spark, [("A", T0 + dt.timedelta(days=d), float(d), "a", T0) for d in range(3)])
+    staged = TB.stage(rows, path, "b1", L.BRONZE.partition_cols)
+    TB._rename(spark, f"{staged}/delivery_date=2026-01-07", f"{path}/delivery_date=2026-01-07")
+    assert TB.recover(spark, path, L.BRONZE.partition_cols) == ["b1"]
+    assert sorted(r.price_eur_mwh for r in spark.read.parquet(path).collect()) == [0.0, 1.0, 2.0]
+
+
+def test_one_writer_at_a_time(spark, scratch):
+    path = L.Lake(scratch).path(L.BRONZE)
+    rows = bronze_rows(spark, [("A", T0, 1.0, "a", T0)])
+    TB.acquire(spark, path, "other", L.BRONZE.partition_cols)  # its writer is at work, or died before staging
+    with pytest.raises(TB.TableBusy):
+        _merge(spark, path, rows, "mine")
+    _merge(spark, path, rows, "other")  # a replay of the same batch goes on
+    TB.acquire(spark, path, "third", L.BRONZE.partition_cols)
+    TB.stage(bronze_rows(spark, [("A", T0, 5.0, "c", T0 + dt.timedelta(hours=9))]), path, "third", L.BRONZE.partition_cols)
+    _merge(spark, path, rows, "mine")  # the complete copy is recovered, then merged into
+    assert [r.price_eur_mwh for r in spark.read.parquet(path).collect()] == [5.0]
+    TB.acquire(spark, path, "gone", L.BRONZE.partition_cols)
+    TB.break_lock(spark, path)
+    _merge(spark, path, rows, "mine-2")
+
+
+def test_poison_prices_stop_nothing(spark, scratch):
+    from gridlake.sources import messages as MSG
+
+    body = '{{"region":"A","delivery_ts":"2026-01-06T{0:02d}:00:00+00:00","price_eur_mwh":{1},"fetched_at":"2026-01-06T01:00:00+00:00"}}'
+    values = [body.format(h, p) for h, p in enumerate(("1.5", "Infinity", "1e300", "-99999999.99", "NaN"))]
+    raw = spark.createDataFrame([("k", v, T0) for v in values], "key string, value string, timestamp timestamp")
+    classified = MSG.classify(MSG.decode(raw))
+    lake = L.Lake(scratch)
+    _merge(spark, lake.path(L.BRONZE), L.with_delivery_date(MSG.valid_rows(classified)), "b")
+    transform.run_transform(spark, lake, "2026-01-07 00:00:00")
+    gold = spark.read.parquet(lake.path(L.GOLD_DAILY)).first()
+    assert (gold.min_price, gold.max_price) == (-99999999.99, 1.5)
+    assert MSG.rejected_rows(classified).count() == 3
 
 
 def test_crash_between_stage_and_publish_is_recovered(spark, scratch):
@@ -75,7 +163,7 @@ def test_transform_job_matches_the_queries(spark, scratch):
     lake = L.Lake(scratch)
     bronze = L.with_delivery_date(X.observations(spark, SF_SMALL))
     TB.merge_into(spark, lake.path(L.BRONZE), BRONZE, bronze, L.BRONZE.keys, L.BRONZE.partition_cols, "load")
-    transform.run_transform(spark, lake, X.AS_OF, since_hours=24 * 40)
+    transform.run_transform(spark, lake, X.AS_OF, since_hours=None)
     silver = spark.read.parquet(lake.path(L.SILVER)).drop("delivery_date")
     want = state.silver(spark, SF_SMALL)
     assert sorted(map(tuple, silver.select(*want.columns).collect())) == sorted(map(tuple, want.collect()))
@@ -94,17 +182,16 @@ def test_transform_job_matches_the_queries(spark, scratch):
     assert len(rows) == 1 and rows[0].status == "fail"
 
 
-def test_news_ingest_moves_partitions(spark, scratch):
+def test_news_keys_stay_one_row_whatever_their_dates(spark, scratch):
     lake = L.Lake(scratch)
-    rss = lambda date: (
-        f'<rss><channel><item><title>T</title><link>https://e/1</link><pubDate>{date}</pubDate></item></channel></rss>'
-    )
-    first = spark.createDataFrame([("https://e/feed", rss("2026-09-01T10:00:00Z"))], "url string, xml string")
-    second = spark.createDataFrame([("https://e/feed", rss("2026-09-03T10:00:00Z"))], "url string, xml string")
-    ingest.ingest_news(spark, lake, first, None, "2026-09-05 00:00:00")
-    ingest.ingest_news(spark, lake, second, None, "2026-09-06 00:00:00")
-    rows = spark.read.parquet(lake.path(L.NEWS)).collect()
-    assert [(str(r.published_date), r.published_ts) for r in rows] == [("2026-09-03", dt.datetime(2026, 9, 3, 10, 0))]
+    page = "<rss><channel><item><title>T</title><link>https://e.test/1</link>{}</item></channel></rss>"
+    days = ["", "<pubDate>2025-05-01T10:00:00Z</pubDate>", "<pubDate>2025-05-03T10:00:00Z</pubDate>", ""]
+    for k, date in enumerate(days):  # undated alone, then dated, moved, undated again
+        feed = spark.createDataFrame([("https://e.test/feed", page.format(date))], "url string, xml string")
+        ingest.ingest_news(spark, lake, feed, None, f"2025-05-0{k + 4} 00:00:00")
+        rows = spark.read.parquet(lake.path(L.NEWS)).collect()
+        want = [None, dt.datetime(2025, 5, 1, 10), dt.datetime(2025, 5, 3, 10), None][k]
+        assert [(r.link, r.published_ts) for r in rows] == [("https://e.test/1", want)]
 
 
 def test_backfill_from_chunks(spark, scratch):
@@ -151,6 +238,6 @@ def test_expiry_keeps_the_newest_copies_and_rejects_naive_cutoffs(spark, scratch
 def test_compaction_of_an_unpartitioned_table(spark, scratch):
     path = f"{scratch}/flat"
     for i in range(3):
-        spark.createDataFrame([(i, "x")], "i int, s string").write.mode("append").parquet(path)
+        spark.createDataFrame([(i, "x")], "i int, s string").coalesce(1).write.mode("append").parquet(path)
     assert TB.compact(spark, path, [], "c1", min_input_files=3) == {"rewritten_files": 3, "added_files": 1}
     assert sorted(r.i for r in spark.read.parquet(path).collect()) == [0, 1, 2]
