@@ -13,8 +13,9 @@ All nodes of three symbols and more that end alike fall into one bucket by their
 context symbols, so buckets are evaluated on their own; the levels above have at most
 257 x 257 nodes, joined in as a bounded broadcast. Documents are hashed to blocks; a block
 lists its distinct grams and words once, gets their code lengths and counts back, and scores
-its texts with them. Texts are shuffled once (both passes over the blocks read the same
-exchange), and nothing that grows with the corpus reaches the driver.
+its texts with them. The lists are a table in the shared scratch folder, computed once; texts
+travel compressed, once to be listed and once to be scored. Nothing that grows with the corpus
+reaches the driver.
 
 Defined cases: a null or empty text is the end symbol alone (one token); without training
 texts every symbol is equally likely; repeated rows are learnt and scored as often as they
@@ -37,8 +38,8 @@ BUCKETS = 1024
 _BITS = 9
 _EDGE = 256  # before the first byte, and the end symbol
 _SYMBOLS = 257
-#: Words never are negative grams; the end token is a word no text can have.
-_WORD, _TOTAL = -1, -2
+#: In place of a gram: the row is a word's. The end token is a word no text can have.
+_WORD = -1
 END_TOKEN = " "
 _SLICE = 1 << 20
 
@@ -55,8 +56,21 @@ def grams(text: bytes, order: int = ORDER):
         yield g
 
 
-def _texts(column) -> list[bytes]:
-    return [x.as_py().encode("utf-8", "replace").lower() if x.is_valid else b"" for x in column]
+def _packed(batches):
+    """Texts in lower case, as UTF-8, compressed with their length in front."""
+    for batch in batches:
+        packed = []
+        for text in batch.column("text").to_pylist():
+            raw = text.encode("utf-8", "replace").lower() if text else b""
+            packed.append(len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True))
+        at = batch.schema.get_field_index("text")
+        yield batch.set_column(at, "text", pa.array(packed, pa.binary()))
+
+
+def _texts(column):
+    for x in column:
+        packed = x.as_py()
+        yield pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), "zstd", asbytes=True)
 
 
 class _Counts:
@@ -187,33 +201,31 @@ def _code(order: int):
     return run
 
 
-def _score(order: int):
+def _score(order: int, tokens: int, distinct: int):
     def run(key, docs, rows):
         gram, value = rows.column("gram").to_numpy(), rows.column("value").to_numpy()
         is_gram = gram >= 0
         by_gram = np.argsort(gram[is_gram])
         keys, codes = gram[is_gram][by_gram], value[is_gram][by_gram]
-        counts = dict(zip(rows.filter(pa.array(gram == _WORD)).column("word").to_pylist(), value[gram == _WORD]))
-        totals = value[gram == _TOTAL]
-        all_, distinct = (totals[0], rows.filter(pa.array(gram == _TOTAL)).column("n").to_numpy()[0]) if len(totals) else (0.0, 0)
-        logs = {w: np.log10(c + 1) for w, c in counts.items()}
-        known = {w for w, c in counts.items() if c > 0}
-        norm = np.log10(all_ + distinct + 1)
+        words = rows.filter(pa.array(~is_gram)).column("word").to_pylist()
+        counts = value[~is_gram]
+        logs = dict(zip(words, np.log10(counts + 1)))
+        unknown = {w for w, c in zip(words, counts) if c == 0}
+        norm = np.log10(tokens + distinct + 1)
         out = {c: [] for c in ("n_tokens", "n_known", "base_score", "score")}
         for text in _texts(docs.column("text")):
             w = [*text.split(), END_TOKEN.encode()]
             out["n_tokens"].append(len(w))
-            out["n_known"].append(sum(x in known for x in w))
+            out["n_known"].append(sum(x not in unknown for x in w))
             out["base_score"].append(float(sum(map(logs.__getitem__, w)) - len(w) * norm))
             out["score"].append(float(sum(codes[np.searchsorted(keys, g)].sum() for g in grams(text, order))))
-        n = len(docs)
         return pa.table(
             {
                 "doc_id": docs.column("doc_id"),
                 "train": docs.column("train"),
                 "n_tokens": pa.array(out["n_tokens"], pa.int64()),
                 "n_known": pa.array(out["n_known"], pa.int64()),
-                "train_tokens": pa.array(np.full(n, int(all_), np.int64)),
+                "train_tokens": pa.array(np.full(len(docs), tokens, np.int64)),
                 "base_score": pa.array(out["base_score"], pa.float64()),
                 "score": pa.array(out["score"], pa.float64()),
             }
@@ -222,12 +234,6 @@ def _score(order: int):
     return run
 
 
-def _above(df: DataFrame, condition: Column) -> DataFrame:
-    """A filter that is not pushed below a shuffle, so that both readers of the shuffle
-    share it (a random guard that always holds)."""
-    return df.where(F.when(F.rand(0) >= 0, condition))
-
-
 def scores(
     docs: DataFrame,
     train: Column,
@@ -245,30 +251,20 @@ def scores(
         F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), F.coalesce(train, F.lit(False)).alias("train")
     )
     blocks = C.block_count(source, "text", block_bytes)
-    placed = source.withColumn("block", C.block_of(F.col("doc_id"), blocks))
-    found = placed.groupBy("block").applyInArrow(_vocabulary(order), "block int, gram long, word binary, n long")
-    counted = found.repartition("gram", "word").withColumn("c", F.sum("n").over(Window.partitionBy("gram", "word")))
-    rows = counted.select("block", "gram", "word", "c")
-    # Totals of the words: one row, told to every block.
-    totals = (
-        _above(rows, F.col("gram") == _WORD)
-        .groupBy("gram", "word")
-        .agg(F.max("c").alias("c"), F.max("block").alias("block"))
-        .agg(F.coalesce(F.sum("c"), F.lit(0)).cast("double").alias("value"), F.count(F.when(F.col("c") > 0, F.col("block"))).alias("n"))
-        .select(F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), F.lit(_TOTAL).cast("long").alias("gram"), F.lit(None).cast("binary").alias("word"), "value", "n")
-    )
-    trie = (
-        _above(rows, F.col("gram") >= 0)
-        .groupBy("gram", "word")
-        .agg(F.max("c").alias("n"), F.max("block").alias("block"))
-        .select("gram", "n", "block")
-    )
+    C.bounded_batches(docs.sparkSession)
+    named = source.withColumn("block", C.block_of(F.col("doc_id"), blocks))
+    placed = named.mapInArrow(_packed, "doc_id long, text binary, train boolean, block int")
+    listed = C.cut(placed.groupBy("block").applyInArrow(_vocabulary(order), "block int, gram long, word binary, n long"), "ppm-lists")
+    counted = C.cut(listed.groupBy("gram", "word").agg(F.sum("n").alias("n")), "ppm-counts")
+    is_word = F.col("gram") == _WORD
+    sums = counted.where(is_word).agg(F.sum("n"), F.count(F.when(F.col("n") > 0, 1))).first()
+    trie = counted.where(~is_word).select("gram", "n")
     last, pair = (1 << _BITS) - 1, (1 << 2 * _BITS) - 1
     g1 = F.col("gram").bitwiseAND(F.lit(pair))
     after = Window.partitionBy("c1")
     ones = (
         trie.groupBy(g1.alias("g1"))
-        .agg(F.sum("n").alias("n1"), F.max("block").alias("block"))
+        .agg(F.sum("n").alias("n1"))
         .withColumn("c1", F.shiftright("g1", _BITS))
         .withColumn("s", F.col("g1").bitwiseAND(F.lit(last)))
     )
@@ -289,22 +285,20 @@ def scores(
         trie.withColumn("g1", g1)
         .join(F.broadcast(high), "g1")  # 257 x 257 rows at most
         .withColumn("bucket", F.pmod(F.xxhash64(F.shiftright("gram", _BITS).bitwiseAND(F.lit(pair))), F.lit(BUCKETS)))
-        .select("gram", *_TRIE, "block", "bucket")
+        .select("gram", *_TRIE, "bucket")
     )
     codes = nodes.groupBy("bucket").applyInArrow(_code(order), "gram long, value double")
-    by_gram = _above(rows, F.col("gram") >= 0).join(codes.withColumnRenamed("gram", "of"), F.col("gram") == F.col("of"))
-    by_word = _above(rows, F.col("gram") == _WORD).withColumn("value", F.col("c").cast("double"))
-    zero = F.lit(0).cast("long").alias("n")
-    told = (
-        by_gram.select("block", "gram", "word", "value", zero)
-        .unionByName(by_word.select("block", "gram", "word", "value", zero))
-        .unionByName(totals)
+    by_gram = listed.where(~is_word).select("block", "gram").join(codes, "gram")
+    known = counted.where(is_word).select("word", F.col("n").cast("double").alias("value"))
+    by_word = listed.where(is_word).select("block", "gram", "word").join(known, "word")
+    told = by_gram.select("block", "gram", F.lit(None).cast("binary").alias("word"), "value").unionByName(
+        by_word.select("block", "gram", "word", "value")
     )
     return (
         placed.groupBy("block")
         .cogroup(told.groupBy("block"))
         .applyInArrow(
-            _score(order),
+            _score(order, int(sums[0] or 0), int(sums[1] or 0)),
             "doc_id long, train boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double",
         )
     )
