@@ -11,14 +11,19 @@ times as large and with other hashes.
 Everything is DataFrame expressions. The cells of a pair are rows keyed by the pair, so a
 round of peeling is a flat map and one aggregation. A round takes its cells from one third: a
 digest is in one cell of it, so none is taken out twice. The pairs' rows stay in the partitions
-of the join that brought their texts together, and no round shuffles. The first sketches have
-a cell for less than half a digest, so retries are rare; they read the pairs concerned only.
+of the join that brought their texts together, and no round shuffles. Empty cells are no rows,
+so a wide sketch costs no more than a tight one and peels in few rounds; retries are rare, and
+read the pairs concerned only. A document's other results ride along as a note on one row, so
+the plan below is evaluated once.
 
 The fingerprint string is the sketch of fixed size (``BASE`` cells a third): count, digest and
 check of every cell in hex. Likeness is shared over all digests (1 for two empty texts).
 
+Texts are shuffled once, by document, to partitions of bounded size; all later steps read that
+exchange or the small ones of what documents hand to their predecessors.
+
 Defined cases: a null text is empty; rows with equal id and text are one document; a null id
-orders last; a single document is its own next; extra columns are ignored; an empty table
+orders last (and so does, and counts as null, the id 2^63 - 1); a single document is its own next; extra columns are ignored; an empty table
 gives an empty result.
 """
 
@@ -32,14 +37,18 @@ from gridlake.llm import common as C
 #: Cells of a third of the sketch in the fingerprint string.
 BASE = 4
 #: Cells a digest in the first sketches of a pair, and the least width of a third.
-CELLS_EACH = 2.4
-LEAST = 16
+CELLS_EACH = 30.0
+LEAST = 64
 #: Rounds of peeling before a sketch counts as failed; its successor is GROW times as large.
-ROUNDS = 12
+ROUNDS = 5
 GROW = 4
+#: Text bytes of a partition: bounds the sketches that a task holds.
+PART_BYTES = 4_000_000
 ENDS = r"\n+|(?<=[.!?])[ \t]+"
 _LAST = 2**63 - 1
 KEY = ["ord", "h"]
+#: Rows that are no cells: recovered digests of either side, and a note.
+_GONE, _COME, _NOTE = -1, -2, -3
 
 
 def digests(text: Column) -> Column:
@@ -74,10 +83,9 @@ def fingerprint(found: Column, base: int = BASE) -> Column:
 
 
 def documents(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """doc_id, text (null: empty), ord and h: place in the order and hash of the text."""
-    return docs.select(
-        F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")
-    ).select("doc_id", "text", F.coalesce("doc_id", F.lit(_LAST)).alias("ord"), F.xxhash64("text").alias("h"))
+    """text (null: empty), ord and h: place in the order (the id) and hash of the text."""
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    return rows.select(F.coalesce("doc_id", F.lit(_LAST)).alias("ord"), F.xxhash64("text").alias("h"), "text")
 
 
 def neighbours(source: DataFrame) -> DataFrame:
@@ -99,12 +107,12 @@ def neighbours(source: DataFrame) -> DataFrame:
     return led.select(*KEY, "n", before["ord"].alias("p_ord"), before["h"].alias("p_h"), before["n"].alias("p_n"))
 
 
-def versions(source: DataFrame, order: DataFrame) -> DataFrame:
-    """Each document with its edited text and its successor's digests: doc_id, ord, h, n,
-    text, edited, next."""
+def versions(source: DataFrame, order: DataFrame, parts: int) -> DataFrame:
+    """Each document with its edited text and its successor's digests: ord, h, n, text,
+    edited, next."""
     told = order.withColumnsRenamed({"ord": "o_ord", "h": "o_h"})
-    full = source.dropDuplicates(KEY).join(told, (F.col("ord") == F.col("o_ord")) & (F.col("h") == F.col("o_h")))
-    full = full.select("doc_id", *KEY, "n", "text", "p_ord", "p_h", "p_n")
+    placed = source.repartition(parts, *KEY).dropDuplicates(KEY)
+    full = placed.join(told.hint("merge"), (F.col("ord") == F.col("o_ord")) & (F.col("h") == F.col("o_h")))
     given = full.select(
         F.col("p_ord").alias("g_ord"),
         F.col("p_h").alias("g_h"),
@@ -113,62 +121,64 @@ def versions(source: DataFrame, order: DataFrame) -> DataFrame:
     )
     both = full.join(given, (F.col("ord") == F.col("g_ord")) & (F.col("h") == F.col("g_h")))
     edited = F.concat(F.expr("substring(text, 1, cast(n - n div 4 AS INT))"), "donor")
-    return both.select("doc_id", *KEY, "n", "text", edited.alias("edited"), "next")
+    return both.select(*KEY, "n", "text", edited.alias("edited"), "next")
 
 
-def peel(pairs: DataFrame, key: list[str], grow: int = 1, seed: int = 0, rounds: int = ROUNDS, keep_digests: bool = False) -> DataFrame:
-    """Difference of two digest sets by sketch: for rows of ``key`` with the arrays a and b,
-    key, gone (digests only in a), come (only in b), left (cells not peeled: 0 on success).
-    Equal sets give no row. With ``keep_digests`` also the recovered digests themselves.
+def peel(
+    pairs: DataFrame, key: list[str], grow: int = 1, seed: int = 0, rounds: int | None = None, keep_digests: bool = False
+) -> DataFrame:
+    """Difference of two digest sets by sketch: for rows of ``key`` with the arrays a and b
+    and a text ``note`` (null: none): key, gone (digests only in a), come (only in b), left
+    (cells not peeled: 0 on success) and the note. Equal sets without a note give no row.
+    With ``keep_digests`` also the recovered digests themselves.
 
     ``key`` must be what the rows are partitioned by already, else Spark shuffles once."""
     need = F.size("a") + F.size("b")
     width = F.greatest(F.ceil(need * F.lit(CELLS_EACH * grow / 3)), F.lit(LEAST * grow)).cast("long")
+    zero = F.lit(0).cast("long")
 
-    def entry(cell, c, digest, chk, tag=None):
+    def entry(cell, c, digest, chk, tag=zero):
         return F.struct(
-            cell.cast("long").alias("cell"), c.cast("long").alias("c"), digest.alias("key"), chk.alias("chk"),
-            (F.lit(0).cast("long") if tag is None else tag).alias("tag"),
+            cell.cast("long").alias("cell"), c.cast("long").alias("c"), digest.alias("key"), chk.alias("chk"), tag.alias("tag")
         )
 
+    kept = [*key, "w", "note"]
+
     def merged(df):
-        group = [*key, "w", "cell"] + (["tag"] if keep_digests else [])
+        group = [*kept, "cell"] + (["tag"] if keep_digests else [])
         return df.groupBy(*group).agg(F.sum("c").alias("c"), F.bit_xor("key").alias("key"), F.bit_xor("chk").alias("chk")).where(
             "c <> 0 OR key <> 0 OR chk <> 0"
         )
 
-    signed = F.concat(
-        F.transform("a", lambda d: F.struct(d.alias("d"), F.lit(1).alias("s"))),
-        F.transform("b", lambda d: F.struct(d.alias("d"), F.lit(-1).alias("s"))),
-    )
-    cells = pairs.select(*key, width.alias("w"), F.explode(signed).alias("x")).select(
-        *key, "w", F.col("x.d").alias("d"), F.col("x.s").alias("s")
-    )
-    cells = cells.withColumn("chk", check(F.col("d")))
-    w = F.col("w")
-    cells = cells.select(
-        *key, "w", F.explode(F.array(*[entry(slot(F.col("d"), i, w, seed), F.col("s"), F.col("d"), F.col("chk")) for i in range(3)])).alias("x")
-    ).select(*key, "w", "x.*")
-    cells = merged(cells)
-    for r in range(rounds):
+    def signed(digest, s):
+        return F.struct(digest.cast("long").alias("d"), F.lit(s).alias("s"))
+
+    marker = F.when(F.col("note").isNotNull(), F.array(signed(zero, 0))).otherwise(F.array().cast("array<struct<d:bigint,s:int>>"))
+    entries = F.concat(F.transform("a", lambda d: signed(d, 1)), F.transform("b", lambda d: signed(d, -1)), marker)
+    cells = pairs.select(*key, width.alias("w"), "note", F.explode(entries).alias("x"))
+    d, sign, w = F.col("d"), F.col("s"), F.col("w")
+    cells = cells.select(*key, "w", F.when(F.col("x.s") == 0, F.col("note")).alias("note"), "x.*").withColumn("chk", check(d))
+    three = F.array(*[entry(slot(d, i, w, seed), sign, d, F.col("chk")) for i in range(3)])
+    one = F.array(entry(F.lit(_NOTE), F.lit(1), zero, zero))
+    cells = merged(cells.select(*kept, F.explode(F.when(sign == 0, one).otherwise(three)).alias("x")).select(*kept, "x.*"))
+    for r in range(ROUNDS if rounds is None else rounds):
         third = r % 3
         digest, c, chk = F.col("key"), F.col("c"), F.col("chk")
         pure = (F.col("cell") >= third * w) & (F.col("cell") < (third + 1) * w) & (F.abs(c) == 1) & (chk == check(digest))
-        zero = F.lit(0).cast("long")
-        out = [entry(F.when(c > 0, -1).otherwise(-2), F.lit(1), zero, zero, digest)]
+        out = [entry(F.when(c > 0, _GONE).otherwise(_COME), F.lit(1), zero, zero, digest)]
         out += [entry(slot(digest, i, w, seed), -c, digest, chk) for i in range(3) if i != third]
-        same = entry(F.col("cell"), c, digest, chk, F.col("tag") if keep_digests else None)
-        cells = cells.select(*key, "w", F.explode(F.when(pure, F.array(*out)).otherwise(F.array(same))).alias("x")).select(*key, "w", "x.*")
-        cells = merged(cells)
+        same = entry(F.col("cell"), c, digest, chk, F.col("tag") if keep_digests else zero)
+        cells = merged(cells.select(*kept, F.explode(F.when(pure, F.array(*out)).otherwise(F.array(same))).alias("x")).select(*kept, "x.*"))
 
     def found(mark):
-        return F.coalesce(F.sum(F.when(F.col("cell") == mark, F.col("c"))), F.lit(0).cast("long"))
+        return F.coalesce(F.sum(F.when(F.col("cell") == mark, F.col("c"))), zero)
 
     extra = []
     if keep_digests:
-        extra = [F.collect_list(F.when(F.col("cell") == m, F.col("tag"))).alias(f"{n}_digests") for m, n in ((-1, "gone"), (-2, "come"))]
+        extra = [F.collect_list(F.when(F.col("cell") == m, F.col("tag"))).alias(f"{n}_digests") for m, n in ((_GONE, "gone"), (_COME, "come"))]
     return cells.groupBy(*key).agg(
-        found(-1).alias("gone"), found(-2).alias("come"), F.count(F.when(F.col("cell") >= 0, 1)).alias("left"), *extra
+        found(_GONE).alias("gone"), found(_COME).alias("come"), F.count(F.when(F.col("cell") >= 0, 1)).alias("left"),
+        F.max("note").alias("note"), *extra
     )
 
 
@@ -180,11 +190,25 @@ def likeness(a: Column, gone: Column, come: Column) -> Column:
 PAIRS = ("edited", "next")
 
 
-def _pairs(found: DataFrame) -> DataFrame:
-    """One row per document and pair: key, pair, a, b."""
-    own, other = F.col("own"), F.array(F.col("other"), F.col("next"))
-    rows = found.select(*KEY, digests(F.col("text")).alias("own"), digests(F.col("edited")).alias("other"), "next")
-    return rows.select(*KEY, own.alias("a"), F.posexplode(other).alias("pair", "b"))
+def _pairs(found: DataFrame, note: bool) -> DataFrame:
+    """One row per document and pair: key, pair, a, b, note (of the first pair: what the
+    document itself shows, as text)."""
+    rows = found.select(
+        *KEY, "n", F.sha2(F.col("edited").cast("binary"), 256).alias("sha"), digests(F.col("text")).alias("a"),
+        digests(F.col("edited")).alias("other"), "next",
+    )
+    shown = F.concat_ws(",", F.col("n"), F.size("a"), F.col("sha"), fingerprint(F.col("a")), fingerprint(F.col("other")))
+    both = F.array(
+        F.struct(F.lit(0).alias("pair"), F.col("other").alias("b"), (shown if note else F.lit(None).cast("string")).alias("note")),
+        F.struct(F.lit(1).alias("pair"), F.col("next").alias("b"), F.lit(None).cast("string").alias("note")),
+    )
+    return rows.select(*KEY, "a", F.explode(both).alias("x")).select(*KEY, "x.pair", "a", "x.b", "x.note")
+
+
+def _wide(peeled: DataFrame) -> DataFrame:
+    """Both pairs of a document in one row."""
+    picks = [F.max(F.when(F.col("pair") == i, F.col(c))).alias(f"{c}_{n}") for i, n in enumerate(PAIRS) for c in ("gone", "come", "left")]
+    return peeled.groupBy(*KEY).agg(*picks, F.max("note").alias("note"))
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", retries: int = 8) -> DataFrame:
@@ -192,28 +216,14 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", re
     edited_fingerprint, near_edited, near_next."""
     source = documents(docs, doc_id, text)
     order = C.cut(neighbours(source), "order")
-    found = versions(source, order)
+    parts = max(C.block_count(source, "text", PART_BYTES), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     key = [*KEY, "pair"]
-    # Both pairs' differences as one row per document.
-    def wide(peeled):
-        picks = [F.max(F.when(F.col("pair") == i, F.col(c))).alias(f"{c}_{n}") for i, n in enumerate(PAIRS) for c in ("gone", "come", "left")]
-        return peeled.groupBy(*KEY).agg(*picks).withColumnsRenamed({"ord": "r_ord", "h": "r_h"})
-
-    result = wide(peel(_pairs(found), key))
-    own = digests(F.col("text"))
-    shown = found.select(
-        "doc_id", *KEY, F.col("n").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        own.alias("own"), digests(F.col("edited")).alias("other"),
-    ).select(
-        "doc_id", *KEY, "n_chars", "edited_sha256", F.size("own").cast("long").alias("n_own"),
-        fingerprint(F.col("own")).alias("fingerprint"), fingerprint(F.col("other")).alias("edited_fingerprint"),
-    )
-    on = (F.col("ord") == F.col("r_ord")) & (F.col("h") == F.col("r_h"))
-    table = C.cut(shown.join(result, on, "left").drop("r_ord", "r_h"), "sketches")
+    table = C.cut(_wide(peel(_pairs(versions(source, order, parts), True), key)), "sketches")
     counts = [f"{c}_{n}" for n in PAIRS for c in ("gone", "come")]
     failed = " OR ".join(f"left_{n} > 0" for n in PAIRS)
     again = table.where(failed).select(*KEY)
     done = []
+    on = (F.col("ord") == F.col("r_ord")) & (F.col("h") == F.col("r_h"))
     for k in range(1, retries + 1):
         again = C.cut(again, "failed")
         if again.isEmpty():
@@ -223,8 +233,11 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", re
         is_own = (F.col("ord") == F.col("f_ord")) & (F.col("h") == F.col("f_h"))
         is_next = (F.col("p_ord") == F.col("f_ord")) & (F.col("p_h") == F.col("f_h"))
         some = order.join(mark, is_own, "left_semi").union(order.join(mark, is_next, "left_semi")).distinct()
-        pairs = _pairs(versions(source, some)).join(mark, is_own, "left_semi")
-        result = C.cut(wide(peel(pairs, key, grow=GROW**k, seed=k)), "retried")
+        keys = some.select(F.col("ord").alias("s_ord"), F.col("h").alias("s_h"))
+        is_some = (F.col("ord") == F.col("s_ord")) & (F.col("h") == F.col("s_h"))
+        pairs = _pairs(versions(source.join(keys, is_some, "left_semi"), some, 1 + parts // 16), False).join(mark, is_own, "left_semi")
+        result = _wide(peel(pairs, key, grow=GROW**k, seed=k)).drop("note").withColumnsRenamed({"ord": "r_ord", "h": "r_h"})
+        result = C.cut(result, "retried")
         done.append(result.where(f"NOT ({failed})"))
         again = result.where(failed).select(F.col("r_ord").alias("ord"), F.col("r_h").alias("h"))
     else:
@@ -236,9 +249,15 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", re
         table = table.withColumns({c: F.when(F.col("better"), F.col(f"new_{c}")).otherwise(F.col(c)) for c in counts}).drop(
             "r_ord", "r_h", "better", *[f"new_{c}" for c in counts]
         )
-    near = {
-        f"near_{n}": likeness(F.col("n_own"), F.coalesce(f"gone_{n}", F.lit(0)), F.coalesce(f"come_{n}", F.lit(0))) for n in PAIRS
-    }
-    return table.withColumns(near).select(
-        "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", *near
+    noted = F.split("note", ",")
+    table = table.select(
+        F.when(F.col("ord") != _LAST, F.col("ord")).alias("doc_id"),
+        noted[0].cast("long").alias("n_chars"),
+        noted[1].cast("long").alias("n_own"),
+        noted[2].alias("edited_sha256"),
+        noted[3].alias("fingerprint"),
+        noted[4].alias("edited_fingerprint"),
+        *[F.coalesce(c, F.lit(0)).alias(c) for c in counts],
     )
+    near = {f"near_{n}": likeness(F.col("n_own"), F.col(f"gone_{n}"), F.col(f"come_{n}")) for n in PAIRS}
+    return table.withColumns(near).select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", *near)

@@ -58,7 +58,7 @@ def test_failed_sketches_are_retried(spark, monkeypatch):
 
 def test_recovered_digests(spark):
     rows = [(1, [1, 2, 3, 4], [3, 4, 5]), (2, [], [7]), (3, [8], [8]), (4, list(range(100, 160)), [])]
-    df = spark.createDataFrame(rows, "k long, a array<long>, b array<long>")
+    df = spark.createDataFrame(rows, "k long, a array<long>, b array<long>").selectExpr("*", "CAST(NULL AS STRING) AS note")
     got = {r.k: r for r in I.peel(df, ["k"], keep_digests=True).collect()}
     assert set(got) == {1, 2, 4} and all(r.left == 0 for r in got.values())
     assert sorted(got[1].gone_digests) == [1, 2] and got[1].come_digests == [5]
@@ -81,6 +81,6 @@ def test_single_and_empty(spark):
 
 def test_no_python_in_the_plan(spark):
     df = docs_of(spark, texts(5))
-    pairs = I._pairs(I.versions(s := I.documents(df, "doc_id", "text"), I.neighbours(s)))
+    pairs = I._pairs(I.versions(s := I.documents(df, "doc_id", "text"), I.neighbours(s), 4), True)
     plan = I.peel(pairs, [*I.KEY, "pair"]).select(F.sum("gone"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
