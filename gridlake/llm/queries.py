@@ -32,7 +32,8 @@ def op2_ppm_score(spark, sf_dir):
 def op3_token_counts(spark, sf_dir):
     written = token_scan.write(table(spark, sf_dir, "documents"))
     counted = token_scan.scan(written.select("path"))
-    return written.join(counted, ["path", "ordinal"]).select("doc_id", "n_tokens", "ended")
+    # Both sides have a row per document; the file of the one is small only because its paths compress.
+    return written.join(counted.hint("merge"), ["path", "ordinal"]).select("doc_id", "n_tokens", "ended")
 
 
 def op4_decontaminate(spark, sf_dir):
