@@ -14,64 +14,60 @@ from gridlake.llm import common as C
 from gridlake.llm import decontaminate, langid, mixing, simhash, substring_dedup
 from gridlake.session import ensure_utc
 
+_LAST = 2**63 - 1
 #: A document whose language is predicted with less confidence is rejected.
-MIN_LANGUAGE_SCORE = 0.5
+MIN_LANGUAGE_SCORE = 0.3
 #: How often the mixture may pass its most repeated source.
 MAX_REPEATS = 2.0
 
 
-def _told(docs: DataFrame, found: DataFrame, how: str = "inner", **columns) -> DataFrame:
-    """Documents joined by id with columns of an operator's result, under names that no
-    column of the documents can clash with (``__`` and the keyword)."""
-    picked = found.select(F.col("doc_id").alias("__id"), *[F.col(c).alias(f"__{k}") for k, c in columns.items()])
-    return docs.join(picked, docs["doc_id"].eqNullSafe(picked["__id"]), how)
-
-
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a letter or without a confident language; a null lang
     becomes the predicted one."""
     model = langid.fit(docs.where(C.crc_mod(F.col("doc_id"), 4) != 2))
-    found = langid.predict(docs, model).where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE))
-    kept = _told(docs, found.dropDuplicates(["doc_id"]), lang="lang_pred")
-    return kept.withColumn("lang", F.coalesce("lang", "__lang")).select(*docs.columns)
+    found = langid.predict(docs, model, keep=docs.columns)
+    kept = found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= MIN_LANGUAGE_SCORE))
+    lang = F.coalesce("rest.lang", "lang_pred")
+    return kept.select(*[lang.alias(c) if c == "lang" else F.col(f"rest.`{c}`") for c in docs.columns])
 
 
 def dedupe_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep of every group of near duplicates the document with the smallest id, once."""
     found = simhash.near_duplicates(docs, shingle=simhash.SHINGLE, max_bits=simhash.MAX_BITS)
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    return _told(docs, first, "left_semi").dropDuplicates(["doc_id", "text"])
+    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    first = first.select(F.coalesce("doc_id", F.lit(_LAST)).alias("__first")).distinct()
+    keyed = docs.withColumn("__key", F.coalesce("doc_id", F.lit(_LAST)))
+    # Rows equal in id and text are one document; both steps share the join's partitions.
+    kept = keyed.join(first, F.col("__key") == F.col("__first"), "left_semi").dropDuplicates(["__key", "text"])
+    return kept.select(*docs.columns)
 
 
 def dedupe_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut every passage of 20 words or more that an earlier document (or place) has;
     a document of which nothing is left goes."""
-    found = substring_dedup.factors(docs).withColumn("cuts", F.size("starts"))
-    kept = _told(docs, found.dropDuplicates(["doc_id"]), text="kept_text", cuts="cuts")
-    cut = F.col("__cuts") > 0
-    return (
-        kept.withColumn("text", F.when(cut, F.col("__text")).otherwise(F.col("text")))
-        .withColumn("n_chars", F.when(cut, F.length("text")).otherwise(F.col("n_chars")))
-        .where("__cuts = 0 OR text <> ''")
-        .select(*docs.columns)
+    others = [c for c in docs.columns if c != "text"]
+    found = substring_dedup.factors(docs, keep=others).withColumn("cut", F.size("starts") > 0)
+    new = {"text": F.col("kept_text"), "n_chars": F.when(F.col("cut"), F.length("kept_text").cast("long")).otherwise(F.col("rest.n_chars"))}
+    return found.where("NOT cut OR kept_text <> ''").select(
+        *[new[c].alias(c) if c in new else F.col(f"rest.`{c}`") for c in docs.columns]
     )
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that hold benchmark passages."""
     benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
-    found = decontaminate.decisions(decontaminate.hits(docs, benchmark))
-    return _told(docs, found.where("contaminated"), "left_anti")
+    found = decontaminate.decisions(decontaminate.hits(docs, benchmark, keep=docs.columns))
+    return found.where("NOT contaminated").select(*[F.col(f"rest.`{c}`") for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The training mixture: documents in block order, sources passed up to
     ``MAX_REPEATS`` times. Adds (or replaces) mix_pass, mix_block, mix_position."""
     plan = mixing.mix(docs, max_repeats=MAX_REPEATS).dropDuplicates(["doc_id", "pass"])
-    laid = _told(docs, plan, **{"pass": "pass", "block": "block", "position": "position"})
-    added = ("pass", "block", "position")
-    kept = [c for c in docs.columns if c not in {f"mix_{k}" for k in added}]
-    return laid.select(*kept, *[F.col(f"__{k}").alias(f"mix_{k}") for k in added])
+    plan = plan.select(F.col("doc_id").alias("__id"), *[F.col(k).alias(f"__{k}") for k in ("pass", "block", "position")])
+    laid = docs.join(plan, docs["doc_id"].eqNullSafe(plan["__id"]))
+    kept = [c for c in docs.columns if c not in ("mix_pass", "mix_block", "mix_position")]
+    return laid.select(*kept, *[F.col(f"__{k}").alias(f"mix_{k}") for k in ("pass", "block", "position")])
 
 
 STAGES = [

@@ -17,6 +17,8 @@ repeated rows; an empty table of either kind gives no hits.
 from __future__ import annotations
 
 
+from collections.abc import Sequence
+
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -127,9 +129,11 @@ def hits(
     item_text: str = "text",
     window: int = WINDOW,
     pass_bytes: int = PASS_BYTES,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """One row per document: doc_id, n_words, hit_starts, hit_ends (merged word
-    spans covered by occurrences), items (ids of the items with occurrences)."""
+    spans covered by occurrences), items (ids of the items with occurrences); with
+    ``keep`` also those columns of the document, as the struct rest."""
     spark = docs.sparkSession
     C.bounded_batches(spark)
     items = benchmark.select(F.col(item_id).alias("id"), F.col(item_text).alias("t")).where("t IS NOT NULL")
@@ -143,6 +147,7 @@ def hits(
         F.array().cast("array<int>").alias("hit_starts"),
         F.array().cast("array<int>").alias("hit_ends"),
         F.array().cast(f"array<{id_type}>").alias("items"),
+        *([F.struct(*[F.col(c) for c in keep]).alias("rest")] if keep else []),
     )
     schema = out.schema
     for k in range(passes):
@@ -164,6 +169,7 @@ def decisions(found: DataFrame, share: int = 20) -> DataFrame:
     )
     ids = F.array_join(F.array_sort(F.transform("items", lambda x: x.cast("string"))), ",")
     return found.select(
+        *[c for c in found.columns if c == "rest"],
         "doc_id",
         "n_words",
         n_hit.alias("n_hit"),

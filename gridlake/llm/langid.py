@@ -20,12 +20,14 @@ repeated rows give repeated rows.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gridlake.llm import common as C
 
@@ -118,6 +120,33 @@ def ftrl(examples, n_labels: int, epochs: int = 4, alpha: float = 0.5, beta: flo
     return weights(z, n)
 
 
+class Examples:
+    """The sample on the driver, fetched a partition at a time and kept packed (feature and
+    count, six bytes); vectors are made one at a time."""
+
+    def __init__(self, sample: DataFrame, labels: list[str], idf: np.ndarray):
+        self.idf, rows = idf, []
+        for r in sample.toLocalIterator():
+            if len(r["idx"]):
+                idx, val = np.frombuffer(r["idx"], np.uint16), np.frombuffer(r["val"], np.uint32)
+                rows.append((r["h"], labels.index(r["label"]), idx, val))
+        self.rows = sorted(rows, key=lambda r: r[:2])
+
+    def part(self, chosen):
+        return _Part([r for k, r in enumerate(self.rows) if chosen(k)], self.idf)
+
+
+class _Part:
+    def __init__(self, rows, idf):
+        self.rows, self.idf = rows, idf
+
+    def __iter__(self):
+        for _, y, idx, val in self.rows:
+            at = idx.astype(np.int64)
+            x = (1.0 + np.log(val)) * self.idf[at]
+            yield np.append(at, BUCKETS), np.append(x / np.sqrt(x @ x), 1.0), y
+
+
 def temperature(logits: np.ndarray, y: np.ndarray) -> float:
     """The temperature with the least log loss, by golden-section search on its log."""
     if not len(y):
@@ -151,10 +180,10 @@ def _features(batches):
         for text in batch.column(1).to_pylist():
             counts = ngram_counts(text)
             at = np.flatnonzero(counts) if counts is not None else np.zeros(0, np.int64)
-            idx.append(at.tolist())
-            val.append(counts[at].tolist() if len(at) else [])
+            idx.append(at.astype(np.uint16).tobytes())
+            val.append(counts[at].astype(np.uint32).tobytes() if len(at) else b"")
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), batch.column(2), pa.array(idx, pa.list_(pa.int32())), pa.array(val, pa.list_(pa.int32()))],
+            [batch.column(0), batch.column(2), pa.array(idx, pa.binary()), pa.array(val, pa.binary())],
             names=["label", "h", "idx", "val"],
         )
 
@@ -191,18 +220,11 @@ def fit(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str
     chosen = F.lit(False)
     for r in cuts:
         chosen = chosen | ((F.col("label") == r["label"]) & (F.col("h") <= r["top"]))
-    sample = named.where(chosen).select("label", "text", "h").mapInArrow(_features, "label string, h long, idx array<int>, val array<int>")
-    table = sample.toArrow().sort_by([("h", "ascending"), ("label", "ascending")])
-    idx, val = table.column("idx").combine_chunks(), table.column("val").combine_chunks()
-    examples = []
-    for k, name in enumerate(table.column("label").to_pylist()):
-        at = idx[k].values.to_numpy()
-        if len(at):
-            x = (1.0 + np.log(val[k].values.to_numpy())) * idf[at]
-            examples.append((np.append(at, BUCKETS), np.append(x / np.sqrt(x @ x), 1.0), labels.index(name)))
-    held = [e for k, e in enumerate(examples) if k % 5 == 4]
-    model.weights = ftrl([e for k, e in enumerate(examples) if k % 5 != 4], len(labels))
-    logits = np.array([x @ model.weights[i] for i, x, _ in held]).reshape(len(held), len(labels))
+    sample = named.where(chosen).select("label", "text", "h").mapInArrow(_features, "label string, h long, idx binary, val binary")
+    examples = Examples(sample, labels, idf)
+    model.weights = ftrl(examples.part(lambda k: k % 5 != 4), len(labels))
+    held = examples.part(lambda k: k % 5 == 4)
+    logits = np.array([x @ model.weights[i] for i, x, _ in held]).reshape(-1, len(labels))
     model.temperature = temperature(logits, np.array([y for *_, y in held], np.int64))
     return model
 
@@ -211,21 +233,24 @@ def _predict(model):
     def run(batches):
         for batch in batches:
             out = [model.value.predict(t) for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([a for a, _ in out], pa.string()), pa.array([b for _, b in out], pa.float64())],
-                names=["doc_id", "lang_pred", "score"],
-            )
+            told = [batch.column(0), pa.array([a for a, _ in out], pa.string()), pa.array([b for _, b in out], pa.float64())]
+            yield pa.RecordBatch.from_arrays([*told, *batch.columns[2:]], names=["doc_id", "lang_pred", "score", *batch.schema.names[2:]])
 
     return run
 
 
-def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, lang_pred, score (calibrated probability of the prediction)."""
+def predict(docs: DataFrame, model: Model, doc_id: str = "doc_id", text: str = "text", keep: Sequence[str] = ()) -> DataFrame:
+    """doc_id, lang_pred, score (calibrated probability of the prediction); with ``keep``
+    also those columns of the document, as the struct rest."""
     spark = docs.sparkSession
     C.bounded_batches(spark)
     shared = spark.sparkContext.broadcast(model)  # BUCKETS x labels numbers
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(_predict(shared), "doc_id long, lang_pred string, score double")
+    rest = [F.struct(*[F.col(c) for c in keep]).alias("rest")] if keep else []
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), *rest)
+    schema = StructType.fromDDL("doc_id long, lang_pred string, score double")
+    if keep:
+        schema = schema.add(rows.schema["rest"])
+    return rows.mapInArrow(_predict(shared), schema)
 
 
 C.ship(__name__)

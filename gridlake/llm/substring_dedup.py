@@ -18,19 +18,21 @@ read that exchange.
 
 Defined cases: a null text has no words (kept_text stays null); texts shorter
 than a window lose nothing; a null doc_id orders last; rows that repeat a doc_id
-are the same document (equal places are neither earlier); extra columns are
-ignored; an empty table gives an empty result.
+are the same document (equal places are neither earlier); columns named in ``keep``
+ride along in ``rest``, others are ignored; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from gridlake.llm import common as C
 
@@ -208,15 +210,16 @@ def _remove(window: int):
             starts.append(change[0::2].tolist())
             ends.append(change[1::2].tolist())
             kept.append(cut_words(text, covered))
-        return pa.table(
-            {
-                "doc_id": docs.column("doc_id"),
-                "n_words": pa.array(n_words, pa.int64()),
-                "starts": pa.array(starts, pa.list_(pa.int32())),
-                "ends": pa.array(ends, pa.list_(pa.int32())),
-                "kept_text": pa.array(kept, pa.string()),
-            }
-        )
+        out = {
+            "doc_id": docs.column("doc_id"),
+            "n_words": pa.array(n_words, pa.int64()),
+            "starts": pa.array(starts, pa.list_(pa.int32())),
+            "ends": pa.array(ends, pa.list_(pa.int32())),
+            "kept_text": pa.array(kept, pa.string()),
+        }
+        if "rest" in docs.column_names:
+            out["rest"] = docs.column("rest")
+        return pa.table(out)
 
     return run
 
@@ -228,14 +231,17 @@ def factors(
     window: int = WINDOW,
     gram: int = GRAM,
     block_bytes: int = C.BLOCK_BYTES,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """One row per document: doc_id, n_words, the word spans of its factors
-    (starts, ends) and kept_text, the text without them (white space stays)."""
+    (starts, ends) and kept_text, the text without them (white space stays); with
+    ``keep`` also those columns of the document, as the struct rest."""
     C.bounded_batches(docs.sparkSession)
-    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rest = [F.struct(*[F.col(c) for c in keep]).alias("rest")] if keep else []
+    source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), *rest)
     blocks = C.block_count(source, "text", block_bytes)
     placed = source.select(
-        "doc_id", "text", F.coalesce("doc_id", F.lit(_LAST)).alias("ord"), C.block_of(F.col("doc_id"), blocks).alias("block")
+        "*", F.coalesce("doc_id", F.lit(_LAST)).alias("ord"), C.block_of(F.col("doc_id"), blocks).alias("block")
     )
     anchors = placed.select("block", "text").mapInArrow(_anchors(window, gram), "anchor long, block int, n int")
     repeated = (
@@ -260,11 +266,10 @@ def factors(
         .where("place > 1 OR known")
         .select("block", "ord", F.col("at").alias("pos"), F.col("m").alias("n"))
     )
-    return (
-        placed.groupBy("block")
-        .cogroup(repeats.groupBy("block"))
-        .applyInArrow(_remove(window), "doc_id long, n_words long, starts array<int>, ends array<int>, kept_text string")
-    )
+    schema = StructType.fromDDL("doc_id long, n_words long, starts array<int>, ends array<int>, kept_text string")
+    if keep:
+        schema = schema.add(placed.schema["rest"])
+    return placed.groupBy("block").cogroup(repeats.groupBy("block")).applyInArrow(_remove(window), schema)
 
 
 def removed_words():
