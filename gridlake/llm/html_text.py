@@ -59,6 +59,11 @@ NEVER_NAMES = frozenset(
 )
 MAIN = frozenset(("main", "article"))
 NAMED_FREELY = frozenset(("html", "body", "main", "article"))
+PLACES = frozenset("top bottom left right main site page global primary secondary mobile desktop sticky fixed".split())
+READERS = re.compile(
+    r"(?:comments?|respond|replies|disqus|related|recommended)"
+    r"(?:[-_]+(?:list|area|section|thread|body|posts?|articles?|stories|items|wrap|wrapper|container))?"
+)
 # -----------------------------------------------------------------------------
 
 _TAG = re.compile(
@@ -66,31 +71,79 @@ _TAG = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>]*)((?>[^\"'>]|\"[^\"<]*\"|'[^'<]*')*+|[^>]*)>",
     re.S,
 )
-_NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?(?:until|false))|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+_UNSEEN = re.compile(r"display\s*:\s*none", re.I)
 _SPACE = re.compile(r"\s+")
 
 
-def _kind(name: str, attributes: str) -> tuple[str, bool]:
-    """The label of a block in paths, and whether it is no part of the main text."""
-    label, never = name, name in NEVER
-    if attributes and ("=" in attributes or "hidden" in attributes):
-        for key, a, b, c in _NAMES.findall(attributes):
-            value = (a or b or c).lower()
-            if key.lower() == "role":
-                never |= value.strip() in NEVER_ROLES
-            else:
+#: Why a block is no part of the main text: by its element, role or hiding (an article that
+#: opens in it ends it: it was never closed), or as readers' comments or links to other pages.
+_OUT, _BARRED = 1, 2
+
+
+def _is_named(value: str) -> bool:
+    """Whether a class or id names furniture: whole, by its leading part, or by its only
+    part besides a place (``top-nav``)."""
+    parts = [x for x in re.split(r"[^a-z0-9]+", value) if x]
+    if parts and parts[0] in NEVER_NAMES:
+        return True
+    return len(parts) == 2 and parts[0] in PLACES and parts[1] in NEVER_NAMES
+
+
+def _kind(name: str, attributes: str) -> tuple[str, int, bool]:
+    """The label of a block in paths, whether it is no part of the main text, and whether
+    its names say so (which holds unless the main container is in it)."""
+    label, out, named = name, _BARRED if name == "aside" else _OUT if name in NEVER else 0, False
+    if attributes and ("=" in attributes or "hidden" in attributes.lower()):
+        for key, a, b, c in _ATTRIBUTE.findall(attributes):
+            key, value = key.lower(), (a or b or c).lower()
+            if key == "role":
+                out = max(out, _OUT * (value.strip() in NEVER_ROLES))
+            elif key in ("class", "id"):
                 label += f".{value}"
                 if name not in NAMED_FREELY or name == "article":
-                    never |= not NEVER_NAMES.isdisjoint(re.split(r"[^a-z0-9]+", value))
-        never |= name not in ("html", "body") and bool(_HIDDEN.search(attributes))
-    return label, never
+                    out = max(out, _BARRED * any(READERS.fullmatch(x) is not None for x in value.split()))
+                if name not in NAMED_FREELY:
+                    named = named or any(map(_is_named, value.split()))
+            elif name not in ("html", "body"):
+                unseen = key == "hidden" and not value.startswith(("until", "false"))
+                unseen |= key == "aria-hidden" and value.strip() == "true" or key == "style" and bool(_UNSEEN.search(value))
+                out = max(out, _OUT * unseen)
+    return label, out, named
+
+
+class _Block:
+    __slots__ = ("element", "path", "inside", "out", "named", "names", "parent", "holds_main", "excluded")
+
+    def __init__(self, element: str, path: str, inside: bool, out: int, named: bool, parent: _Block | None):
+        self.element, self.path, self.inside, self.out, self.named, self.parent = element, path, inside, out, named, parent
+        self.names = named + (parent.names if parent else 0)  # named blocks from here up
+        self.holds_main = self.excluded = False
+
+
+_PAGE = _Block("", "", False, 0, False, None)
 
 
 def blocks(page: str | None):
     """Yield (path, text, inside main, excluded) for every start of a block (text None)
     and for every block's text, in page order."""
-    stack: list[tuple[str, str, bool, bool]] = []  # element, path, in main, excluded
+    found = list(_read(page))
+    mains = [b for b, text in found if text is None and b.element in MAIN and not b.out]
+    least = min((b.names for b in mains), default=0)
+    for b in mains:
+        # What the main container stands in is not furniture, whatever its name; of several
+        # containers that of the fewest such names counts (others are teasers).
+        while b is not None and b.names and not b.holds_main and (b.names <= least):
+            b.holds_main, b = True, b.parent
+    for b, text in found:
+        if text is None:
+            b.excluded = b.out > 0 or b.named and not b.holds_main or b.parent is not None and b.parent.excluded
+        yield b.path, text, b.inside, b.excluded
+
+
+def _read(page: str | None):
+    """Yield (block, text): text None for its start."""
+    stack: list[_Block] = []
     pieces: list[str] = []
     at, page = 0, page or ""
 
@@ -99,8 +152,7 @@ def blocks(page: str | None):
             text = _SPACE.sub(" ", html.unescape("".join(pieces))).strip()
             pieces.clear()
             if text:
-                _, path, inside, never = stack[-1] if stack else ("", "", False, False)
-                yield path, text, inside, never
+                yield stack[-1] if stack else _PAGE, text
 
     for m in _TAG.finditer(page):
         if m.start() < at:
@@ -116,9 +168,9 @@ def blocks(page: str | None):
         if m[1]:
             if name in INLINE:
                 continue
-            if any(x[0] == name for x in stack):
+            if any(x.element == name for x in stack):
                 yield from flush()
-                while stack.pop()[0] != name:
+                while stack.pop().element != name:
                     pass
             elif name not in VOID:
                 yield from flush()
@@ -135,16 +187,24 @@ def blocks(page: str | None):
         yield from flush()
         if name in VOID:
             continue
-        label, never = _kind(name, m[3])
-        if stack and stack[-1][0] in PARAGRAPHS and (stack[-1][0] == "p" or stack[-1][0][0] == "h" or stack[-1][0] == name):
+        label, out, named = _kind(name, m[3])
+        last = stack[-1].element if stack else ""
+        if last in PARAGRAPHS and (last == "p" or last[0] == "h" or last == name):
             stack.pop()
-        if name in MAIN and not never:  # an advert or menu that was never closed ends here
-            while stack and stack[-1][3] and not re.search(r"comment|respond|aside|sidebar|related", stack[-1][1]):
+        if name in MAIN and not out:  # a menu or form that was never closed ends here
+            while stack and stack[-1].out == _OUT:
                 stack.pop()
-        _, path, inside, out = stack[-1] if stack else ("", "", False, False)
-        here = (name, f"{path}/{label}", inside or name in MAIN, out or never)
+        above = stack[-1] if stack else None
+        here = _Block(
+            name,
+            f"{above.path if above else ''}/{label}",
+            name in MAIN or above is not None and above.inside,
+            max(out, above.out if above else 0),
+            named,
+            above,
+        )
         stack.append(here)
-        yield here[1], None, here[2], here[3]
+        yield here, None
     if at < len(page):
         pieces.append(re.sub(r"</?[a-zA-Z!][^<>]*\Z", "", page[at:]))  # a tag cut off at the end
     yield from flush()

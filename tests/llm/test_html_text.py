@@ -71,3 +71,28 @@ def test_odd_tables(spark):
     rows = [(None, None, "<p>a"), (1, "no url", "<p>b"), (1, "no url", "<p>b")]
     got = sorted((r.page_id or 0, r.url or "", r.text) for r in H.extract(spark.createDataFrame(rows, schema)).collect())
     assert got == [(0, "", "a"), (1, "no url", "b"), (1, "no url", "b")]
+
+
+def test_names_and_hiding_that_only_look_like_furniture():
+    text = H.main_text
+    for attributes in ('style="overflow:hidden"', 'class="overflow-hidden"', 'id="hidden-costs"', "title='display:none'", "data-x=hidden"):
+        for element in ("div", "main", "article"):
+            assert text(f"<{element} {attributes}><p>story</p></{element}>") == "story", (element, attributes)
+    for attributes in ("hidden", "HIDDEN=''", "style='color:red; Display : none'", "aria-hidden=true"):
+        assert text(f"<p>x</p><div {attributes}><p>unseen</p></div>") == "x", attributes
+    assert text('<article class="post category-social tag-ads"><p>story</p></article>') == "story"
+    assert text('<article class="share ad" id="related-to-x"><p>story</p></article>') == "story"
+    assert text('<div class="content has-sidebar"><p>story</p></div>') == "story"
+    assert text('<div class="box ad-slot">buy</div><div id="site-footer">foot</div><p>story</p>') == "story"
+
+
+def test_named_ancestors_of_the_main_container():
+    text = H.main_text
+    page = '<div class="layout sidebar-left"><div class="sidebar"><p>menu</p></div><article><p>story</p></article></div>'
+    assert text(page) == "story"
+    assert text(page.replace("article", "main")) == "story"
+    assert text(page, has_main=False) == "story"  # what stands beside the container is judged by its own name
+    teasers = '<section class="related"><article>other</article></section><div class="promo"><article>third</article></div>'
+    assert text(page + teasers) == "story\nthird"
+    assert text("<article><p>story</p></article>" + teasers) == "story"
+    assert text('<div id="comments"><article><p>reader</p></article></div><p>story</p>') == "story"
