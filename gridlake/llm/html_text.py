@@ -1,24 +1,29 @@
 """Main text of web pages by equivalence-class template deduction.
 
 Pages of one host come from one template. A first pass turns every page into tokens, told
-apart by the path of blocks they stand in: the start of a block, and the whole text of a
-block. The occurrence vector of a token says how often each page of the host has it; it is
-carried as a commutative digest with the number of pages, so vectors of any length meet in
-one aggregate row per token. Tokens with equal vectors form an equivalence class. Valid are
-classes of enough tokens on enough pages; the class of the tokens that every page has exactly
-once is the root of the template, and the paths nest the other classes and the slots in it.
-Text of the root class is part of the template (a notice, a tag line); text that varies sits in
-a slot. The second pass extracts the slots: those below the root's main container (``main`` or
-``article``) if the root has one, else all, without the containers that name themselves
-navigation, header, footer, sidebar, notice, advert, form or comments.
+apart by the path of blocks they stand in: a block, and the whole text of a block. The
+occurrence vector of a token says how often each page of the host has it; it is carried as a
+commutative digest with the number of pages, so vectors of any length meet in one aggregate
+row per token. Tokens with equal vectors form an equivalence class. Valid are classes of
+enough tokens (a block has two, its start and end; a text has its words) on enough pages, any
+number of times a page: the root class of all pages and the classes of some. A block is on
+every page that has a block or text below it, so the paths nest each class in those of the
+blocks above it.
+
+Text of a valid class is part of the template (a notice, a tag line) if the class has a block,
+or if most pages that have the text's block show that text; a text that only a smaller part of
+them repeats is one value of a slot (an article that was published again). The second pass
+extracts the slots: those in a main container (``main`` or ``article``) if enough pages of the
+host have one there, else all, without the containers that name themselves navigation, header,
+footer, sidebar, notice, advert, form or comments.
 
 The template of a host has at most the tokens of its smallest page. It is joined to the pages
 by host: broadcast by the planner when the table of hosts is small, else a merge join whose
 hot hosts are split.
 
 Defined cases: a null or empty page has an empty text; pages without a host, and hosts with
-fewer than ``MIN_PAGES`` pages or with equal pages only, are read by their own markup; repeated
-rows are pages of their own; broken markup is read as far as it goes (a block that is never
+fewer than ``MIN_PAGES`` different pages, are read by their own markup; pages without a token
+have no part in the template, and pages of equal tokens count once in it; broken markup is read as far as it goes (a block that is never
 closed ends with its parent); extra columns are ignored.
 """
 
@@ -214,35 +219,46 @@ def _token(path: str, text: str | None) -> int:
     return xxhash.xxh64_intdigest(path if text is None else f"{path}\0{text}")
 
 
+_FOUND = "host string, content long, found array<struct<token:bigint,block:bigint,n:int,size:int,is_main:boolean>>"
+
+
 def _tokens(batches):
-    """(host, row key, page) -> (host, token, text?, main?, pages, digest, most per page)."""
+    """(host, page) -> host, a digest of the page's tokens, and the tokens: each with its
+    block (0: it is a block), how often the page has it, its size and whether it is a main
+    container. Pages without a token have no row."""
     for batch in batches:
-        found: dict[tuple, list] = {}
-        for host, key, page in zip(*(c.to_pylist() for c in batch.columns)):
+        hosts, contents, ends, rows = [], [], [0], []
+        for host, page in zip(*(c.to_pylist() for c in batch.columns)):
             counts: dict[tuple, int] = {}
-            for path, text, inside, never in blocks(page):
+            for path, text, _, never in blocks(page):
                 if not never:
                     leaf = path.rsplit("/", 1)[-1].split(".")[0]
-                    t = _token(path, text), text is not None, text is None and leaf in MAIN
+                    block = 0 if text is None else _token(path, None)
+                    t = _token(path, text), block, 2 if text is None else len(text.split()), text is None and leaf in MAIN
                     counts[t] = counts.get(t, 0) + 1
-            counts[0, False, False] = 1  # the page itself
-            for t, n in counts.items():
-                row = found.setdefault((host, *t), [0, 0, 0])
-                row[0] += 1
-                row[1] ^= xxhash.xxh64_intdigest(f"{key}:{n}")
-                row[2] = max(row[2], n)
-        keys, rows = list(found), list(found.values())
+            if counts:
+                hosts.append(host)
+                contents.append(xxhash.xxh64_intdigest(repr(sorted(counts.items()))))
+                rows += [(*t, n) for t, n in counts.items()]
+                ends.append(len(rows))
+        token, block, size, is_main, n = zip(*rows) if rows else ((),) * 5
+        found = pa.StructArray.from_arrays(
+            [
+                pa.array(np.array(token, np.uint64).view(np.int64)),
+                pa.array(np.array(block, np.uint64).view(np.int64)),
+                pa.array(n, pa.int32()),
+                pa.array(size, pa.int32()),
+                pa.array(is_main, pa.bool_()),
+            ],
+            names=["token", "block", "n", "size", "is_main"],
+        )
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array([k[0] for k in keys], pa.string()),
-                pa.array(np.array([k[1] for k in keys], np.uint64).view(np.int64)),
-                pa.array([k[2] for k in keys], pa.bool_()),
-                pa.array([k[3] for k in keys], pa.bool_()),
-                pa.array([r[0] for r in rows], pa.int64()),
-                pa.array(np.array([r[1] for r in rows], np.uint64).view(np.int64)),
-                pa.array([r[2] for r in rows], pa.int64()),
+                pa.array(hosts, pa.string()),
+                pa.array(np.array(contents, np.uint64).view(np.int64)),
+                pa.ListArray.from_arrays(pa.array(ends, pa.int32()), found),
             ],
-            names=["host", "token", "is_text", "is_main", "pages", "vector", "most"],
+            names=["host", "content", "found"],
         )
 
 
@@ -251,26 +267,45 @@ def host_of(url):
 
 
 def templates(pages: DataFrame, min_pages: int = MIN_PAGES, min_class: int = MIN_CLASS) -> DataFrame:
-    """(host, key, html) -> one row per host that shows a template: host, fixed (the text
-    tokens of its root class) and has_main (whether the root has a main container)."""
-    counted = pages.where("host <> ''").select("host", "key", "html").mapInArrow(
-        _tokens, "host string, token long, is_text boolean, is_main boolean, pages long, vector long, most long"
+    """(host, html) -> one row per host with enough different pages: host, fixed (the text
+    tokens of its template) and has_main (whether enough pages have a main container)."""
+    counted = pages.where("host <> ''").select("host", "html").mapInArrow(_tokens, _FOUND)
+    different = counted.groupBy("host", "content").agg(F.first("found").alias("found"))
+    # The token 0 is the page itself; its class is the root.
+    page = F.struct(*[F.lit(v).cast(t).alias(c) for c, v, t in (("token", 0, "long"), ("block", 0, "long"), ("n", 1, "int"), ("size", 1, "int"), ("is_main", False, "boolean"))])
+    tokens = (
+        different.select("host", "content", F.explode(F.concat(F.array(page), "found")).alias("x"))
+        .select("host", "content", "x.*")
+        .groupBy("host", "token", "block", "size", "is_main")
+        .agg(F.count("*").alias("pages"), F.bit_xor(F.xxhash64("content", "n")).alias("vector"))
+    )
+    # A host's texts that few pages have matter only in that there are some.
+    is_text = F.col("block") != 0
+    often = C.cut(
+        tokens.withColumn("rare", F.col("pages") < min_pages)
+        .groupBy("host", *[F.when(~F.col("rare"), F.col(c)).alias(c) for c in ("token", "block", "size", "is_main", "pages", "vector")], "rare")
+        .agg(F.max(is_text).alias("has_text")),
+        "tokens",
+    )
+    common = often.where("NOT rare")
+    classes = common.groupBy("host", "vector", "pages").agg(
+        F.sum(F.col("size").cast("long")).alias("members"), F.max(~is_text).alias("has_block")
     )
-    tokens = counted.groupBy("host", "token", "is_text", "is_main").agg(
-        F.sum("pages").alias("pages"), F.bit_xor("vector").alias("vector"), F.max("most").alias("most")
+    valid = classes.where(F.col("members") >= min_class).select("host", "vector", "pages", "has_block")
+    slots = common.where(~is_text).select("host", F.col("token").alias("block"), F.col("pages").alias("of"))
+    texts = common.where(is_text).join(valid, ["host", "vector", "pages"], "left").join(slots, ["host", "block"])
+    constant = F.col("has_block") | (F.col("has_block").isNotNull() & (2 * F.col("pages") > F.col("of")))
+    fixed = texts.groupBy("host").agg(
+        F.collect_list(F.when(constant, F.col("token"))).alias("fixed"), F.max(~F.coalesce(constant, F.lit(False))).alias("varied")
     )
-    # Only classes on enough pages can be valid; the class of a host's pages is its root.
-    classes = tokens.groupBy("host", "vector", "pages", "most").agg(
-        F.count("*").alias("members"),
-        F.max(F.col("token") == 0).alias("root"),
-        F.max("is_main").alias("has_main"),
-        F.sum(F.col("is_text").cast("long")).alias("texts"),
-        F.collect_list(F.when(F.col("is_text") & (F.col("pages") >= min_pages), F.col("token"))).alias("fixed"),
+    hosts = often.groupBy("host").agg(
+        F.max(F.coalesce(F.col("token") == 0, F.lit(False))).alias("enough"),
+        F.max(F.coalesce("is_main", F.lit(False))).alias("has_main"),
+        F.max(F.col("rare") & F.col("has_text")).alias("varied_rarely"),
     )
-    roots = classes.where(F.col("root") & (F.col("pages") >= min_pages) & (F.col("members") >= min_class))
-    spread = tokens.where("is_text").groupBy("host").agg(F.count("*").alias("all_texts"))
-    return roots.join(spread, "host").select(
-        "host", "has_main", F.when(F.col("all_texts") > F.col("texts"), F.col("fixed")).otherwise(F.array().cast("array<bigint>")).alias("fixed")
+    varies = F.col("varied_rarely") | F.coalesce("varied", F.lit(False))
+    return hosts.where("enough").join(fixed, "host", "left").select(
+        "host", "has_main", F.when(varies, F.col("fixed")).otherwise(F.array().cast("array<bigint>")).alias("fixed")
     )
 
 
@@ -306,7 +341,6 @@ def extract(pages: DataFrame, page_id: str = "page_id", url: str = "url", page:
         F.col(url).alias("url"),
         F.col(page).alias("html"),
         host_of(F.col(url)).alias("host"),
-        F.xxhash64(F.col(page_id), F.col(url), F.col(page)).alias("key"),
     )
     known = C.cut(templates(rows), "templates")
     told = rows.join(known.withColumnRenamed("host", "of"), F.col("host") == F.col("of"), "left")

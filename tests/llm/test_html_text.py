@@ -96,3 +96,34 @@ def test_named_ancestors_of_the_main_container():
     assert text(page + teasers) == "story\nthird"
     assert text("<article><p>story</p></article>" + teasers) == "story"
     assert text('<div id="comments"><article><p>reader</p></article></div><p>story</p>') == "story"
+
+
+def read(spark, rows):
+    return {r.page_id: r.text for r in H.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+
+
+def test_odd_pages_do_not_switch_a_template_off(spark):
+    slots = "Title {0}\nText {0} of a page here\nMore {0} <x>"
+    odd = {100: None, 101: "", 102: "<p", 103: "just a line", 104: "<html><body><table><tr><td>other</table>", 105: "<section><p>broken"}
+    got = read(spark, [(i, f"http://shop.example/{i}", SHOP.format("all", i)) for i in range(30)] + [(k, f"http://shop.example/{k}", v) for k, v in odd.items()])
+    assert [got[i] for i in range(30)] == [slots.format(i) for i in range(30)]
+    assert [got[k] for k in odd] == ["", "", H.main_text("<p"), "just a line", "other", "broken"]
+
+
+def test_classes_of_some_pages_and_of_several_places_a_page(spark):
+    page = '<body><div class="x"><b>{n}</b></div><div class="tip"><p>Mind the gap</p></div><p>Story {i}</p><div class="tip"><p>Mind the gap</p></div></body>'
+    rows = [(i, f"http://h.example/{i}", page.format(i=i, n=f"Offer of week {i % 4}")) for i in range(40)]
+    rows[7] = (7, "http://h.example/7", "<body><p>Story 7</p></body>")
+    got = read(spark, rows)
+    assert got[7] == "Story 7"
+    assert all(got[i] == f"Offer of week {i % 4}\nStory {i}" for i in range(40) if i != 7)
+
+
+def test_articles_published_again_are_no_template(spark):
+    page = "<body><article><h1>Head {0}</h1><p>One of {0} here</p><p>Two of {0} here</p></article><p>Seen {1} times</p></body>"
+    rows = [(i, f"http://h.example/{i}", page.format("same" if i % 3 == 0 else i, i)) for i in range(30)]
+    rows += [(100 + i, f"http://copies.example/{i}", page.format("same", 0)) for i in range(9)] + [(110, "http://copies.example/x", "<body><p>else</p></body>")]
+    got = read(spark, rows)
+    for i, _, _ in rows[:39]:
+        name = "same" if i >= 100 or i % 3 == 0 else i
+        assert got[i] == f"Head {name}\nOne of {name} here\nTwo of {name} here"
