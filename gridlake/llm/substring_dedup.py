@@ -11,8 +11,9 @@ least ``window`` words long. The windows that straddle the boundary of a factor
 are looked up like the others, so a factor ends exactly where no earlier text
 goes on. The words of all factors are removed.
 
-Windows are told apart by 96 bits of hash (anchor 64, window 32). Equal windows
-of one block meet before the shuffle, so a passage that a third of all documents
+Windows are told apart by 64 bits of hash of their own, whatever their anchor: of
+n different windows on one anchor about n * n / 2^65 pairs count as equal (5 million:
+one in a million). Equal windows of one block meet before the shuffle, so a passage that a third of all documents
 share arrives once per block. Texts are shuffled once, by block, and both cogroups
 read that exchange.
 
@@ -92,7 +93,7 @@ class Windows:
         self.window = window
 
     def hashes(self) -> np.ndarray:
-        return _rolling(self.h, self.window, _B)[self.start].astype(np.uint32) if len(self.start) else np.zeros(0, np.uint32)
+        return _rolling(self.h, self.window, _B)[self.start] if len(self.start) else np.zeros(0, np.uint64)
 
 
 def _anchors(window: int, gram: int):
@@ -127,7 +128,7 @@ def _runs(*keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(head)
 
 
-_CANDIDATES = "anchor long, block int, ord long, pos int, n int, windows array<int>"
+_CANDIDATES = "anchor long, block int, ord long, pos int, n int, windows array<long>"
 
 
 def _candidates(window: int, gram: int):
@@ -161,7 +162,7 @@ def _candidates(window: int, gram: int):
             step = k_i - np.arange(len(k_i))
             starts = _runs(step, k_doc, k_place) if kind == 0 else _runs(step, k_doc)
             lengths = np.diff(np.append(starts, len(k_i)))
-            values = hashes[keep].view(np.int32) if kind == 0 else np.zeros(0, np.int32)
+            values = hashes[keep].view(np.int64) if kind == 0 else np.zeros(0, np.int64)
             offsets = np.append(starts, len(k_i)) if kind == 0 else np.zeros(len(starts) + 1)
             o, p = ords[k_doc[starts]], k_pos[starts]
             spread = anchor[keep][starts] if kind == 0 else (o.astype(np.uint64) * _A + p.astype(np.uint64)) * _B
@@ -177,7 +178,7 @@ def _candidates(window: int, gram: int):
                     }
                 )
             )
-        empty = pa.table({c: pa.array([], t) for c, t in (("anchor", pa.int64()), ("block", pa.int32()), ("ord", pa.int64()), ("pos", pa.int32()), ("n", pa.int32()), ("windows", pa.list_(pa.int32())))})
+        empty = pa.table({c: pa.array([], t) for c, t in (("anchor", pa.int64()), ("block", pa.int32()), ("ord", pa.int64()), ("pos", pa.int32()), ("n", pa.int32()), ("windows", pa.list_(pa.int64())))})
         return pa.concat_tables([x.cast(empty.schema) for x in out]) if out else empty
 
     return run
@@ -257,7 +258,7 @@ def factors(
     to_find = F.transform(
         "windows", lambda w, j: F.struct(w.alias("w"), (F.col("pos") + j).alias("at"), F.lit(1).alias("m"), F.lit(False).alias("known"))
     )
-    known = F.array(F.struct(F.lit(0).alias("w"), F.col("pos").alias("at"), F.col("n").alias("m"), F.lit(True).alias("known")))
+    known = F.array(F.struct(F.lit(0).cast("long").alias("w"), F.col("pos").alias("at"), F.col("n").alias("m"), F.lit(True).alias("known")))
     earlier = Window.partitionBy("anchor", "w", "known").orderBy("ord", "at")
     repeats = (
         rows.select("anchor", "block", "ord", F.explode(F.when(F.col("n") == 0, to_find).otherwise(known)).alias("x"))

@@ -67,3 +67,22 @@ def test_leftmost_min():
     for width in range(1, 8):
         want = [i + int(np.argmin(g[i : i + width])) for i in range(len(g) - width + 1)]
         assert S._leftmost_min(g, width).tolist() == want
+
+
+def test_windows_of_one_anchor_that_share_32_bits_of_hash(spark):
+    rnd = random.Random(6)
+    phrases = [" ".join(f"{rnd.random()}" for _ in range(8)) for _ in range(3000)]
+    phrase = phrases[int(S.Windows([S.word_hashes(p) for p in phrases], 8, 8).anchor.argmin())]
+    tails = rnd.choices([f"t{i}" for i in range(5000)], k=12 * 150_000)
+    texts = [phrase + " " + " ".join(tails[12 * i : 12 * i + 12]) for i in range(150_000)]
+    w = S.Windows([S.word_hashes(t) for t in texts], 20, 8)
+    low = w.hashes().astype(np.uint64) & np.uint64(2**32 - 1)
+    order = np.lexsort((low, w.anchor))
+    same = (low[order][1:] == low[order][:-1]) & (w.anchor[order][1:] == w.anchor[order][:-1])
+    pairs = [(w.doc[a], w.doc[b]) for a, b in zip(order[:-1][same], order[1:][same])]
+    pairs = [(a, b) for a, b in pairs if texts[a] != texts[b]]
+    assert pairs
+    # Documents of the same anchor and 32 bits of hash, which have no 20 words in common.
+    docs = {i: texts[k] for i, k in enumerate(sorted({k for p in pairs for k in p}))}
+    check(spark, docs)
+    check(spark, docs, block_bytes=300)
