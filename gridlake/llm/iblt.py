@@ -1,6 +1,9 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
 
-A text is the set of its paragraphs (lines, cut further at sentence ends). Each digest is
+A text is the set of its paragraphs: lines, cut further at sentence ends, and where that leaves
+more than ``LONG`` characters, after the words (characters, in scripts without spaces and in
+words longer than that) whose hash is 0 modulo ``EVERY``, so an edit moves the cuts beside it
+only. Each digest is
 added to three cells, one in each third of the sketch; a cell holds a count, the xor of its
 digests and the xor of their check hashes. Two versions' sketches of one size subtract cell by
 cell: what they share cancels. Peeling then recovers what differs: a cell whose count is 1 or
@@ -44,16 +47,41 @@ ROUNDS = 5
 GROW = 4
 #: Text bytes of a partition: bounds the sketches that a task holds.
 PART_BYTES = 4_000_000
-ENDS = r"\n+|(?<=[.!?])[ \t]+"
+ENDS = r"\n+|(?<=[.!?])[ \t]+|(?<=[\u3002\uff01\uff1f\uff0e\uff61])[ \t]*|(?<=[\u0964\u0965\u061f\u06d4\u1362])[ \t]+"
+#: Longer paragraphs are cut after one in EVERY of their words.
+LONG = 200
+EVERY = 16
+#: Places after a word of a long paragraph: white space, and any character of a script without spaces.
+WORD_ENDS = r"(?<=\s)(?=\S)|(?<=[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u30ff\u3400-\u9fff\uf900-\ufaff\x{20000}-\x{3ffff}])"
 _LAST = 2**63 - 1
 KEY = ["ord", "h"]
 #: Rows that are no cells: recovered digests of either side, and a note.
 _GONE, _COME, _NOTE = -1, -2, -3
 
 
+def _is_long(part: Column) -> Column:
+    return F.length(part) > LONG
+
+
+def _cut_after(units: Column) -> Column:
+    """The pieces of a text given by its units: a piece ends with a unit whose hash says so.
+    Parts have no line break, so one marks the cuts."""
+    is_end = lambda u: F.pmod(F.xxhash64(F.rtrim(u)), F.lit(EVERY)) == 0
+    marked = F.array_join(F.transform(units, lambda u: F.when(is_end(u), F.concat(u, F.lit("\n"))).otherwise(u)), "")
+    return F.filter(F.split(marked, "\n"), lambda p: p != "")
+
+
+def _pieces(part: Column) -> Column:
+    """A part, if long cut into pieces; in words that are long themselves, characters decide."""
+    characters = lambda w: F.when(_is_long(w), F.split(w, "(?<=.)(?=.)")).otherwise(F.array(w))
+    units = F.flatten(F.transform(F.split(part, WORD_ENDS), characters))
+    return F.when(_is_long(part), _cut_after(units)).otherwise(F.array(part))
+
+
 def digests(text: Column) -> Column:
     """The set of the paragraph digests of a text."""
     parts = F.filter(F.split(text, ENDS), lambda p: p != "")
+    parts = F.when(F.exists(parts, _is_long), F.flatten(F.transform(parts, _pieces))).otherwise(parts)
     return F.array_distinct(F.transform(parts, lambda p: F.xxhash64(p)))
 
 
@@ -75,7 +103,7 @@ def fingerprint(found: Column, base: int = BASE) -> Column:
         mine = F.filter(found, lambda d: (third * width + F.pmod(F.xxhash64(d, third, F.lit(0)), width)) == i)
         xor = lambda f: F.aggregate(mine, F.lit(0).cast("long"), lambda a, d: a.bitwiseXOR(f(d)))
         return F.concat(
-            F.lpad(F.hex(F.size(mine)), 4, "0"), F.lpad(F.hex(xor(lambda d: d)), 16, "0"), F.lpad(F.hex(xor(check)), 16, "0")
+            F.lpad(F.hex(F.size(mine)), 8, "0"), F.lpad(F.hex(xor(lambda d: d)), 16, "0"), F.lpad(F.hex(xor(check)), 16, "0")
         )
 
     cells = F.transform(F.sequence(F.lit(0).cast("long"), F.lit(3 * base - 1).cast("long")), cell)

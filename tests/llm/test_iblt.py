@@ -84,3 +84,23 @@ def test_no_python_in_the_plan(spark):
     pairs = I._pairs(I.versions(s := I.documents(df, "doc_id", "text"), I.neighbours(s), 4), True)
     plan = I.peel(pairs, [*I.KEY, "pair"]).select(F.sum("gone"))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_long_texts_without_sentence_ends(spark):
+    rnd = random.Random(5)
+    flow = lambda: " ".join(f"w{rnd.randint(0, 9999)}" for _ in range(2000))
+    signs = lambda end: "".join(chr(rnd.randint(0x4E00, 0x9FFF)) + end * (k % 15 == 14) for k in range(3000))
+    letters = lambda: "".join(rnd.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=4000))
+    docs = {0: flow(), 1: flow(), 2: signs(""), 3: signs(""), 4: signs("。"), 5: signs("。"), 6: letters(), 7: letters()}
+    got = {r.doc_id: r for r in I.fingerprints(docs_of(spark, docs)).collect()}
+    for i in (0, 2, 4, 6):  # three quarters are kept, one is the successor's: 0.6 of either's paragraphs
+        assert 0.4 < got[i].near_edited < 0.75, (i, got[i].near_edited)
+    assert got[0].near_next < 0.05 and got[2].near_next < 0.05
+    assert got[0].fingerprint != got[1].fingerprint
+
+
+def test_counts_of_many_paragraphs(spark):
+    found = F.sequence(F.lit(1).cast("long"), F.lit(70_000).cast("long"))
+    text = spark.range(1).select(I.fingerprint(found, base=1).alias("f")).first().f
+    cells = [text[i : i + 40] for i in range(0, len(text), 40)]
+    assert len(cells) == 3 and sum(int(c[:8], 16) for c in cells) == 3 * 70_000
