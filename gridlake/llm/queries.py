@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake.llm import common as C
-from gridlake.llm import decontaminate, html_text, iblt, langid, mixing, ppm, simhash, substring_dedup, token_scan, warc
+from gridlake.llm import decontaminate, html_text, iblt, langid, mixing, ppm, simhash, substring_dedup, token_scan, warc, whitening
 from gridlake.llm.sql import ORACLE
 from gridlake.session import ensure_utc
 
@@ -85,6 +85,15 @@ def op10_substring_dedup(spark, sf_dir):
     )
 
 
+def op11_embedding_whitening(spark, sf_dir):
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"), components=4)
+    each = F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "c")
+    found = found.select("vec_id", "n", "deviation", "identity_error", each)
+    return found.select(
+        "vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "c.whitened", "c.explained", "identity_error"
+    )
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 

@@ -18,7 +18,7 @@ def test_query_equals_its_sql(spark, name):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in Q.queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in Q.queries()) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", ["op1_temperature_mix", "op2_ppm_score", "op3_token_counts", "op6_iblt_fingerprint", "op7_simhash_near_dedup"])
