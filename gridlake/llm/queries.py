@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake.llm import common as C
-from gridlake.llm import decontaminate, html_text, iblt, langid, mixing, ppm, simhash, substring_dedup, token_scan, warc, whitening
+from gridlake.llm import alignment, chat, decontaminate, html_text, iblt, langid, mixing, ppm, simhash, substring_dedup, token_scan, warc, whitening
 from gridlake.llm.sql import ORACLE
 from gridlake.session import ensure_utc
 
@@ -94,6 +94,18 @@ def op11_embedding_whitening(spark, sf_dir):
     )
 
 
+def op12_token_alignment(spark, sf_dir):
+    told = F.when(F.col("groups") == "", "").otherwise(F.sha2(F.col("groups").cast("binary"), 256))
+    return alignment.align(table(spark, sf_dir, "documents"), show={"groups_sha256": told})
+
+
+def op13_chat_formatting(spark, sf_dir):
+    given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = r"\### Assistant: </turn> ok"
+    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], given.schema)
+    return chat.read(chat.write(given.union(more)))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
