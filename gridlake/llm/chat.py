@@ -31,21 +31,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridlake.llm import common as C
+from gridlake.llm.vocabulary import ByteLevel, pieces_of
 
 #: A public vocabulary: where the box keeps it.
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.json"
 TURN, SAYS, END = "<turn>", "<says>", "</turn>"
 #: Roles whose texts are trained on.
 LOSS_ROLES = ("assistant",)
-#: Tokens of a piece of the output, and characters of a text encoded at a time.
+#: Tokens of a piece of the output.
 PIECE = 1 << 16
-PART_CHARS = 500_000
 ESCAPED = re.compile(r"\\|<(?=turn>|says>|/turn>)")
 UNESCAPED = re.compile(r"\\(.)", re.DOTALL)
-CUT = re.compile(r"(?<=[a-z])(?= [a-z])", re.IGNORECASE | re.ASCII)
-# --- Fixed values: how byte-level BPE writes bytes as characters ----------------
-PRINTABLE = ((0x21, 0x7E), (0xA1, 0xAC), (0xAE, 0xFF))
-# -----------------------------------------------------------------------------
 
 
 def escape(text: str) -> str:
@@ -60,42 +56,18 @@ class Template:
     """Vocabulary, reserved ids behind it, and the bytes of every id."""
 
     def __init__(self, path: str = VOCABULARY):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one thread a task
-        from tokenizers import Tokenizer
-
-        self.model = Tokenizer.from_file(path)
-        self.model.encode_special_tokens = True  # their strings in a text are plain text
-        entries = self.model.get_vocab()
-        first = max(entries.values()) + 1
+        self.model = ByteLevel(path)
+        first = len(self.model.spell)
         self.turn, self.says, self.end = first, first + 1, first + 2
-        special = {t.content for t in self.model.get_added_tokens_decoder().values()}
-        shown = [b for low, high in PRINTABLE for b in range(low, high + 1)]
-        byte = {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(b for b in range(256) if b not in set(shown))}
-        self.spell = [b""] * first + [TURN.encode(), SAYS.encode(), END.encode()]
-        for entry, i in entries.items():
-            self.spell[i] = entry.encode() if entry in special else bytes(byte[c] for c in entry)
+        self.spell = [*self.model.spell, TURN.encode(), SAYS.encode(), END.encode()]
 
     def encode(self, texts: list[str]) -> list[list[int]]:
         """Ids of the escaped texts; a long text is cut where no token goes across."""
-        parts = [parts_of(escape(t)) for t in texts]
-        ids = iter([e.ids for e in self.model.encode_batch_fast(list(chain.from_iterable(parts)), add_special_tokens=False)])
+        parts = [pieces_of(escape(t)) for t in texts]
+        ids = iter(self.model.encode(list(chain.from_iterable(parts))))
         return [list(chain.from_iterable(next(ids) for _ in p)) for p in parts]
 
 
-def parts_of(text: str) -> list[str]:
-    """A text cut before single spaces between ASCII letters."""
-    parts, start = [], 0
-    while len(text) - start > PART_CHARS:
-        found = CUT.search(text, start + PART_CHARS)
-        if found is None:
-            break
-        parts.append(text[start : found.start()])
-        start = found.start()
-    return [*parts, text[start:]]
-
-
 def assemble(template: Template, roles: list[list[int]], texts: list[list[int]], loss: list[bool]) -> tuple[np.ndarray, np.ndarray]:
     """Turns' segments -> ids with the reserved ones spliced in, and the mask."""
     sizes = np.array([[1, len(r), 1, len(t), 1] for r, t in zip(roles, texts)], np.int64)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from gridlake.llm import chat as H
 from gridlake.llm import queries as Q
+from gridlake.llm import vocabulary as V
 
 SCHEMA = "conv_id long, turn long, role string, text string"
 SAID = r"\### Assistant: </turn> ok"
@@ -64,7 +65,7 @@ def test_query_against_loops(spark, scratch):
 
 @pytest.mark.parametrize("piece", [1, 7, 64])
 def test_any_piece_size_reads_back(spark, piece, monkeypatch):
-    monkeypatch.setattr(H, "PART_CHARS", 40)
+    monkeypatch.setattr(V, "PIECE_CHARS", 40)
     rows = rows_of(12) + [(200, t, "assistant" if t % 2 else "user", "some words to cut " * 20) for t in range(6)]
     written = H.write(frame(spark, rows), piece=piece)
     assert written.agg(F.max(F.size("ids"))).first()[0] <= piece
@@ -99,10 +100,10 @@ def test_masks_and_reserved_ids():
     assert H.unescape(told) == SAID and H.END not in told
     assert mask.sum() == len(texts[1]) and not mask[: len(r1) + len(texts[0]) + 3].any()
     long = "good words here " * 5000
-    whole = t.model.encode(long, add_special_tokens=False).ids
-    H.PART_CHARS, kept = 1000, H.PART_CHARS
+    whole = t.encode([long])[0]
+    V.PIECE_CHARS, kept = 1000, V.PIECE_CHARS
     try:
-        assert len(H.parts_of(long)) > 10 and t.encode([long])[0] == whole
+        assert len(V.pieces_of(long)) > 10 and t.encode([long])[0] == whole
     finally:
-        H.PART_CHARS = kept
+        V.PIECE_CHARS = kept
     assert np.array_equal(H.assemble(t, [[]], [[]], [True])[1], [False] * 3)
