@@ -61,7 +61,7 @@ def ingest_news(
     batch_id: str | None = None,
 ) -> dict[str, int]:
     """Feeds -> headlines -> classification -> news table."""
-    heads = N.head(FD.parse_feeds(feeds), limit)
+    heads = FD.first_headlines(feeds, limit) if limit else FD.parse_feeds(feeds)
     batch = L.with_key_bucket(N.classify(heads, answers, ts_literal(fetched_at)))
     # Parsed and classified once, for the check, the merge and the counts.
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)

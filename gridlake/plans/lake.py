@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 
 from gridlake import lake as L
 from gridlake.jobs import transform, upkeep
-from gridlake.operators import news as N
 from gridlake.plans import messages, news, pulse  # noqa: F401  (registers freshness)
 from gridlake.plans import sql as S
 from gridlake.plans.registry import _QUERIES, query
@@ -16,6 +15,7 @@ from gridlake.schemas import BRONZE, PIPELINE_HEALTH, SERVING_DAILY, SERVING_HOU
 from gridlake.session import ensure_checkpoint_dir
 from gridlake.sinks import files as FS
 from gridlake.sinks import tables as TB
+from gridlake.sources import feeds as FD
 from gridlake.sources import fixtures as X
 from gridlake.sources import messages as MSG
 
@@ -97,7 +97,7 @@ ORDER BY source, 'https://' || source || '/feed/' || CAST(CAST(regexp_extract(li
 )
 def head_headlines(spark, sf_dir):
     """The first headlines in feed order (the limit is the feature)."""
-    return N.head(news.headlines(spark, sf_dir), HEAD).select("source", "link", "title")
+    return FD.first_headlines(X.feed_documents(spark, sf_dir), HEAD).select("source", "link", "title")
 
 
 @query("headline_lines", f"SELECT source, link, title, category FROM ({news._RUN_2}) r")

@@ -19,15 +19,15 @@ from gridlake.sources import fixtures as X
 _OUT = ["source", "link", "title", "published_ts", "category", "confidence", "model", "fetched_at"]
 
 
-def headlines(spark, sf_dir):
-    return FD.parse_feeds(X.feed_documents(spark, sf_dir))
+def headlines(spark, sf_dir, titles=True):
+    return FD.parse_feeds(X.feed_documents(spark, sf_dir), titles)
 
 
-def runs(spark, sf_dir):
+def runs(spark, sf_dir, titles=True):
     """Both ingest runs over one headline frame (its shuffle is reused):
     the first with every labelled headline answered, the second with the
     classifier silent for some headlines."""
-    heads = headlines(spark, sf_dir)
+    heads = headlines(spark, sf_dir, titles)
     first = N.classify(heads, X.classifier_answers(spark, sf_dir), state.previous_run())
     second = N.classify(heads, X.classifier_answers(spark, sf_dir, outage=True), state.as_of())
     return first, second
@@ -37,8 +37,9 @@ def run_two(spark, sf_dir):
     return N.classify(headlines(spark, sf_dir), X.classifier_answers(spark, sf_dir, outage=True), state.as_of())
 
 
-def merged(spark, sf_dir, keep_label=False):
-    first, second = runs(spark, sf_dir)
+def merged(spark, sf_dir, keep_label=False, titles=True):
+    """The news table after both runs; statistics ask for it without titles."""
+    first, second = runs(spark, sf_dir, titles)
     return N.merge_news(first, second, keep_label=keep_label)
 
 
@@ -128,7 +129,7 @@ def news_merge_keep_label(spark, sf_dir):
 )
 def topic_counts(spark, sf_dir):
     """Headlines per topic, most first."""
-    return N.topic_counts(merged(spark, sf_dir))
+    return N.topic_counts(merged(spark, sf_dir, titles=False))
 
 
 @query(
@@ -138,7 +139,7 @@ def topic_counts(spark, sf_dir):
 )
 def ingest_counts(spark, sf_dir):
     """Total, classified and other headlines."""
-    return N.ingest_counts(merged(spark, sf_dir))
+    return N.ingest_counts(merged(spark, sf_dir, titles=False))
 
 
 @query(
@@ -149,7 +150,7 @@ FROM news WHERE category IS NOT NULL GROUP BY 1, 2""",
 )
 def news_by_day(spark, sf_dir):
     """Classified headlines per day and topic."""
-    return N.news_by_day(merged(spark, sf_dir))
+    return N.news_by_day(merged(spark, sf_dir, titles=False))
 
 
 @query(
@@ -162,7 +163,7 @@ FROM gold g LEFT JOIN per_day p ON p.local_day = g.local_day""",
 )
 def news_price_days(spark, sf_dir):
     """Daily prices next to the local day's classified headlines by topic."""
-    return N.price_days(state.gold(spark, sf_dir), merged(spark, sf_dir))
+    return N.price_days(state.gold(spark, sf_dir), merged(spark, sf_dir, titles=False))
 
 
 def page_titles(spark, sf_dir):

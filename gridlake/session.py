@@ -66,6 +66,15 @@ def ensure_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", UTC)
 
 
+def bound_arrow_batches(spark: SparkSession, rows: int) -> None:
+    """At most ``rows`` rows cross to Python at a time, for rows that are whole documents: the
+    setting holds for the session from now on (it is read when a plan runs); a smaller one stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key, "10000"))
+    if now <= 0 or now > rows:
+        spark.conf.set(key, rows)
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The cluster's shared checkpoint folder, as configured on the session."""
     value = spark.conf.get("spark.checkpoint.dir", None)

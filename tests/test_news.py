@@ -58,6 +58,111 @@ def test_prefixed_atom_and_atom_link_in_rss(spark):
     ]
 
 
+def _one(inner, root="rss", more=""):
+    return f'<{root} xmlns:media="https://ns.test/m" {more}><channel>{inner}</channel></{root}>'
+
+
+REAL = "<title>Real</title><link>https://r.test/1</link>"
+
+
+@pytest.mark.parametrize("inner", [
+    f"<item><media:title>Other</media:title>{REAL}</item>",  # a name of another vocabulary
+    f"<item>{REAL}<media:title>Other</media:title><media:link>https://o.test</media:link></item>",
+    f"<item><description><![CDATA[<item><title>In</title></item>]]></description>{REAL}</item>",  # an item in CDATA
+    f"<!-- <item><title>Gone</title><link>https://g.test</link></item> --><item>{REAL}</item>",  # and in a comment
+    f"<item><media:group><title>Deeper</title></media:group>{REAL}</item>",  # children only, not grandchildren
+    f"<media:item><title>No</title><link>https://n.test</link></media:item><group><item>{REAL}</item></group>",
+])
+def test_names_nesting_and_text_that_looks_like_items(spark, inner):
+    assert _items(spark, ("https://x.test/f", _one(inner))) == [("x.test", "https://r.test/1", "Real", None)]
+
+
+def test_rss1_items_have_a_namespace_and_their_date(spark):
+    rdf = """<rdf:RDF xmlns:rdf="http://www.w3.org/1999/02/22-rdf-syntax-ns#" xmlns="http://purl.org/rss/1.0/"
+ xmlns:dc="http://purl.org/dc/elements/1.1/"><item><title>Old</title><link>https://o.test/1</link><dc:date>2025-01-02T03:04:05Z</dc:date></item></rdf:RDF>"""
+    assert _items(spark, ("https://o.test/f", rdf)) == [("o.test", "https://o.test/1", "Old", dt.datetime(2025, 1, 2, 3, 4, 5))]
+
+
+def test_feeds_equal_a_parse_by_hand(spark):
+    """Random nestings of items, decoys, comments and CDATA against a reading by events."""
+    import random
+    from xml.parsers import expat
+
+    rnd = random.Random(6)
+
+    def text(k):
+        raw = rnd.choice([f"t{k} &amp; caf&#233;", f"<![CDATA[<b>c{k}</b> ]]>", f"a{k}<!-- x -->b", ""])
+        return raw
+
+    def part(k, depth=0):
+        kind = rnd.random()
+        if kind < 0.25 and depth < 3:
+            return f"<box>{''.join(part(10 * k + i, depth + 1) for i in range(3))}</box>"
+        if kind < 0.4:
+            return f"<!-- <item><title>{k}</title><link>https://c.test/{k}</link></item> -->"
+        if kind < 0.5:
+            return f"<box><![CDATA[<item><title>{k}</title></item>]]></box>"
+        fields = [f"<m:title>decoy</m:title>", f"<title>{text(k)}</title>", f"<link>https://l.test/{rnd.randint(0, 30)}</link>"]
+        rnd.shuffle(fields)
+        return f"<item>{''.join(fields)}</item>"
+
+    docs = [(f"https://f{n}.test/f", f'<rss xmlns:m="https://m.test">{"".join(part(k) for k in range(1, 12))}</rss>') for n in range(40)]
+
+    def by_hand(xml):
+        found, path, now, held = [], [], None, None
+        p = expat.ParserCreate()
+
+        def start(name, _):
+            nonlocal now, held
+            path.append(name)
+            if name == "item":
+                now = {}
+            elif now is not None and path[-2] == "item" and name not in now:
+                held = now.setdefault(name, [])
+
+        def end(name):
+            nonlocal now, held
+            path.pop()
+            held = None
+            if name == "item":
+                found.append({k: "".join(v) for k, v in now.items()})
+                now = None
+
+        def chars(data):
+            if held is not None:
+                held.append(data)
+
+        p.StartElementHandler, p.EndElementHandler, p.CharacterDataHandler = start, end, chars
+        p.Parse(xml, True)
+        out = {}
+        for item in found:
+            title, link = _clean(item.get("title")), _clean(item.get("link"))
+            if title and link:
+                out.setdefault(link, title)
+        return out
+
+    got = {}
+    for r in FD.parse_feeds(feeds(spark, docs)).collect():
+        got.setdefault(r.url, {})[r.link] = r.title
+    assert got == {url: want for url, xml in docs if (want := by_hand(xml))}
+
+
+def test_statistics_need_no_titles(spark):
+    heads = FD.parse_feeds(feeds(spark, [("https://harbour.test/feed.xml", HARBOUR)]), titles=False).orderBy("pos").collect()
+    assert [(r.link, r.title) for r in heads] == [("https://harbour.test/tide?a=1&b=2", None), ("https://harbour.test/cranes", None)]
+    for name in ("topic_counts", "ingest_counts", "news_by_day", "news_price_days"):
+        plan = all_queries()[name].fn(spark, SF_MID)._jdf.queryExecution().executedPlan().toString()
+        assert "walk_without_titles" in plan and "walk_with_titles" not in plan and "unescape" not in plan, name
+
+
+def test_first_headlines_read_the_first_feeds_only(spark):
+    empty = [(f"https://a{k}.test/f", "<rss><channel/></rss>") for k in range(30)]
+    docs = feeds(spark, [*empty, ("https://harbour.test/feed.xml", HARBOUR), ("https://z.test/f", ORCHARD)])
+    for limit in (1, 2, 3, 50):
+        want = N.head(FD.parse_feeds(docs), limit).collect()
+        assert FD.first_headlines(docs, limit).collect() == want
+
+
 def test_broken_and_empty_feeds_are_isolated(spark):
     docs = feeds(spark, [
         ("https://ok.test/f", ORCHARD), ("https://cut.test/f", HARBOUR[:150]), ("https://none.test/f", "<rss><channel/></rss>"),
