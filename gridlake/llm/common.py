@@ -42,12 +42,12 @@ def bounded_batches(spark: SparkSession, rows: int = 1000) -> None:
         spark.conf.set(key, rows)
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
+def cut(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write a table to the shared scratch folder and read it back: ends the
     lineage and computes it once. A lost executor loses nothing of it."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

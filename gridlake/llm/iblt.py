@@ -11,22 +11,26 @@ cell: what they share cancels. Peeling then recovers what differs: a cell whose
 leave those with one digest, and so on. A sketch that doesn't peel empty is made again, four
 times as large and with other hashes.
 
+The fingerprint string is the smallest sketch (``BASE`` cells a third): count, digest and check of
+every cell in hex. Two texts that differ in a few paragraphs are compared by these very sketches;
+sketches that are sure to be too small are skipped: the first size tried holds the difference that
+the ``NEAREST`` smallest digests of both sets let expect. Likeness is shared over all digests (1
+for two empty texts).
+
 Everything is DataFrame expressions. The cells of a pair are rows keyed by the pair, so a
 round of peeling is a flat map and one aggregation. A round takes its cells from one third: a
 digest is in one cell of it, so none is taken out twice. The pairs' rows stay in the partitions
-of the join that brought their texts together, and no round shuffles. Empty cells are no rows,
-so a wide sketch costs no more than a tight one and peels in few rounds; retries are rare, and
-read the pairs concerned only. A document's other results ride along as a note on one row, so
-the plan below is evaluated once.
-
-The fingerprint string is the sketch of fixed size (``BASE`` cells a third): count, digest and
-check of every cell in hex. Likeness is shared over all digests (1 for two empty texts).
+of the join that brought their texts together, and no round shuffles. Empty cells are no rows.
+Retries are rare, and read the documents concerned only. A document's other results ride along as
+a note on one row, so the plan below is evaluated once.
 
-Texts are shuffled once, by document, to partitions of bounded size; all later steps read that
-exchange or the small ones of what documents hand to their predecessors.
+Digests are made where the texts are read; they and the texts are shuffled once, by document, to
+partitions of bounded size; all later steps read that exchange or the small ones of what documents
+hand to their predecessors.
 
-Defined cases: a null text is empty; rows with equal id and text are one document; a null id
-orders last (and so does, and counts as null, the id 2^63 - 1); a single document is its own next; extra columns are ignored; an empty table
+Defined cases: a null text is empty; rows with equal id and text are one document, given back as
+often as it stands; rows with equal ids are in the order of their texts' hashes; a null id orders
+last; a single document is its own next; extra columns are ignored; an empty table
 gives an empty result.
 """
 
@@ -37,21 +41,29 @@ from pyspark.sql import functions as F
 
 from gridlake.llm import common as C
 
-#: Cells of a third of the sketch in the fingerprint string.
-BASE = 4
-#: Cells a digest in the first sketches of a pair, and the least width of a third.
-CELLS_EACH = 30.0
-LEAST = 64
+#: Cells of a third of the sketch in the fingerprint string, the least there is.
+BASE = 8
+LEAST = BASE
+#: Cells a differing digest (as expected) in the first sketches of a pair, and how many smallest
+#: digests of either set tell what to expect.
+CELLS_EACH = 6.0
+NEAREST = 32
 #: Rounds of peeling before a sketch counts as failed; its successor is GROW times as large.
-ROUNDS = 5
+ROUNDS = 7
 GROW = 4
+#: Documents to be tried again whose keys are broadcast; with more, a shuffle brings them together.
+FEW = 200_000
 #: Text bytes of a partition: bounds the sketches that a task holds.
 PART_BYTES = 4_000_000
-ENDS = r"\n+|(?<=[.!?])[ \t]+|(?<=[\u3002\uff01\uff1f\uff0e\uff61])[ \t]*|(?<=[\u0964\u0965\u061f\u06d4\u1362])[ \t]+"
+#: Sentence ends: those before white space only, and in scripts that put none.
+PLAIN_ENDS = r"([.!?])[ \t]+"
+ENDS = r"([.!?\u0964\u061f\u06d4\u1362])[ \t]+|([\u3002\uff01\uff1f\uff0e\uff61])[ \t]*"
+OTHER_ENDS = "\u0964\u061f\u06d4\u1362\u3002\uff01\uff1f\uff0e\uff61"
 #: Longer paragraphs are cut after one in EVERY of their words.
 LONG = 200
 EVERY = 16
 #: Places after a word of a long paragraph: white space, and any character of a script without spaces.
+PLAIN_WORD_ENDS = r"(?<=\s)(?=\S)"
 WORD_ENDS = r"(?<=\s)(?=\S)|(?<=[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3005-\u30ff\u3400-\u9fff\uf900-\ufaff\x{20000}-\x{3ffff}])"
 _LAST = 2**63 - 1
 KEY = ["ord", "h"]
@@ -71,18 +83,29 @@ def _cut_after(units: Column) -> Column:
     return F.filter(F.split(marked, "\n"), lambda p: p != "")
 
 
+def _let(value: Column, body) -> Column:
+    """body(value), the value being evaluated once."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _pieces(part: Column) -> Column:
     """A part, if long cut into pieces; in words that are long themselves, characters decide."""
     characters = lambda w: F.when(_is_long(w), F.split(w, "(?<=.)(?=.)")).otherwise(F.array(w))
-    units = F.flatten(F.transform(F.split(part, WORD_ENDS), characters))
-    return F.when(_is_long(part), _cut_after(units)).otherwise(F.array(part))
+    is_ascii = F.length(part) == F.octet_length(part)
+    words = F.when(is_ascii, F.split(part, PLAIN_WORD_ENDS)).otherwise(F.split(part, WORD_ENDS))
+    units = lambda w: F.when(F.exists(w, _is_long), F.flatten(F.transform(w, characters))).otherwise(w)
+    return F.when(_is_long(part), _cut_after(_let(words, units))).otherwise(F.array(part))
 
 
 def digests(text: Column) -> Column:
-    """The set of the paragraph digests of a text."""
-    parts = F.filter(F.split(text, ENDS), lambda p: p != "")
-    parts = F.when(F.exists(parts, _is_long), F.flatten(F.transform(parts, _pieces))).otherwise(parts)
-    return F.array_distinct(F.transform(parts, lambda p: F.xxhash64(p)))
+    """The set of the paragraph digests of a text, rising."""
+    has_others = F.lit(False)
+    for end in OTHER_ENDS:
+        has_others = has_others | F.contains(text, F.lit(end))
+    lines = F.when(has_others, F.regexp_replace(text, ENDS, "$1$2\n")).otherwise(F.regexp_replace(text, PLAIN_ENDS, "$1\n"))
+    parts = F.filter(F.split(lines, "\n"), lambda p: p != "")
+    cut = lambda ps: F.when(F.exists(ps, _is_long), F.flatten(F.transform(ps, _pieces))).otherwise(ps)
+    return F.sort_array(F.array_distinct(F.transform(_let(parts, cut), lambda p: F.xxhash64(p))))
 
 
 def check(digest: Column) -> Column:
@@ -97,31 +120,40 @@ def slot(digest: Column, third, width: Column, seed: int) -> Column:
 def fingerprint(found: Column, base: int = BASE) -> Column:
     """The sketch of fixed size as text."""
     width = F.lit(base).cast("long")
+    xor = lambda of, f: F.aggregate(of, F.lit(0).cast("long"), lambda a, x: a.bitwiseXOR(x[f]))
 
-    def cell(i):
-        third = (i / F.lit(base)).cast("int")
-        mine = F.filter(found, lambda d: (third * width + F.pmod(F.xxhash64(d, third, F.lit(0)), width)) == i)
-        xor = lambda f: F.aggregate(mine, F.lit(0).cast("long"), lambda a, d: a.bitwiseXOR(f(d)))
-        return F.concat(
-            F.lpad(F.hex(F.size(mine)), 8, "0"), F.lpad(F.hex(xor(lambda d: d)), 16, "0"), F.lpad(F.hex(xor(check)), 16, "0")
-        )
+    def told(held):
+        return F.concat(F.lpad(F.hex(F.size(held)), 8, "0"), F.lpad(F.hex(xor(held, "d")), 16, "0"), F.lpad(F.hex(xor(held, "chk")), 16, "0"))
+
+    def third(placed, i):
+        cells = F.sequence(F.lit(i * base).cast("long"), F.lit((i + 1) * base - 1).cast("long"))
+        return F.transform(cells, lambda k: _let(F.filter(placed, lambda x: x[f"s{i}"] == k), told))
 
-    cells = F.transform(F.sequence(F.lit(0).cast("long"), F.lit(3 * base - 1).cast("long")), cell)
-    return F.lower(F.array_join(cells, ""))
+    slots = lambda d: [slot(d, i, width, 0).alias(f"s{i}") for i in range(3)]
+    placed = F.transform(found, lambda d: F.struct(d.alias("d"), check(d).alias("chk"), *slots(d)))
+    return F.lower(_let(placed, lambda p: F.array_join(F.concat(*[third(p, i) for i in range(3)]), "")))
 
 
 def documents(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """text (null: empty), ord and h: place in the order (the id) and hash of the text."""
+    """text (null: empty), and its place in the order: ord (the id) and h (hash of the text; of
+    the greatest id and of null ids, which have its ord, with the sign telling which it is)."""
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    return rows.select(F.coalesce("doc_id", F.lit(_LAST)).alias("ord"), F.xxhash64("text").alias("h"), "text")
+    h = F.xxhash64("text")
+    bits = F.shiftrightunsigned(h, 1)
+    h = F.when(F.col("doc_id").isNull(), bits).when(F.col("doc_id") == _LAST, bits.bitwiseOR(F.lit(-(2**63)))).otherwise(h)
+    return rows.select(F.coalesce("doc_id", F.lit(_LAST)).alias("ord"), h.alias("h"), "text")
+
+
+def _doc_id() -> Column:
+    return F.when((F.col("ord") != _LAST) | (F.col("h") < 0), F.col("ord"))
 
 
 def neighbours(source: DataFrame) -> DataFrame:
-    """ord, h, n (code points), and the document before in the order: p_ord, p_h, p_n (of
-    the first: the last). Ids and lengths only; no task sees more than its range of ids."""
+    """ord, h, n (code points), times (rows), and the document before in the order: p_ord, p_h,
+    p_n (of the first: the last). Ids and lengths only; no task sees more than its range of ids."""
     spark = source.sparkSession
     parts = max(2, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ids = source.select(*KEY, F.length("text").cast("long").alias("n")).distinct()
+    ids = source.groupBy(*KEY, F.length("text").cast("long").alias("n")).agg(F.count(F.lit(1)).alias("times"))
     ranged = C.cut(ids.repartitionByRange(parts, *KEY).withColumn("part", F.spark_partition_id()), "ranges")
     inside = Window.partitionBy("part").orderBy(*KEY)
     row = F.struct(*KEY, "n")
@@ -132,24 +164,36 @@ def neighbours(source: DataFrame) -> DataFrame:
     )
     led = ranged.withColumn("before", F.lag(row).over(inside)).join(F.broadcast(lasts.select("part", "carried")), "part")
     before = F.coalesce("before", "carried")
-    return led.select(*KEY, "n", before["ord"].alias("p_ord"), before["h"].alias("p_h"), before["n"].alias("p_n"))
+    return led.select(*KEY, "n", "times", before["ord"].alias("p_ord"), before["h"].alias("p_h"), before["n"].alias("p_n"))
 
 
 def versions(source: DataFrame, order: DataFrame, parts: int) -> DataFrame:
-    """Each document with its edited text and its successor's digests: ord, h, n, text,
-    edited, next."""
+    """Each document with its edited text and the digests of its own and its successor's text:
+    ord, h, n, times, edited, own, next."""
     told = order.withColumnsRenamed({"ord": "o_ord", "h": "o_h"})
-    placed = source.repartition(parts, *KEY).dropDuplicates(KEY)
+    placed = source.withColumn("own", digests(F.col("text"))).repartition(parts, *KEY).dropDuplicates(KEY)
     full = placed.join(told.hint("merge"), (F.col("ord") == F.col("o_ord")) & (F.col("h") == F.col("o_h")))
     given = full.select(
         F.col("p_ord").alias("g_ord"),
         F.col("p_h").alias("g_h"),
         F.expr("substring(text, 1, cast(p_n div 4 AS INT))").alias("donor"),
-        digests(F.col("text")).alias("next"),
+        F.col("own").alias("next"),
     )
     both = full.join(given, (F.col("ord") == F.col("g_ord")) & (F.col("h") == F.col("g_h")))
     edited = F.concat(F.expr("substring(text, 1, cast(n - n div 4 AS INT))"), "donor")
-    return both.select(*KEY, "n", "text", edited.alias("edited"), "next")
+    return both.select(*KEY, "n", "times", edited.alias("edited"), "own", "next")
+
+
+def expected_difference(a: Column, b: Column) -> Column:
+    """How many digests differ, by the share of common ones among the smallest of both (exact
+    where these are all; else one less is taken as common, so that few sketches are too small)."""
+    low = [F.slice(F.sort_array(x), 1, NEAREST) for x in (a, b)]
+    either = F.slice(F.sort_array(F.array_union(*low)), 1, NEAREST)
+    common = F.size(F.array_intersect(either, F.array_intersect(*low)))
+    all_of_them = (F.size(a) <= NEAREST) & (F.size(b) <= NEAREST)
+    common = F.when(all_of_them, common).otherwise(F.greatest(common - 1, F.lit(0)))
+    share = common / F.greatest(F.size(either), F.lit(1))
+    return (F.size(a) + F.size(b)) * (F.lit(1.0) - share) / (F.lit(1.0) + share)
 
 
 def peel(
@@ -161,7 +205,7 @@ def peel(
     With ``keep_digests`` also the recovered digests themselves.
 
     ``key`` must be what the rows are partitioned by already, else Spark shuffles once."""
-    need = F.size("a") + F.size("b")
+    need = expected_difference(F.col("a"), F.col("b"))
     width = F.greatest(F.ceil(need * F.lit(CELLS_EACH * grow / 3)), F.lit(LEAST * grow)).cast("long")
     zero = F.lit(0).cast("long")
 
@@ -221,11 +265,9 @@ PAIRS = ("edited", "next")
 def _pairs(found: DataFrame, note: bool) -> DataFrame:
     """One row per document and pair: key, pair, a, b, note (of the first pair: what the
     document itself shows, as text)."""
-    rows = found.select(
-        *KEY, "n", F.sha2(F.col("edited").cast("binary"), 256).alias("sha"), digests(F.col("text")).alias("a"),
-        digests(F.col("edited")).alias("other"), "next",
-    )
-    shown = F.concat_ws(",", F.col("n"), F.size("a"), F.col("sha"), fingerprint(F.col("a")), fingerprint(F.col("other")))
+    sha = F.sha2(F.col("edited").cast("binary"), 256)
+    rows = found.select(*KEY, "n", "times", sha.alias("sha"), F.col("own").alias("a"), digests(F.col("edited")).alias("other"), "next")
+    shown = F.concat_ws(",", "n", "times", F.size("a"), "sha", fingerprint(F.col("a")), fingerprint(F.col("other")))
     both = F.array(
         F.struct(F.lit(0).alias("pair"), F.col("other").alias("b"), (shown if note else F.lit(None).cast("string")).alias("note")),
         F.struct(F.lit(1).alias("pair"), F.col("next").alias("b"), F.lit(None).cast("string").alias("note")),
@@ -246,9 +288,10 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", re
     order = C.cut(neighbours(source), "order")
     parts = max(C.block_count(source, "text", PART_BYTES), int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     key = [*KEY, "pair"]
-    table = C.cut(_wide(peel(_pairs(versions(source, order, parts), True), key)), "sketches")
+    # Hex digits halve under zstd, and hardly shrink under the default.
+    table = C.cut(_wide(peel(_pairs(versions(source, order, parts), True), key)), "sketches", compression="zstd")
     counts = [f"{c}_{n}" for n in PAIRS for c in ("gone", "come")]
-    failed = " OR ".join(f"left_{n} > 0" for n in PAIRS)
+    failed = " OR ".join(f"coalesce(left_{n}, 0) > 0" for n in PAIRS)  # equal sets have no row
     again = table.where(failed).select(*KEY)
     done = []
     on = (F.col("ord") == F.col("r_ord")) & (F.col("h") == F.col("r_h"))
@@ -258,12 +301,15 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", re
             break
         # Only the failed documents and their successors are read again.
         mark = again.withColumnsRenamed({"ord": "f_ord", "h": "f_h"})
+        few = again.count() <= FEW
+        near = F.broadcast if few else (lambda df: df)
         is_own = (F.col("ord") == F.col("f_ord")) & (F.col("h") == F.col("f_h"))
         is_next = (F.col("p_ord") == F.col("f_ord")) & (F.col("p_h") == F.col("f_h"))
-        some = order.join(mark, is_own, "left_semi").union(order.join(mark, is_next, "left_semi")).distinct()
+        some = C.cut(order.join(near(mark), is_own, "left_semi").union(order.join(near(mark), is_next, "left_semi")).distinct(), "again")
         keys = some.select(F.col("ord").alias("s_ord"), F.col("h").alias("s_h"))
         is_some = (F.col("ord") == F.col("s_ord")) & (F.col("h") == F.col("s_h"))
-        pairs = _pairs(versions(source.join(keys, is_some, "left_semi"), some, 1 + parts // 16), False).join(mark, is_own, "left_semi")
+        texts = source.join(near(keys), is_some, "left_semi")
+        pairs = _pairs(versions(texts, some, parts if not few else 1 + parts // 16), False).join(near(mark), is_own, "left_semi")
         result = _wide(peel(pairs, key, grow=GROW**k, seed=k)).drop("note").withColumnsRenamed({"ord": "r_ord", "h": "r_h"})
         result = C.cut(result, "retried")
         done.append(result.where(f"NOT ({failed})"))
@@ -279,13 +325,16 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", re
         )
     noted = F.split("note", ",")
     table = table.select(
-        F.when(F.col("ord") != _LAST, F.col("ord")).alias("doc_id"),
+        _doc_id().alias("doc_id"),
         noted[0].cast("long").alias("n_chars"),
-        noted[1].cast("long").alias("n_own"),
-        noted[2].alias("edited_sha256"),
-        noted[3].alias("fingerprint"),
-        noted[4].alias("edited_fingerprint"),
+        noted[1].cast("long").alias("times"),
+        noted[2].cast("long").alias("n_own"),
+        noted[3].alias("edited_sha256"),
+        noted[4].alias("fingerprint"),
+        noted[5].alias("edited_fingerprint"),
         *[F.coalesce(c, F.lit(0)).alias(c) for c in counts],
     )
+    # One row for each of the rows.
+    table = table.withColumn("row", F.explode(F.sequence(F.lit(1).cast("long"), "times")))
     near = {f"near_{n}": likeness(F.col("n_own"), F.col(f"gone_{n}"), F.col(f"come_{n}")) for n in PAIRS}
     return table.withColumns(near).select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", *near)

@@ -104,3 +104,45 @@ def test_counts_of_many_paragraphs(spark):
     text = spark.range(1).select(I.fingerprint(found, base=1).alias("f")).first().f
     cells = [text[i : i + 40] for i in range(0, len(text), 40)]
     assert len(cells) == 3 and sum(int(c[:8], 16) for c in cells) == 3 * 70_000
+
+
+def test_one_row_per_row_and_the_greatest_id(spark):
+    last = 2**63 - 1
+    docs = {1: "One. Two.", last: "Three. Four.", None: "Five. Six."}
+    df = docs_of(spark, docs)
+    got = I.fingerprints(df.union(df).union(df.where("doc_id = 1"))).collect()
+    assert sorted((str(r.doc_id) for r in got)) == sorted(["1"] * 3 + [str(last)] * 2 + ["None"] * 2)
+    check(spark, docs, I.fingerprints(df))
+    same = docs_of(spark, {last: "Seven.", None: "Seven.", 3: "Eight."})  # equal texts, the two greatest
+    assert {r.doc_id: r.near_next for r in I.fingerprints(same).collect()} == {3: 0.0, last: 1.0, None: 0.0}
+
+
+def test_a_sketch_too_small_is_tried_again(spark, monkeypatch):
+    """With the parameters of production: paragraphs with the smallest digests are shared, so next
+    to nothing seems to differ, and the returned sketches don't peel."""
+    told = spark.range(4000).selectExpr("concat('p', id) AS p").selectExpr("p", "xxhash64(p) AS d").orderBy("d").collect()
+    shared, rest = [r.p for r in told[: I.NEAREST + 2]], [r.p for r in told[I.NEAREST + 2 :]]
+    docs = {1: "\n".join(shared + rest[:400]), 2: "\n".join(shared + rest[400:900]), 3: "\n".join(shared)}
+    tried = []
+    peel = I.peel
+
+    def counted(*args, **options):
+        tried.append(options.get("grow", 1))
+        return peel(*args, **options)
+
+    monkeypatch.setattr(I, "peel", counted)
+    check(spark, docs, I.fingerprints(docs_of(spark, docs)))
+    assert tried[0] == 1 and len(tried) > 1
+
+
+def test_near_texts_are_compared_by_the_returned_sketches(spark):
+    """A width of BASE and the same hashes: the cells of the first try are those of the strings."""
+    rows = [(1, list(range(1, 60)), [*range(1, 58), 100])]
+    df = spark.createDataFrame(rows, "k long, a array<long>, b array<long>").selectExpr("*", "CAST(NULL AS STRING) AS note")
+    (r,) = I.peel(df, ["k"], keep_digests=True).collect()
+    assert r.left == 0 and sorted(r.gone_digests) == [58, 59] and r.come_digests == [100]
+    told = df.select(I.fingerprint(F.col("a")).alias("x"), I.fingerprint(F.col("b")).alias("y")).first()
+    cells = lambda t: [(int(t[i : i + 8], 16), int(t[i + 8 : i + 24], 16)) for i in range(0, len(t), 40)]
+    differ = {i for i, (c, d) in enumerate(zip(cells(told.x), cells(told.y))) if c != d}
+    where = df.select(F.array(*[I.slot(F.lit(v).cast("long"), t, F.lit(I.BASE).cast("long"), 0) for v in (58, 59, 100) for t in range(3)]).alias("s"))
+    assert differ <= set(where.first().s)
