@@ -29,6 +29,8 @@ def build_parser() -> argparse.ArgumentParser:
     t.add_argument("--since-hours", type=int, default=168)
     t.add_argument("--unaligned", action="store_true", help="plain as_of - since_hours window start")
 
+    t.add_argument("--changed", action="store_true", help="the days that merges touched since the last such run, however old")
+
     b = sub.add_parser("backfill", help="landed week chunks -> bronze")
     b.add_argument("--chunks", required=True, help="folder of <filter>_<region>_hour_<ms>.json files")
     b.add_argument("--weeks", type=int, default=1)
@@ -78,9 +80,12 @@ def main(argv: list[str] | None = None) -> int:
     result: object = None
 
     if args.command == "transform":
-        from gridlake.jobs.transform import run_transform
+        from gridlake.jobs.transform import run_changed_days, run_transform
 
-        result = run_transform(spark, lake, args.as_of or _now(), args.since_hours, align_days=not args.unaligned)
+        if args.changed:
+            result = run_changed_days(spark, lake, args.as_of or _now())
+        else:
+            result = run_transform(spark, lake, args.as_of or _now(), args.since_hours, align_days=not args.unaligned)
     elif args.command == "backfill":
         from gridlake.jobs.ingest import backfill
         from gridlake.sources.landed import read_week_chunks

@@ -4,6 +4,7 @@ from landed feeds. Both use the same revision-aware merge as the stream."""
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,16 @@ class NothingToLoad(RuntimeError):
     """Raised when a load finds no rows (the reference fails the run too)."""
 
 
+def merge_bronze(spark: SparkSession, lake: L.Lake, rows: DataFrame, batch_id: str) -> None:
+    """Revision-aware merge of rows (with delivery_date) into bronze; then the days it touched go
+    to the change log, which ``run_changed_days`` reads. The log comes second: a crash in between
+    leaves a merge that is replayed, and logged then."""
+    TB.merge_into(spark, lake.path(L.BRONZE), BRONZE, rows, L.BRONZE.keys, L.BRONZE.partition_cols, batch_id)
+    touched = rows.groupBy("delivery_date").agg(F.max("fetched_at").alias("newest"))
+    logged = touched.select(F.lit(uuid.uuid4().hex).alias("entry_id"), "delivery_date", "newest", F.current_date().alias("logged_day"))
+    logged.coalesce(1).write.mode("append").partitionBy("logged_day").parquet(lake.path(L.BRONZE_CHANGES))
+
+
 def backfill(
     spark: SparkSession,
     lake: L.Lake,
@@ -42,10 +53,7 @@ def backfill(
     try:
         if rows.isEmpty():
             raise NothingToLoad("no published points in the landed chunks")
-        TB.merge_into(
-            spark, lake.path(L.BRONZE), BRONZE, rows, L.BRONZE.keys, L.BRONZE.partition_cols,
-            batch_id or f"backfill-{str(fetched_at).replace(' ', 'T').replace(':', '')}",
-        )
+        merge_bronze(spark, lake, rows, batch_id or f"backfill-{str(fetched_at).replace(' ', 'T').replace(':', '')}")
     finally:
         rows.unpersist()
 

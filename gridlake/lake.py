@@ -31,6 +31,9 @@ NEWS_BUCKETS = 16
 SERVING_HOURLY = Table("serving_price_hourly", ("delivery_date",), ("region", "delivery_ts"))
 SERVING_DAILY = Table("serving_daily_stats", ("local_day",), ("region", "local_day"))
 PIPELINE_HEALTH = Table("serving_pipeline_health", (), ("check_name",))
+# What merges into bronze touched (a row per merge and day), and which of it was recomputed.
+BRONZE_CHANGES = Table("bronze_changes", ("logged_day",), ())
+RECOMPUTED = Table("recomputed_changes", ("logged_day",), ())
 REJECTS = Table("rejected_messages", ("run_id", "batch_id"), ())
 
 

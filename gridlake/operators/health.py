@@ -8,7 +8,7 @@ one global ``max`` (partial + final aggregation), then a one-row projection.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridlake.functions.time import due_through, local_text
@@ -49,3 +49,19 @@ def freshness(serving: DataFrame, now: Column) -> DataFrame:
         detail.alias("detail"),
         now.alias("checked_at"),
     )
+
+
+def gaps(serving: DataFrame, now: Column) -> DataFrame:
+    """Runs of missing hours per region, from its first stored hour through the last one that is
+    due: region, first_missing, last_missing, hours. A region has one row an hour of the calendar,
+    so its hours pass through one task in order."""
+    hour = F.expr("INTERVAL 1 HOUR")
+    due = due_through(now)
+    in_region = Window.partitionBy("region").orderBy("delivery_ts")
+    following = F.coalesce(F.lead("delivery_ts").over(in_region), F.greatest(due + hour, F.col("delivery_ts") + hour))
+    stored = serving.select("region", "delivery_ts").where(F.col("delivery_ts") <= due)
+    steps = stored.withColumn("following", following).where(F.col("following") > F.col("delivery_ts") + hour)
+    hours = (F.unix_seconds("following") - F.unix_seconds("delivery_ts")) / 3600 - 1
+    return steps.select(
+        "region", (F.col("delivery_ts") + hour).alias("first_missing"), (F.col("following") - hour).alias("last_missing"), hours.cast("long").alias("hours")
+    )

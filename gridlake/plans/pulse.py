@@ -117,3 +117,20 @@ FROM g""",
 def freshness(spark, sf_dir):
     """M2/K4: serving freshness row for ``pipeline_health``."""
     return health.freshness(state.serving(spark, sf_dir), state.as_of())
+
+
+@query(
+    "freshness_gaps",
+    S.with_(*S.SERVING_CTES)
+    + f""", steps AS (SELECT region, delivery_ts,
+         coalesce(lead(delivery_ts) OVER (PARTITION BY region ORDER BY delivery_ts),
+                  greatest({_DUE_SQL} + INTERVAL 1 HOUR, delivery_ts + INTERVAL 1 HOUR)) AS following
+       FROM serving WHERE delivery_ts <= {_DUE_SQL})
+SELECT region, delivery_ts + INTERVAL 1 HOUR AS first_missing, following - INTERVAL 1 HOUR AS last_missing,
+       CAST((epoch(following) - epoch(delivery_ts)) / 3600 - 1 AS BIGINT) AS hours
+FROM steps WHERE following > delivery_ts + INTERVAL 1 HOUR""",
+)
+def freshness_gaps(spark, sf_dir):
+    """Runs of missing hours per region through the due hour, which the freshness row
+    does not see."""
+    return health.gaps(state.serving(spark, sf_dir), state.as_of())

@@ -129,3 +129,13 @@ PIPELINE_HEALTH = StructType(
         StructField("checked_at", TimestampType()),
     ]
 )
+
+# The change log of bronze: a row per merge and day that it touched.
+CHANGES = StructType(
+    [
+        StructField("entry_id", StringType()),
+        StructField("delivery_date", DateType()),
+        StructField("newest", TimestampType()),
+        StructField("logged_day", DateType()),
+    ]
+)

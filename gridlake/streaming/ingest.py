@@ -20,9 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from gridlake import lake as L
-from gridlake.schemas import BRONZE
+from gridlake.jobs.ingest import merge_bronze
 from gridlake.session import ensure_utc
-from gridlake.sinks import tables as TB
 from gridlake.sources import messages as MSG
 
 ENVELOPE = "key string, value string, timestamp timestamp"
@@ -74,10 +73,7 @@ def process_batch(lake: L.Lake, run_id: str):
                 .parquet(lake.path(L.REJECTS))
             )
             valid = L.with_delivery_date(MSG.valid_rows(classified))
-            TB.merge_into(
-                spark, lake.path(L.BRONZE), BRONZE, valid, L.BRONZE.keys, L.BRONZE.partition_cols,
-                f"stream-{run_id}-{int(batch_id):012d}",
-            )
+            merge_bronze(spark, lake, valid, f"stream-{run_id}-{int(batch_id):012d}")
         finally:
             classified.unpersist()
 

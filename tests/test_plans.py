@@ -14,7 +14,7 @@ UNUSED = {"events": {"user_id", "props"}, "documents": {"lang", "n_chars"}}
 # Queries that run a job when called (their plans read the lake, not the inputs).
 JOBS = {
     "stream_bronze", "stream_changed_prices", "stream_rejects", "lake_gold", "lake_news", "lake_serving_hourly",
-    "lake_serving_daily", "lake_health", "lake_compacted", "headline_lines",
+    "lake_serving_daily", "lake_health", "lake_compacted", "headline_lines", "lake_late_revision",
 }
 # Queries over a stretch of time: a bound on the raw event time reaches the scan.
 BOUNDED = (
