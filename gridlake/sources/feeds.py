@@ -124,16 +124,17 @@ def parse_feeds(feeds: DataFrame, titles: bool = True) -> DataFrame:
 
 
 def first_headlines(feeds: DataFrame, limit: int) -> DataFrame:
-    """The first ``limit`` headlines in (source, url, pos) order. Feeds are taken in that order,
-    four times as many each time, until they hold enough: the others are not read."""
+    """The first ``limit`` headlines in (source, url, pos) order. Feeds are taken in that order, as
+    many as headlines are wanted, then (where many are empty or broken) sixteen times as many,
+    until they hold enough: the others are not read."""
     order = [url_host(F.col("url")), F.col("url")]
-    n = max(1, limit // 10)
+    n = limit
     while True:
         urls = [r.url for r in feeds.select("url").distinct().orderBy(*order).limit(n).collect()]  # n of them
         heads = parse_feeds(feeds.where(F.col("url").isin(urls)))
         if len(urls) < n or heads.count() >= limit:
             return heads.orderBy("source", "url", "pos").limit(limit)
-        n *= 4
+        n *= 16
 
 
 def feed_rejects(feeds: DataFrame) -> DataFrame:
