@@ -80,8 +80,9 @@ def block_count(df: DataFrame, text: str, block_bytes: int = BLOCK_BYTES) -> int
     return max(1, -(-int(total) // block_bytes))
 
 
-def block_of(id_col: Column, n: int) -> Column:
-    return F.pmod(F.xxhash64(id_col), F.lit(n)).cast("int")
+def block_of(id_col: Column, n: int, *more: Column) -> Column:
+    """The hash block of a row; ``more`` (its text) spreads rows that share an id or have none."""
+    return F.pmod(F.xxhash64(id_col, *more), F.lit(n)).cast("int")
 
 
 ship(__name__)

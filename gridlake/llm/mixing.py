@@ -17,15 +17,17 @@ Prefix sums are taken in two steps: over hash buckets of a pass, then inside a b
 so a source that holds a third of all rows is spread over many tasks.
 
 Defined cases: a null source is a source of its own; a null or empty text has no tokens
-and is passed as often as its source; a source without tokens gets one pass; repeated
-rows are mixed like others; an empty table gives an empty result.
+and is passed as often as its source; a source without tokens gets one pass; rows that
+share an id or have none are told apart (and spread) by the hash of their text, or by
+``row``; rows equal in that too each get a place of their own, any of them; an empty
+table gives an empty result.
 """
 
 from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
@@ -37,10 +39,12 @@ BUCKET_ROWS = 4096
 _PROBES, _ROUNDS = 31, 7
 
 
-def source_tokens(docs: DataFrame, doc_id: str, text: str, source: str) -> DataFrame:
-    """doc_id, src, no_src (a null source), n_tokens: words of the whole text."""
+def source_tokens(docs: DataFrame, doc_id: str, text: str, source: str, row: Column | None = None) -> DataFrame:
+    """doc_id, row (hash of the text, if not given), src, no_src (a null source), n_tokens:
+    words of the whole text."""
     return docs.select(
         F.col(doc_id).cast("long").alias("doc_id"),
+        (F.xxhash64(F.col(text)) if row is None else row).alias("row"),
         F.coalesce(F.col(source).cast("string"), F.lit("")).alias("src"),
         F.col(source).isNull().alias("no_src"),
         F.size(C.words(F.col(text))).cast("long").alias("n_tokens"),
@@ -116,10 +120,12 @@ def mix(
     budget_tokens: int | None = None,
     block_tokens: int = BLOCK_TOKENS,
     seed: int = 0,
+    row: Column | None = None,
 ) -> DataFrame:
     """The mixture in order: doc_id, source, n_tokens, pass (from 1), block and position in
-    it (both from 0). A document has a row for every time it is passed."""
-    tokens = C.cut(source_tokens(docs, doc_id, text, source), "tokens")
+    it (both from 0). A document has a row for every time it is passed. ``row`` is a long that
+    tells rows of one id apart; if given, it comes back as the column row."""
+    tokens = C.cut(source_tokens(docs, doc_id, text, source, row), "tokens")
     plan = C.cut(budgets(tokens, target_entropy, max_repeats, budget_tokens), "budgets")
     size = plan.agg(F.sum("budget"), F.count("*")).first()
     blocks = max(1, -(-int(size[0] or 0) // block_tokens))
@@ -128,13 +134,13 @@ def mix(
     dealt = (
         tokens.join(plan, ["src", "no_src"])
         .withColumn("pass", F.explode(F.sequence(F.lit(1).cast("long"), F.expr("passes + IF(rest > 0, 1, 0)"))))
-        .withColumn("u", F.xxhash64(F.lit(seed), "pass", "doc_id"))
+        .withColumn("u", F.xxhash64(F.lit(seed), "pass", "doc_id", "row"))
         .withColumn("bucket", F.shiftrightunsigned("u", 64 - bits) if bits else F.lit(0).cast("long"))
     )
     sums = dealt.groupBy(*key).agg(F.sum("n_tokens").alias("in_bucket"))
     over = Window.partitionBy("src", "no_src", "pass").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     before = sums.select(*key, F.coalesce(F.sum("in_bucket").over(over), F.lit(0)).alias("before"))
-    inside = Window.partitionBy(*key).orderBy("u", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*key).orderBy("u", "doc_id", "row", "n_tokens").rowsBetween(Window.unboundedPreceding, -1)
     laid = (
         dealt.join(before, key)
         .withColumn("start", F.col("before") + F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
@@ -144,9 +150,9 @@ def mix(
     by_hash = F.shiftrightunsigned("u", 11).cast("double") / F.lit(float(1 << 53))
     place = F.when(F.col("budget") > 0, ((F.col("pass") - 1) * F.col("tokens") + F.col("start")) / F.col("budget")).otherwise(by_hash)
     block = F.least(F.floor(place * F.lit(blocks)), F.lit(blocks - 1).cast("long"))
-    order = Window.partitionBy("block").orderBy(F.xxhash64(F.lit(seed), "block", "pass", "doc_id"), "doc_id", "pass")
+    order = Window.partitionBy("block").orderBy(F.xxhash64(F.lit(seed), "block", "pass", "doc_id", "row"), "doc_id", "pass", "row", "src", "no_src")
     return (
         laid.withColumn("block", block)
         .withColumn("position", (F.row_number().over(order) - 1).cast("long"))
-        .select("doc_id", F.when(~F.col("no_src"), F.col("src")).alias("source"), "n_tokens", "pass", "block", "position")
+        .select("doc_id", *([] if row is None else ["row"]), F.when(~F.col("no_src"), F.col("src")).alias("source"), "n_tokens", "pass", "block", "position")
     )

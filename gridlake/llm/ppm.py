@@ -253,7 +253,7 @@ def scores(
     )
     blocks = C.block_count(source, "text", block_bytes)
     C.bounded_batches(docs.sparkSession)
-    named = source.withColumn("block", C.block_of(F.col("doc_id"), blocks))
+    named = source.withColumn("block", C.block_of(F.col("doc_id"), blocks, F.col("text")))
     placed = named.mapInArrow(_packed, "doc_id long, text binary, train boolean, block int")
     listed = C.cut(placed.groupBy("block").applyInArrow(_vocabulary(order), "block int, gram long, word binary, n long"), "ppm-lists")
     counted = C.cut(listed.groupBy("gram", "word").agg(F.sum("n").alias("n")), "ppm-counts")

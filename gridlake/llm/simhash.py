@@ -58,16 +58,20 @@ def _scan(shingle: int):
     def run(batches):
         for batch in batches:
             fps = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            out = [batch.column(0), pa.array(fps.view(np.int64)), *batch.columns[2:]]
+            yield pa.RecordBatch.from_arrays(out, names=["doc_id", "fp", *batch.schema.names[2:]])
 
     return run
 
 
-def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp (the 64 bits as a long)."""
+def fingerprints(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, row: Column | None = None
+) -> DataFrame:
+    """doc_id, fp (the 64 bits as a long) and, if given, row (a long that tells rows of one id apart)."""
     C.bounded_batches(docs.sparkSession)
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(_scan(shingle), "doc_id long, fp long")
+    more = [] if row is None else [row.alias("row")]
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), *more)
+    return rows.mapInArrow(_scan(shingle), "doc_id long, fp long" + (", row long" if more else ""))
 
 
 def embedding(fp: Column) -> Column:
@@ -146,19 +150,25 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    shingle: int = SHINGLE,
+    max_bits: int = MAX_BITS,
+    row: Column | None = None,
 ) -> DataFrame:
     """One row per document: doc_id, fp, component_id (the smallest doc_id that
-    links reach, its own included)."""
-    prints = C.cut(fingerprints(docs, doc_id, text, shingle), "fingerprints")
+    links reach, its own included) and root (a fingerprint of the component, one for all of
+    it, also where no document has an id); with ``row`` that column too."""
+    prints = C.cut(fingerprints(docs, doc_id, text, shingle, row), "fingerprints")
     points = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
     roots = components(links(points, max_bits))
     of = points.join(roots, points["fp"] == roots["node"], "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     named = of.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = of.join(named, "root").select(F.col("fp").alias("f"), "component_id")
-    return prints.join(classes, prints["fp"] == classes["f"]).select("doc_id", "fp", "component_id")
+    classes = of.join(named, "root").select(F.col("fp").alias("f"), "component_id", "root")
+    return prints.join(classes, prints["fp"] == classes["f"]).select(*prints.columns, "component_id", "root")
 
 
 def hex_digits(fp: Column) -> Column:

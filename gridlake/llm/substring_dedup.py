@@ -14,12 +14,14 @@ goes on. The words of all factors are removed.
 Windows are told apart by 64 bits of hash of their own, whatever their anchor: of
 n different windows on one anchor about n * n / 2^65 pairs count as equal (5 million:
 one in a million). Equal windows of one block meet before the shuffle, so a passage that a third of all documents
-share arrives once per block. Texts are shuffled once, by block, and both cogroups
+share arrives once per block. Windows are dealt to the ranking by their anchor, and those of a
+frequent anchor (``HOT_ANCHOR``) each by its own hash, so a common phrase is no hot key. Texts are shuffled once, by block, and both cogroups
 read that exchange.
 
 Defined cases: a null text has no words (kept_text stays null); texts shorter
-than a window lose nothing; a null doc_id orders last; rows that repeat a doc_id
-are the same document (equal places are neither earlier); columns named in ``keep``
+than a window lose nothing; a null doc_id orders last; rows of one doc_id (or none) order
+by the hash of their text, and rows equal in both are the same document (equal places
+are neither earlier); columns named in ``keep``
 ride along in ``rest``, others are ignored; an empty table gives an empty result.
 """
 
@@ -39,6 +41,8 @@ from gridlake.llm import common as C
 
 WINDOW = 20
 GRAM = 8
+#: An anchor that the blocks' batches list this often is dealt window by window.
+HOT_ANCHOR = 64
 _LAST = 2**63 - 1
 _A = np.uint64(0x9E3779B97F4A7C15)  # any odd multipliers: independent gram and window hashes
 _B = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -128,22 +132,26 @@ def _runs(*keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(head)
 
 
-_CANDIDATES = "anchor long, block int, ord long, pos int, n int, windows array<long>"
+_CANDIDATES = "deal long, block int, ord long, tie long, pos int, n int, windows array<long>"
 
 
 def _candidates(window: int, gram: int):
     """A block's documents and repeated anchors -> rows of two kinds: n = 0 has
     consecutive windows of one anchor (to be looked up in the other blocks),
-    n > 0 says that the n windows from pos have an earlier equal in this block."""
+    n > 0 says that the n windows from pos have an earlier equal in this block.
+    ``deal`` is the anchor, of a hot one's window a hash of both."""
 
     def run(key, docs, repeated):
-        docs = docs.sort_by("ord")
-        ords = docs.column("ord").to_numpy()
+        docs = docs.sort_by([("ord", "ascending"), ("tie", "ascending")])
+        ords, ties = docs.column("ord").to_numpy(), docs.column("tie").to_numpy()
         w = Windows([word_hashes(t) for t in docs.column("text").to_pylist()], window, gram)
-        known = np.sort(repeated.column("anchor").to_numpy().view(np.uint64))
-        at = np.searchsorted(known, w.anchor)
-        hit = known[np.minimum(at, max(0, len(known) - 1))] == w.anchor if len(known) else np.zeros(len(w.anchor), bool)
+        known = repeated.column("anchor").to_numpy().view(np.uint64)
+        by_anchor = np.argsort(known)
+        known, is_hot = known[by_anchor], repeated.column("hot").to_numpy(zero_copy_only=False).astype(bool)[by_anchor]
+        at = np.minimum(np.searchsorted(known, w.anchor), max(0, len(known) - 1))
+        hit = known[at] == w.anchor if len(known) else np.zeros(len(w.anchor), bool)
         i, doc, place, anchor, hashes = w.start[hit], w.doc[hit], w.at[hit], w.anchor[hit], w.hashes()[hit]
+        hot = is_hot[at[hit]] if len(known) else hit[hit]
         pos = i - w.first[doc] if len(i) else i
         order = np.lexsort((i, hashes, anchor))
         run_of = np.zeros(len(i), np.int64)
@@ -152,7 +160,10 @@ def _candidates(window: int, gram: int):
         first = order[heads][np.cumsum(run_of) - 1] if len(i) else order
         lead, copy = np.zeros(len(i), bool), np.zeros(len(i), bool)
         lead[first] = True
-        same = (ords[doc[order]] == ords[doc[first]]) & (pos[order] == pos[first]) if len(i) else lead
+        same = lead
+        if len(i):
+            a, b = doc[order], doc[first]
+            same = (ords[a] == ords[b]) & (ties[a] == ties[b]) & (pos[order] == pos[first])
         copy[order] = ~same
         out = []
         for kind, keep in ((0, lead), (1, copy)):
@@ -160,25 +171,30 @@ def _candidates(window: int, gram: int):
             if not len(k_i):
                 continue
             step = k_i - np.arange(len(k_i))
-            starts = _runs(step, k_doc, k_place) if kind == 0 else _runs(step, k_doc)
+            each = np.where(hot[keep], np.arange(len(k_i)), -1)
+            starts = _runs(step, k_doc, k_place, each) if kind == 0 else _runs(step, k_doc)
             lengths = np.diff(np.append(starts, len(k_i)))
             values = hashes[keep].view(np.int64) if kind == 0 else np.zeros(0, np.int64)
             offsets = np.append(starts, len(k_i)) if kind == 0 else np.zeros(len(starts) + 1)
             o, p = ords[k_doc[starts]], k_pos[starts]
-            spread = anchor[keep][starts] if kind == 0 else (o.astype(np.uint64) * _A + p.astype(np.uint64)) * _B
+            deal = (o.astype(np.uint64) * _A + p.astype(np.uint64)) * _B
+            if kind == 0:
+                a = anchor[keep][starts]
+                deal = np.where(hot[keep][starts], (a ^ hashes[keep][starts].view(np.uint64)) * _A, a)
             out.append(
                 pa.table(
                     {
-                        "anchor": spread.view(np.int64),
+                        "deal": deal.view(np.int64),
                         "block": np.full(len(starts), key[0].as_py(), np.int32),
                         "ord": o,
+                        "tie": ties[k_doc[starts]],
                         "pos": p.astype(np.int32),
                         "n": (lengths * kind).astype(np.int32),
                         "windows": pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values)),
                     }
                 )
             )
-        empty = pa.table({c: pa.array([], t) for c, t in (("anchor", pa.int64()), ("block", pa.int32()), ("ord", pa.int64()), ("pos", pa.int32()), ("n", pa.int32()), ("windows", pa.list_(pa.int64())))})
+        empty = pa.table({c: pa.array([], t) for c, t in (("deal", pa.int64()), ("block", pa.int32()), ("ord", pa.int64()), ("tie", pa.int64()), ("pos", pa.int32()), ("n", pa.int32()), ("windows", pa.list_(pa.int64())))})
         return pa.concat_tables([x.cast(empty.schema) for x in out]) if out else empty
 
     return run
@@ -196,12 +212,14 @@ def cut_words(text: str | None, covered: np.ndarray) -> str | None:
 
 def _remove(window: int):
     def run(key, docs, repeats):
-        repeats = repeats.sort_by("ord")
-        ords, pos, n = (repeats.column(c).to_numpy() for c in ("ord", "pos", "n"))
+        repeats = repeats.sort_by([("ord", "ascending"), ("tie", "ascending")])
+        ords, ties, pos, n = (repeats.column(c).to_numpy() for c in ("ord", "tie", "pos", "n"))
+        heads = _runs(ords, ties)
+        of = dict(zip(zip(ords[heads].tolist(), ties[heads].tolist()), zip(heads, np.append(heads[1:], len(ords)))))
         n_words, starts, ends, kept = [], [], [], []
-        for o, text in zip(docs.column("ord").to_pylist(), docs.column("text").to_pylist()):
+        for o, tie, text in zip(*(docs.column(c).to_pylist() for c in ("ord", "tie", "text"))):
             size = len(text.encode("utf-8", "replace").split()) if text else 0
-            a, b = np.searchsorted(ords, [o, o + 1]) if o < _LAST else (np.searchsorted(ords, o), len(ords))
+            a, b = of.get((o, tie), (0, 0))
             edge = np.zeros(size + 1, np.int64)
             np.add.at(edge, np.minimum(pos[a:b], size), 1)
             np.add.at(edge, np.minimum(pos[a:b] + n[a:b] + window - 1, size), -1)
@@ -233,6 +251,7 @@ def factors(
     gram: int = GRAM,
     block_bytes: int = C.BLOCK_BYTES,
     keep: Sequence[str] = (),
+    hot_anchor: int = HOT_ANCHOR,
 ) -> DataFrame:
     """One row per document: doc_id, n_words, the word spans of its factors
     (starts, ends) and kept_text, the text without them (white space stays); with
@@ -242,30 +261,35 @@ def factors(
     source = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), *rest)
     blocks = C.block_count(source, "text", block_bytes)
     placed = source.select(
-        "*", F.coalesce("doc_id", F.lit(_LAST)).alias("ord"), C.block_of(F.col("doc_id"), blocks).alias("block")
+        "*",
+        F.coalesce("doc_id", F.lit(_LAST)).alias("ord"),
+        F.xxhash64("text").alias("tie"),
+        C.block_of(F.col("doc_id"), blocks, F.col("text")).alias("block"),
     )
     anchors = placed.select("block", "text").mapInArrow(_anchors(window, gram), "anchor long, block int, n int")
     repeated = (
-        anchors.withColumn("total", F.sum("n").over(Window.partitionBy("anchor"))).where("total > 1").select("block", "anchor")
+        anchors.withColumn("total", F.sum("n").over(Window.partitionBy("anchor")))
+        .where("total > 1")
+        .select("block", "anchor", (F.col("total") > hot_anchor).alias("hot"))
     )
     rows = (
         placed.groupBy("block")
         .cogroup(repeated.groupBy("block"))
         .applyInArrow(_candidates(window, gram), _CANDIDATES)
-        .repartition("anchor")
+        .repartition("deal")
     )
     # Both kinds of rows go through one ranking: a second reader would run the step above again.
     to_find = F.transform(
         "windows", lambda w, j: F.struct(w.alias("w"), (F.col("pos") + j).alias("at"), F.lit(1).alias("m"), F.lit(False).alias("known"))
     )
     known = F.array(F.struct(F.lit(0).cast("long").alias("w"), F.col("pos").alias("at"), F.col("n").alias("m"), F.lit(True).alias("known")))
-    earlier = Window.partitionBy("anchor", "w", "known").orderBy("ord", "at")
+    earlier = Window.partitionBy("deal", "w", "known").orderBy("ord", "tie", "at")
     repeats = (
-        rows.select("anchor", "block", "ord", F.explode(F.when(F.col("n") == 0, to_find).otherwise(known)).alias("x"))
-        .select("anchor", "block", "ord", "x.*")
+        rows.select("deal", "block", "ord", "tie", F.explode(F.when(F.col("n") == 0, to_find).otherwise(known)).alias("x"))
+        .select("deal", "block", "ord", "tie", "x.*")
         .withColumn("place", F.rank().over(earlier))
         .where("place > 1 OR known")
-        .select("block", "ord", F.col("at").alias("pos"), F.col("m").alias("n"))
+        .select("block", "ord", "tie", F.col("at").alias("pos"), F.col("m").alias("n"))
     )
     schema = StructType.fromDDL("doc_id long, n_words long, starts array<int>, ends array<int>, kept_text string")
     if keep:

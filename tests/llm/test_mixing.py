@@ -95,3 +95,16 @@ def test_budget_and_edges(spark):
     ).selectExpr("*", "1 AS u", "2 AS pass", "3 AS block", "4 AS tokens")
     got = M.mix(odd, max_repeats=1.0).collect()
     assert sorted((r.doc_id or 0, r.n_tokens) for r in got) == [(0, 2), (1, 0), (2, 0), (3, 1), (3, 90_000)]
+
+
+def test_rows_that_share_an_id_or_have_none(spark, monkeypatch):
+    monkeypatch.setattr(M, "BUCKET_ROWS", 8)
+    rows = [(None, f"text {i} " + "w " * (i % 5), "en", "a", 0) for i in range(60)]
+    rows += [(7, f"other {i}", "en", "b", 0) for i in range(9)] + [(8, "same", "en", "b", 0)] * 3
+    docs = spark.createDataFrame(rows, DOC_SCHEMA)
+    found = M.mix(docs, max_repeats=1.0, block_tokens=40).collect()
+    assert len(found) == len(rows)
+    places = [(r.block, r.position) for r in found]
+    assert len(set(places)) == len(places)
+    again = M.mix(docs.repartition(5), max_repeats=1.0, block_tokens=40).collect()
+    assert sorted(map(tuple, again), key=str) == sorted(map(tuple, found), key=str)

@@ -3,7 +3,9 @@ from __future__ import annotations
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
+from gridlake.llm import common as C
 from gridlake.llm import substring_dedup as S
 from tests.llm.helpers import docs_of, empty_docs, rows_by_id, words
 
@@ -86,3 +88,28 @@ def test_windows_of_one_anchor_that_share_32_bits_of_hash(spark):
     docs = {i: texts[k] for i, k in enumerate(sorted({k for p in pairs for k in p}))}
     check(spark, docs)
     check(spark, docs, block_bytes=300)
+
+
+def test_hot_anchors_and_rows_without_an_id(spark):
+    rnd = random.Random(8)
+    phrase = [f"h{i}" for i in range(8)]
+    texts = [" ".join(rnd.choices("xyz", k=rnd.randint(0, 6)) + phrase * 2 + rnd.choices("xyz", k=14)) for _ in range(150)]
+    docs = dict(enumerate(texts))
+    for block_bytes in (600, C.BLOCK_BYTES):
+        check(spark, docs, window=10, gram=4, block_bytes=block_bytes, hot_anchor=2)
+        check(spark, docs, window=10, gram=4, block_bytes=block_bytes, hot_anchor=10**9)
+    rows = spark.createDataFrame([(None, t) for t in texts] + [(None, texts[0])], "doc_id long, text string")
+    found = S.factors(rows, window=10, gram=4, block_bytes=600, keep=["text"])
+    ties = {r.text: r.tie for r in rows.select("text", F.xxhash64("text").alias("tie")).collect()}
+    order = sorted(ties, key=ties.get)
+    want = dict(zip(order, brute(dict(enumerate(order)), 10).values()))
+    got = found.collect()
+    assert len(got) == len(texts) + 1
+    for r in got:
+        assert words(r.kept_text) == want[r.rest.text][0]
+
+
+def test_rows_without_an_id_are_dealt_over_the_blocks(spark):
+    rows = spark.range(20_000).selectExpr("CAST(NULL AS LONG) AS doc_id", "CONCAT('text ', id) AS text")
+    per = rows.groupBy(C.block_of(F.col("doc_id"), 64, F.col("text")).alias("b")).count().collect()
+    assert len(per) == 64 and max(r["count"] for r in per) < 2 * 20_000 / 64
