@@ -3,24 +3,36 @@
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; ``run`` writes
 it as Parquet under the session's shared checkpoint folder and hands the table
 read back to the next stage.
+
+Rows are told apart by doc_id and a hash of all their columns, so null and repeated ids are
+handled like any other: of a group of near duplicates exactly one row stays (the smallest id,
+null last; of equal ids the smallest hash), and every row that is left has places of its own in
+the mixture. Rows equal in every column are one document to the near-duplicate stage. Documents
+without text or letters go with the language stage; a null lang or source is a value like any
+other to the later stages; columns that documents has beside its own ride along, whatever their
+names; an empty table gives an empty mixture.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake.llm import common as C
 from gridlake.llm import decontaminate, langid, mixing, simhash, substring_dedup
 from gridlake.session import ensure_utc
 
-_LAST = 2**63 - 1
 #: A document whose language is predicted with less confidence is rejected.
 MIN_LANGUAGE_SCORE = 0.3
 #: How often the mixture may pass its most repeated source.
 MAX_REPEATS = 2.0
 
 
+def row_of(docs: DataFrame) -> Column:
+    """What tells rows of one doc_id apart, the same whenever it is computed."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a letter or without a confident language; a null lang
     becomes the predicted one."""
@@ -32,14 +44,14 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def dedupe_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep of every group of near duplicates the document with the smallest id, once."""
-    found = simhash.near_duplicates(docs, shingle=simhash.SHINGLE, max_bits=simhash.MAX_BITS)
-    first = found.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    first = first.select(F.coalesce("doc_id", F.lit(_LAST)).alias("__first")).distinct()
-    keyed = docs.withColumn("__key", F.coalesce("doc_id", F.lit(_LAST)))
-    # Rows equal in id and text are one document; both steps share the join's partitions.
-    kept = keyed.join(first, F.col("__key") == F.col("__first"), "left_semi").dropDuplicates(["__key", "text"])
-    return kept.select(*docs.columns)
+    """Keep of every group of near duplicates one row: that of the smallest id (null last)."""
+    found = simhash.near_duplicates(docs, shingle=simhash.SHINGLE, max_bits=simhash.MAX_BITS, row=row_of(docs))
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
+    first = found.groupBy("root").agg(F.min(place).alias("f")).select(*[F.col(f"f.{c}").alias(f"__{c}") for c in ("doc_id", "row")])
+    keyed = docs.withColumn("__key", row_of(docs))
+    # Equal rows stay once; both steps share the join's partitions.
+    same = (F.col("__key") == F.col("__row")) & F.col("doc_id").eqNullSafe(F.col("__doc_id"))
+    return keyed.join(first, same, "left_semi").dropDuplicates(["__key", "doc_id"]).select(*docs.columns)
 
 
 def dedupe_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -63,9 +75,11 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The training mixture: documents in block order, sources passed up to
     ``MAX_REPEATS`` times. Adds (or replaces) mix_pass, mix_block, mix_position."""
-    plan = mixing.mix(docs, max_repeats=MAX_REPEATS).dropDuplicates(["doc_id", "pass"])
-    plan = plan.select(F.col("doc_id").alias("__id"), *[F.col(k).alias(f"__{k}") for k in ("pass", "block", "position")])
-    laid = docs.join(plan, docs["doc_id"].eqNullSafe(plan["__id"]))
+    plan = mixing.mix(docs, max_repeats=MAX_REPEATS, row=row_of(docs))
+    plan = plan.select(*[F.col(k).alias(f"__{k}") for k in ("doc_id", "row", "pass", "block", "position")])
+    # Equal rows have a place each in the plan, and any of them fills it: one row a key meets all its places.
+    keyed = docs.withColumn("__key", row_of(docs)).dropDuplicates(["__key", "doc_id"])
+    laid = keyed.join(plan, (F.col("__key") == F.col("__row")) & keyed["doc_id"].eqNullSafe(plan["__doc_id"]))
     kept = [c for c in docs.columns if c not in ("mix_pass", "mix_block", "mix_position")]
     return laid.select(*kept, *[F.col(f"__{k}").alias(f"mix_{k}") for k in ("pass", "block", "position")])
 
