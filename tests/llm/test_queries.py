@@ -73,3 +73,22 @@ def test_pipeline_of_no_documents(spark, scratch):
     spark.createDataFrame([], DOC_SCHEMA).write.parquet(f"{scratch}/documents.parquet")
     spark.createDataFrame([(1, "a b")], "item_id long, text string").write.parquet(f"{scratch}/benchmark.parquet")
     assert pipeline.run(spark, scratch).count() == 0
+
+
+def test_rows_without_an_id_or_with_a_shared_one(spark, scratch):
+    rows = [(None, prose(i), "xx", "s", 1) for i in range(12)] + [(None, prose(3).upper(), "xx", "s", 1)]
+    rows += [(5, prose(40), "xx", "s", 1), (5, prose(41), "xx", "t", 1), (5, prose(40).upper(), "xx", "s", 1)]
+    rows += [(6, prose(50) + " " + prose(51, 9000), "xx", "t", 1), (None, prose(41), "xx", "t", 1)]
+    docs = spark.createDataFrame(rows, DOC_SCHEMA)
+    kept = pipeline.dedupe_documents(spark, docs, scratch).collect()
+    texts = [r.text.lower() for r in kept]
+    assert sorted(texts) == sorted({t.lower() for _, t, *_ in rows})
+    assert next(r.doc_id for r in kept if r.text == prose(41)) == 5
+    twice = docs.union(docs.where("doc_id = 6"))
+    laid = pipeline.mix_sources(spark, twice, scratch).collect()
+    first = [r for r in laid if r.mix_pass == 1]
+    assert sorted((r.doc_id or 0, r.text) for r in first) == sorted((r.doc_id or 0, r.text) for r in twice.collect())
+    places = {(r.mix_block, r.mix_position) for r in laid}
+    assert len(places) == len(laid)
+    blocks = {b for b, _ in places}
+    assert all(sorted(p for c, p in places if c == b) == list(range(sum(c == b for c, _ in places))) for b in blocks)
