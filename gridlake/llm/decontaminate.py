@@ -4,21 +4,27 @@ The patterns are the windows of the benchmark items: ``window`` consecutive
 words, or the whole item where it has fewer. Patterns of one length make one
 search: a shift table, keyed by blocks of two words, tells how far the search
 may jump without missing an occurrence; a block with shift 0 selects the bucket
-of patterns that end with it, and comparing the words confirms an occurrence.
+of patterns that end with it, a hash of all words finds the place in the bucket (so
+large buckets, as of a formula in many items, cost no more), and comparing the words
+confirms an occurrence. Words are numbered and the tables flat arrays.
 
 Patterns reach the tasks by broadcast in passes: a pass takes items of at most
 ``pass_bytes`` of text, whatever the number of items, and the documents are
 searched once a pass. Documents are never shuffled; a task holds one Arrow
 batch. Defined cases: a null or empty text has no words and no hits; an item
-without words is ignored; equal items each count; repeated documents give
-repeated rows; an empty table of either kind gives no hits.
+without words is ignored; items with equal texts each count, repeated items once, a null
+item id is an id like others; columns named in ``keep`` ride along in ``rest``, others
+are ignored; repeated documents give repeated rows; an empty table of either kind gives no hits.
 """
 
 from __future__ import annotations
 
-
+from array import array
+from bisect import bisect_left
 from collections.abc import Sequence
+from itertools import repeat
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -26,8 +32,12 @@ from pyspark.sql import functions as F
 from gridlake.llm import common as C
 
 WINDOW = 13
-#: Benchmark text of one search pass: bounds the broadcast tables.
+#: Benchmark text of one search pass: bounds the broadcast tables, which take up to about ten
+#: times as much (measured in tests/llm).
 PASS_BYTES = 16_000_000
+_WORD = 0x9E3779B97F4A7C15  # any odd multipliers: hashes of patterns and of blocks
+_BLOCK = 0x9E3779B1
+_64 = (1 << 64) - 1
 
 _SPACES = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
@@ -39,51 +49,105 @@ def item_words(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "replace").translate(_SPACES).split() if text else []
 
 
-def build_tables(items, window: int = WINDOW) -> list[tuple]:
-    """Wu-Manber tables, one per pattern length: (length, shift, buckets).
+class Search:
+    """Wu-Manber tables of the patterns of one length ``m``, over word numbers.
 
-    ``shift`` maps a block of two words to its distance from the end of the
-    nearest pattern it occurs in; an absent block allows the largest jump.
-    ``buckets`` maps a pattern's last block to [(pattern words, item ids)].
+    ``shift`` is a table by hashed block: the distance from the block to the end of the
+    nearest pattern that has it, the largest jump where none has (of blocks that share a place
+    the least counts, which is never too far). ``offsets`` cuts the patterns, sorted by the hash
+    of their last block and then by that of all their words, into buckets: ``hashes``, ``starts``
+    (in ``stream``, the items' words one after the other) and ``items``. All are flat arrays.
     Patterns of one word have that word as their block."""
-    by_length: dict[int, dict[tuple, list]] = {}
+
+    def __init__(self, m: int, stream: array, starts: np.ndarray, items: np.ndarray):
+        self.m, self.stream = m, stream
+        words = np.frombuffer(stream, np.int32).astype(np.uint64)
+        size = max(1 << 10, 1 << int(4 * len(starts)).bit_length())
+        self.mask = size - 1
+        self.far = m - min(2, m) + 1
+        shift = np.full(size, min(self.far, 255), np.uint8)
+        for end in range(min(2, m), m + 1):  # the last assignment is the smallest distance
+            block = self._blocks(words, starts + end)
+            shift[block] = min(m - end, 255)
+        h = np.zeros(len(starts), np.uint64)
+        for j in range(m):
+            h = h * np.uint64(_WORD) + words[starts + j]
+        order = np.lexsort((h, block))
+        self.shift = bytearray(shift.tobytes())
+        self.offsets = array("i", np.searchsorted(block[order], np.arange(size + 1)).astype(np.int32).tobytes())
+        self.hashes = array("Q", h[order].tobytes())
+        self.starts = array("i", starts[order].astype(np.int32).tobytes())
+        self.items = array("i", items[order].astype(np.int32).tobytes())
+
+    def _blocks(self, words: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        last = words[ends - 1]
+        both = words[ends - 2] * np.uint64(_BLOCK) + last if self.m > 1 else last
+        return (both & np.uint64(self.mask)).astype(np.int64)
+
+    def run(self, w: array, spans: list, found: set) -> None:
+        """Add the (start, end) spans of occurrences in ``w`` and the numbers of the items hit."""
+        n, m, shift, mask, pairs = len(w), self.m, self.shift, self.mask, self.m > 1
+        hashes, offsets, known = self.hashes, self.offsets, {}
+        i = m - 1
+        while i < n:
+            block = (w[i - 1] * _BLOCK + w[i] if pairs else w[i]) & mask
+            jump = shift[block]
+            if jump:
+                i += jump
+                continue
+            low, high = offsets[block], offsets[block + 1]
+            if low < high:
+                start, h = i - m + 1, 0
+                window = w[start : i + 1]
+                for x in window:
+                    h = (h * _WORD + x) & _64
+                k = bisect_left(hashes, h, low, high)
+                if known.get(k) == window:  # met before in this text
+                    spans.append((start, i + 1))
+                else:
+                    hit = False
+                    for at in range(k, high):
+                        if hashes[at] != h:
+                            break
+                        s = self.starts[at]
+                        if self.stream[s : s + m] == window:
+                            hit = True
+                            found.add(self.items[at])
+                    if hit:
+                        known[k] = window
+                        spans.append((start, i + 1))
+            i += 1
+
+
+def build_tables(items, window: int = WINDOW) -> tuple[dict, list, list]:
+    """The word numbers (from 1; 0 is any other word), the item ids, and a search per
+    pattern length."""
+    numbers: dict[bytes, int] = {}
+    ids, stream, places = [], array("i"), {}
     for item_id, text in items:
         w = item_words(text)
         m = min(window, len(w))
-        for i in range(len(w) - m + 1) if m else ():
-            by_length.setdefault(m, {}).setdefault(tuple(w[i : i + m]), []).append(item_id)
-    tables = []
-    for m, patterns in sorted(by_length.items()):
-        b = min(2, m)
-        shift: dict = {}
-        buckets: dict = {}
-        for p, ids in patterns.items():
-            for end in range(b, m + 1):
-                block = p[end - b : end] if b == 2 else p[0]
-                shift[block] = min(shift.get(block, m), m - end)
-            buckets.setdefault(p[-b:] if b == 2 else p[0], []).append((p, frozenset(ids)))
-        tables.append((m, shift, buckets))
-    return tables
+        if m:
+            places.setdefault(m, []).append((len(stream), len(w) - m + 1, len(ids)))
+            ids.append(item_id)
+            stream.extend(numbers.setdefault(x, len(numbers) + 1) for x in w)
+    searches = []
+    for m, of in sorted(places.items()):
+        first, n, item = np.array(of, np.int64).T
+        within = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        searches.append(Search(m, stream, np.repeat(first, n) + within, np.repeat(item, n)))
+    return numbers, ids, searches
 
 
 def search(w: list[bytes], tables) -> tuple[list[tuple[int, int]], set]:
     """Occurrences as (start, end) word spans, and the ids of the items hit."""
-    n, spans, found = len(w), [], set()
-    for m, shift, buckets in tables:
-        b = min(2, m)
-        far, i = m - b + 1, m - 1
-        while i < n:
-            block = (w[i - 1], w[i]) if b == 2 else w[i]
-            jump = shift.get(block, far)
-            if jump:
-                i += jump
-                continue
-            for p, ids in buckets[block]:
-                if tuple(w[i - m + 1 : i + 1]) == p:
-                    spans.append((i - m + 1, i + 1))
-                    found |= ids
-            i += 1
-    return spans, found
+    numbers, ids, searches = tables
+    spans, found = [], set()
+    if searches:
+        coded = array("i", map(numbers.get, w, repeat(0)))
+        for s in searches:
+            s.run(coded, spans, found)
+    return spans, {ids[k] for k in found}
 
 
 def merge(spans) -> list[tuple[int, int]]:
@@ -136,7 +200,7 @@ def hits(
     ``keep`` also those columns of the document, as the struct rest."""
     spark = docs.sparkSession
     C.bounded_batches(spark)
-    items = benchmark.select(F.col(item_id).alias("id"), F.col(item_text).alias("t")).where("t IS NOT NULL")
+    items = benchmark.select(F.col(item_id).alias("id"), F.col(item_text).alias("t")).where("t IS NOT NULL").distinct()
     # The largest item counts as well: hashing balances all but single items.
     passes = C.block_count(items, "t", pass_bytes)
     id_type = items.schema["id"].dataType.simpleString()
@@ -151,7 +215,7 @@ def hits(
     )
     schema = out.schema
     for k in range(passes):
-        rows = items.where(C.block_of(F.col("t"), passes) == k).collect()  # at most about pass_bytes
+        rows = items.where(C.block_of(F.col("t"), passes, F.col("id")) == k).collect()  # at most about pass_bytes
         tables = spark.sparkContext.broadcast(build_tables([(r["id"], r["t"]) for r in rows], window))
         out = out.mapInArrow(_scan(tables), schema)
         if k + 1 < passes:  # one pass's tables in a worker at a time

@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import random
 import re
+import sys
+import time
 
 from gridlake.llm import decontaminate as D
 from tests.llm.helpers import docs_of, empty_docs, lower, rows_by_id
@@ -69,3 +71,41 @@ def test_empty_tables(spark):
     assert D.decisions(D.hits(empty_docs(spark), some)).count() == 0
     none = rows_by_id(D.decisions(D.hits(docs_of(spark, ["a b", None]), some.limit(0))))
     assert [(r.n_hit, r.contaminated) for r in none.values()] == [(0, False), (0, False)]
+
+
+def zipf_items(rnd, n_bytes):
+    vocabulary = [f"w{i}" for i in range(20_000)]
+    weights = [1 / (i + 1) for i in range(20_000)]
+    n_words = n_bytes // 5
+    drawn = rnd.choices(vocabulary, weights, k=n_words)
+    return [(i, " ".join(drawn[i * 100 : i * 100 + 100])) for i in range(n_words // 100)]
+
+
+def size_of(tables):
+    numbers, ids, searches = tables
+    own = sum(sys.getsizeof(x) for s in searches for x in (s.shift, s.offsets, s.hashes, s.starts, s.items))
+    words = sys.getsizeof(numbers) + sum(sys.getsizeof(k) + 32 for k in numbers)
+    return own + words + sum(sys.getsizeof(s.stream) for s in searches[:1])
+
+
+def test_search_time_and_memory_grow_with_neither_buckets_nor_formulas():
+    rnd = random.Random(9)
+    text = [w.encode() for _, t in zipf_items(rnd, 400_000) for w in t.split()]
+    took = {}
+    for n_bytes in (100_000, 3_000_000):
+        items = zipf_items(rnd, n_bytes)
+        items += [(-i, "all of these items begin and end with the same words " + t + " end of item") for i, t in items[:500]]
+        tables = D.build_tables(items, D.WINDOW)
+        assert size_of(tables) < 12 * sum(len(t) for _, t in items) + 2_000_000
+        began = time.perf_counter()
+        spans, _ = D.search(text, tables)
+        took[n_bytes] = time.perf_counter() - began
+    assert took[3_000_000] < 5 * took[100_000] + 0.5
+
+
+def test_formula_of_many_items():
+    formula = " ".join(f"f{i}" for i in range(13))
+    items = [(i, f"x{i} {formula} y{i}") for i in range(300)] + [(i, formula) for i in range(300, 600)]
+    w = D.item_words(f"a {formula} b " * 50)
+    spans, found = D.search(w, D.build_tables(items))
+    assert len(spans) == 50 and found == set(range(600))
