@@ -62,6 +62,11 @@ def build_parser() -> argparse.ArgumentParser:
     r.add_argument("statement", help="e.g. hour_profile, negative_totals, worst_days")
     r.add_argument("--region", default=None)
 
+    v = sub.add_parser("view", help="answer a SQL statement over the stored serving tables as JSON lines")
+    v.add_argument("statement", help="e.g. bi_hour_profile, dash_price_series")
+    v.add_argument("--region", default=None)
+    v.add_argument("--as-of", default=None, help="end of a panel's time range")
+
     rp = sub.add_parser("replay", help="sample files -> ordered message lines")
     rp.add_argument("--samples", required=True)
     rp.add_argument("--out", required=True)
@@ -134,6 +139,12 @@ def main(argv: list[str] | None = None) -> int:
         frame = fn(bi.for_region(spark.read.parquet(lake.path(table)), args.region))
         for line in frame.toJSON().toLocalIterator():
             print(line)
+    elif args.command == "view":
+        from gridlake.plans import views
+
+        views.register(spark, lake)
+        for line in views.run(spark, args.statement, args.region, args.as_of or _now()).toJSON().toLocalIterator():
+            print(line)
     elif args.command == "replay":
         from gridlake.sinks.files import write_replay
         from gridlake.sources.landed import parse_sample, read_documents

@@ -24,7 +24,7 @@ def _new(spark, name):
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/gridlake-{name}-{uuid.uuid4().hex}"
 
 
-def _loaded(spark, sf_dir):
+def loaded(spark, sf_dir):
     """A lake with all observations in bronze (two loads) and everything recomputed."""
     lake = L.Lake(_new(spark, "served"))
     for batch in (1, 0):
@@ -41,13 +41,13 @@ def _read(spark, lake, table, schema):
 @query("lake_serving_hourly", S.with_(*S.SERVING_CTES) + f"SELECT {', '.join(SERVING_HOURLY.fieldNames())} FROM serving")
 def lake_serving_hourly(spark, sf_dir):
     """K3: the hourly serving table as the transform job left it."""
-    return _read(spark, _loaded(spark, sf_dir), L.SERVING_HOURLY, SERVING_HOURLY)
+    return _read(spark, loaded(spark, sf_dir), L.SERVING_HOURLY, SERVING_HOURLY)
 
 
 @query("lake_serving_daily", S.with_(*S.DAILY_CTES) + f"SELECT {', '.join(SERVING_DAILY.fieldNames())} FROM daily")
 def lake_serving_daily(spark, sf_dir):
     """K3: the daily serving table as the transform job left it."""
-    return _read(spark, _loaded(spark, sf_dir), L.SERVING_DAILY, SERVING_DAILY)
+    return _read(spark, loaded(spark, sf_dir), L.SERVING_DAILY, SERVING_DAILY)
 
 
 _DAILY_VALUES = "region, local_day, avg_price, min_price, max_price, negative_hours"
@@ -72,7 +72,7 @@ def lake_late_revision(spark, sf_dir):
 @query("lake_health", _QUERIES["freshness"].sql)
 def lake_health(spark, sf_dir):
     """The health table after two checks (the second replaces the first)."""
-    lake = _loaded(spark, sf_dir)
+    lake = loaded(spark, sf_dir)
     upkeep.check_freshness(spark, lake, "2024-02-05 12:00:00")
     upkeep.check_freshness(spark, lake, X.AS_OF)
     return _read(spark, lake, L.PIPELINE_HEALTH, PIPELINE_HEALTH)

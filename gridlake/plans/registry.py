@@ -59,7 +59,7 @@ def query(name: str, sql: str | None = None):
 def _load() -> None:
     # Importing the plan modules registers their queries.
     from gridlake.plans import bi, dashboard, files, medallion, messages, news, pulse, upkeep  # noqa: F401, I001
-    from gridlake.plans import lake  # noqa: F401  # builds on the others' oracles
+    from gridlake.plans import lake, views  # noqa: F401  # build on the others' oracles
 
 
 def all_queries() -> dict[str, Query]:

@@ -23,6 +23,8 @@ def test_backfill_transform_health_and_bi(spark, scratch, capsys):
     assert cli.main(["--lake", lake, "bi", "negative_totals", "--region", "DE-LU"]) == 0
     row = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
     assert row["total_hours"] == 24 * 8 and row["neg_hours"] > 0
+    assert cli.main(["--lake", lake, "view", "bi_negative_totals", "--region", "DE-LU"]) == 0
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1]) == row
 
 
 def test_news_replay_and_maintain_commands(spark, scratch, capsys):
