@@ -22,6 +22,8 @@ from gridlake.llm import common as C
 from gridlake.llm import decontaminate, langid, mixing, simhash, substring_dedup
 from gridlake.session import ensure_utc
 
+_LAST = 2**63 - 1
+KEY = ["__id", "__key"]
 #: A document whose language is predicted with less confidence is rejected.
 MIN_LANGUAGE_SCORE = 0.3
 #: How often the mixture may pass its most repeated source.
@@ -29,10 +31,21 @@ MAX_REPEATS = 2.0
 
 
 def row_of(docs: DataFrame) -> Column:
-    """What tells rows of one doc_id apart, the same whenever it is computed."""
+    """What tells rows of one doc_id apart (also none from the largest), the same whenever it
+    is computed."""
     return F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns])
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """docs with the row's key, which is never null: __id and __key."""
+    return docs.withColumns({"__id": F.coalesce("doc_id", F.lit(_LAST)), "__key": row_of(docs)})
+
+
+def key_of(found: DataFrame, *more: Column) -> DataFrame:
+    """The same key from an operator's doc_id and row."""
+    return found.select(F.coalesce("doc_id", F.lit(_LAST)).alias("__id"), F.col("row").alias("__key"), *more)
+
+
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without a letter or without a confident language; a null lang
     becomes the predicted one."""
@@ -47,11 +60,9 @@ def dedupe_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Keep of every group of near duplicates one row: that of the smallest id (null last)."""
     found = simhash.near_duplicates(docs, shingle=simhash.SHINGLE, max_bits=simhash.MAX_BITS, row=row_of(docs))
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")
-    first = found.groupBy("root").agg(F.min(place).alias("f")).select(*[F.col(f"f.{c}").alias(f"__{c}") for c in ("doc_id", "row")])
-    keyed = docs.withColumn("__key", row_of(docs))
+    first = key_of(found.groupBy("root").agg(F.min(place).alias("f")).select("f.doc_id", "f.row"))
     # Equal rows stay once; both steps share the join's partitions.
-    same = (F.col("__key") == F.col("__row")) & F.col("doc_id").eqNullSafe(F.col("__doc_id"))
-    return keyed.join(first, same, "left_semi").dropDuplicates(["__key", "doc_id"]).select(*docs.columns)
+    return keyed(docs).join(first, KEY, "left_semi").dropDuplicates(KEY).select(*docs.columns)
 
 
 def dedupe_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -76,10 +87,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The training mixture: documents in block order, sources passed up to
     ``MAX_REPEATS`` times. Adds (or replaces) mix_pass, mix_block, mix_position."""
     plan = mixing.mix(docs, max_repeats=MAX_REPEATS, row=row_of(docs))
-    plan = plan.select(*[F.col(k).alias(f"__{k}") for k in ("doc_id", "row", "pass", "block", "position")])
-    # Equal rows have a place each in the plan, and any of them fills it: one row a key meets all its places.
-    keyed = docs.withColumn("__key", row_of(docs)).dropDuplicates(["__key", "doc_id"])
-    laid = keyed.join(plan, (F.col("__key") == F.col("__row")) & keyed["doc_id"].eqNullSafe(plan["__doc_id"]))
+    plan = key_of(plan, *[F.col(k).alias(f"__{k}") for k in ("pass", "block", "position")])
+    # Equal rows have a place each in the plan, and any of them fills it: one row a key meets all
+    # its places. Both steps share the join's partitions.
+    laid = keyed(docs).dropDuplicates(KEY).join(plan, KEY)
     kept = [c for c in docs.columns if c not in ("mix_pass", "mix_block", "mix_position")]
     return laid.select(*kept, *[F.col(f"__{k}").alias(f"mix_{k}") for k in ("pass", "block", "position")])
 
