@@ -63,21 +63,22 @@ def find_exponent(shares: DataFrame, target_entropy: float | None, max_repeats:
     for _ in range(_ROUNDS):
         step = (high - low) / (_PROBES + 1)
         grid = [low + step * (k + 1) for k in range(_PROBES)]
-        sums = []
-        for k, a in enumerate(grid):
-            w = F.exp(F.lit(a) * F.log("p"))
-            sums += [F.sum(w).alias(f"z{k}"), F.sum(w * F.log("p")).alias(f"e{k}")]
-        r = shares.agg(F.count("*").alias("n"), F.min("p").alias("least"), F.max("p").alias("most"), *sums).first()
-        if r["n"] < 2:
+        # The probes are rows, not 62 aggregates with their numbers in the generated code, which
+        # every round would compile anew: one small plan serves all rounds.
+        w = F.exp(F.col("a") * F.log("p"))
+        probes = shares.select("p", F.posexplode(F.array(*map(F.lit, grid))).alias("k", "a")).groupBy("k")
+        sums = probes.agg(F.count("*"), F.min("p"), F.max("p"), F.sum(w), F.sum(w * F.log("p"))).collect()
+        found = {k: rest for k, *rest in sums}  # at most _PROBES rows
+        if not found or found[0][0] < 2:
             return 1.0
 
         def within(k: int) -> bool:
-            a, z = grid[k], r[f"z{k}"]
+            a, (n, least, most, z, e) = grid[k], found[k]
             if target_entropy is not None:
-                return math.log(z) - a * r[f"e{k}"] / z <= target_entropy * math.log(r["n"])
+                return math.log(z) - a * e / z <= target_entropy * math.log(n)
             if budget_share is None:
-                return (r["most"] / r["least"]) ** (1.0 - a) <= max_repeats
-            return budget_share * r["least"] ** (a - 1.0) / z <= max_repeats
+                return (most / least) ** (1.0 - a) <= max_repeats
+            return budget_share * least ** (a - 1.0) / z <= max_repeats
 
         first = next((k for k in range(_PROBES) if within(k)), _PROBES)
         low, high = low + step * first, low + step * (first + 1)
