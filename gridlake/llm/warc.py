@@ -7,8 +7,8 @@ a response, the others are revisits without payload.
 
 ``chunks`` streams archives: a task decompresses an archive piece by piece and emits a
 row for every ``chunk_bytes`` of a payload, keyed by archive, record number and chunk
-number, with the bytes and the digest so far. No record is ever held whole, on either
-side of the table. ``records`` keeps the last chunk of each record, whose running
+number, with the bytes and the digest so far. Beside the payload cell of the input table,
+which is read in place, no record is ever held whole, neither written nor read. ``records`` keeps the last chunk of each record, whose running
 counters are the totals.
 
 Defined cases: a null payload is empty (one chunk of no bytes); a null id or URL is left
@@ -24,6 +24,7 @@ import gzip
 import hashlib
 import re
 import uuid
+import zlib
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -60,20 +61,39 @@ def _uri(text: str) -> str:
     return re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", text)
 
 
-def record(record_id, url, payload: bytes, refers_to) -> bytes:
-    """One record: a response with its payload, or a revisit with the HTTP header only."""
-    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
-    block = http if refers_to is not None else http + payload
+def header(record_id, url, length: int, digest: bytes, refers_to) -> bytes:
+    """What stands before the payload of a record, a response or a revisit: the WARC header
+    and the HTTP header, which is all that a revisit's block has."""
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {length}\r\n\r\n".encode()
     lines = [VERSION.decode(), f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Date: {DATE}"]
     if record_id is not None:
         lines.append(f"WARC-Record-ID: <{RECORD_URN}{record_id}>")
     if url is not None:
         lines.append(f"WARC-Target-URI: {_uri(url)}")
-    lines.append(f"WARC-Payload-Digest: sha1:{sha1_base32(hashlib.sha1(payload).digest())}")
+    lines.append(f"WARC-Payload-Digest: sha1:{sha1_base32(digest)}")
     if refers_to is not None:
         lines += [f"WARC-Refers-To: <{RECORD_URN}{refers_to}>", f"WARC-Profile: {PROFILE}"]
-    lines += [f"Content-Type: {HTTP_TYPE}", f"Content-Length: {len(block)}", "", ""]
-    return "\r\n".join(lines).encode("utf-8") + block + b"\r\n\r\n"
+    size = len(http) + (length if refers_to is None else 0)
+    lines += [f"Content-Type: {HTTP_TYPE}", f"Content-Length: {size}", "", ""]
+    return "\r\n".join(lines).encode("utf-8") + http
+
+
+def record(record_id, url, payload: bytes, refers_to) -> bytes:
+    """One small record whole, not compressed."""
+    head = header(record_id, url, len(payload), hashlib.sha1(payload).digest(), refers_to)
+    return head + (payload if refers_to is None else b"") + b"\r\n\r\n"
+
+
+def member(record_id, url, payload: memoryview, digest: bytes, refers_to, slice_bytes: int = CHUNK_BYTES):
+    """Yield the pieces of one record as a gzip member. The payload goes through the
+    compressor slice by slice: neither the record nor its compressed form is ever whole."""
+    gz = zlib.compressobj(6, zlib.DEFLATED, 16 + zlib.MAX_WBITS)
+    yield gz.compress(header(record_id, url, len(payload), digest, refers_to))
+    if refers_to is None:
+        for at in range(0, len(payload), slice_bytes):
+            yield gz.compress(payload[at : at + slice_bytes])
+    yield gz.compress(b"\r\n\r\n")
+    yield gz.flush()
 
 
 def _write(folder: str, archive_bytes: int):
@@ -82,13 +102,15 @@ def _write(folder: str, archive_bytes: int):
         fs.create_dir(base, recursive=True)
         done, out, name, n, size = [], None, "", 0, 0
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
+            ids, urls, payloads, digests, firsts = batch.columns
+            for k in range(batch.num_rows):
                 if out is None:
                     name, n, size = f"{uuid.uuid4().hex}.warc.gz", 0, 0
                     out = fs.open_output_stream(f"{base}/{name}", compression=None)
-                member = gzip.compress(record(*row), 6, mtime=0)
-                out.write(member)
-                n, size = n + 1, size + len(member)
+                payload = memoryview(payloads[k].as_buffer())  # a view of the batch, no copy
+                for piece in member(ids[k].as_py(), urls[k].as_py(), payload, digests[k].as_py(), firsts[k].as_py()):
+                    size += out.write(piece)
+                n += 1
                 if size >= archive_bytes:
                     out.close()
                     done.append((f"{folder}/{name}", n, size))
@@ -135,7 +157,7 @@ def write(
     )
     told = rows.join(again, (rows["id"] == again["of"]) & (rows["digest"] == again["of_digest"]), "left")
     folder = folder or C.scratch_path(spark, "warc")
-    done = told.select("id", "url", "payload", "first").mapInArrow(_write(folder, archive_bytes), _MANIFEST)
+    done = told.select("id", "url", "payload", "digest", "first").mapInArrow(_write(folder, archive_bytes), _MANIFEST)
     return C.cut(done, "warc-manifest")
 
 

@@ -63,3 +63,34 @@ def test_empty_and_broken(spark):
         list(W.read_archive(io.BytesIO(whole[:-8])))
     with pytest.raises(ValueError, match="not a WARC"):
         list(W.read_archive(gzip.GzipFile(fileobj=io.BytesIO(gzip.compress(b"hello\r\n\r\n")))))
+
+
+def test_payload_is_compressed_slice_by_slice():
+    class Watched:  # a payload that is only ever asked for slices
+        def __init__(self, b):
+            self.b, self.most = b, 0
+
+        def __len__(self):
+            return len(self.b)
+
+        def __getitem__(self, at):
+            self.most = max(self.most, at.stop - at.start)
+            return self.b[at]
+
+    body = bytes(range(256)) * 4_000 + b"end"
+    payload = Watched(body)
+    pieces = list(W.member(4, "u", payload, hashlib.sha1(body).digest(), None, slice_bytes=10_000))
+    assert payload.most == 10_000 and len(pieces) > 100
+    assert gzip.decompress(b"".join(pieces)) == W.record(4, "u", body, None)
+    # A revisit's member never touches the payload.
+    payload = Watched(body)
+    again = b"".join(W.member(4, "u", payload, hashlib.sha1(body).digest(), 2))
+    assert payload.most == 0 and gzip.decompress(again) == W.record(4, "u", body, 2)
+
+
+def test_payload_of_many_slices(spark):
+    text = "".join(chr(32 + (k * k) % 90) for k in range(3_500_000))
+    found = W.records(W.chunks(spark, W.write(pages(spark, [(1, "u", text), (2, "v", text)])))).collect()
+    assert sorted((r.record_id, r.record_type, r.payload_bytes, r.payload_digest, r.intact) for r in found) == [
+        ("1", "response", 3_500_000, digest(text.encode()), True), ("2", "revisit", 3_500_000, digest(text.encode()), True),
+    ]
