@@ -5,7 +5,8 @@ a space and the text. For each side, token-byte incidence is a sparse matrix, bu
 compressed rows: a row a token, a column a byte. Gustavson's row products A * B^T then give, for
 each A token, the B tokens that share a byte with it (the overlap links), with the number of bytes
 they share. Byte offsets where tokens of both sides end cut the tokens into groups; the products
-of the token-group incidences give the links within a group (shared-group links).
+of the token-group incidences, a block of rows at a time, give the links within a group
+(shared-group links), which ``align`` counts and ``links`` returns.
 
 Texts are processed in pieces of bounded size: a long text is cut before a single space between two
 ASCII letters, where neither vocabulary has a token across, so pieces are encoded as the whole
@@ -22,6 +23,7 @@ empty result; extra columns are ignored.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,6 +40,8 @@ VOCABULARY_B = "/opt/tokenizers/piece_bpe_32k.model"
 #: Characters of texts encoded at a time, and of a chunk.
 BATCH_CHARS = 500_000
 CHUNK_CHARS = 8_000_000
+#: Shared-group links made at a time.
+LINKS_AT_A_TIME = 2_000_000
 #: An id pair is one number: a * WIDTH + b.
 WIDTH = 1 << 31
 
@@ -86,19 +90,20 @@ def groups_of(a_ends: np.ndarray, b_ends: np.ndarray) -> tuple[np.ndarray, np.nd
     return np.searchsorted(common, a_ends), np.searchsorted(common, b_ends)
 
 
-def shared_group_links(a_group: np.ndarray, b_group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A token, B token for all pairs of one group: the product of the group incidences."""
+def shared_group_links(a_group: np.ndarray, b_group: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """A token, B token for all pairs of one group: the product of the group incidences, made in
+    blocks of A rows with at most LINKS_AT_A_TIME entries (or of one row), as a group of a text
+    that never aligns has as many as its A times its B tokens."""
     count = int(a_group[-1]) + 1 if len(a_group) else 0
     one = lambda g: (np.arange(len(g) + 1), g)
-    row, column, _ = row_products(one(a_group), transposed(*one(b_group), count))
-    return row, column
-
-
-def shared_group_count(a_group: np.ndarray, b_group: np.ndarray, of_group: np.ndarray, n: int) -> np.ndarray:
-    """How many entries that product has for each of n documents, without making them (a group
-    of a text that never aligns is long): A rows times B rows of each group, summed by document."""
-    a, b = np.bincount(a_group, minlength=len(of_group)), np.bincount(b_group, minlength=len(of_group))
-    return np.bincount(of_group, weights=a * b, minlength=n).astype(np.int64)
+    groups = transposed(*one(b_group), count)
+    upto = np.cumsum(np.diff(groups[0])[a_group])
+    start, made = 0, 0
+    while start < len(a_group):
+        end = max(start + 1, int(np.searchsorted(upto, made + LINKS_AT_A_TIME, side="right")))
+        row, column, _ = row_products(one(a_group[start:end]), groups)
+        yield row + start, column
+        start, made = end, int(upto[end - 1])
 
 
 @dataclass
@@ -148,7 +153,9 @@ class _Batch:
         of_group = np.zeros(int(group[0][-1]) + 1, np.int64)
         of_group[group[0]] = piece_of
         n_groups = np.bincount(of_group, minlength=len(good))
-        shared = shared_group_count(*group, of_group, len(good))
+        shared = np.zeros(len(good), np.int64)
+        for row, _ in shared_group_links(*group):
+            shared += np.bincount(piece_of[row], minlength=len(good))
         texts = self._told(flat, group, counts)
         row, column, _ = overlap_links(*ends)
         owner, pair, times = distinct_rows(piece_of[row], flat[0][row] * WIDTH + flat[1][column])
@@ -299,16 +306,17 @@ def links(
                 for k, part in enumerate(pieces_of(" " + text) if text else []):
                     ids = [np.array(side.encode([t])[0], np.int64) for side, t in ((a, part), (b, part[1:]))]
                     ends = [np.cumsum([len(side.spell[t]) for t in x]) for side, x in zip((a, b), ids)]
-                    row, column, size = (*shared_group_links(*groups_of(*ends)), None) if shared_groups else overlap_links(*ends)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            batch.column(0).take(pa.array([i] * len(row), pa.int64())),
-                            pa.array([k] * len(row), pa.int32()),
-                            *(pa.array(x, pa.int32()) for x in (row, column, ids[0][row], ids[1][column])),
-                            pa.array([None] * len(row) if size is None else size, pa.int32()),
-                        ],
-                        names=["doc_id", "piece", "a", "b", "a_id", "b_id", "shared_bytes"],
-                    )
+                    blocks = ((*x, None) for x in shared_group_links(*groups_of(*ends))) if shared_groups else [overlap_links(*ends)]
+                    for row, column, size in blocks:
+                        yield pa.RecordBatch.from_arrays(
+                            [
+                                batch.column(0).take(pa.array([i] * len(row), pa.int64())),
+                                pa.array([k] * len(row), pa.int32()),
+                                *(pa.array(x, pa.int32()) for x in (row, column, ids[0][row], ids[1][column])),
+                                pa.array([None] * len(row) if size is None else size, pa.int32()),
+                            ],
+                            names=["doc_id", "piece", "a", "b", "a_id", "b_id", "shared_bytes"],
+                        )
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"doc_id {kind}, piece int, a int, b int, a_id int, b_id int, shared_bytes int")

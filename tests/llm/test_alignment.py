@@ -153,6 +153,26 @@ def test_links_of_both_kinds(spark, sides):
     assert got == {i: sum(r.doc_id == i for r in shared) for i in docs}
 
 
+def test_shared_group_links_are_made_by_products_in_blocks(sides, monkeypatch):
+    rnd = np.random.default_rng(6)
+    a_group, b_group = (np.sort(np.concatenate([np.arange(5), rnd.integers(0, 5, n)])) for n in (40, 60))
+    made, product = [], A.row_products
+    monkeypatch.setattr(A, "row_products", lambda a, b: made.append(product(a, b)) or made[-1])
+    monkeypatch.setattr(A, "LINKS_AT_A_TIME", 70)
+    blocks = list(A.shared_group_links(a_group, b_group))
+    got = [(i, j) for row, column in blocks for i, j in zip(row.tolist(), column.tolist())]
+    assert got == [(i, j) for i in range(45) for j in range(65) if a_group[i] == b_group[j]]
+    assert 1 < len(blocks) == len(made) < 45 and max(len(row) for row, _ in blocks) <= 70
+    none = np.zeros(0, np.int64)
+    assert list(A.shared_group_links(none, none)) == []
+    # A document's number is the products' entries.
+    made.clear()
+    monkeypatch.setattr(A, "LINKS_AT_A_TIME", 20)
+    found = A._Batch(*sides[:2]).run([" Strompreise naïve 日本語", " a", " x" * 30])
+    assert sum(f.numbers[4] for f in found) == sum(len(row) for row, _, _ in made[:-1])
+    assert len(made) > 2 and sum(f.numbers[3] for f in found) == len(made[-1][0])
+
+
 def test_rank_encoder_equals_the_files_own(sides):
     a, _, own = sides
     assert a.ranks
