@@ -68,9 +68,11 @@ def ingest_news(
     limit: int = 0,
     batch_id: str | None = None,
 ) -> dict[str, int]:
-    """Feeds -> headlines -> classification -> news table."""
-    heads = FD.first_headlines(feeds, limit) if limit else FD.parse_feeds(feeds)
-    batch = L.with_key_bucket(N.classify(heads, answers, ts_literal(fetched_at)))
+    """Feeds -> headlines -> classification -> news table. The headlines' texts are dealt once, by
+    key: repeated links, answers, the merge and the written files go by it."""
+    tasks = None if limit else TB.dealt_tasks(spark, feeds, lake.path(L.NEWS), L.NEWS.partition_cols, L.NEWS_SLOTS)
+    heads = FD.first_headlines(feeds, limit) if limit else FD.parse_feeds(feeds, tasks=tasks)
+    batch = L.with_key_slot(N.classify(heads, answers, ts_literal(fetched_at)))
     # Parsed and classified once, for the check, the merge and the counts.
     batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -80,11 +82,11 @@ def ingest_news(
         merge_fn = None
         if keep_label:
             def merge_fn(target, rows):
-                return L.with_key_bucket(N.merge_news(target, rows, keep_label=True))
+                return L.with_key_slot(N.merge_news(target, rows, keep_label=True))
 
         TB.merge_into(
             spark, lake.path(L.NEWS), NEWS, batch, L.NEWS.keys, L.NEWS.partition_cols, batch_id,
-            merge_fn=merge_fn,
+            merge_fn=merge_fn, tasks=tasks,
         )
         counts = N.ingest_counts(batch).first()
     finally:

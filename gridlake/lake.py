@@ -1,8 +1,10 @@
 """Table layout of a lake folder (shared storage: HDFS, S3, ABFS, or local in tests).
 
 Every table is Parquet. Price tables are partitioned by a day column, so that the
-recompute window and the merge batches prune whole folders; news by a hash bucket of its
-key, so that a headline whose publication day changes stays in its partition.
+recompute window and the merge batches prune whole folders; news by a hash slot of its
+key, so that a headline whose publication day changes stays in its partition. A slot is taken
+from the hash that Spark deals rows by, so rows dealt by key over a multiple of ``NEWS_SLOTS``
+tasks are one slot a task, and are written as they lie.
 """
 
 from __future__ import annotations
@@ -26,8 +28,8 @@ class Table:
 BRONZE = Table("bronze_prices", ("delivery_date",), ("region", "delivery_ts"))
 SILVER = Table("silver_prices", ("delivery_date",), ("region", "delivery_ts"))
 GOLD_DAILY = Table("gold_daily", ("local_day",), ("region", "local_day"))
-NEWS = Table("news_events", ("key_bucket",), ("source", "link"))
-NEWS_BUCKETS = 16
+NEWS = Table("news_events", ("key_slot",), ("source", "link"))
+NEWS_SLOTS = 16
 SERVING_HOURLY = Table("serving_price_hourly", ("delivery_date",), ("region", "delivery_ts"))
 SERVING_DAILY = Table("serving_daily_stats", ("local_day",), ("region", "local_day"))
 PIPELINE_HEALTH = Table("serving_pipeline_health", (), ("check_name",))
@@ -47,13 +49,13 @@ def with_delivery_date(df: DataFrame) -> DataFrame:
     return df.withColumn("delivery_date", delivery_date())
 
 
-def with_key_bucket(df: DataFrame) -> DataFrame:
-    return df.withColumn("key_bucket", F.pmod(F.xxhash64(*NEWS.keys), F.lit(NEWS_BUCKETS)).cast("int"))
+def with_key_slot(df: DataFrame) -> DataFrame:
+    return df.withColumn("key_slot", F.pmod(F.hash(*NEWS.keys), F.lit(NEWS_SLOTS)).cast("int"))
 
 
 def stored(schema: StructType, table: Table) -> StructType:
     """A table's declared schema with its partition columns."""
-    types = {"delivery_date": DateType(), "key_bucket": IntegerType()}
+    types = {"delivery_date": DateType(), "key_slot": IntegerType()}
     added = [StructField(c, types[c]) for c in table.partition_cols if c not in schema.fieldNames()]
     return StructType([*schema.fields, *added])
 

@@ -39,6 +39,8 @@ STAGED = "_STAGED"
 LOCK = "_LOCK"
 NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 TARGET_FILE_BYTES = 256 * 1024 * 1024
+#: Stored bytes of a batch's input that a task is to take.
+TASK_BYTES = 64 * 1024 * 1024
 
 
 class TableBusy(RuntimeError):
@@ -191,6 +193,18 @@ def deal(df: DataFrame, table_path: str, partition_cols: Sequence[str], leaves:
     return df.repartition(*[F.col(c) for c in partition_cols], salt)
 
 
+def dealt_tasks(spark: SparkSession, source: DataFrame, table_path: str, partition_cols: Sequence[str], partitions: int) -> int:
+    """Over how many tasks to deal a batch made of ``source`` by its key: a multiple of
+    ``partitions``, by the size of the files it is read from and of the largest stored partition."""
+    names, given = set(source.inputFiles()), 0  # as URIs
+    for folder in {name.rsplit("/", 1)[0] for name in names}:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(spark.sparkContext._jvm.java.net.URI(folder))
+        listed = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listStatus(p)
+        given += sum(s.getLen() for s in listed if s.getPath().toUri().toString() in names)
+    largest = max((sum(v) for v in file_sizes(spark, table_path, partition_cols).values()), default=0)
+    return partitions * max(1, -(-given // (partitions * TASK_BYTES)), -(-largest // TARGET_FILE_BYTES))
+
+
 def stage(df: DataFrame, table_path: str, batch_id: str, partition_cols: Sequence[str]) -> str:
     """Write the staged copy, then mark it complete (the mark lists what it holds)."""
     spark = df.sparkSession
@@ -257,6 +271,13 @@ def in_partitions(partition_cols: Sequence[str], values: Sequence[tuple]) -> Col
     return cond
 
 
+def check_layout(spark: SparkSession, table_path: str, partition_cols: Sequence[str]) -> None:
+    """A table stored by other partition columns is not merged into: its rows would not be found."""
+    other = [_name(c) for c in _children(spark, table_path) if _is_data(c) and not _name(c).startswith(f"{partition_cols[0]}=")] if partition_cols else []
+    if other:
+        raise ValueError(f"{table_path} is not partitioned by {partition_cols[0]} but holds {other[0]}: rewrite it first")
+
+
 def touched_target(spark: SparkSession, table_path: str, batch: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
     """Target rows in the partitions the batch writes to. The touched partition values
     (bounded by the days or buckets of a batch, not by its rows) are read on the driver
@@ -278,14 +299,18 @@ def merge_into(
     batch_id: str,
     version: str | None = "fetched_at",
     merge_fn=None,
+    tasks: int | None = None,
 ) -> None:
     """Revision-aware (``version``) or unconditional (``version=None``) MERGE
     of ``batch`` into the table at ``table_path``; ``merge_fn(target, batch)``
     replaces the merge rule when given. The partition must be a function of the key.
 
-    The batch is evaluated once (kept for the merge), whatever its plan.
+    The batch is evaluated once (kept for the merge), whatever its plan. ``tasks``: the batch is
+    dealt by its keys over so many tasks, each holding rows of one partition; stored rows are
+    dealt alike, and the merged rows are written as they lie.
     """
     cols = [f.name for f in schema.fields] + [c for c in partition_cols if c not in schema.fieldNames()]
+    check_layout(spark, table_path, partition_cols)
     acquire(spark, table_path, batch_id, partition_cols)
     batch = batch.select(*cols)
     kept = batch.storageLevel != StorageLevel.NONE  # by the caller
@@ -294,13 +319,16 @@ def merge_into(
     try:
         recover(spark, table_path, partition_cols)
         target = touched_target(spark, table_path, batch, partition_cols)
+        if tasks:  # an empty table too: a union is dealt as its sides are
+            target = target.repartition(tasks, *keys)
         if merge_fn is not None:
             merged = merge_fn(target, batch).select(*cols)
         elif version:
             merged = revision_merge(target, batch, keys, version)
         else:
             merged = upsert(target, batch, keys)
-        stage(deal(merged, table_path, partition_cols), table_path, batch_id, partition_cols)
+        dealt = merged if tasks else deal(merged, table_path, partition_cols)
+        stage(dealt, table_path, batch_id, partition_cols)
         publish(spark, table_path, batch_id, partition_cols)
     finally:
         if not kept:

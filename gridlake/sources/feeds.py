@@ -67,12 +67,14 @@ def _walk_fn(titles: bool):
             items = items or root.findall(f".//{atom}entry")
             if not items:
                 yield url, None, None, None, None, none_there
+            seen = set()
             for pos, item in enumerate(items):
                 title = clean(first(item, f"{own}title", f"{atom}title"))
                 named = item.find(f"{atom}link")
                 link = (named.get("href") or "").strip() if named is not None else ""
                 link = link or clean(item.findtext(f"{own}link"))
-                if title and link:
+                if title and link and link not in seen:
+                    seen.add(link)
                     date = first(item, "pubDate", f"{atom}updated", f"{atom}published", dc_date)
                     yield url, pos, title if titles else None, link, date, None
 
@@ -97,25 +99,29 @@ def _walk_fn(titles: bool):
 
 
 def walked(feeds: DataFrame, titles: bool = True) -> DataFrame:
-    """``(url, xml)`` -> a row per item with title and link (reason null; title null unless
-    ``titles``), and one per document without items (pos null), with the reason."""
+    """``(url, xml)`` -> a row per item with title and link, the first of a document's items with one link
+    (reason null; title null unless ``titles``), and one per document without items (pos null), with the reason."""
     bound_arrow_batches(feeds.sparkSession, FEEDS_AT_A_TIME)
     return feeds.select("url", "xml").mapInArrow(_walk_fn(titles), WALKED)
 
 
-def parse_feeds(feeds: DataFrame, titles: bool = True) -> DataFrame:
+def parse_feeds(feeds: DataFrame, titles: bool = True, tasks: int | None = None) -> DataFrame:
     """``(url, xml)`` -> ``(source, link, title, published_ts, pos, url)``.
 
     ``source`` is the feed URL's host. Titles and RSS links are cleaned
     (tags, entities, whitespace). A link with an ``href`` (Atom, also inside an RSS
     item) is preferred to a link text. Items without title or link are skipped, as are
     repeated links. Without ``titles`` they are null: no text leaves the parsing node.
+    With ``tasks`` the rows are dealt by (source, link) over that many tasks, for what follows by
+    that key; a repeated link of one URL (hence of one source) is in one of them.
     """
     items = walked(feeds, titles).where(F.col("reason").isNull())
     rows = items.select(
         url_host(F.col("url")).alias("source"), "url", "pos", "title", "link", parse_feed_date(F.col("date")).alias("published_ts")
     )
-    first = Window.partitionBy("url", "link").orderBy("pos")
+    if tasks:
+        rows = rows.repartition(tasks, "source", "link")
+    first = Window.partitionBy(*(["source", "link", "url"] if tasks else ["url", "link"])).orderBy("pos")
     return (
         rows.withColumn("__r", F.row_number().over(first))
         .where(F.col("__r") == 1)
@@ -175,19 +181,32 @@ def atom_entry(title, link, date, p):
     )
 
 
-def render_feeds(items: DataFrame, block: int) -> DataFrame:
+def block_of(item_id, block: int):
+    return F.floor(F.col(item_id) / block)
+
+
+def feed_url(source, b):
+    return F.concat(F.lit("https://"), source, F.lit("/feed/"), b.cast("string"))
+
+
+def render_feeds(items: DataFrame, block: int, marked: DataFrame | None = None) -> DataFrame:
     """Feed documents from headline rows ``(source, item_id, title, link,
     rss_date, atom_date)``: one document per (source, item_id div block),
     RSS for even blocks (every other title in CDATA, with prefixed and commented decoys) and
     Atom for odd ones (every other document with prefixed names); items in id order. A document
-    holds at most ``block`` items."""
-    b = F.floor(F.col("item_id") / block)
+    holds at most ``block`` items. ``marked``: (source, block) of documents whose column ``marked``
+    is true (they come by the same grouping, null sources and blocks too)."""
+    b = block_of("item_id", block)
     prefix = F.when(b % 4 == 3, "a:").otherwise("")
     piece = F.when(b % 2 == 0, rss_item(F.col("title"), F.col("link"), F.col("rss_date"), F.col("item_id") % 2 == 1)).otherwise(
         atom_entry(F.col("title"), F.col("link"), F.col("atom_date"), prefix)
     )
-    grouped = items.groupBy("source", b.alias("block")).agg(
-        F.array_sort(F.collect_list(F.struct(F.col("item_id"), piece.alias("xml")))).alias("parts")
+    parts = items.select("source", b.alias("block"), F.struct(F.col("item_id"), piece.alias("xml")).alias("part"), F.lit(False).alias("mark"))
+    if marked is not None:
+        none = F.lit(None).cast(parts.schema["part"].dataType)
+        parts = parts.unionByName(marked.select("source", "block", none.alias("part"), F.lit(True).alias("mark")))
+    grouped = parts.groupBy("source", "block").agg(
+        F.array_sort(F.collect_list("part")).alias("parts"), F.max("mark").alias("marked")
     )
     body = F.array_join(F.transform(F.col("parts"), lambda p: p["xml"]), "")
     head = '<?xml version="1.0" encoding="UTF-8"?>'
@@ -201,7 +220,8 @@ def render_feeds(items: DataFrame, block: int) -> DataFrame:
     plain = whole(f'<feed xmlns="{ATOM_NS}" {media}>', "title", "", "</feed>")
     xml = F.when(F.col("block") % 2 == 0, rss).when(F.col("block") % 4 == 3, prefixed).otherwise(plain)
     return grouped.select(
-        F.concat(F.lit("https://"), F.col("source"), F.lit("/feed/"), F.col("block").cast("string")).alias("url"),
+        feed_url(F.col("source"), F.col("block")).alias("url"),
         "block",
         xml.alias("xml"),
+        "marked",
     )

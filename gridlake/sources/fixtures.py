@@ -133,7 +133,7 @@ def published_ts(doc_id: Column) -> Column:
 def feed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feeds built from documents (a title is the whole text), plus one truncated
     copy per feed block that no XML parser accepts."""
-    from gridlake.sources.feeds import render_feeds
+    from gridlake.sources.feeds import block_of, feed_url, render_feeds
 
     docs = documents(spark, sf_dir)
     ts = published_ts(F.col("doc_id"))
@@ -145,14 +145,19 @@ def feed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format(ts, "EEE, dd MMM yyyy HH:mm:ss Z").alias("rss_date"),
         F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("atom_date"),
     )
-    feeds = render_feeds(items, FEED_BLOCK)
-    first = feeds.groupBy("block").agg(F.min(F.struct("url", "xml")).alias("f"))
-    broken = first.select(
-        F.concat(F.lit(f"https://{BROKEN_FEED_HOST}/feed/"), F.col("block").cast("string")).alias("url"),
-        "block",
-        F.expr("substring(f.xml, 1, length(f.xml) div 2)").alias("xml"),
+    # The copy is of the block's first feed by URL and text, found without the texts: without a
+    # block there are no URLs, and the texts are titles without items.
+    heads = docs.select("source", block_of("doc_id", FEED_BLOCK).alias("block"))
+    url = feed_url(F.col("source"), F.col("block"))
+    order = F.struct(url.alias("url"), F.concat("source", F.lit("</title></feed>")).alias("text"), "source")
+    first = heads.groupBy("block").agg(F.min(order).alias("f")).select("f.source", "block")
+    feeds = render_feeds(items, FEED_BLOCK, first)
+    whole = F.struct("url", "xml")
+    broken = F.struct(
+        feed_url(F.lit(BROKEN_FEED_HOST), F.col("block")).alias("url"),
+        F.expr("substring(xml, 1, length(xml) div 2)").alias("xml"),
     )
-    return feeds.unionByName(broken).select("url", "xml")
+    return feeds.select(F.inline(F.when(F.col("marked"), F.array(whole, broken)).otherwise(F.array(whole))))
 
 
 def classifier_answers(spark: SparkSession, sf_dir: str, outage: bool = False) -> DataFrame:
